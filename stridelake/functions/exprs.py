@@ -97,7 +97,8 @@ def duration_minutes_1dp(start: Column | str, end: Column | str) -> Column:
     """
     s = F.unix_seconds(col_(end)) - F.unix_seconds(col_(start))
     tenths = int_div(F.abs(s) + 3, 6)
-    return (F.signum(s) * tenths.cast("double")) / F.lit(10.0)
+    signed = F.when(s < 0, -tenths).otherwise(tenths)
+    return signed.cast("double") / F.lit(10.0)
 
 
 def whole_minutes_half_even(start: Column | str, end: Column | str) -> Column:

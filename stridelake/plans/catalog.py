@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from ..operators import benefits as B
+from ..operators import cdc as CDC
 from ..operators import commute as C
+from ..operators import quality as Q
+from ..operators import silver as SV
 from ..sources import adapter as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +91,55 @@ def orphan_pruned_commute(spark: SparkSession, sf: str) -> DataFrame:
     cv = C.validate_commutes(everyone, A.commute_distances(spark, sf),
                              as_of=A.AS_OF, company_address=A.COMPANY_ADDRESS)
     return as_ntz(C.prune_orphans(cv, A.employees(spark, sf)))
+
+
+# --- data quality -----------------------------------------------------------
+
+def _dq(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.dq_results(A.activities(spark, sf), A.employees(spark, sf), as_of=A.DQ_AS_OF)
+
+
+@query("dq_results")
+def dq_results(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(_dq(spark, sf))
+
+
+@query("dq_summary")
+def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.dq_summary(_dq(spark, sf))
+
+
+# --- change capture, Bronze, Silver -----------------------------------------
+
+def _bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return CDC.decode_cdc(A.cdc_messages(spark, sf), ingested_at=A.AS_OF)
+
+
+def _silver(spark: SparkSession, sf: str) -> DataFrame:
+    return SV.enrich(CDC.only_valid(_bronze(spark, sf)), A.employees(spark, sf),
+                     A.employee_sports(spark, sf), ingested_at=A.AS_OF)
+
+
+@query("cdc_decode")
+def cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(_bronze(spark, sf))
+
+
+@query("silver_enriched")
+def silver_enriched(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(_silver(spark, sf))
+
+
+@query("serving_projection")
+def serving_projection(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(SV.serving_projection(_silver(spark, sf)))
+
+
+@query("bi_projection")
+def bi_projection(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(SV.bi_projection(_silver(spark, sf)))
+
+
+@query("silver_current")
+def silver_current(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(SV.serving_projection(CDC.current_state(_silver(spark, sf))))

@@ -196,3 +196,105 @@ oracle("orphan_pruned_commute", """
 SELECT * FROM commute_validation_all c
 WHERE EXISTS (SELECT 1 FROM employees e WHERE e.employee_id = c.employee_id)""",
        "commute_validation_all", "employees")
+
+# --- data quality -----------------------------------------------------------
+
+_DQ = [
+    (K.DQ01, _q(K.DQ01_MESSAGE), "distance_m < 0"),
+    (K.DQ02, _q(K.DQ02_MESSAGE), "end_at <= start_at"),
+    (K.DQ03, _q(K.DQ03_MESSAGE), "sport_type IS NULL OR trim(sport_type) = ''"),
+    (K.DQ05, _q(K.DQ05_MESSAGE), f"start_at > {DQ_AS_OF}"),
+    (K.DQ06, f"{_q(K.DQ06_PREFIX)} || sport_type || '.'",
+     f"distance_m IS NOT NULL AND sport_type IN {_in(K.NON_DISTANCE_SPORTS)}"),
+    (K.DQ07, f"{_q(K.DQ07_PREFIX)} || sport_type || '.'",
+     f"distance_m IS NULL AND sport_type IN {_in(K.DISTANCE_SPORTS)}"),
+    (K.DQ08, _q(K.DQ08_MESSAGE), f"sport_type = {_q(K.MISSPELLED_SPORT)}"),
+]
+_dq_parts = [
+    f"SELECT activity_id, employee_id, {_q(r)} AS rule_name, {m} AS error_message, "
+    f"{DQ_AS_OF} AS detected_at FROM activities WHERE {w}" for r, m, w in _DQ
+]
+_dq_parts.append(
+    f"SELECT a.activity_id, a.employee_id, {_q(K.DQ04)} AS rule_name, {_q(K.DQ04_MESSAGE)} AS error_message, "
+    f"{DQ_AS_OF} AS detected_at FROM activities a LEFT JOIN employees e ON e.employee_id = a.employee_id "
+    f"WHERE e.employee_id IS NULL")
+cte("activity_dq_results", ["activities", "employees"], "\nUNION ALL\n".join(_dq_parts))
+
+oracle("dq_results", "SELECT * FROM activity_dq_results", "activity_dq_results")
+oracle("dq_summary", """
+SELECT rule_name, COUNT(*) AS anomaly_count FROM activity_dq_results GROUP BY rule_name""",
+       "activity_dq_results")
+
+# --- change capture, Bronze, Silver -----------------------------------------
+
+_ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+_BIZ = "activity_id, employee_id, start_at, end_at, sport_type, {dist}, comment, source, created_at"
+cte("cdc_base", ["activities"], """
+SELECT *, epoch_us(start_at) // 1000 AS _ms, CAST(employee_id % 4 AS INTEGER) AS kafka_partition FROM activities""")
+cte("cdc_log", ["cdc_base"], f"""
+SELECT {_BIZ.format(dist='distance_m')}, 'c' AS __op, _ms AS __source_ts_ms, kafka_partition,
+       activity_id AS kafka_offset FROM cdc_base
+UNION ALL
+SELECT {_BIZ.format(dist='CAST(distance_m * 2 AS DECIMAL(18,2)) AS distance_m')}, 'u', _ms + 60000, kafka_partition,
+       activity_id + 10000000 FROM cdc_base WHERE activity_id % 9 = 0
+UNION ALL
+SELECT {_BIZ.format(dist='distance_m')}, 'd', _ms + 120000, kafka_partition,
+       activity_id + 20000000 FROM cdc_base WHERE activity_id % 45 = 0""")
+
+
+def _wire(ok: str) -> str:
+    """Business columns as decoded from the wire (NULL when not ``ok``)."""
+    def w(e: str) -> str:
+        return f"CASE WHEN {ok} THEN {e} END"
+    return f"""
+       {w('l.activity_id')} AS activity_id,
+       {w('CAST(l.employee_id AS BIGINT)')} AS employee_id,
+       {w(f'strftime(l.start_at, {_ISO})')} AS start_at,
+       {w(f'strftime(l.end_at, {_ISO})')} AS end_at,
+       {w('l.sport_type')} AS sport_type,
+       {w('CAST(l.distance_m AS DOUBLE)')} AS distance_m,
+       {w('l.comment')} AS comment,
+       {w('l.source')} AS source,
+       {w(f'strftime(l.created_at, {_ISO})')} AS created_at,
+       {w('l.__op')} AS __op,
+       {w("'activities'")} AS __table,
+       {w('l.__source_ts_ms')} AS __source_ts_ms,
+       epoch_ms(l.__source_ts_ms) AS kafka_timestamp,
+       l.kafka_partition,
+       l.kafka_offset,
+       {AS_OF} AS bronze_ingested_at"""
+
+
+_OK = "NOT (l.kafka_offset % 89 = 0 OR l.kafka_offset % 97 = 0)"
+cte("bronze", ["cdc_log"], f"SELECT {_wire(_OK)} FROM cdc_log l")
+
+_SEC = "(epoch_us(l.end_at) // 1000000 - epoch_us(l.start_at) // 1000000)"
+cte("silver_log", ["cdc_log", "employees", "employee_sports"], f"""
+SELECT {_wire('TRUE')},
+       l.start_at AS start_ts, l.end_at AS end_ts,
+       e.first_name, e.last_name, e.business_unit, e.contract_type, e.annual_gross_salary,
+       s.sport AS declared_sport,
+       CAST(l.start_at AS DATE) AS activity_date,
+       CAST(CASE WHEN {_SEC} < 0 THEN -((abs({_SEC}) + 3) // 6) ELSE (abs({_SEC}) + 3) // 6 END AS DOUBLE)
+         / CAST(10 AS DOUBLE) AS duration_minutes,
+       CAST(ROUND(CAST(l.distance_m AS DECIMAL(24,6)) * CAST(0.001 AS DECIMAL(4,3)), 2) AS DECIMAL(18,2)) AS distance_km,
+       {AS_OF} AS silver_ingested_at
+FROM cdc_log l
+LEFT JOIN employees e ON e.employee_id = l.employee_id
+LEFT JOIN employee_sports s ON s.employee_id = l.employee_id
+WHERE {_OK}""")
+
+_SERVING = """CAST(activity_id AS BIGINT) AS activity_id, CAST(employee_id AS INTEGER) AS employee_id,
+       first_name, last_name, business_unit, contract_type, sport_type, declared_sport, activity_date,
+       start_ts, end_ts, duration_minutes, distance_km, source, silver_ingested_at"""
+
+oracle("cdc_decode", "SELECT * FROM bronze", "bronze")
+oracle("silver_enriched", "SELECT * FROM silver_log", "silver_log")
+oracle("serving_projection", f"SELECT {_SERVING} FROM silver_log", "silver_log")
+oracle("bi_projection", f"SELECT {_SERVING.rsplit(',', 1)[0]} FROM silver_log", "silver_log")
+oracle("silver_current", f"""
+SELECT {_SERVING} FROM (
+  SELECT *, row_number() OVER (PARTITION BY activity_id
+                               ORDER BY __source_ts_ms DESC, kafka_partition DESC, kafka_offset DESC) AS rn
+  FROM silver_log) t
+WHERE rn = 1 AND __op <> 'd'""", "silver_log")
