@@ -17,6 +17,10 @@ from pyspark.sql.types import TimestampType
 from ..operators import benefits as B
 from ..operators import cdc as CDC
 from ..operators import commute as C
+from ..operators import intake as I
+from ..operators import master as M
+from ..operators import notify as N
+from ..operators import profile as P
 from ..operators import quality as Q
 from ..operators import silver as SV
 from ..sources import adapter as A
@@ -143,3 +147,71 @@ def bi_projection(spark: SparkSession, sf: str) -> DataFrame:
 @query("silver_current")
 def silver_current(spark: SparkSession, sf: str) -> DataFrame:
     return as_ntz(SV.serving_projection(CDC.current_state(_silver(spark, sf))))
+
+
+# --- intake -------------------------------------------------------------------
+
+def _intake(spark: SparkSession, sf: str) -> DataFrame:
+    return I.validate_intake(A.activities(spark, sf), A.employees(spark, sf))
+
+
+@query("intake_accepted")
+def intake_accepted(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(I.accepted(_intake(spark, sf)))
+
+
+@query("intake_rejected")
+def intake_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return I.rejected(_intake(spark, sf))
+
+
+@query("recent_activities")
+def recent_activities(spark: SparkSession, sf: str) -> DataFrame:
+    return as_ntz(I.recent_activities(A.activities(spark, sf), limit=10))
+
+
+# --- notifications ----------------------------------------------------------
+
+@query("live_notifications")
+def live_notifications(spark: SparkSession, sf: str) -> DataFrame:
+    return N.notifications(_bronze(spark, sf), A.employees(spark, sf))
+
+
+# --- master data --------------------------------------------------------------
+
+@query("effective_sport")
+def effective_sport(spark: SparkSession, sf: str) -> DataFrame:
+    return M.effective_sport(A.employees(spark, sf), A.employee_sports(spark, sf))
+
+
+@query("master_clean")
+def master_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return M.clean_employees(A.master_csv_rows(spark, sf))
+
+
+@query("master_upsert")
+def master_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = M.clean_employees(A.master_csv_rows(spark, sf))
+    target = A.employees(spark, sf).select(*cleaned.columns)
+    return M.upsert_table(target, cleaned, "employee_id")
+
+
+# --- profiling ----------------------------------------------------------------
+
+def _profile(spark: SparkSession, sf: str) -> DataFrame:
+    return P.profile_summary(A.employees(spark, sf), A.employee_sports(spark, sf), A.AS_OF)
+
+
+@query("profile_summary")
+def profile_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _profile(spark, sf)
+
+
+@query("profile_distribution")
+def profile_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return P.profile_distribution(A.employees(spark, sf), A.employee_sports(spark, sf))
+
+
+@query("profile_anomalies")
+def profile_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    return P.profile_anomalies(_profile(spark, sf))

@@ -298,3 +298,156 @@ SELECT {_SERVING} FROM (
                                ORDER BY __source_ts_ms DESC, kafka_partition DESC, kafka_offset DESC) AS rn
   FROM silver_log) t
 WHERE rn = 1 AND __op <> 'd'""", "silver_log")
+
+# --- intake -------------------------------------------------------------------
+
+cte("intake", ["activities", "employees"], f"""
+SELECT a.*,
+       COALESCE(
+         CASE WHEN a.employee_id IS NULL OR a.start_at IS NULL OR a.end_at IS NULL OR a.sport_type IS NULL
+                   THEN {_q(K.REJECT_MISSING_FIELD)}
+              WHEN length(a.sport_type) < 1 THEN {_q(K.REJECT_EMPTY_SPORT)}
+              WHEN a.distance_m < 0 THEN {_q(K.REJECT_NEGATIVE_DISTANCE)}
+              WHEN a.end_at <= a.start_at THEN {_q(K.REJECT_END_BEFORE_START)} END,
+         CASE WHEN NOT EXISTS (SELECT 1 FROM employees e WHERE e.employee_id = a.employee_id)
+              THEN {_q(K.REJECT_UNKNOWN_EMPLOYEE)} END) AS reject_reason
+FROM activities a""")
+
+oracle("intake_accepted", f"""
+SELECT activity_id, employee_id, start_at, end_at, sport_type, distance_m, comment, {_q(K.LIVE_SOURCE)} AS source
+FROM intake WHERE reject_reason IS NULL""", "intake")
+oracle("intake_rejected", """
+SELECT activity_id, employee_id, reject_reason FROM intake WHERE reject_reason IS NOT NULL""", "intake")
+oracle("recent_activities", """
+SELECT activity_id, employee_id, start_at, end_at, sport_type, CAST(distance_m AS DOUBLE) AS distance_m,
+       comment, source, created_at
+FROM activities ORDER BY activity_id DESC LIMIT 10""", "activities")
+
+# --- notifications ----------------------------------------------------------
+
+_T = "(epoch_us(l.end_at) - epoch_us(l.start_at))"
+_MIN = (f"CASE WHEN {_T} <= 0 THEN 1 ELSE greatest(1, {_T} // 60000000 + "
+        f"CASE WHEN 2 * ({_T} % 60000000) > 60000000 THEN 1 "
+        f"WHEN 2 * ({_T} % 60000000) < 60000000 THEN 0 ELSE ({_T} // 60000000) % 2 END) END")
+_SP = "COALESCE(NULLIF(l.sport_type, ''), 'sport')"
+_CM = py_strip("COALESCE(l.comment, '')")
+oracle("live_notifications", f"""
+SELECT l.activity_id, CAST(l.employee_id AS BIGINT) AS employee_id, l.__op, l.kafka_offset,
+  {_q(K.NOTIFY_PREFIX)}
+  || CASE WHEN e.employee_id IS NOT NULL
+          THEN COALESCE(e.first_name, 'None') || ' ' || COALESCE(e.last_name, 'None')
+          ELSE {_q(K.NOTIFY_UNKNOWN_EMPLOYEE)} || COALESCE(CAST(l.employee_id AS VARCHAR), 'None') END
+  || {_q(K.NOTIFY_MIDDLE)} || {_SP}
+  || COALESCE(CASE WHEN l.distance_m IS NOT NULL AND {_SP} IN {_in(K.DISTANCE_SPORTS)}
+                   THEN ' de ' || printf('%.1f', CAST(l.distance_m AS DOUBLE) / CAST(1000 AS DOUBLE)) || ' km' END, '')
+  || COALESCE(CASE WHEN l.start_at IS NOT NULL AND l.end_at IS NOT NULL
+                   THEN ' en ' || CAST({_MIN} AS VARCHAR) || ' min' END, '')
+  || {_q(K.NOTIFY_END)}
+  || COALESCE(CASE WHEN {_CM} <> '' AND {_CM} NOT IN {_in(K.IGNORED_COMMENTS)}
+                   THEN chr(10) || '💬 "' || {_CM} || '"' END, '') AS message
+FROM cdc_log l LEFT JOIN employees e ON e.employee_id = l.employee_id
+WHERE {_OK} AND l.source = {_q(K.LIVE_SOURCE)} AND l.__op <> 'd'""", "cdc_log", "employees")
+
+# --- master data --------------------------------------------------------------
+
+oracle("effective_sport", f"""
+SELECT e.employee_id, s.sport AS declared_sport,
+       CASE WHEN COALESCE(NULLIF(s.sport, ''), {_q(K.DEFAULT_SPORT)}) = 'Runing' THEN 'Running'
+            ELSE COALESCE(NULLIF(s.sport, ''), {_q(K.DEFAULT_SPORT)}) END AS effective_sport
+FROM employees e LEFT JOIN employee_sports s USING (employee_id)""", "employees", "employee_sports")
+
+_SAL = ("CAST(CAST(CAST(25000 AS DECIMAL(12,2)) + CAST(c_acctbal AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS VARCHAR)")
+cte("master_csv", [], f"""
+SELECT CASE WHEN c_custkey % 5 = 0 THEN ' ' || CAST(c_custkey AS VARCHAR) || ' '
+            WHEN c_custkey % 5 = 1 THEN CAST(c_custkey AS VARCHAR) || '.0'
+            ELSE CAST(c_custkey AS VARCHAR) END AS employee_id,
+       c_name AS last_name,
+       CASE WHEN c_custkey % 9 = 0 THEN chr(9) ELSE c_mktsegment || ' ' END AS business_unit,
+       CASE WHEN c_custkey % 7 = 0 THEN replace({_SAL}, '.', ',') WHEN c_custkey % 7 = 1 THEN ' '
+            WHEN c_custkey % 7 = 2 THEN 'n/a' ELSE {_SAL} END AS annual_gross_salary,
+       CASE WHEN c_custkey % 4 = 0 THEN CAST(25 + c_custkey % 6 AS VARCHAR) || '.0'
+            WHEN c_custkey % 4 = 1 THEN CAST(25 + c_custkey % 6 AS VARCHAR) || ',5'
+            WHEN c_custkey % 4 = 2 THEN ''
+            ELSE CAST(25 + c_custkey % 6 AS VARCHAR) END AS paid_leave_days
+FROM customer""")
+
+
+def _blank(e: str) -> str:
+    return f"NULLIF({py_strip(e)}, '')"
+
+
+def _int(e: str) -> str:
+    return f"TRY_CAST(trunc(TRY_CAST(replace({_blank(e)}, ',', '.') AS DOUBLE)) AS INTEGER)"
+
+
+cte("master_clean", ["master_csv"], f"""
+SELECT {_int('employee_id')} AS employee_id, {_blank('last_name')} AS last_name,
+       {_blank('business_unit')} AS business_unit,
+       TRY_CAST(replace({_blank('annual_gross_salary')}, ',', '.') AS DECIMAL(12,2)) AS annual_gross_salary,
+       {_int('paid_leave_days')} AS paid_leave_days
+FROM master_csv""")
+oracle("master_clean", "SELECT * FROM master_clean", "master_clean")
+oracle("master_upsert", """
+SELECT employee_id, last_name, business_unit, annual_gross_salary, paid_leave_days FROM employees t
+WHERE NOT EXISTS (SELECT 1 FROM master_clean c WHERE c.employee_id = t.employee_id)
+UNION ALL
+SELECT employee_id, last_name, business_unit, annual_gross_salary, paid_leave_days FROM master_clean""",
+       "employees", "master_clean")
+
+# --- profiling ----------------------------------------------------------------
+
+_D = "CAST(" + AS_OF + " AS DATE)"
+cte("emp_profile", ["employees"], f"""
+SELECT COUNT(*) AS employees_rows, COUNT(DISTINCT employee_id) AS employees_unique_ids,
+       COUNT(*) - COUNT(DISTINCT employee_id) AS employees_duplicate_ids,
+       MIN(annual_gross_salary) AS salary_min, MAX(annual_gross_salary) AS salary_max,
+       SUM(CAST(annual_gross_salary * 100 AS BIGINT)) AS cents, COUNT(annual_gross_salary) AS n,
+       SUM(CASE WHEN {_blank('home_address')} IS NULL THEN 1 ELSE 0 END) AS missing_addresses,
+       SUM(CASE WHEN {_blank('commute_mode')} IS NULL THEN 1 ELSE 0 END) AS missing_commute,
+       SUM(CASE WHEN birth_date > {_D} THEN 1 ELSE 0 END) AS future_birth_dates,
+       SUM(CASE WHEN hire_date > {_D} THEN 1 ELSE 0 END) AS future_hire_dates,
+       SUM(CASE WHEN annual_gross_salary < 0 THEN 1 ELSE 0 END) AS negative_salary
+FROM employees""")
+cte("spo_profile", ["employee_sports", "employees"], f"""
+SELECT COUNT(*) AS sports_rows, COUNT(DISTINCT employee_id) AS sports_unique_ids,
+       SUM(CASE WHEN {_blank('sport')} IS NOT NULL THEN 1 ELSE 0 END) AS sport_declared,
+       SUM(CASE WHEN {_blank('sport')} IS NULL THEN 1 ELSE 0 END) AS sport_missing,
+       (SELECT COUNT(*) FROM employee_sports s WHERE NOT EXISTS
+          (SELECT 1 FROM employees e WHERE e.employee_id = s.employee_id)) AS sports_without_rh,
+       (SELECT COUNT(*) FROM employees e WHERE NOT EXISTS
+          (SELECT 1 FROM employee_sports s WHERE s.employee_id = e.employee_id)) AS rh_without_sports_row
+FROM employee_sports""")
+_AVG = ("CASE WHEN n > 0 THEN CAST(CASE WHEN cents < 0 THEN -1 ELSE 1 END * ((2 * abs(cents) + n) // (2 * n)) "
+        "AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) END")
+_EMP_IND = ["employees_rows", "employees_unique_ids", "employees_duplicate_ids", "salary_min", "salary_max",
+            "missing_addresses", "missing_commute", "future_birth_dates", "future_hire_dates", "negative_salary"]
+_SPO_IND = ["sports_rows", "sports_unique_ids", "sport_declared", "sport_missing", "sports_without_rh",
+            "rh_without_sports_row"]
+_prof = [f"SELECT '{i}' AS indicator, CAST({i} AS DECIMAL(18,2)) AS value FROM emp_profile" for i in _EMP_IND]
+_prof.append(f"SELECT 'salary_avg', CAST({_AVG} AS DECIMAL(18,2)) FROM emp_profile")
+_prof += [f"SELECT '{i}', CAST({i} AS DECIMAL(18,2)) FROM spo_profile" for i in _SPO_IND]
+cte("profile_summary", ["emp_profile", "spo_profile"], "\nUNION ALL\n".join(_prof))
+oracle("profile_summary", "SELECT * FROM profile_summary", "profile_summary")
+
+_dims = [f"SELECT '{d}' AS dimension, COALESCE({_blank(c)}, '(vide)') AS value FROM employees"
+         for d, c in [("commute_modes", "commute_mode"), ("business_units", "business_unit"),
+                      ("contracts", "contract_type")]]
+_dims.append(f"SELECT 'sports', COALESCE({_blank('sport')}, '(vide)') FROM employee_sports")
+cte("profile_pairs", ["employees", "employee_sports"], "\nUNION ALL\n".join(_dims))
+oracle("profile_distribution", """
+, counts AS (SELECT dimension, value, COUNT(*) AS n FROM profile_pairs GROUP BY dimension, value),
+totals AS (SELECT dimension, SUM(n) AS t FROM counts GROUP BY dimension)
+SELECT c.dimension, c.value, c.n,
+       CAST(CAST((c.n * 2000 + t.t) // (2 * t.t) AS DOUBLE) / CAST(10 AS DOUBLE) AS DECIMAL(6,1)) AS percent
+FROM counts c JOIN totals t USING (dimension)""", "profile_pairs")
+
+
+def _controls() -> str:
+    from ..operators.profile import CONTROLS
+    return ", ".join(f"({_q(i)}, {_q(s)}, {_q(c)})" for i, s, c in CONTROLS)
+
+
+oracle("profile_anomalies", f"""
+SELECT k.severity, k.control, CAST(p.value AS BIGINT) AS anomaly_count
+FROM profile_summary p JOIN (VALUES {_controls()}) k(indicator, severity, control) USING (indicator)
+WHERE p.value > 0""", "profile_summary")
