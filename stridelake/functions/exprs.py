@@ -131,7 +131,8 @@ def km_text_1dp(metres: Column | str) -> Column:
     broken by which side of the tie that double lies on. Away from ties the
     decimal quotient rounded half-up gives the same digit. On exact ties
     (``|m|`` an odd multiple of 50) the side is found with an error-free
-    product (Dekker split of ``d * 1000``), all in double arithmetic.
+    product (Dekker split of ``d * 1000``), all in double arithmetic; when
+    the double equals the tie exactly, half-to-even applies.
     """
     m_dec = col_(metres).cast("decimal(24,6)")
     q = F.abs(m_dec) * F.lit(0.001).cast("decimal(4,3)")            # exact |m|/1000
@@ -146,9 +147,12 @@ def km_text_1dp(metres: Column | str) -> Column:
     d_hi = c - (c - d)
     d_lo = d - d_hi
     err = (d_hi * F.lit(1000.0) - p) + d_lo * F.lit(1000.0)
-    above = ((p - m_abs) + err) > F.lit(0.0)                          # d > |m|/1000
+    side = (p - m_abs) + err                                          # sign of d - |m|/1000
 
-    mag = F.when(tie & ~above, down).otherwise(up)
+    # Exact binary tie (d == |m|/1000): Python rounds half to even.
+    mag = (F.when(~tie | (side > 0), up)
+           .when(side < 0, down)
+           .otherwise(F.bround(q, 1)))
     text = mag.cast("decimal(20,1)").cast("string")
     # Python keeps the sign of a negative value that rounds to zero ("-0.0").
     negative = col_(metres).cast("double") < 0
