@@ -1,0 +1,63 @@
+import datetime as dt
+from decimal import Decimal
+
+from stridelake.operators import quality as Q
+
+ACT = ("activity_id long, employee_id int, start_at timestamp, end_at timestamp, sport_type string, "
+       "distance_m decimal(18,2)")
+T0 = dt.datetime(2024, 1, 10, 10)
+T1 = dt.datetime(2024, 1, 10, 11)
+
+
+def _run(spark, rows, emp_ids=(1,)):
+    acts = spark.createDataFrame(rows, ACT)
+    emps = spark.createDataFrame([(i,) for i in emp_ids], "employee_id int")
+    res = Q.dq_results(acts, emps, as_of="2024-01-29 00:00:00")
+    return sorted((r.activity_id, r.rule_name, r.error_message) for r in res.collect())
+
+
+def test_each_rule_positive_negative_null(spark):
+    rows = [
+        (1, 1, T0, T1, "Judo", None),                 # clean
+        (2, 1, T0, T1, "Running", Decimal("-1.00")),  # DQ01
+        (3, 1, T0, T1, "Running", None),              # DQ07 (null distance: DQ01 silent)
+        (4, 1, T1, T0, "Judo", None),                 # DQ02
+        (5, 1, T0, T0, "Judo", None),                 # DQ02 (equal)
+        (6, 1, T0, T1, "  ", None),                   # DQ03 blank
+        (7, 1, T0, T1, None, None),                   # DQ03 null
+        (8, 1, T0, T1, "\t", None),                   # tab only: not blank
+        (9, 2, T0, T1, "Judo", None),                 # DQ04
+        (10, None, T0, T1, "Judo", None),             # DQ04 (null key)
+        (11, 1, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1, 1), "Judo", None),  # DQ05
+        (12, 1, dt.datetime(2024, 1, 29), dt.datetime(2024, 1, 29, 1), "Judo", None),  # exactly now: not future
+        (13, 1, T0, T1, "Tennis", Decimal("10.00")),  # DQ06
+        (14, 1, T0, T1, "Runing", None),              # DQ08 only
+    ]
+    got = _run(spark, rows)
+    rules = {}
+    for aid, rule, _ in got:
+        rules.setdefault(aid, []).append(rule)
+    assert 1 not in rules and 8 not in rules and 12 not in rules
+    assert rules[2] == ["DQ01_NEGATIVE_DISTANCE"]
+    assert rules[3] == ["DQ07_MISSING_DISTANCE"]
+    assert rules[4] == rules[5] == ["DQ02_INVALID_DURATION"]
+    assert rules[6] == rules[7] == ["DQ03_MISSING_SPORT"]
+    assert rules[9] == rules[10] == ["DQ04_UNKNOWN_EMPLOYEE"]
+    assert rules[11] == ["DQ05_FUTURE_ACTIVITY"]
+    assert rules[13] == ["DQ06_UNEXPECTED_DISTANCE"]
+    assert rules[14] == ["DQ08_INVALID_SPORT_NAME"]
+    msgs = {aid: m for aid, r, m in got}
+    assert msgs[13] == "Distance renseignée pour un sport non kilométrique : Tennis."
+    assert msgs[3] == "Distance manquante pour un sport kilométrique : Running."
+
+
+def test_one_row_many_rules_and_summary(spark):
+    rows = [(1, 5, dt.datetime(2024, 3, 1, 11), dt.datetime(2024, 3, 1, 10), "Tennis", Decimal("-5.00"))]
+    got = _run(spark, rows)
+    assert [r for _, r, _ in got] == sorted([
+        "DQ01_NEGATIVE_DISTANCE", "DQ02_INVALID_DURATION", "DQ04_UNKNOWN_EMPLOYEE",
+        "DQ05_FUTURE_ACTIVITY", "DQ06_UNEXPECTED_DISTANCE"])
+    acts = spark.createDataFrame(rows, ACT)
+    res = Q.dq_results(acts, spark.createDataFrame([(1,)], "employee_id int"), as_of="2024-01-29")
+    summary = {r.rule_name: r.anomaly_count for r in Q.dq_summary(res).collect()}
+    assert sum(summary.values()) == res.count() == 5
