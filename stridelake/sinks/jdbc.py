@@ -3,7 +3,7 @@
 Connection settings are always arguments (never hard-coded credentials).
 The keyed upsert loads the batch into a staging table through Spark's JDBC
 writer (parallel, one connection per task), then runs one set-based MERGE in
-the database, issued through Spark's ``executeCommand`` with the JDBC runner.
+the database, issued as the ``sessionInitStatement`` of a one-row JDBC read.
 The batch is deduplicated by key first (newest version wins), so a create
 and an update of one key in the same micro-batch never hit the same target
 row twice.
@@ -45,23 +45,27 @@ def merge_statement(target: str, staging: str, key: list[str], columns: list[str
             f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
 
 
-def execute(spark, url: str, statement: str, props: dict[str, str] | None = None) -> None:
-    """Run one SQL statement in the database through the JDBC command
-    runner (``SparkSession.executeCommand``)."""
-    opts = spark._jvm.java.util.HashMap()
-    for k, v in {"url": url, **(props or {})}.items():
-        opts.put(k, v)
-    scala_opts = spark._jvm.org.apache.spark.api.python.PythonUtils.toScalaMap(opts)
-    spark._jsparkSession.executeCommand("jdbc", statement, scala_opts).collect()
+def execute(spark, url: str, statement: str, props: dict[str, str] | None = None,
+            probe_query: str = "SELECT 1 AS ok") -> None:
+    """Run one SQL statement in the database, using the JDBC source's
+    ``sessionInitStatement`` on a one-row, one-partition read: the statement
+    runs on the connection before the probe query is read. The statement
+    should be idempotent (a MERGE from staging is)."""
+    reader = (spark.read.format("jdbc").option("url", url).option("query", probe_query)
+              .option("sessionInitStatement", statement))
+    for k, v in (props or {}).items():
+        reader = reader.option(k, v)
+    reader.load().collect()
 
 
 def upsert(df: DataFrame, url: str, target: str, staging: str, key: list[str],
            order: list[str] | None = None, columns: list[str] | None = None,
-           props: dict[str, str] | None = None) -> None:
+           props: dict[str, str] | None = None, probe_query: str = "SELECT 1 AS ok") -> None:
     """SNK-4: keyed upsert of a batch into a JDBC table. ``order``: columns
     that rank versions of a key in the batch (newest wins); ``columns``: the
     target's columns (default: all of ``df``)."""
     batch = latest_by_key(df, key, order) if order else df
     batch = batch.select(*(columns or df.columns))
     write_staging(batch, url, staging, props)
-    execute(df.sparkSession, url, merge_statement(target, staging, key, batch.columns), props)
+    execute(df.sparkSession, url, merge_statement(target, staging, key, batch.columns), props,
+            probe_query)
