@@ -26,9 +26,11 @@ ORDER_COLUMNS = ["__source_ts_ms", "kafka_partition", "kafka_offset"]
 def decode_cdc(raw: DataFrame, ingested_at=None) -> DataFrame:
     """PR-1..PR-3, PR-5: parse ``value`` (text or bytes), flatten the
     payload, keep the broker metadata, stamp the ingestion time."""
-    text = F.col("value").cast("string")
-    payload = F.coalesce(F.from_json(text, S.CDC_ENVELOPE).getField("payload"),
-                         F.from_json(text, S.CDC_PAYLOAD))
+    # One parse with a schema holding both shapes: the envelope's ``payload``
+    # when present, else the top-level (bare) fields.
+    parsed = F.from_json(F.col("value").cast("string"), S.CDC_ANY)
+    bare = F.struct(*[parsed.getField(f.name).alias(f.name) for f in S.CDC_PAYLOAD.fields])
+    payload = F.coalesce(parsed.getField("payload"), bare)
     stamp = F.current_timestamp() if ingested_at is None else (
         ingested_at if isinstance(ingested_at, Column) else F.lit(str(ingested_at)).cast("timestamp"))
     return (raw.select(payload.alias("_p"),

@@ -75,6 +75,9 @@ CDC_PAYLOAD = _s(
 
 CDC_ENVELOPE = StructType([StructField("payload", CDC_PAYLOAD, True)])
 
+# Either shape of a change message: enveloped (``payload``) or bare.
+CDC_ANY = StructType(list(CDC_PAYLOAD.fields) + [StructField("payload", CDC_PAYLOAD, True)])
+
 # Raw broker record (Kafka source columns used here, or the landing twin).
 BROKER_RECORD = _s(
     ("value", StringType()),
