@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame
 
 from ..operators.cdc import decode_cdc
 from ..sinks.lake import append_stream
+from .control import checkpoint_for
 
 
 def bronze_frame(records: DataFrame) -> DataFrame:
     return decode_cdc(records)
 
 
-def start_bronze(records: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
+def start_bronze(records: DataFrame, path: str, checkpoint: str | None = None, fmt: str = "parquet",
                  trigger: dict | None = None, query_name: str = "bronze_activities"):
     """SNK-1: start the Bronze append stream (``trigger={"availableNow": True}``
     for a bounded catch-up run)."""
+    checkpoint = checkpoint_for(records.sparkSession, query_name, checkpoint)
     return append_stream(bronze_frame(records), path, checkpoint, fmt=fmt, trigger=trigger,
                          query_name=query_name)

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.cdc import decode_cdc, malformed
 from ..operators.notify import notifications
 from ..sinks.lake import write_log_partition
+from .control import checkpoint_for
 
 
-def start_notifications(records: DataFrame, out_path: str, malformed_path: str, checkpoint: str,
+def start_notifications(records: DataFrame, out_path: str, malformed_path: str, checkpoint: str | None,
                         load_employees: Callable[[SparkSession], DataFrame],
                         fmt: str = "parquet", trigger: dict | None = None,
                         query_name: str = "live_notifications"):
@@ -28,7 +29,7 @@ def start_notifications(records: DataFrame, out_path: str, malformed_path: str,
             decoded.unpersist()
 
     return (records.writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
+            .option("checkpointLocation", checkpoint_for(records.sparkSession, query_name, checkpoint))
             .queryName(query_name)
             .trigger(**(trigger or {"processingTime": "1 second"}))
             .start())

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.lake import publish_reference, snapshot_stamp
+from .control import checkpoint_for
 
 
-def start_reference_snapshots(records: DataFrame, tables: dict[str, dict], checkpoint: str,
+def start_reference_snapshots(records: DataFrame, tables: dict[str, dict], checkpoint: str | None,
                               debounce_seconds: float = 2.0,
                               read: Callable[[SparkSession, dict], DataFrame] | None = None,
                               trigger: dict | None = None, query_name: str = "reference_snapshots"):
@@ -36,7 +37,7 @@ def start_reference_snapshots(records: DataFrame, tables: dict[str, dict], check
             publish_reference(df, cfg["archive_prefix"], cfg["current_path"], snapshot_stamp())
 
     return (records.writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
+            .option("checkpointLocation", checkpoint_for(records.sparkSession, query_name, checkpoint))
             .queryName(query_name)
             .trigger(**(trigger or {"processingTime": f"{debounce_seconds} seconds"}))
             .start())

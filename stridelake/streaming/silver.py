@@ -28,6 +28,7 @@ from ..operators.silver import enrich, serving_projection
 from ..sinks import jdbc as J
 from ..sinks.lake import write_log_partition
 from ..sources.tables import ensure_table, read_table, read_table_stream
+from .control import checkpoint_for
 
 
 def make_batch_writer(silver_path: str,
@@ -47,7 +48,7 @@ def make_batch_writer(silver_path: str,
     return write_batch
 
 
-def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
+def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str | None,
                  load_employees: Callable[[SparkSession], DataFrame],
                  load_sports: Callable[[SparkSession], DataFrame],
                  fmt: str = "parquet", trigger: dict | None = None,
@@ -56,7 +57,7 @@ def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkp
     bronze = read_table_stream(spark, bronze_path, S.BRONZE, fmt)
     w = (bronze.writeStream
          .foreachBatch(make_batch_writer(silver_path, load_employees, load_sports, fmt, serving_jdbc))
-         .option("checkpointLocation", checkpoint)
+         .option("checkpointLocation", checkpoint_for(spark, query_name, checkpoint))
          .queryName(query_name)
          .trigger(**(trigger or {"processingTime": "0 seconds"})))
     return w.start()

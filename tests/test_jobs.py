@@ -1,0 +1,25 @@
+import os
+
+from stridelake import jobs
+from stridelake.sources import adapter as A
+from stridelake.sources.tables import read_table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_batch_jobs_end_to_end(spark, tmp):
+    p = {n: os.path.join(tmp, n) for n in ("emp", "act", "dist", "cv", "dq", "dqs", "ben", "silver", "bi")}
+    A.employees(spark, SF).write.parquet(p["emp"])
+    A.activities(spark, SF).write.parquet(p["act"])
+    A.commute_distances(spark, SF).write.parquet(p["dist"])
+    jobs.run(["commute", "--employees", p["emp"], "--distances", p["dist"], "--out", p["cv"],
+              "--scope", "requested"], stop=False)
+    jobs.run(["quality", "--activities", p["act"], "--employees", p["emp"], "--out", p["dq"],
+              "--summary-out", p["dqs"]], stop=False)
+    jobs.run(["benefits", "--employees", p["emp"], "--activities", p["act"], "--commute", p["cv"],
+              "--as-of", "2025-01-24 00:00:00", "--out", p["ben"]], stop=False)
+    assert read_table(spark, p["ben"]).count() == read_table(spark, p["emp"]).count()
+    dq = read_table(spark, p["dq"])
+    assert dq.count() == sum(r.anomaly_count for r in read_table(spark, p["dqs"]).collect())
+    assert read_table(spark, p["cv"]).count() == A.commute_distances(spark, SF).join(
+        A.employees(spark, SF), "employee_id", "left_semi").count()
