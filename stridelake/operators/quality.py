@@ -3,9 +3,9 @@
 Seven rules only look at the activity row itself: they are evaluated in one
 map-only pass (an array of optional findings, exploded), so the activity
 table is read once for all of them and never shuffled. DQ04 (unknown
-employee) needs the employee table: it is an anti join that ships only
-``(activity_id, employee_id)`` through the shuffle, and AQE splits a hot
-employee key across tasks. Output multiplicity is UNION ALL: an activity
+employee) needs the employee table: distinct keys are anti-joined first,
+then activities are semi-joined to the (small) set of unknown keys, see
+``unknown_employee_activities``. Output multiplicity is UNION ALL: an activity
 yields 0..8 findings.
 """
 
@@ -55,8 +55,7 @@ def dq_results(activities: DataFrame, employees: DataFrame, as_of=None,
              .select("activity_id", "employee_id", F.inline(findings))
              .select("activity_id", "employee_id", "rule_name", "error_message",
                      stamp.alias("detected_at")))
-    unknown = (activities.select("activity_id", "employee_id")
-               .join(employees.select("employee_id"), "employee_id", "left_anti")
+    unknown = (unknown_employee_activities(activities, employees)
                .select("activity_id", "employee_id",
                        F.lit(K.DQ04).alias("rule_name"),
                        F.lit(K.DQ04_MESSAGE).alias("error_message"),
@@ -64,6 +63,24 @@ def dq_results(activities: DataFrame, employees: DataFrame, as_of=None,
     return local.unionByName(unknown)
 
 
+def unknown_employee_activities(activities: DataFrame, employees: DataFrame) -> DataFrame:
+    """DQ04 rows ``(activity_id, employee_id)``: activities whose employee
+    does not exist (a NULL employee counts as unknown).
+
+    Keys first: the distinct employee ids of the activities (partially
+    aggregated on the map side - a hot id costs one row per task) are
+    anti-joined with the employee keys, which leaves the usually tiny set of
+    unknown ids. Activities are then semi-joined to that set with a
+    null-safe key; AQE broadcasts it when its measured size allows, so in the
+    common case the activity table is never shuffled.
+    """
+    ids = activities.select("employee_id").distinct()
+    unknown_ids = ids.join(employees.select("employee_id"), "employee_id", "left_anti")
+    u = unknown_ids.select(F.col("employee_id").alias("_unknown_id"))
+    return (activities.select("activity_id", "employee_id")
+            .join(u, F.col("employee_id").eqNullSafe(F.col("_unknown_id")), "left_semi"))
+
+
 def dq_summary(results: DataFrame) -> DataFrame:
     """AG-3: findings per rule; rules without findings are absent."""
     return results.groupBy("rule_name").agg(F.count(F.lit(1)).alias("anomaly_count"))

@@ -18,8 +18,8 @@ def test_window_filter_reaches_scan(spark):
 def test_dq_row_rules_need_no_shuffle_of_full_rows(spark):
     p = _plan(E.queries()["dq_results"](spark, SF))
     assert "Generate inline" in p
-    # the only join is the DQ04 anti join
-    assert p.count("LeftAnti") == 1 and "LeftOuter" not in p
+    # DQ04: distinct keys anti-joined, then a semi join on the unknown set
+    assert p.count("LeftAnti") == 1 and p.count("LeftSemi") == 1 and "LeftOuter" not in p
 
 
 def test_parameters_are_scalar_subqueries_not_joins(spark):
