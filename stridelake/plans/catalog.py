@@ -146,7 +146,14 @@ def bi_projection(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("silver_current")
 def silver_current(spark: SparkSession, sf: str) -> DataFrame:
-    return as_ntz(SV.serving_projection(CDC.current_state(_silver(spark, sf))))
+    """Current serving rows. With one reference version for the whole run,
+    picking the newest change per key first and enriching only the
+    survivors equals enriching every version then picking; it keeps the
+    per-key aggregation on the narrow Bronze rows and the joins on the
+    smaller current set."""
+    latest = CDC.current_state(CDC.only_valid(_bronze(spark, sf)))
+    return as_ntz(SV.serving_projection(
+        SV.enrich(latest, A.employees(spark, sf), A.employee_sports(spark, sf), ingested_at=A.AS_OF)))
 
 
 # --- intake -------------------------------------------------------------------
