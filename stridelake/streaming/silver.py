@@ -44,7 +44,8 @@ def make_batch_writer(silver_path: str,
                        .where(F.col("batch_id") == F.lit(int(batch_id))))
             J.upsert(written, serving_jdbc["url"], serving_jdbc["table"], serving_jdbc["staging"],
                      ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
-                     columns=S.SERVING_COLUMNS, props=serving_jdbc.get("props"))
+                     columns=S.SERVING_COLUMNS, props=serving_jdbc.get("props"),
+                     probe_query=serving_jdbc.get("probe_query", "SELECT 1 AS ok"))
     return write_batch
 
 

@@ -111,3 +111,33 @@ def test_reference_snapshots(spark, tmp):
     assert len(archives) == 1 and archives[0].startswith("employees_")
     cur = spark.read.option("header", True).csv(os.path.join(tmp, "current", "employees"))
     assert [r.employee_id for r in cur.collect()] == ["1", "2"]
+
+
+def test_silver_stream_upserts_serving_table_on_derby(spark, tmp):
+    import uuid
+
+    from stridelake.sinks import jdbc as J
+    landing, bronze, silver = (os.path.join(tmp, x) for x in ("landing", "bronze", "silver"))
+    url = f"jdbc:derby:memory:s{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    probe = "SELECT 1 AS ok FROM SYSIBM.SYSDUMMY1"
+    cols = ("activity_id BIGINT, employee_id INT, first_name VARCHAR(50), last_name VARCHAR(50), "
+            "business_unit VARCHAR(50), contract_type VARCHAR(10), sport_type VARCHAR(50), "
+            "declared_sport VARCHAR(50), activity_date DATE, start_ts TIMESTAMP, end_ts TIMESTAMP, "
+            "duration_minutes DOUBLE, distance_km DECIMAL(18,2), source VARCHAR(40), silver_ingested_at TIMESTAMP")
+    J.execute(spark, url, f"CREATE TABLE serving ({cols.replace('activity_id BIGINT', 'activity_id BIGINT PRIMARY KEY')})",
+              props, probe)
+    J.execute(spark, url, f"CREATE TABLE staging ({cols})", props, probe)
+    _land(spark, landing, [(_msg(1), TOPIC, 0, 1, None), (_msg(1, op="u", ts=2000, distance_m=9000.0), TOPIC, 0, 2, None),
+                           (_msg(2), TOPIC, 0, 3, None)])
+    start_bronze(read_cdc_stream(spark, TOPIC, source="landing", landing_path=landing), bronze,
+                 os.path.join(tmp, "ck_b"), trigger={"availableNow": True}).awaitTermination()
+    emp, sp = _refs(spark)
+    serving = {"url": url, "table": "serving", "staging": "staging", "props": props, "probe_query": probe}
+    writer = make_batch_writer(silver, lambda s: emp, lambda s: sp, serving_jdbc=serving)
+    writer(read_table(spark, bronze), 0)
+    writer(read_table(spark, bronze), 0)          # replay: same partition, same serving rows
+    got = {r.ACTIVITY_ID: r for r in spark.read.format("jdbc").option("url", url)
+           .option("dbtable", "serving").options(**props).load().collect()}
+    assert set(got) == {1, 2} and str(got[1].DISTANCE_KM) == "9.00" and got[1].FIRST_NAME == "Ana"
+    assert read_table(spark, silver).count() == 3
