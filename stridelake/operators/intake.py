@@ -5,6 +5,8 @@ submitted activities is split into accepted rows (stamped ``source='live'``)
 and rejected rows with the first failing reason, in the order the API
 checks them: field rules (V-3), then ``end_at > start_at`` (V-1), then the
 employee must exist (V-2). ``accepted`` and ``rejected`` partition the input.
+The existence check joins the batch only to its own unknown keys
+(``operators.keys``), never the whole employee table to the batch.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 from ..functions import constants as K
+from .keys import flag_unknown_key
 
 REQUIRED = ["employee_id", "start_at", "end_at", "sport_type"]
 
@@ -28,13 +30,12 @@ def validate_intake(batch: DataFrame, employees: DataFrame) -> DataFrame:
            .when(F.length("sport_type") < 1, F.lit(K.REJECT_EMPTY_SPORT))
            .when(F.col("distance_m") < 0, F.lit(K.REJECT_NEGATIVE_DISTANCE))
            .when(F.col("end_at") <= F.col("start_at"), F.lit(K.REJECT_END_BEFORE_START)))
-    known = employees.select("employee_id").distinct().withColumn("_known", F.lit(True))
-    return (batch.withColumn("_pre", pre)
-            .join(known, "employee_id", "left")
+    flagged = flag_unknown_key(batch.withColumn("_pre", pre), employees, "employee_id")
+    return (flagged
             .withColumn("reject_reason",
                         F.coalesce(F.col("_pre"),
-                                   F.when(F.col("_known").isNull(), F.lit(K.REJECT_UNKNOWN_EMPLOYEE))))
-            .drop("_pre", "_known"))
+                                   F.when(F.col("_unknown"), F.lit(K.REJECT_UNKNOWN_EMPLOYEE))))
+            .drop("_pre", "_unknown"))
 
 
 def accepted(validated: DataFrame) -> DataFrame:
@@ -61,5 +62,3 @@ def recent_activities(activities: DataFrame, limit: int = 10) -> DataFrame:
             .orderBy(F.col("activity_id").desc())
             .limit(k))
 
-
-__all__ = ["validate_intake", "accepted", "rejected", "recent_activities", "S"]

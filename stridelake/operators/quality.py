@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import is_blank_sql
+from .keys import rows_with_unknown_key
 
 
 def _ts(value) -> Column:
@@ -74,11 +75,8 @@ def unknown_employee_activities(activities: DataFrame, employees: DataFrame) ->
     null-safe key; AQE broadcasts it when its measured size allows, so in the
     common case the activity table is never shuffled.
     """
-    ids = activities.select("employee_id").distinct()
-    unknown_ids = ids.join(employees.select("employee_id"), "employee_id", "left_anti")
-    u = unknown_ids.select(F.col("employee_id").alias("_unknown_id"))
-    return (activities.select("activity_id", "employee_id")
-            .join(u, F.col("employee_id").eqNullSafe(F.col("_unknown_id")), "left_semi"))
+    return rows_with_unknown_key(activities.select("activity_id", "employee_id"), employees,
+                                 "employee_id")
 
 
 def dq_summary(results: DataFrame) -> DataFrame:

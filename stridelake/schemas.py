@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType,
     DateType,
     DecimalType,
     DoubleType,
@@ -145,4 +144,3 @@ SERVING_COLUMNS = [
 ]
 BI_COLUMNS = SERVING_COLUMNS[:-1]
 
-__all__ = [n for n in dir() if n.isupper()] + ["BooleanType"]

@@ -83,3 +83,19 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
     spark.sparkContext.setCheckpointDir(root)
     return root
+
+
+def cluster_conf(total_cores: int, advisory_mb: int = 128) -> dict[str, str]:
+    """Starting point for a large cluster (pass as ``extra`` or to
+    spark-submit): enough initial shuffle partitions for every core, AQE
+    coalescing toward ``advisory_mb`` per partition, 256 MB scan splits, and
+    skew splitting for partitions 5x the median and above 256 MB."""
+    parts = str(max(200, 3 * int(total_cores)))
+    return {
+        "spark.sql.shuffle.partitions": parts,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": parts,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}MB",
+        "spark.sql.files.maxPartitionBytes": "256MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    }

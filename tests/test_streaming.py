@@ -1,9 +1,7 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
-from stridelake import schemas as S
 from stridelake.sources.cdc import read_cdc_stream, write_landing
 from stridelake.sources.tables import read_table
 from stridelake.streaming.bronze import start_bronze
