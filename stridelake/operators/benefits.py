@@ -89,8 +89,14 @@ def window_start(as_of) -> Column:
 def activity_counts_12m(activities: DataFrame, as_of) -> DataFrame:
     """Per-employee count and distance sum over the rolling 12 months
     (inclusive lower bound, no upper bound: future rows count)."""
+    bound = window_start(as_of)
+    cond = F.col("start_at") >= bound
+    if "activity_date" in activities.columns:
+        # Implied by the bound (the date of a UTC timestamp is monotonic):
+        # lets a table partitioned by activity_date skip old partitions.
+        cond = cond & (F.col("activity_date") >= F.to_date(bound))
     return (activities
-            .where(F.col("start_at") >= window_start(as_of))
+            .where(cond)
             .groupBy("employee_id")
             .agg(F.count("activity_id").alias("_n"), F.sum("distance_m").alias("_m")))
 

@@ -77,6 +77,23 @@ def bi_projection(silver: DataFrame) -> DataFrame:
     return silver.select(*S.BI_COLUMNS)
 
 
+def as_activities(silver: DataFrame) -> DataFrame:
+    """Silver rows in the domain ``activities`` shape (typed timestamps,
+    decimal distance), keeping ``activity_date`` for partition pruning, so
+    benefits and data-quality jobs run directly on the lake."""
+    return silver.select(
+        F.col("activity_id").cast("long").alias("activity_id"),
+        F.col("employee_id").try_cast("int").alias("employee_id"),
+        F.col("start_ts").alias("start_at"),
+        F.col("end_ts").alias("end_at"),
+        "sport_type",
+        F.col("distance_m").cast("decimal(24,6)").cast(S.DISTANCE).alias("distance_m"),
+        "comment", "source",
+        parse_iso_ts("created_at").alias("created_at"),
+        "activity_date",
+    )
+
+
 def drop_sensitive(df: DataFrame) -> DataFrame:
     """Remove salary and address columns for non-HR consumers."""
     return df.drop("annual_gross_salary", "home_address")

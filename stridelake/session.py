@@ -32,6 +32,9 @@ BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Runtime Bloom filters: a selective small side of a shuffle join prunes
+    # the large side before its shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
 }
 

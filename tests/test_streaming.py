@@ -139,3 +139,20 @@ def test_silver_stream_upserts_serving_table_on_derby(spark, tmp):
            .option("dbtable", "serving").options(**props).load().collect()}
     assert set(got) == {1, 2} and str(got[1].DISTANCE_KM) == "9.00" and got[1].FIRST_NAME == "Ana"
     assert read_table(spark, silver).count() == 3
+
+
+def test_compacted_current_feeds_benefits_with_partition_pruning(spark, tmp):
+    from stridelake.operators import benefits as B
+    from stridelake.operators.silver import as_activities
+    landing, bronze, silver, cur = (os.path.join(tmp, x) for x in ("landing", "bronze", "silver", "cur"))
+    _land(spark, landing, [(_msg(1), TOPIC, 0, 1, None), (_msg(2, start_at="2022-01-01T10:00:00Z"), TOPIC, 0, 2, None)])
+    start_bronze(read_cdc_stream(spark, TOPIC, source="landing", landing_path=landing), bronze,
+                 os.path.join(tmp, "ck_b"), trigger={"availableNow": True}).awaitTermination()
+    emp, sp = _refs(spark)
+    make_batch_writer(silver, lambda s: emp, lambda s: sp)(read_table(spark, bronze), 0)
+    compact_current(spark, silver, cur)
+    acts = as_activities(read_table(spark, cur))
+    counts = B.activity_counts_12m(acts, "2024-06-01 00:00:00")
+    assert {r.employee_id: r._n for r in counts.collect()} == {1: 1}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(activity_date" in plan and "activity_date#" in plan
