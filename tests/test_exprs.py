@@ -62,3 +62,11 @@ def test_km_and_percent_rounding(spark):
     z = spark.range(1).select(X.python_float_text(F.lit(Decimal("15.50"))).alias("a"),
                               X.python_float_text(F.lit(Decimal("20.00"))).alias("b")).collect()[0]
     assert (z.a, z.b) == ("15.5", "20.0")
+
+
+def test_iso_timestamp_parsing(spark):
+    df = spark.createDataFrame([("2024-01-01T10:00:00Z",), ("2024-01-01T12:00:00+02:00",),
+                                ("2024-01-01T10:00:00.123456Z",), ("not a date",), (None,)], "t string")
+    got = [r.ts for r in df.select(X.parse_iso_ts("t").cast("timestamp_ntz").alias("ts")).collect()]
+    assert got == [dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10),
+                   dt.datetime(2024, 1, 1, 10, 0, 0, 123456), None, None]

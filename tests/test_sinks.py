@@ -82,3 +82,10 @@ def test_jdbc_upsert_on_embedded_derby(spark, tmp):
                  spark.read.format("jdbc").option("url", url).option("dbtable", "serving")
                  .options(**props).load().collect())
     assert got == [(1, "b"), (2, "keep"), (3, "c")]
+
+
+def test_empty_replay_keeps_partition(spark, tmp):
+    log = os.path.join(tmp, "log")
+    L.write_log_partition(spark.range(3), log, 7)
+    L.write_log_partition(spark.range(0), log, 7)      # replay producing nothing
+    assert read_table(spark, log).count() == 3
