@@ -12,9 +12,14 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Session settings every job relies on.
-#  * UTC session time zone: date/timestamp semantics must not depend on the
-#    machine the driver happens to run on.
+# Settings results depend on: date/timestamp semantics must not depend on
+# the machine the driver runs on. Always applied.
+REQUIRED_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+}
+
+# Tuning defaults, applied when the engine builds the session (a caller's
+# own session keeps its settings unless it asks for these):
 #  * ANSI stays on (Spark 4 default); text parsing uses the try_* family.
 #  * AQE with skew-join splitting and partition coalescing: a hot employee or
 #    activity key gets its shuffle partition split at run time instead of
@@ -23,8 +28,7 @@ from pyspark.sql import SparkSession
 #    grow with the data; the planner broadcasts a side only when its measured
 #    (AQE) or estimated size is below the threshold, and falls back to a
 #    shuffle join beyond it.
-BASE_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -55,20 +59,22 @@ def build_session(master: str | None = None, app_name: str = "stridelake",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in BASE_CONF.items():
+    for key, value in {**REQUIRED_CONF, **TUNING_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    apply_defaults(spark)
+    apply_defaults(spark, tuning=True)
     return spark
 
 
-def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable defaults to an existing session."""
-    for key, value in BASE_CONF.items():
+def apply_defaults(spark: SparkSession, tuning: bool = False) -> SparkSession:
+    """Apply the required settings (and, with ``tuning=True``, the tuning
+    defaults) to an existing session."""
+    conf = {**REQUIRED_CONF, **(TUNING_CONF if tuning else {})}
+    for key, value in conf.items():
         if key == "spark.ui.enabled":
             continue
         try:

@@ -40,3 +40,21 @@ def test_no_python_udf_anywhere(spark):
     for name, fn in E.queries().items():
         p = _plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_reference_joins_broadcast_only_behind_size_check(spark):
+    q = E.queries()["silver_enriched"]
+    small = _plan(q(spark, SF))
+    assert "BroadcastHashJoin" in small and "LeftOuter" in small
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")           # the reference side is "too big"
+        big = q(spark, SF)
+        big._jdf.queryExecution().executedPlan()     # planning only
+        p = big._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
