@@ -28,17 +28,18 @@ def decode_cdc(raw: DataFrame, ingested_at=None) -> DataFrame:
     payload, keep the broker metadata, stamp the ingestion time."""
     # One parse per message, with a schema holding both shapes: the
     # envelope's ``payload`` when present, else the top-level (bare) fields.
-    # The parse sits in its own projection and the fields are read from it;
-    # with the session's JSON-expression pruning off (see session.py) it
-    # stays a single parse instead of one pruned parse per consumer.
+    # The parse is the input of a one-row generator: Catalyst cannot push a
+    # later filter (e.g. ``source = 'live'``) below a generator, so the JSON
+    # is parsed exactly once per message instead of being copied into every
+    # pushed-down predicate and projection.
     stamp = F.current_timestamp() if ingested_at is None else (
         ingested_at if isinstance(ingested_at, Column) else F.lit(str(ingested_at)).cast("timestamp"))
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), S.CDC_ANY).alias("_j"),
+    parsed = raw.select(F.inline_outer(F.array(F.from_json(F.col("value").cast("string"), S.CDC_ANY))),
                         F.col("timestamp").alias("kafka_timestamp"),
                         F.col("partition").cast("int").alias("kafka_partition"),
                         F.col("offset").cast("long").alias("kafka_offset"))
-    env = F.col("_j.payload")
-    fields = [F.when(env.isNotNull(), env.getField(f.name)).otherwise(F.col(f"_j.{f.name}")).alias(f.name)
+    env = F.col("payload")
+    fields = [F.when(env.isNotNull(), env.getField(f.name)).otherwise(F.col(f.name)).alias(f.name)
               for f in S.CDC_PAYLOAD.fields]
     return parsed.select(*fields, "kafka_timestamp", "kafka_partition", "kafka_offset",
                          stamp.alias("bronze_ingested_at"))

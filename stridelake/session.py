@@ -39,11 +39,6 @@ TUNING_CONF = {
     # Runtime Bloom filters: a selective small side of a shuffle join prunes
     # the large side before its shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # Keep one JSON parse per change message: the pruning rewrite turns one
-    # from_json into a differently pruned parse per consumer, which common
-    # subexpression elimination cannot merge (measured 6-20% slower on the
-    # Silver and notification paths).
-    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
     "spark.ui.enabled": "false",
 }
 
