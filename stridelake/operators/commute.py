@@ -46,28 +46,32 @@ def validate_commutes(employees: DataFrame, distances: DataFrame, as_of,
     how = "inner" if scope == "requested" else "left"
     d = distances.select("employee_id", F.col("distance_m").alias("_dist"),
                          F.col("api_error").alias("_err"))
-    joined = employees.select("employee_id", "home_address", "commute_mode").join(d, "employee_id", how)
-
     travel, threshold = commute_rule("commute_mode", rules)
-    km = metres_to_km_2dp("_dist").cast(S.KM)
-    has_rule = travel.isNotNull()
+    # Stage 1: rule lookup and km once per row, as columns.
+    staged = (employees.select("employee_id", "home_address", "commute_mode")
+              .join(d, "employee_id", how)
+              .select("*", travel.alias("_travel"), threshold.alias("_threshold"),
+                      metres_to_km_2dp("_dist").cast(S.KM).alias("_km")))
+    # Stage 2: classification from those columns.
+    has_rule = F.col("_travel").isNotNull()
+    km, limit = F.col("_km"), F.col("_threshold").cast(S.KM)
     status = (F.when(~has_rule, F.lit(K.STATUS_NOT_APPLICABLE))
               .when(F.col("_dist").isNull(), F.lit(K.STATUS_ERROR))
-              .when(km <= threshold.cast(S.KM), F.lit(K.STATUS_VALID))
+              .when(km <= limit, F.lit(K.STATUS_VALID))
               .otherwise(F.lit(K.STATUS_ANOMALY)))
     measured = has_rule & F.col("_dist").isNotNull()
     reason = F.concat(F.lit(K.ANOMALY_PREFIX), python_float_text(km), F.lit(K.ANOMALY_MIDDLE),
-                      threshold.cast("string"), F.lit(K.ANOMALY_SUFFIX))
-    return joined.select(
+                      F.col("_threshold").cast("string"), F.lit(K.ANOMALY_SUFFIX))
+    return staged.select(
         "employee_id", "home_address",
         F.lit(company_address).alias("company_address"),
         "commute_mode",
-        travel.alias("google_travel_mode"),
+        F.col("_travel").alias("google_travel_mode"),
         F.when(measured, F.col("_dist").cast("long")).alias("distance_m"),
         F.when(measured, km).alias("distance_km"),
-        threshold.cast(S.KM).alias("threshold_km"),
+        limit.alias("threshold_km"),
         status.alias("validation_status"),
-        F.when(measured & (km > threshold.cast(S.KM)), reason).alias("anomaly_reason"),
+        F.when(measured & (km > limit), reason).alias("anomaly_reason"),
         F.when(has_rule & F.col("_dist").isNull(),
                F.coalesce(F.col("_err"), F.lit(K.NO_DISTANCE_ERROR))).alias("api_error"),
         _ts(as_of).alias("checked_at"),
