@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import constants as K
+from ..functions.literal import literal_table
 
 
 def _ts(value) -> Column:
@@ -39,8 +40,8 @@ def _date(value) -> Column:
 
 def default_parameters(spark: SparkSession, valid_from: str | _dt.date) -> DataFrame:
     """SRC-11: the default parameter set, valid from ``valid_from``, open."""
-    rows = [(name, value) for name, value in K.DEFAULT_PARAMETERS]
-    df = spark.createDataFrame(rows, "parameter_name string, parameter_value string")
+    df = literal_table(spark, K.DEFAULT_PARAMETERS,
+                       [("parameter_name", "string"), ("parameter_value", "string")])
     return df.select(
         "parameter_name",
         F.col("parameter_value").cast(S.PARAM).alias("parameter_value"),

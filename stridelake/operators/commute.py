@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import constants as K
 from ..functions.exprs import metres_to_km_2dp, py_strip, python_float_text
+from ..functions.literal import literal_table
 
 
 def _ts(value) -> Column:
@@ -88,7 +89,7 @@ def commute_anomalies(validation: DataFrame, employees: DataFrame) -> DataFrame:
 
 
 def status_domain(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in K.COMMUTE_STATUSES], "validation_status string")
+    return literal_table(spark, [(s,) for s in K.COMMUTE_STATUSES], [("validation_status", "string")])
 
 
 def commute_status_counts(validation: DataFrame) -> DataFrame:

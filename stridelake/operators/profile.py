@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import blank_to_null, percent_1dp
+from ..functions.literal import literal_table
 
 VALUE = "decimal(18,2)"
 
@@ -122,7 +123,8 @@ def profile_distribution(employees: DataFrame, sports: DataFrame) -> DataFrame:
 def profile_anomalies(summary: DataFrame) -> DataFrame:
     """AG-9: ``(severity, control, anomaly_count)`` for every nonzero control."""
     spark = summary.sparkSession
-    controls = spark.createDataFrame(CONTROLS, "indicator string, severity string, control string")
+    controls = literal_table(spark, CONTROLS, [("indicator", "string"), ("severity", "string"),
+                                               ("control", "string")])
     return (summary.join(F.broadcast(controls), "indicator")   # fixed 9-row table
             .where(F.col("value") > 0)
             .select("severity", "control", F.col("value").cast("long").alias("anomaly_count")))

@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..functions.literal import literal_table
+
 DEFAULT_FORMAT = "parquet"
 
 
@@ -38,7 +40,8 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType,
     schema when missing."""
     if table_exists(spark, path, fmt):
         return
-    writer = spark.createDataFrame([], schema).write.format(fmt).mode("append")
+    empty = literal_table(spark, [], [(f.name, f.dataType.simpleString()) for f in schema.fields])
+    writer = empty.write.format(fmt).mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
