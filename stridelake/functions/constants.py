@@ -79,12 +79,17 @@ DQ07_PREFIX = "Distance manquante pour un sport kilométrique : "
 DQ08_MESSAGE = 'Le type de sport "Runing" doit être normalisé en "Running".'
 
 # --- Notifications ----------------------------------------------------------
+# "🏃 Bravo {name} ! Tu viens de terminer une activité {sport}"
+# [" de {km:.1f} km"] [" en {minutes} min"] " ! 🔥🏅" ['\n💬 "{comment}"']
 NOTIFY_PREFIX = "🏃 Bravo "
 NOTIFY_MIDDLE = " ! Tu viens de terminer une activité "
-NOTIFY_DISTANCE = " de {km} km"
-NOTIFY_DURATION = " en {minutes} min"
+NOTIFY_DISTANCE_PREFIX = " de "
+NOTIFY_DISTANCE_SUFFIX = " km"
+NOTIFY_DURATION_PREFIX = " en "
+NOTIFY_DURATION_SUFFIX = " min"
 NOTIFY_END = " ! 🔥🏅"
-NOTIFY_COMMENT = '\n💬 "{comment}"'
+NOTIFY_COMMENT_PREFIX = '\n💬 "'
+NOTIFY_COMMENT_SUFFIX = '"'
 NOTIFY_UNKNOWN_EMPLOYEE = "Employé "
 NOTIFY_DEFAULT_SPORT = "sport"
 IGNORED_COMMENTS = ["Activité live simulée", "Historique simulé"]
@@ -100,6 +105,19 @@ REJECT_NEGATIVE_DISTANCE = "distance_m must be greater than or equal to 0"
 # --- Profiling --------------------------------------------------------------
 EMPTY_LABEL = "(vide)"
 
+# Anomaly report: indicator -> (severity, control label).
+PROFILE_CONTROLS = [
+    ("employees_duplicate_ids", "Critique", "Identifiants salariés en double"),
+    ("sports_without_rh", "Majeure", "Lignes sport sans salarié RH"),
+    ("rh_without_sports_row", "Mineure", "Salariés sans ligne sport"),
+    ("sport_missing", "Information", "Salariés sans sport déclaré"),
+    ("missing_addresses", "Majeure", "Adresses manquantes"),
+    ("missing_commute", "Majeure", "Modes de déplacement manquants"),
+    ("future_birth_dates", "Critique", "Dates de naissance dans le futur"),
+    ("future_hire_dates", "Majeure", "Dates d'embauche dans le futur"),
+    ("negative_salary", "Critique", "Salaires négatifs"),
+]
+
 # --- Text -------------------------------------------------------------------
 # Characters Python's str.strip() removes (str.isspace), as one regex class
 # written with \x{..} escapes so that Java regex and RE2 read it the same.

@@ -32,13 +32,15 @@ def message(name: Column) -> Column:
     sport = F.coalesce(F.nullif(F.col("sport_type"), F.lit("")), F.lit(K.NOTIFY_DEFAULT_SPORT))
     start, end = _ts("start_at"), _ts("end_at")
     distance = F.when(F.col("distance_m").isNotNull() & sport.isin(*K.DISTANCE_SPORTS),
-                      F.concat(F.lit(" de "), km_text_1dp("distance_m"), F.lit(" km")))
+                      F.concat(F.lit(K.NOTIFY_DISTANCE_PREFIX), km_text_1dp("distance_m"),
+                               F.lit(K.NOTIFY_DISTANCE_SUFFIX)))
     minutes = F.when(start.isNotNull() & end.isNotNull(),
-                     F.concat(F.lit(" en "), whole_minutes_half_even(start, end).cast("string"),
-                              F.lit(" min")))
+                     F.concat(F.lit(K.NOTIFY_DURATION_PREFIX),
+                              whole_minutes_half_even(start, end).cast("string"),
+                              F.lit(K.NOTIFY_DURATION_SUFFIX)))
     comment = py_strip(F.coalesce(F.col("comment"), F.lit("")))
     comment_part = F.when((comment != F.lit("")) & ~comment.isin(*K.IGNORED_COMMENTS),
-                          F.concat(F.lit('\n💬 "'), comment, F.lit('"')))
+                          F.concat(F.lit(K.NOTIFY_COMMENT_PREFIX), comment, F.lit(K.NOTIFY_COMMENT_SUFFIX)))
     return F.concat(
         F.lit(K.NOTIFY_PREFIX), name, F.lit(K.NOTIFY_MIDDLE), sport,
         F.coalesce(distance, F.lit("")), F.coalesce(minutes, F.lit("")),

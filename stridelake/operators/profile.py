@@ -20,18 +20,6 @@ from ..functions.literal import literal_table
 
 VALUE = "decimal(18,2)"
 
-# FIXED VALUES: indicator -> (severity, control label) of the anomaly report.
-CONTROLS = [
-    ("employees_duplicate_ids", "Critique", "Identifiants salariés en double"),
-    ("sports_without_rh", "Majeure", "Lignes sport sans salarié RH"),
-    ("rh_without_sports_row", "Mineure", "Salariés sans ligne sport"),
-    ("sport_missing", "Information", "Salariés sans sport déclaré"),
-    ("missing_addresses", "Majeure", "Adresses manquantes"),
-    ("missing_commute", "Majeure", "Modes de déplacement manquants"),
-    ("future_birth_dates", "Critique", "Dates de naissance dans le futur"),
-    ("future_hire_dates", "Majeure", "Dates d'embauche dans le futur"),
-    ("negative_salary", "Critique", "Salaires négatifs"),
-]
 
 
 def _d(value) -> Column:
@@ -123,7 +111,7 @@ def profile_distribution(employees: DataFrame, sports: DataFrame) -> DataFrame:
 def profile_anomalies(summary: DataFrame) -> DataFrame:
     """AG-9: ``(severity, control, anomaly_count)`` for every nonzero control."""
     spark = summary.sparkSession
-    controls = literal_table(spark, CONTROLS, [("indicator", "string"), ("severity", "string"),
+    controls = literal_table(spark, K.PROFILE_CONTROLS, [("indicator", "string"), ("severity", "string"),
                                                ("control", "string")])
     return (summary.join(F.broadcast(controls), "indicator")   # fixed 9-row table
             .where(F.col("value") > 0)

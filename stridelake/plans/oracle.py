@@ -343,12 +343,14 @@ SELECT l.activity_id, CAST(l.employee_id AS BIGINT) AS employee_id, l.__op, l.ka
           ELSE {_q(K.NOTIFY_UNKNOWN_EMPLOYEE)} || COALESCE(CAST(l.employee_id AS VARCHAR), 'None') END
   || {_q(K.NOTIFY_MIDDLE)} || {_SP}
   || COALESCE(CASE WHEN l.distance_m IS NOT NULL AND {_SP} IN {_in(K.DISTANCE_SPORTS)}
-                   THEN ' de ' || printf('%.1f', CAST(l.distance_m AS DOUBLE) / CAST(1000 AS DOUBLE)) || ' km' END, '')
+                   THEN {_q(K.NOTIFY_DISTANCE_PREFIX)} || printf('%.1f', CAST(l.distance_m AS DOUBLE) / CAST(1000 AS DOUBLE))
+                        || {_q(K.NOTIFY_DISTANCE_SUFFIX)} END, '')
   || COALESCE(CASE WHEN l.start_at IS NOT NULL AND l.end_at IS NOT NULL
-                   THEN ' en ' || CAST({_MIN} AS VARCHAR) || ' min' END, '')
+                   THEN {_q(K.NOTIFY_DURATION_PREFIX)} || CAST({_MIN} AS VARCHAR)
+                        || {_q(K.NOTIFY_DURATION_SUFFIX)} END, '')
   || {_q(K.NOTIFY_END)}
   || COALESCE(CASE WHEN {_CM} <> '' AND {_CM} NOT IN {_in(K.IGNORED_COMMENTS)}
-                   THEN chr(10) || '💬 "' || {_CM} || '"' END, '') AS message
+                   THEN {_q(K.NOTIFY_COMMENT_PREFIX)} || {_CM} || {_q(K.NOTIFY_COMMENT_SUFFIX)} END, '') AS message
 FROM cdc_log l LEFT JOIN employees e ON e.employee_id = l.employee_id
 WHERE {_OK} AND l.source = {_q(K.LIVE_SOURCE)} AND l.__op <> 'd'""", "cdc_log", "employees")
 
@@ -447,8 +449,7 @@ FROM counts c JOIN totals t USING (dimension)""", "profile_pairs")
 
 
 def _controls() -> str:
-    from ..operators.profile import CONTROLS
-    return ", ".join(f"({_q(i)}, {_q(s)}, {_q(c)})" for i, s, c in CONTROLS)
+    return ", ".join(f"({_q(i)}, {_q(s)}, {_q(c)})" for i, s, c in K.PROFILE_CONTROLS)
 
 
 oracle("profile_anomalies", f"""
