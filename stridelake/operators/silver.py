@@ -42,24 +42,44 @@ def sport_reference(sports: DataFrame) -> DataFrame:
                          F.col("sport").alias("declared_sport"))
 
 
+def reference_attributes(employees: DataFrame, sports: DataFrame) -> DataFrame:
+    """Employee and sport references combined into one employee-keyed table
+    (full outer join: a key present in only one of them keeps the other's
+    columns NULL, duplicates multiply exactly as two successive left joins
+    would)."""
+    emp = employee_reference(employees)
+    spo = sport_reference(sports)
+    joined = emp.join(spo, F.col("ref_employee_id") == F.col("sport_employee_id"), "full_outer")
+    return joined.select(
+        F.coalesce(F.col("ref_employee_id"), F.col("sport_employee_id")).alias("_ref_key"),
+        "first_name", "last_name", "business_unit", "contract_type", "annual_gross_salary",
+        "declared_sport")
+
+
 def enrich(bronze: DataFrame, employees: DataFrame, sports: DataFrame,
            ingested_at=None) -> DataFrame:
     """Silver log rows: every Bronze column, plus ``start_ts``, ``end_ts``,
     employee attributes, ``declared_sport`` (not normalised), ``activity_date``,
-    ``duration_minutes``, ``distance_km``, ``silver_ingested_at``."""
-    emp = employee_reference(employees)
-    spo = sport_reference(sports)
+    ``duration_minutes``, ``distance_km``, ``silver_ingested_at``.
+
+    The two references are combined first (both are employee-sized), so the
+    activity rows meet them in a single join: one shuffle of the large side
+    at most, and AQE can split a hot employee's partition (it will not split
+    the first of two chained joins that share a partitioning).
+    """
+    refs = reference_attributes(employees, sports)
     key = F.col("employee_id").cast("long")
+    start_ts, end_ts = parse_iso_ts("start_at"), parse_iso_ts("end_at")
     return (bronze
-            .withColumn("start_ts", parse_iso_ts("start_at"))
-            .withColumn("end_ts", parse_iso_ts("end_at"))
-            .join(emp, key == F.col("ref_employee_id"), "left")
-            .join(spo, key == F.col("sport_employee_id"), "left")
-            .withColumn("activity_date", F.to_date("start_ts"))
-            .withColumn("duration_minutes", duration_minutes_1dp("start_ts", "end_ts"))
-            .withColumn("distance_km", metres_to_km_2dp("distance_m"))
-            .withColumn("silver_ingested_at", _stamp(ingested_at))
-            .drop("ref_employee_id", "sport_employee_id"))
+            .join(refs, key == F.col("_ref_key"), "left")
+            .select(*bronze.columns,
+                    start_ts.alias("start_ts"), end_ts.alias("end_ts"),
+                    "first_name", "last_name", "business_unit", "contract_type",
+                    "annual_gross_salary", "declared_sport",
+                    F.to_date(start_ts).alias("activity_date"),
+                    duration_minutes_1dp(start_ts, end_ts).alias("duration_minutes"),
+                    metres_to_km_2dp("distance_m").alias("distance_km"),
+                    _stamp(ingested_at).alias("silver_ingested_at")))
 
 
 def serving_projection(silver: DataFrame) -> DataFrame:

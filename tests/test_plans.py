@@ -66,3 +66,35 @@ def test_change_messages_are_parsed_once(spark):
     for name in ("live_notifications", "silver_enriched", "cdc_decode"):
         df = E.queries()[name](spark, SF)
         assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1, name
+
+
+def test_hot_employee_partition_is_split_in_silver_join(spark):
+    """One employee owns a third of the activities and the references are
+    too big to broadcast: AQE must split the hot partition of the single
+    activity-side join."""
+    from stridelake.operators import silver as SV
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        bronze = spark.range(300000).selectExpr(
+            "id as activity_id", "case when id % 3 = 0 then 7 else id % 5000 end as employee_id",
+            "'2024-01-01T10:00:00Z' as start_at", "'2024-01-01T11:00:00Z' as end_at",
+            "cast(1000.0 as double) as distance_m")
+        emp = spark.range(5000).selectExpr(
+            "cast(id as int) as employee_id", "'f' as first_name", "'l' as last_name", "'bu' as business_unit",
+            "'CDI' as contract_type", "cast(30000 as decimal(12,2)) as annual_gross_salary")
+        sp = spark.range(5000).selectExpr("cast(id as int) as employee_id", "'Judo' as sport")
+        df = SV.enrich(bronze, emp, sp).select("activity_id", "first_name", "declared_sport")
+        rows = df.collect()
+        assert len(rows) == 300000 and all(r.first_name == "f" and r.declared_sport == "Judo" for r in rows)
+        assert "SortMergeJoin(skew=true)" in _plan(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
