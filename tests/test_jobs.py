@@ -23,3 +23,53 @@ def test_batch_jobs_end_to_end(spark, tmp):
     assert dq.count() == sum(r.anomaly_count for r in read_table(spark, p["dqs"]).collect())
     assert read_table(spark, p["cv"]).count() == A.commute_distances(spark, SF).join(
         A.employees(spark, SF), "employee_id", "left_semi").count()
+
+
+def _csv(path, header, rows):
+    with open(path, "w", encoding="utf-8-sig") as fh:
+        fh.write(header + "\n")
+        for r in rows:
+            fh.write(r + "\n")
+
+
+def test_master_profile_jobs(spark, tmp):
+    emp_csv, sp_csv = os.path.join(tmp, "employees.csv"), os.path.join(tmp, "sports.csv")
+    _csv(emp_csv, "employee_id,last_name,first_name,birth_date,business_unit,hire_date,annual_gross_salary,"
+                  "contract_type,paid_leave_days,home_address,commute_mode",
+         ["1,A,a,1990-01-01,R&D,2020-01-01,30000.0,CDI,25.0,\"1 rue X, Y\",Marche/running",
+          "2,B,b,1991-01-01,Finance,2021-01-01,\"40000,5\",CDD,,,Transports en commun"])
+    _csv(sp_csv, "employee_id,sport", ["1,Runing", "2,", "3,Judo"])
+    out = os.path.join(tmp, "profile")
+    jobs.run(["profile", "--employees-csv", emp_csv, "--sports-csv", sp_csv, "--as-of", "2025-01-24",
+              "--out", out], stop=False)
+    summary = {r.indicator: r.value for r in read_table(spark, f"{out}/summary").collect()}
+    assert summary["employees_rows"] == 2 and summary["sports_without_rh"] == 1
+    assert summary["salary_avg"] == __import__("decimal").Decimal("35000.25")
+    assert read_table(spark, f"{out}/anomalies").count() >= 2
+    emp_t, sp_t = os.path.join(tmp, "emp_t"), os.path.join(tmp, "sp_t")
+    from stridelake.sources.reference import load_employees, load_sports
+    load_employees(spark, emp_csv).where("employee_id = 1").write.parquet(emp_t)
+    load_sports(spark, sp_csv).where("employee_id = 1").write.parquet(sp_t)
+    jobs.run(["load-master", "--employees-csv", emp_csv, "--sports-csv", sp_csv, "--employees-table", emp_t,
+              "--sports-table", sp_t, "--out-suffix", "v2"], stop=False)
+    assert read_table(spark, emp_t + "_v2").count() == 2
+    assert read_table(spark, sp_t + "_v2").count() == 3
+
+
+def test_export_and_compact_jobs(spark, tmp):
+    from stridelake.operators.cdc import decode_cdc, only_valid
+    from stridelake.operators.silver import enrich
+    from stridelake.sinks.lake import write_log_partition
+    silver = os.path.join(tmp, "silver")
+    bronze = decode_cdc(A.cdc_messages(spark, SF))
+    write_log_partition(enrich(only_valid(bronze), A.employees(spark, SF), A.employee_sports(spark, SF)), silver, 0)
+    jobs.run(["export-bi", "--silver", silver, "--out", os.path.join(tmp, "bi")], stop=False)
+    bi = spark.read.option("header", True).csv(os.path.join(tmp, "bi"))
+    assert bi.count() == read_table(spark, silver).count() and len(bi.columns) == 14
+    jobs.run(["compact-current", "--silver", silver, "--out", os.path.join(tmp, "cur")], stop=False)
+    assert read_table(spark, os.path.join(tmp, "cur")).count() == _current_count(spark)
+
+
+def _current_count(spark):
+    import __spark_entry__ as E
+    return E.queries()["silver_current"](spark, SF).count()
