@@ -169,9 +169,10 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         L.export_bi_csv(read_table(spark, args.silver, fmt), args.out)
     elif args.job == "backfill":
         from . import schemas as S
-        J.upsert(read_table(spark, args.silver, fmt), args.jdbc_url, args.table, args.staging_table,
-                 ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
-                 columns=S.SERVING_COLUMNS, props=_jdbc_props(args))
+        n = J.upsert(read_table(spark, args.silver, fmt), args.jdbc_url, args.table, args.staging_table,
+                     ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
+                     columns=S.SERVING_COLUMNS, props=_jdbc_props(args))
+        print(f"{n} Silver rows upserted into {args.table}")
     elif args.job == "compact-current":
         compact_current(spark, args.silver, args.out, fmt)
     elif args.job == "quality":

@@ -11,7 +11,8 @@ row twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators.cdc import latest_by_key
 
@@ -60,12 +61,15 @@ def execute(spark, url: str, statement: str, props: dict[str, str] | None = None
 
 def upsert(df: DataFrame, url: str, target: str, staging: str, key: list[str],
            order: list[str] | None = None, columns: list[str] | None = None,
-           props: dict[str, str] | None = None, probe_query: str = "SELECT 1 AS ok") -> None:
+           props: dict[str, str] | None = None, probe_query: str = "SELECT 1 AS ok") -> int:
     """SNK-4: keyed upsert of a batch into a JDBC table. ``order``: columns
     that rank versions of a key in the batch (newest wins); ``columns``: the
-    target's columns (default: all of ``df``)."""
+    target's columns (default: all of ``df``). Returns the number of rows
+    staged (SNK-14: counted during the staging write, no extra job)."""
     batch = latest_by_key(df, key, order) if order else df
     batch = batch.select(*(columns or df.columns))
-    write_staging(batch, url, staging, props)
+    obs = Observation("staged_rows")
+    write_staging(batch.observe(obs, F.count(F.lit(1)).alias("rows")), url, staging, props)
     execute(df.sparkSession, url, merge_statement(target, staging, key, batch.columns), props,
             probe_query)
+    return int(obs.get["rows"])

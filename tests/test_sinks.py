@@ -72,9 +72,10 @@ def test_jdbc_upsert_on_embedded_derby(spark, tmp):
     batch = spark.createDataFrame([(1, "a", 10, 0, 1), (1, "b", 20, 0, 2), (3, "c", 5, 0, 3)],
                                   "activity_id long, v string, __source_ts_ms long, kafka_partition int, "
                                   "kafka_offset long")
-    J.upsert(batch, url, "serving", "staging", ["activity_id"],
-             order=["__source_ts_ms", "kafka_partition", "kafka_offset"], columns=["activity_id", "v"],
-             props=props, probe_query=PROBE)
+    n = J.upsert(batch, url, "serving", "staging", ["activity_id"],
+                 order=["__source_ts_ms", "kafka_partition", "kafka_offset"], columns=["activity_id", "v"],
+                 props=props, probe_query=PROBE)
+    assert n == 2
     J.upsert(batch, url, "serving", "staging", ["activity_id"],
              order=["__source_ts_ms", "kafka_partition", "kafka_offset"], columns=["activity_id", "v"],
              props=props, probe_query=PROBE)
