@@ -182,7 +182,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
             L.overwrite_table(Q.dq_summary(read_table(spark, args.out, fmt)), args.summary_out, fmt)
     elif args.job == "commute":
         cv = C.validate_commutes(read_table(spark, args.employees, fmt), read_table(spark, args.distances, fmt),
-                                 as_of=_now(spark), company_address=args.company_address,
+                                 company_address=args.company_address,
                                  scope=args.scope)
         L.overwrite_table(cv, args.out, fmt)
     elif args.job == "benefits":
@@ -207,10 +207,5 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         spark.stop()
 
 
-def _now(spark: SparkSession):
-    from pyspark.sql import functions as F
-    return F.current_timestamp()
-
-
 if __name__ == "__main__":
     run()

@@ -27,19 +27,25 @@ from ..functions.literal import literal_table
 
 
 def _ts(value) -> Column:
+    """SC-16: an explicit ``as_of`` (text, datetime or Column), else now."""
+    if value is None:
+        return F.current_timestamp()
     if isinstance(value, Column):
         return value
     return F.lit(str(value)).cast("timestamp")
 
 
 def _date(value) -> Column:
+    if value is None:
+        return F.current_date()
     if isinstance(value, Column):
         return value.cast("date")
     return F.lit(str(value)[:10]).cast("date")
 
 
-def default_parameters(spark: SparkSession, valid_from: str | _dt.date) -> DataFrame:
-    """SRC-11: the default parameter set, valid from ``valid_from``, open."""
+def default_parameters(spark: SparkSession, valid_from: str | _dt.date | None = None) -> DataFrame:
+    """SRC-11: the default parameter set, valid from ``valid_from`` (default
+    today), open."""
     df = literal_table(spark, K.DEFAULT_PARAMETERS,
                        [("parameter_name", "string"), ("parameter_value", "string")])
     return df.select(
@@ -87,7 +93,7 @@ def window_start(as_of) -> Column:
     return _ts(as_of) - F.expr("INTERVAL 12 MONTHS")
 
 
-def activity_counts_12m(activities: DataFrame, as_of) -> DataFrame:
+def activity_counts_12m(activities: DataFrame, as_of=None) -> DataFrame:
     """Per-employee count and distance sum over the rolling 12 months
     (inclusive lower bound, no upper bound: future rows count)."""
     bound = window_start(as_of)
@@ -102,7 +108,7 @@ def activity_counts_12m(activities: DataFrame, as_of) -> DataFrame:
             .agg(F.count("activity_id").alias("_n"), F.sum("distance_m").alias("_m")))
 
 
-def employee_activity_12m(employees: DataFrame, activities: DataFrame, as_of) -> DataFrame:
+def employee_activity_12m(employees: DataFrame, activities: DataFrame, as_of=None) -> DataFrame:
     """AG-1 / JN-3: every employee with activity count and distance (0 when
     none) over the 12 months before ``as_of``."""
     counts = activity_counts_12m(activities, as_of)
@@ -116,7 +122,7 @@ def employee_activity_12m(employees: DataFrame, activities: DataFrame, as_of) ->
 
 
 def benefit_eligibility(employees: DataFrame, activities: DataFrame, commute: DataFrame,
-                        params: DataFrame, as_of, params_as_of=None) -> DataFrame:
+                        params: DataFrame, as_of=None, params_as_of=None) -> DataFrame:
     """AG-4 (flagship): wellness days and commute bonus per employee.
 
     * ``wellness_eligible = count >= min_activities`` (NULL if the parameter

@@ -19,6 +19,8 @@ from ..functions.literal import literal_table
 
 
 def _ts(value) -> Column:
+    if value is None:
+        return F.current_timestamp()
     return value if isinstance(value, Column) else F.lit(str(value)).cast("timestamp")
 
 
@@ -35,7 +37,7 @@ def commute_rule(mode: Column | str, rules=None) -> tuple[Column, Column]:
     return travel, threshold
 
 
-def validate_commutes(employees: DataFrame, distances: DataFrame, as_of,
+def validate_commutes(employees: DataFrame, distances: DataFrame, as_of=None,
                       company_address: str = "Head office", rules=None,
                       scope: str = "requested") -> DataFrame:
     """CM-2..CM-4: one validation row per employee.

@@ -91,3 +91,12 @@ def test_window_bounds(spark):
     acts2 = spark.createDataFrame([(1, 1, dt.datetime(2023, 2, 28), None)], ACT)
     r2 = B.employee_activity_12m(emp, acts2, "2024-02-29 00:00:00").collect()[0]
     assert r2.activity_count_12m == 1
+
+
+def test_as_of_defaults_to_now(spark):
+    emp = spark.createDataFrame([(1, "A", "a", Decimal("1.00"), WALK)], EMP)
+    acts = spark.createDataFrame([(1, 1, dt.datetime(2000, 1, 1), None), (2, 1, dt.datetime(2999, 1, 1), None)], ACT)
+    r = B.employee_activity_12m(emp, acts).collect()[0]
+    assert r.activity_count_12m == 1          # only the future row is within 12 months of now
+    p = B.default_parameters(spark).collect()
+    assert {x.valid_from for x in p} == {dt.datetime.now(dt.timezone.utc).date()}   # session time zone is UTC
