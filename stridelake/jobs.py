@@ -78,7 +78,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         p.add_argument("--jdbc-driver")
 
     p = sub.add_parser("bronze"); stream_args(p)
-    p.add_argument("--topic", default="sport_data.raw.activities"); p.add_argument("--bronze", required=True)
+    p.add_argument("--topic", default="raw.activities"); p.add_argument("--bronze", required=True)
 
     p = sub.add_parser("silver")
     p.add_argument("--bronze", required=True); p.add_argument("--silver", required=True)
@@ -87,13 +87,13 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     jdbc_args(p); p.add_argument("--serving-table"); p.add_argument("--staging-table")
 
     p = sub.add_parser("notify"); stream_args(p)
-    p.add_argument("--topic", default="sport_data.raw.activities")
+    p.add_argument("--topic", default="raw.activities")
     p.add_argument("--out", required=True); p.add_argument("--malformed", required=True)
     p.add_argument("--employees", required=True); p.add_argument("--employees-format", default="parquet")
 
     p = sub.add_parser("snapshots"); stream_args(p)
-    p.add_argument("--employees-topic", default="sport_data.raw.employees")
-    p.add_argument("--sports-topic", default="sport_data.raw.employee_sports")
+    p.add_argument("--employees-topic", default="raw.employees")
+    p.add_argument("--sports-topic", default="raw.employee_sports")
     p.add_argument("--employees-table", required=True); p.add_argument("--sports-table", required=True)
     p.add_argument("--archive-root", required=True); p.add_argument("--current-root", required=True)
     p.add_argument("--debounce-seconds", type=float, default=2.0)

@@ -185,7 +185,7 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.to_json(F.struct(payload.alias("payload")))))
     return log.select(
         value.alias("value"),
-        F.lit("sport_data.raw.activities").alias("topic"),
+        F.lit("raw.activities").alias("topic"),
         F.col("kafka_partition").alias("partition"),
         off.alias("offset"),
         F.timestamp_millis(F.col("__source_ts_ms")).alias("timestamp"),

@@ -12,7 +12,7 @@ from stridelake.streaming.bronze import start_bronze
 from stridelake.streaming.notifications import start_notifications
 from stridelake.streaming.silver import start_silver
 
-TOPIC = "sport_data.raw.activities"
+TOPIC = "raw.activities"
 RAW = "value string, topic string, partition int, offset long, timestamp timestamp"
 
 

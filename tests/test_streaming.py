@@ -9,7 +9,7 @@ from stridelake.streaming.notifications import start_notifications
 from stridelake.streaming.reference_snapshots import start_reference_snapshots
 from stridelake.streaming.silver import compact_current, make_batch_writer, start_silver
 
-TOPIC = "sport_data.raw.activities"
+TOPIC = "raw.activities"
 RAW = "value string, topic string, partition int, offset long, timestamp timestamp"
 
 
@@ -94,10 +94,10 @@ def test_reference_snapshots(spark, tmp):
     landing = os.path.join(tmp, "landing")
     src = os.path.join(tmp, "employees_src")
     spark.createDataFrame([(2, "b"), (1, "a")], "employee_id int, name string").write.parquet(src)
-    _land(spark, landing, [("{}", "sport_data.raw.employees", 0, 1, None),
-                           ("{}", "sport_data.raw.employees", 0, 2, None),
+    _land(spark, landing, [("{}", "raw.employees", 0, 1, None),
+                           ("{}", "raw.employees", 0, 2, None),
                            ("{}", "other", 0, 1, None)])
-    tables = {"sport_data.raw.employees": {"archive_prefix": os.path.join(tmp, "archive", "employees"),
+    tables = {"raw.employees": {"archive_prefix": os.path.join(tmp, "archive", "employees"),
                                            "current_path": os.path.join(tmp, "current", "employees"),
                                            "order_by": "employee_id", "path": src}}
     q = start_reference_snapshots(
