@@ -30,7 +30,7 @@ from .streaming.bronze import start_bronze
 from .streaming.control import await_all
 from .streaming.notifications import start_notifications
 from .streaming.reference_snapshots import start_reference_snapshots
-from .streaming.silver import compact_current, start_silver
+from .streaming.silver import compact_current, publish_current, start_silver
 
 
 def _jdbc_props(args) -> dict[str, str]:
@@ -103,6 +103,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     p = sub.add_parser("backfill"); p.add_argument("--silver", required=True)
     jdbc_args(p, True); p.add_argument("--table", required=True); p.add_argument("--staging-table", required=True)
     p = sub.add_parser("compact-current"); p.add_argument("--silver", required=True); p.add_argument("--out", required=True)
+    p.add_argument("--version", type=int, help="publish as <out>/v<version> and register it in <out>/_versions")
 
     p = sub.add_parser("quality")
     p.add_argument("--activities", required=True); p.add_argument("--employees", required=True)
@@ -174,7 +175,10 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
                      columns=S.SERVING_COLUMNS, props=_jdbc_props(args))
         print(f"{n} Silver rows upserted into {args.table}")
     elif args.job == "compact-current":
-        compact_current(spark, args.silver, args.out, fmt)
+        if args.version is not None:
+            publish_current(spark, args.silver, args.out, args.version, fmt)
+        else:
+            compact_current(spark, args.silver, args.out, fmt)
     elif args.job == "quality":
         res = Q.dq_results(read_table(spark, args.activities, fmt), read_table(spark, args.employees, fmt))
         L.overwrite_table(res, args.out, fmt)

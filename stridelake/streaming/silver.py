@@ -27,6 +27,7 @@ from ..operators.cdc import current_state, only_valid
 from ..operators.silver import enrich
 from ..sinks import jdbc as J
 from ..sinks.lake import write_log_partition
+from ..functions.literal import literal_table
 from ..sources.tables import ensure_table, read_table, read_table_stream
 from .control import checkpoint_for
 
@@ -75,3 +76,26 @@ def compact_current(spark: SparkSession, silver_path: str, out_path: str, fmt: s
     # large share of the rows is still split across many writer tasks.
     (current_state(log).repartitionByRange("activity_date", "activity_id")
      .write.format(fmt).mode("errorifexists").partitionBy("activity_date").save(out_path))
+
+
+def publish_current(spark: SparkSession, silver_path: str, current_root: str, version: int,
+                    fmt: str = "parquet") -> str:
+    """Compact into ``<current_root>/v<version>`` and then register that
+    version in ``<current_root>/_versions`` (an append: one committed file,
+    so a reader sees either the previous or the new version, never a partial
+    one). Older versions stay readable until removed by retention."""
+    out = f"{current_root.rstrip('/')}/v{int(version)}"
+    compact_current(spark, silver_path, out, fmt)
+    (literal_table(spark, [(int(version), out)], [("version", "bigint"), ("path", "string")])
+     .write.mode("append").parquet(f"{current_root.rstrip('/')}/_versions"))
+    return out
+
+
+def read_current(spark: SparkSession, current_root: str, fmt: str = "parquet") -> DataFrame:
+    """The newest published current-state version (top-1 of the version
+    log: one row reaches the driver)."""
+    latest = (spark.read.parquet(f"{current_root.rstrip('/')}/_versions")
+              .orderBy(F.col("version").desc()).limit(1).collect())
+    if not latest:
+        raise FileNotFoundError(f"no published version under {current_root}")
+    return read_table(spark, latest[0]["path"], fmt)

@@ -156,3 +156,23 @@ def test_compacted_current_feeds_benefits_with_partition_pruning(spark, tmp):
     assert {r.employee_id: r._n for r in counts.collect()} == {1: 1}
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(activity_date" in plan and "activity_date#" in plan
+
+
+def test_publish_and_read_current_versions(spark, tmp):
+    from stridelake.streaming.silver import publish_current, read_current
+    landing, bronze, silver, root = (os.path.join(tmp, x) for x in ("landing", "bronze", "silver", "current"))
+    _land(spark, landing, [(_msg(1), TOPIC, 0, 1, None), (_msg(2), TOPIC, 0, 2, None)])
+    start_bronze(read_cdc_stream(spark, TOPIC, source="landing", landing_path=landing), bronze,
+                 os.path.join(tmp, "ck_b"), trigger={"availableNow": True}).awaitTermination()
+    emp, sp = _refs(spark)
+    writer = make_batch_writer(silver, lambda s: emp, lambda s: sp)
+    writer(read_table(spark, bronze), 0)
+    publish_current(spark, silver, root, 1)
+    assert read_current(spark, root).count() == 2
+    _land(spark, landing, [(_msg(2, op="d", ts=5000), TOPIC, 0, 3, None)])
+    start_bronze(read_cdc_stream(spark, TOPIC, source="landing", landing_path=landing), bronze,
+                 os.path.join(tmp, "ck_b"), trigger={"availableNow": True}).awaitTermination()
+    writer(read_table(spark, bronze).where("kafka_offset = 3"), 1)
+    publish_current(spark, silver, root, 2)
+    assert [r.activity_id for r in read_current(spark, root).collect()] == [1]
+    assert read_table(spark, os.path.join(root, "v1")).count() == 2      # previous version intact
