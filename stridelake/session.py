@@ -90,7 +90,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = os.environ.get("STRIDELAKE_CHECKPOINT_DIR")
         if not root:
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-    spark.sparkContext.setCheckpointDir(root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)   # classic sessions
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        pass
     return root
 
 

@@ -37,7 +37,7 @@ def _memo(fn):
     reuse an identical exchange within a query."""
     @functools.wraps(fn)
     def wrap(spark: SparkSession, sf_dir: str, *args):
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), fn.__name__, args)
+        key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"), fn.__name__, args)
         if key not in _MEMO:
             _MEMO[key] = fn(spark, sf_dir, *args)
         return _MEMO[key]
