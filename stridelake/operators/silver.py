@@ -42,13 +42,28 @@ def sport_reference(sports: DataFrame) -> DataFrame:
                          F.col("sport").alias("declared_sport"))
 
 
-def reference_attributes(employees: DataFrame, sports: DataFrame) -> DataFrame:
+def _one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Deterministic dedupe: the greatest attribute row per key (a partial
+    aggregate on the key the join then uses, so no extra shuffle)."""
+    attrs = [c for c in df.columns if c != key]
+    return (df.groupBy(key).agg(F.max(F.struct(*attrs)).alias("_r"))
+            .select(key, *[F.col(f"_r.{c}").alias(c) for c in attrs]))
+
+
+def reference_attributes(employees: DataFrame, sports: DataFrame, dedupe: bool = True) -> DataFrame:
     """Employee and sport references combined into one employee-keyed table
     (full outer join: a key present in only one of them keeps the other's
-    columns NULL, duplicates multiply exactly as two successive left joins
-    would)."""
+    columns NULL).
+
+    Reference files carry no uniqueness guarantee; with ``dedupe`` (default)
+    each key keeps one deterministic row so an activity is never duplicated
+    by a repeated reference line (duplicates are reported by the profile).
+    ``dedupe=False`` multiplies rows exactly as two successive left joins.
+    """
     emp = employee_reference(employees)
     spo = sport_reference(sports)
+    if dedupe:
+        emp, spo = _one_per_key(emp, "ref_employee_id"), _one_per_key(spo, "sport_employee_id")
     joined = emp.join(spo, F.col("ref_employee_id") == F.col("sport_employee_id"), "full_outer")
     return joined.select(
         F.coalesce(F.col("ref_employee_id"), F.col("sport_employee_id")).alias("_ref_key"),
@@ -57,7 +72,7 @@ def reference_attributes(employees: DataFrame, sports: DataFrame) -> DataFrame:
 
 
 def enrich(bronze: DataFrame, employees: DataFrame, sports: DataFrame,
-           ingested_at=None) -> DataFrame:
+           ingested_at=None, dedupe_references: bool = True) -> DataFrame:
     """Silver log rows: every Bronze column, plus ``start_ts``, ``end_ts``,
     employee attributes, ``declared_sport`` (not normalised), ``activity_date``,
     ``duration_minutes``, ``distance_km``, ``silver_ingested_at``.
@@ -67,7 +82,7 @@ def enrich(bronze: DataFrame, employees: DataFrame, sports: DataFrame,
     at most, and AQE can split a hot employee's partition (it will not split
     the first of two chained joins that share a partitioning).
     """
-    refs = reference_attributes(employees, sports)
+    refs = reference_attributes(employees, sports, dedupe_references)
     key = F.col("employee_id").cast("long")
     start_ts, end_ts = parse_iso_ts("start_at"), parse_iso_ts("end_at")
     return (bronze

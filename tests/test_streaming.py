@@ -176,3 +176,17 @@ def test_publish_and_read_current_versions(spark, tmp):
     publish_current(spark, silver, root, 2)
     assert [r.activity_id for r in read_current(spark, root).collect()] == [1]
     assert read_table(spark, os.path.join(root, "v1")).count() == 2      # previous version intact
+
+
+def test_duplicate_reference_rows_do_not_duplicate_activities(spark):
+    from stridelake.operators.silver import enrich
+    bronze = spark.createDataFrame([(1, 1, "2024-01-01T10:00:00Z", "2024-01-01T11:00:00Z", 1000.0)],
+                                   "activity_id long, employee_id long, start_at string, end_at string, "
+                                   "distance_m double")
+    emp = spark.createDataFrame([(1, "Ana", "A", "R&D", "CDI", None), (1, "Ana", "B", "R&D", "CDI", None)],
+                                "employee_id int, first_name string, last_name string, business_unit string, "
+                                "contract_type string, annual_gross_salary decimal(12,2)")
+    sp = spark.createDataFrame([(1, "Judo"), (1, "Judo")], "employee_id int, sport string")
+    rows = enrich(bronze, emp, sp).collect()
+    assert len(rows) == 1 and rows[0].last_name == "B"
+    assert enrich(bronze, emp, sp, dedupe_references=False).count() == 4
