@@ -35,3 +35,12 @@ def flag_unknown_key(facts: DataFrame, reference: DataFrame, key: str,
     return (facts.join(u, F.col(key).eqNullSafe(F.col("_unknown_key")), "left")
             .drop("_unknown_key")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Deterministic dedupe of a reference table: the greatest attribute row
+    per key. A partial aggregate on the key the following join uses, so it
+    adds no shuffle of its own."""
+    attrs = [c for c in df.columns if c != key]
+    return (df.groupBy(key).agg(F.max(F.struct(*attrs)).alias("_r"))
+            .select(key, *[F.col(f"_r.{c}").alias(c) for c in attrs]))

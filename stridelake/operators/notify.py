@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import km_text_1dp, parse_iso_ts, py_strip, whole_minutes_half_even
+from .keys import one_per_key
 
 
 def live_only(events: DataFrame) -> DataFrame:
@@ -51,8 +52,10 @@ def message(name: Column) -> Column:
 def notifications(events: DataFrame, employees: DataFrame) -> DataFrame:
     """SNK-12: ``(activity_id, employee_id, __op, kafka_offset, message)`` for
     every live event of ``events`` (decoded change records)."""
-    names = employees.select(F.col("employee_id").cast("long").alias("_eid"),
-                             F.col("first_name").alias("_fn"), F.col("last_name").alias("_ln"))
+    # One name per employee (the lookup returns a single row per id).
+    names = one_per_key(employees.select(F.col("employee_id").cast("long").alias("_eid"),
+                                         F.col("first_name").alias("_fn"),
+                                         F.col("last_name").alias("_ln")), "_eid")
     live = live_only(events)
     joined = live.join(names, F.col("employee_id").cast("long") == F.col("_eid"), "left")
     # Python renders a missing name part as "None".

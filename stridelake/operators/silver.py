@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.exprs import duration_minutes_1dp, metres_to_km_2dp, parse_iso_ts
+from .keys import one_per_key
 
 
 def _stamp(value) -> Column:
@@ -42,14 +43,6 @@ def sport_reference(sports: DataFrame) -> DataFrame:
                          F.col("sport").alias("declared_sport"))
 
 
-def _one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """Deterministic dedupe: the greatest attribute row per key (a partial
-    aggregate on the key the join then uses, so no extra shuffle)."""
-    attrs = [c for c in df.columns if c != key]
-    return (df.groupBy(key).agg(F.max(F.struct(*attrs)).alias("_r"))
-            .select(key, *[F.col(f"_r.{c}").alias(c) for c in attrs]))
-
-
 def reference_attributes(employees: DataFrame, sports: DataFrame, dedupe: bool = True) -> DataFrame:
     """Employee and sport references combined into one employee-keyed table
     (full outer join: a key present in only one of them keeps the other's
@@ -63,7 +56,7 @@ def reference_attributes(employees: DataFrame, sports: DataFrame, dedupe: bool =
     emp = employee_reference(employees)
     spo = sport_reference(sports)
     if dedupe:
-        emp, spo = _one_per_key(emp, "ref_employee_id"), _one_per_key(spo, "sport_employee_id")
+        emp, spo = one_per_key(emp, "ref_employee_id"), one_per_key(spo, "sport_employee_id")
     joined = emp.join(spo, F.col("ref_employee_id") == F.col("sport_employee_id"), "full_outer")
     return joined.select(
         F.coalesce(F.col("ref_employee_id"), F.col("sport_employee_id")).alias("_ref_key"),
