@@ -6,7 +6,9 @@ text that does not parse becomes NULL instead of failing the load, and is
 counted by the profile. Upserts are set operations: the target rows whose key
 is not in the change set, plus the change set (optionally keeping some
 columns of the existing row, e.g. an ingestion stamp that is not refreshed on
-conflict).
+conflict). Both touches of the target are semi/anti joins against the change
+keys, whose small side Spark can broadcast: the target is scanned, not
+shuffled.
 """
 
 from __future__ import annotations
@@ -71,7 +73,10 @@ def upsert_table(target: DataFrame, changes: DataFrame, key: str | list[str],
     if order:
         changes = latest_by_key(changes, keys, order).select(*changes.columns)
     if preserve:
-        kept = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in preserve])
+        # Reduce the (large) target to the changed keys first: a semi join
+        # whose small side can be broadcast, so the target is not shuffled.
+        kept = (target.join(changes.select(*keys), keys, "left_semi")
+                .select(*keys, *[F.col(c).alias(f"_old_{c}") for c in preserve]))
         changes = (changes.join(kept, keys, "left")
                    .select(*[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in preserve
                              else F.col(c) for c in changes.columns]))
