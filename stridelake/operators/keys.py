@@ -44,3 +44,12 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     attrs = [c for c in df.columns if c != key]
     return (df.groupBy(key).agg(F.max(F.struct(*attrs)).alias("_r"))
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in attrs]))
+
+
+def rows_for_keys(reference: DataFrame, ref_key: str, facts: DataFrame, fact_key: str) -> DataFrame:
+    """The reference rows whose key occurs in ``facts``: a semi join against
+    the distinct fact keys. When the facts are a micro-batch, that key set is
+    small and broadcast, so a large reference table is scanned and filtered
+    instead of shuffled before the lookup join."""
+    keys = facts.select(F.col(fact_key).alias("_fk")).distinct()
+    return reference.join(keys, F.col(ref_key) == F.col("_fk"), "left_semi")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import km_text_1dp, parse_iso_ts, py_strip, whole_minutes_half_even
-from .keys import one_per_key
+from .keys import one_per_key, rows_for_keys
 
 
 def live_only(events: DataFrame) -> DataFrame:
@@ -49,14 +49,20 @@ def message(name: Column) -> Column:
     )
 
 
-def notifications(events: DataFrame, employees: DataFrame) -> DataFrame:
+def notifications(events: DataFrame, employees: DataFrame, reduce_references: bool = False) -> DataFrame:
     """SNK-12: ``(activity_id, employee_id, __op, kafka_offset, message)`` for
-    every live event of ``events`` (decoded change records)."""
+    every live event of ``events`` (decoded change records).
+
+    ``reduce_references`` (streaming, with the decoded batch persisted): the
+    employee table is first cut to the ids present in the batch, so it is
+    filtered rather than shuffled on every trigger."""
     # One name per employee (the lookup returns a single row per id).
     names = one_per_key(employees.select(F.col("employee_id").cast("long").alias("_eid"),
                                          F.col("first_name").alias("_fn"),
                                          F.col("last_name").alias("_ln")), "_eid")
     live = live_only(events)
+    if reduce_references:
+        names = rows_for_keys(names, "_eid", live.select(F.col("employee_id").cast("long").alias("_k")), "_k")
     joined = live.join(names, F.col("employee_id").cast("long") == F.col("_eid"), "left")
     # Python renders a missing name part as "None".
     name = F.when(F.col("_eid").isNotNull(),

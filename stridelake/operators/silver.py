@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.exprs import duration_minutes_1dp, metres_to_km_2dp, parse_iso_ts
-from .keys import one_per_key
+from .keys import one_per_key, rows_for_keys
 
 
 def _stamp(value) -> Column:
@@ -65,7 +65,8 @@ def reference_attributes(employees: DataFrame, sports: DataFrame, dedupe: bool =
 
 
 def enrich(bronze: DataFrame, employees: DataFrame, sports: DataFrame,
-           ingested_at=None, dedupe_references: bool = True) -> DataFrame:
+           ingested_at=None, dedupe_references: bool = True,
+           reduce_references: bool = False) -> DataFrame:
     """Silver log rows: every Bronze column, plus ``start_ts``, ``end_ts``,
     employee attributes, ``declared_sport`` (not normalised), ``activity_date``,
     ``duration_minutes``, ``distance_km``, ``silver_ingested_at``.
@@ -74,9 +75,18 @@ def enrich(bronze: DataFrame, employees: DataFrame, sports: DataFrame,
     activity rows meet them in a single join: one shuffle of the large side
     at most, and AQE can split a hot employee's partition (it will not split
     the first of two chained joins that share a partitioning).
+
+    ``reduce_references`` (streaming micro-batches): the references are first
+    cut to the employees present in the batch, so a large reference table is
+    filtered, not shuffled, on every trigger.
     """
-    refs = reference_attributes(employees, sports, dedupe_references)
     key = F.col("employee_id").cast("long")
+    if reduce_references:
+        # Micro-batch mode: only the employees of this batch are looked up.
+        batch_keys = bronze.select(key.alias("_k"))
+        employees = rows_for_keys(employees, "employee_id", batch_keys, "_k")
+        sports = rows_for_keys(sports, "employee_id", batch_keys, "_k")
+    refs = reference_attributes(employees, sports, dedupe_references)
     start_ts, end_ts = parse_iso_ts("start_at"), parse_iso_ts("end_at")
     return (bronze
             .join(refs, key == F.col("_ref_key"), "left")

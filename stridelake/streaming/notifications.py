@@ -23,7 +23,8 @@ def start_notifications(records: DataFrame, out_path: str, malformed_path: str,
         spark = batch.sparkSession
         decoded = decode_cdc(batch).persist()
         try:
-            write_log_partition(notifications(decoded, load_employees(spark)), out_path, batch_id, fmt)
+            write_log_partition(notifications(decoded, load_employees(spark), reduce_references=True),
+                                out_path, batch_id, fmt)
             write_log_partition(malformed(decoded), malformed_path, batch_id, fmt)
         finally:
             decoded.unpersist()

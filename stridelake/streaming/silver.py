@@ -38,8 +38,15 @@ def make_batch_writer(silver_path: str,
                       fmt: str = "parquet", serving_jdbc: dict | None = None):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        enriched = enrich(only_valid(batch), load_employees(spark), load_sports(spark))
-        write_log_partition(enriched, silver_path, batch_id, fmt)
+        # The batch is read twice (rows, and its keys to cut the references):
+        # keep it for the duration of the write (memory and disk; a lost
+        # block is recomputed from this batch's files).
+        rows = only_valid(batch).persist()
+        try:
+            enriched = enrich(rows, load_employees(spark), load_sports(spark), reduce_references=True)
+            write_log_partition(enriched, silver_path, batch_id, fmt)
+        finally:
+            rows.unpersist()
         if serving_jdbc:
             written = (read_table(spark, silver_path, fmt)
                        .where(F.col("batch_id") == F.lit(int(batch_id))))
