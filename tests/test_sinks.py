@@ -90,3 +90,12 @@ def test_empty_replay_keeps_partition(spark, tmp):
     L.write_log_partition(spark.range(3), log, 7)
     L.write_log_partition(spark.range(0), log, 7)      # replay producing nothing
     assert read_table(spark, log).count() == 3
+
+
+def test_read_reference_ordered(spark, tmp):
+    from stridelake.sources.reference import read_reference
+    src = os.path.join(tmp, "ref")
+    spark.range(1000).selectExpr("cast((id * 7919) % 1000 as int) as employee_id", "'x' as v") \
+        .repartition(7).write.parquet(src)
+    got = [r.employee_id for r in read_reference(spark, "parquet", "employee_id", path=src).collect()]
+    assert got == sorted(got) and len(got) == 1000
