@@ -1,11 +1,17 @@
-"""Key-existence checks that never shuffle the large side in full.
-
-Pattern: take the distinct keys of the (large) fact side - a partial
-aggregate, so a hot key costs one row per map task - anti-join them with the
-reference keys, and join the fact rows to the resulting set of unknown keys
-with a null-safe condition. That set is usually tiny, so AQE broadcasts it
-once its size is measured; when it is not, the plan falls back to a shuffle
-join with skew splitting. NULL keys count as unknown.
+"""Key-based helpers that keep the large side of a lookup from being
+shuffled in full.
+
+* Existence checks (``unknown_keys``, ``rows_with_unknown_key``,
+  ``flag_unknown_key``): take the distinct keys of the (large) fact side - a
+  partial aggregate, so a hot key costs one row per map task - anti-join
+  them with the reference keys, and join the fact rows to the resulting set
+  of unknown keys with a null-safe condition. That set is usually tiny, so
+  AQE broadcasts it once its size is measured; when it is not, the plan
+  falls back to a shuffle join with skew splitting. NULL keys count as
+  unknown.
+* ``rows_for_keys``: cut a large reference table to the keys of a small
+  batch before a lookup join.
+* ``one_per_key``: deterministic one-row-per-key dedupe of a reference.
 """
 
 from __future__ import annotations
