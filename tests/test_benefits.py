@@ -100,3 +100,18 @@ def test_as_of_defaults_to_now(spark):
     assert r.activity_count_12m == 1          # only the future row is within 12 months of now
     p = B.default_parameters(spark).collect()
     assert {x.valid_from for x in p} == {dt.datetime.now(dt.timezone.utc).date()}   # session time zone is UTC
+
+
+def test_historical_recalculation_with_params_as_of(spark):
+    emp = spark.createDataFrame([(1, "A", "a", Decimal("40000.00"), WALK)], EMP)
+    cv = spark.createDataFrame([(1, "VALID")], CV)
+    params = spark.createDataFrame([
+        ("bonus_rate", Decimal("0.05"), dt.date(2020, 1, 1), dt.date(2024, 6, 1)),
+        ("bonus_rate", Decimal("0.10"), dt.date(2024, 6, 1), None),
+        ("wellness_days", Decimal("5"), dt.date(2020, 1, 1), None),
+        ("min_annual_activities", Decimal("15"), dt.date(2020, 1, 1), None),
+    ], "parameter_name string, parameter_value decimal(18,6), valid_from date, valid_to date")
+    acts = _acts(spark, {1: 1})
+    now = B.benefit_eligibility(emp, acts, cv, params, AS_OF).collect()[0]
+    then = B.benefit_eligibility(emp, acts, cv, params, AS_OF, params_as_of="2024-03-01").collect()[0]
+    assert now.bonus_amount == Decimal("4000.00") and then.bonus_amount == Decimal("2000.00")
