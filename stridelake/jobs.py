@@ -4,7 +4,7 @@ library; connection secrets come from environment variables named on the
 command line, never from code.
 
 Streams: bronze, silver, notify, snapshots.
-Batch:   export-bi, backfill, quality, benefits, commute, profile,
+Batch:   export-bi, backfill, quality, benefits, commute, intake, profile,
          load-master, compact-current.
 """
 
@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import benefits as B
 from .operators import commute as C
+from .operators import intake as I
 from .operators import profile as P
 from .operators import quality as Q
 from .operators.master import upsert_table
-from .session import build_session
+from .session import build_session, checkpoint_root
 from .sinks import jdbc as J
 from .sinks import lake as L
 from .sources.cdc import read_cdc_stream
@@ -116,6 +118,10 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     p.add_argument("--employees", required=True); p.add_argument("--activities", required=True)
     p.add_argument("--commute", required=True); p.add_argument("--parameters")
     p.add_argument("--as-of", required=True); p.add_argument("--params-as-of"); p.add_argument("--out", required=True)
+    p = sub.add_parser("intake")
+    p.add_argument("--submitted", required=True); p.add_argument("--employees", required=True)
+    p.add_argument("--activities", required=True, help="accepted rows are appended here")
+    p.add_argument("--rejected", required=True, help="rejected rows with their reason (appended)")
     p = sub.add_parser("profile")
     p.add_argument("--employees-csv", required=True); p.add_argument("--sports-csv", required=True)
     p.add_argument("--as-of", required=True); p.add_argument("--out", required=True)
@@ -195,6 +201,16 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         out = B.benefit_eligibility(read_table(spark, args.employees, fmt), read_table(spark, args.activities, fmt),
                                     read_table(spark, args.commute, fmt), params, args.as_of, args.params_as_of)
         L.overwrite_table(out, args.out, fmt)
+    elif args.job == "intake":
+        validated = I.validate_intake(read_table(spark, args.submitted, fmt), read_table(spark, args.employees, fmt))
+        # Written once to the shared checkpoint folder, then split: the
+        # validation plan is evaluated a single time and its lineage is cut.
+        work = f"{checkpoint_root(spark).rstrip('/')}/intake/{uuid.uuid4().hex}"
+        validated.write.format(fmt).mode("errorifexists").save(work)
+        checked = read_table(spark, work, fmt)
+        n_ok = L.observed_write(I.accepted(checked), args.activities, fmt, mode="append")
+        n_ko = L.observed_write(I.rejected(checked), args.rejected, fmt, mode="append")
+        print(f"{n_ok} activities accepted, {n_ko} rejected")
     elif args.job == "profile":
         emp, spo = load_employees(spark, args.employees_csv), load_sports(spark, args.sports_csv)
         L.overwrite_table(P.profile_summary(emp, spo, args.as_of), f"{args.out}/summary", fmt)

@@ -73,3 +73,14 @@ def test_export_and_compact_jobs(spark, tmp):
 def _current_count(spark):
     import __spark_entry__ as E
     return E.queries()["silver_current"](spark, SF).count()
+
+
+def test_intake_job(spark, tmp):
+    sub, emp, acts, rej = (os.path.join(tmp, x) for x in ("submitted", "emp", "acts", "rej"))
+    A.activities(spark, SF).drop("source", "created_at").write.parquet(sub)
+    A.employees(spark, SF).write.parquet(emp)
+    jobs.run(["intake", "--submitted", sub, "--employees", emp, "--activities", acts, "--rejected", rej], stop=False)
+    n_in = read_table(spark, sub).count()
+    ok, ko = read_table(spark, acts), read_table(spark, rej)
+    assert ok.count() + ko.count() == n_in and ok.where("source <> 'live'").count() == 0
+    assert ko.where("reject_reason IS NULL").count() == 0
