@@ -129,6 +129,14 @@ def cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
     return as_ntz(_bronze(spark, sf))
 
 
+@query("cdc_malformed")
+def cdc_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """PR-4 side output: change records with no usable payload, with their
+    broker coordinates (what the Silver and notification streams divert)."""
+    return as_ntz(CDC.malformed(_bronze(spark, sf))
+                  .select("kafka_partition", "kafka_offset", "kafka_timestamp", "bronze_ingested_at"))
+
+
 @query("silver_enriched")
 def silver_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return as_ntz(_silver(spark, sf))

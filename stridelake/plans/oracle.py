@@ -291,6 +291,9 @@ _SERVING = """CAST(activity_id AS BIGINT) AS activity_id, CAST(employee_id AS IN
        start_ts, end_ts, duration_minutes, distance_km, source, silver_ingested_at"""
 
 oracle("cdc_decode", "SELECT * FROM bronze", "bronze")
+oracle("cdc_malformed", f"""
+SELECT kafka_partition, kafka_offset, epoch_ms(__source_ts_ms) AS kafka_timestamp, {AS_OF} AS bronze_ingested_at
+FROM cdc_log WHERE kafka_offset % 89 = 0 OR kafka_offset % 97 = 0""", "cdc_log")
 oracle("silver_enriched", "SELECT * FROM silver_log", "silver_log")
 oracle("serving_projection", f"SELECT {_SERVING} FROM silver_log", "silver_log")
 # BI export selects the Silver columns as they are (no serving casts).
