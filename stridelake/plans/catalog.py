@@ -204,6 +204,11 @@ def master_clean(spark: SparkSession, sf: str) -> DataFrame:
     return M.clean_employees(A.master_csv_rows(spark, sf))
 
 
+@query("master_clean_sports")
+def master_clean_sports(spark: SparkSession, sf: str) -> DataFrame:
+    return M.clean_sports(A.sports_csv_rows(spark, sf))
+
+
 @query("master_upsert")
 def master_upsert(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = M.clean_employees(A.master_csv_rows(spark, sf))

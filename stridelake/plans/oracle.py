@@ -398,6 +398,15 @@ SELECT {_int('employee_id')} AS employee_id, {_blank('last_name')} AS last_name,
        {_int('paid_leave_days')} AS paid_leave_days
 FROM master_csv""")
 oracle("master_clean", "SELECT * FROM master_clean", "master_clean")
+
+cte("sports_csv", [], """
+SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) || '.0'
+            ELSE ' ' || CAST(c_custkey AS VARCHAR) END AS employee_id,
+       CASE c_custkey % 6 WHEN 0 THEN '' WHEN 1 THEN ' Runing ' WHEN 2 THEN 'Randonnée'
+            WHEN 3 THEN chr(9) WHEN 4 THEN 'Tennis de table' END AS sport
+FROM customer""")
+oracle("master_clean_sports", f"""
+SELECT {_int('employee_id')} AS employee_id, {_blank('sport')} AS sport FROM sports_csv""", "sports_csv")
 oracle("master_upsert", """
 SELECT employee_id, last_name, business_unit, annual_gross_salary, paid_leave_days FROM employees t
 WHERE NOT EXISTS (SELECT 1 FROM master_clean c WHERE c.employee_id = t.employee_id)

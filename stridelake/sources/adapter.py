@@ -237,3 +237,20 @@ def master_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         salary.alias("annual_gross_salary"),
         leave.alias("paid_leave_days"),
     )
+
+
+@_memo
+def sports_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sport master data as raw CSV text cells: padded and decimal ids,
+    empty, blank and padded sport names."""
+    c = _table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    ks = key.cast("string")
+    emp_id = F.when(key % 3 == 0, F.concat(ks, F.lit(".0"))).otherwise(F.concat(F.lit(" "), ks))
+    sport = (F.when(key % 6 == 0, F.lit(""))
+             .when(key % 6 == 1, F.lit(" Runing "))
+             .when(key % 6 == 2, F.lit("Randonnée"))
+             .when(key % 6 == 3, F.lit("\t"))
+             .when(key % 6 == 4, F.lit("Tennis de table"))
+             .otherwise(F.lit(None).cast("string")))
+    return c.select(emp_id.alias("employee_id"), sport.alias("sport"))
