@@ -124,40 +124,50 @@ def metres_to_km_2dp(c: Column | str) -> Column:
     return F.round(m * F.lit(0.001).cast("decimal(4,3)"), 2).cast("decimal(18,2)")
 
 
-def km_text_1dp(metres: Column | str) -> Column:
-    """SC-15: text of ``f"{float(m) / 1000:.1f}"``.
-
-    Python formats the exact binary value of the double quotient, so ties are
-    broken by which side of the tie that double lies on. Away from ties the
-    decimal quotient rounded half-up gives the same digit. On exact ties
-    (``|m|`` an odd multiple of 50) the side is found with an error-free
-    product (Dekker split of ``d * 1000``), all in double arithmetic; when
-    the double equals the tie exactly, half-to-even applies.
+def python_round_km(metres: Column | str, digits: int) -> Column:
+    """``round(float(m) / 1000, digits)`` with Python's semantics, as an
+    exact decimal: the binary double of the quotient rounded half to even.
+
+    Away from ties the decimal quotient rounded half-up gives the same digits
+    (the quotient has few decimals, the double is within an ulp of it). On an
+    exact decimal tie (only possible for a whole number of metres) the side
+    of the tie the double lies on decides; it is found with an error-free
+    product (Dekker split of ``d * 1000``) in double arithmetic, and a double
+    equal to the tie rounds half to even.
     """
-    m_dec = col_(metres).cast("decimal(24,6)")
-    q = F.abs(m_dec) * F.lit(0.001).cast("decimal(4,3)")            # exact |m|/1000
-    up = F.round(q, 1)                                                # half-up
-    down = up - F.lit(0.1).cast("decimal(2,1)")
-    tie = ((q * 100) % 10) == F.lit(5)
-
-    m_abs = F.abs(col_(metres).cast("double"))
-    d = m_abs / F.lit(1000.0)                                         # Python's float
+    step = f"{10 ** -digits:.{digits}f}"
+    m = col_(metres)
+    q = F.abs(m.cast("decimal(24,6)")) * F.lit(0.001).cast("decimal(4,3)")    # exact |m|/1000
+    up = F.round(q, digits)                                                     # half-up
+    down = up - F.lit(step).cast(f"decimal({digits + 1},{digits})")
+    tie = ((q * (10 ** (digits + 1))) % 10) == F.lit(5)
+
+    m_abs = F.abs(m.cast("double"))
+    d = m_abs / F.lit(1000.0)                                                   # Python's float
     p = d * F.lit(1000.0)
     c = d * F.lit(134217729.0)
     d_hi = c - (c - d)
     d_lo = d - d_hi
     err = (d_hi * F.lit(1000.0) - p) + d_lo * F.lit(1000.0)
-    side = (p - m_abs) + err                                          # sign of d - |m|/1000
+    side = (p - m_abs) + err                                                    # sign of d - |m|/1000
 
-    # Exact binary tie (d == |m|/1000): Python rounds half to even.
     mag = (F.when(~tie | (side > 0), up)
            .when(side < 0, down)
-           .otherwise(F.bround(q, 1)))
-    text = mag.cast("decimal(20,1)").cast("string")
-    # Python keeps the sign of a negative value that rounds to zero ("-0.0").
-    negative = col_(metres).cast("double") < 0
-    return F.when(col_(metres).isNull(), F.lit(None).cast("string")).otherwise(
-        F.when(negative, F.concat(F.lit("-"), text)).otherwise(text))
+           .otherwise(F.bround(q, digits)))
+    mag = mag.cast(f"decimal(20,{digits})")
+    return F.when(m.isNull(), F.lit(None).cast(f"decimal(20,{digits})")).otherwise(
+        F.when(m.cast("double") < 0, -mag).otherwise(mag))
+
+
+def km_text_1dp(metres: Column | str) -> Column:
+    """SC-15: text of ``f"{float(m) / 1000:.1f}"`` (Python formats the exact
+    binary value, ties to even; see ``python_round_km``). Python keeps the
+    sign of a negative value that rounds to zero ("-0.0")."""
+    m = col_(metres)
+    mag = F.abs(python_round_km(m, 1))
+    text = mag.cast("string")
+    return F.when(m.isNull(), F.lit(None).cast("string")).otherwise(
+        F.when(m.cast("double") < 0, F.concat(F.lit("-"), text)).otherwise(text))
 
 
 def python_float_text(c: Column | str) -> Column:

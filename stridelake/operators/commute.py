@@ -4,7 +4,9 @@ The reference walks employees one by one and calls a routing service. Here
 the routing answers are an input table ``(employee_id, distance_m,
 api_error)`` and the classification is one set-based pass: a join on the
 employee key and a CASE chain. The two commute rules are a fixed CASE
-expression, so they need neither a join nor a broadcast.
+expression, so they need neither a join nor a broadcast. The km value is
+``round(m / 1000, 2)`` with Python's rounding (the validation was a Python
+job), compared with the threshold after rounding: 15 005 m is 15.0 km.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import constants as K
-from ..functions.exprs import metres_to_km_2dp, py_strip, python_float_text
+from ..functions.exprs import py_strip, python_float_text, python_round_km
 from ..functions.literal import literal_table
 
 
@@ -54,7 +56,7 @@ def validate_commutes(employees: DataFrame, distances: DataFrame, as_of=None,
     staged = (employees.select("employee_id", "home_address", "commute_mode")
               .join(d, "employee_id", how)
               .select("*", travel.alias("_travel"), threshold.alias("_threshold"),
-                      metres_to_km_2dp("_dist").cast(S.KM).alias("_km")))
+                      python_round_km("_dist", 2).cast(S.KM).alias("_km")))
     # Stage 2: classification from those columns.
     has_rule = F.col("_travel").isNotNull()
     km, limit = F.col("_km"), F.col("_threshold").cast(S.KM)

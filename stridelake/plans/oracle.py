@@ -86,7 +86,7 @@ _RULES = ", ".join(f"({_q(m)}, {_q(t)}, {km})" for m, t, km in K.COMMUTE_RULES)
 
 
 def _commute_body(emp: str) -> str:
-    km = "CAST(ROUND(CAST(d.distance_m AS DECIMAL(24,6)) * CAST(0.001 AS DECIMAL(4,3)), 2) AS DECIMAL(10,2))"
+    km = "CAST(printf('%.2f', CAST(d.distance_m AS DOUBLE) / CAST(1000 AS DOUBLE)) AS DECIMAL(10,2))"
     measured = "(r.travel_mode IS NOT NULL AND d.distance_m IS NOT NULL)"
     return f"""
 SELECT e.employee_id, e.home_address, 'Head office' AS company_address, e.commute_mode,

@@ -57,3 +57,18 @@ def test_anomalies_view_and_prune(spark):
     assert [r.employee_id for r in an] == [1] and an[0].first_name == "a"
     pruned = C.prune_orphans(cv, emp.where("employee_id = 2"))
     assert [r.employee_id for r in pruned.collect()] == [2]
+
+
+def test_km_rounding_follows_python_round(spark):
+    """The validation rounds with Python's round(): half to even on the
+    binary double, so 15 005 m is 15.0 km (VALID) and 17 125 m is 17.12."""
+    metres = [15005, 15015, 17125, 17135, 25005, 30995]
+    emp = spark.createDataFrame([(i, "a", "A", "h", WALK) for i in range(len(metres))], EMP)
+    dist = spark.createDataFrame([(i, m, None) for i, m in enumerate(metres)], DIST)
+    out = {r.employee_id: r for r in C.validate_commutes(emp, dist, "2025-01-24").collect()}
+    for i, m in enumerate(metres):
+        km = round(m / 1000, 2)
+        assert float(out[i].distance_km) == km
+        assert out[i].validation_status == ("VALID" if km <= 15 else "ANOMALY")
+        if km > 15:
+            assert out[i].anomaly_reason == f"Distance {km} km supérieure au seuil de 15 km."
