@@ -29,7 +29,6 @@ from .sources.cdc import read_cdc_stream
 from .sources.reference import load_employees, load_sports, read_employees_ref, read_sports_ref
 from .sources.tables import read_table
 from .streaming.bronze import start_bronze
-from .streaming.control import await_all
 from .streaming.notifications import start_notifications
 from .streaming.reference_snapshots import start_reference_snapshots
 from .streaming.silver import compact_current, publish_current, start_silver
@@ -136,8 +135,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
 
     if args.job == "bronze":
         start_bronze(_records(spark, args, args.topic, "earliest"), args.bronze, args.checkpoint, fmt,
-                     _trigger(args))
-        await_all(spark)
+                     _trigger(args)).awaitTermination()
     elif args.job == "silver":
         serving = None
         if args.jdbc_url:
@@ -145,13 +143,12 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
                        "props": _jdbc_props(args)}
         start_silver(spark, args.bronze, args.silver, args.checkpoint,
                      lambda s: read_employees_ref(s, args.employees_csv),
-                     lambda s: read_sports_ref(s, args.sports_csv), fmt, _trigger(args), serving)
-        await_all(spark)
+                     lambda s: read_sports_ref(s, args.sports_csv), fmt, _trigger(args),
+                     serving).awaitTermination()
     elif args.job == "notify":
         start_notifications(_records(spark, args, args.topic, "latest"), args.out, args.malformed,
                             args.checkpoint, lambda s: _read(s, args.employees, args.employees_format),
-                            fmt, _trigger(args))
-        await_all(spark)
+                            fmt, _trigger(args)).awaitTermination()
     elif args.job == "snapshots":
         props = _jdbc_props(args)
 
@@ -170,8 +167,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
                                 "current_path": f"{args.current_root}/sports/employee_sports.csv"},
         }
         start_reference_snapshots(_records(spark, args, list(tables), "earliest"), tables, args.checkpoint,
-                                  args.debounce_seconds, read_ref, _trigger(args))
-        await_all(spark)
+                                  args.debounce_seconds, read_ref, _trigger(args)).awaitTermination()
     elif args.job == "export-bi":
         L.export_bi_csv(read_table(spark, args.silver, fmt), args.out)
     elif args.job == "backfill":

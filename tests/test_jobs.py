@@ -84,3 +84,21 @@ def test_intake_job(spark, tmp):
     ok, ko = read_table(spark, acts), read_table(spark, rej)
     assert ok.count() + ko.count() == n_in and ok.where("source <> 'live'").count() == 0
     assert ko.where("reject_reason IS NULL").count() == 0
+
+
+def test_notify_job_on_landing(spark, tmp):
+    import json
+    from stridelake.sources.cdc import write_landing
+    landing, emp = os.path.join(tmp, "landing"), os.path.join(tmp, "emp")
+    A.employees(spark, SF).write.parquet(emp)
+    msg = json.dumps({"payload": {"activity_id": 1, "employee_id": 1, "start_at": "2024-01-01T10:00:00Z",
+                                  "end_at": "2024-01-01T10:30:00Z", "sport_type": "Judo", "source": "live",
+                                  "__op": "c", "__source_ts_ms": 1}})
+    write_landing(spark.createDataFrame([(msg, "raw.activities", 0, 1, None)],
+                                        "value string, topic string, partition int, offset long, timestamp timestamp"),
+                  landing)
+    jobs.run(["notify", "--source", "landing", "--landing", landing, "--available-now",
+              "--checkpoint", os.path.join(tmp, "ck"), "--out", os.path.join(tmp, "notif"),
+              "--malformed", os.path.join(tmp, "bad"), "--employees", emp], stop=False)
+    notes = read_table(spark, os.path.join(tmp, "notif")).collect()
+    assert len(notes) == 1 and "Judo en 30 min" in notes[0].message
