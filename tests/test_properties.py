@@ -64,3 +64,42 @@ def test_hot_employee_third_of_rows(spark):
     res = Q.dq_results(df, emps, as_of="2030-01-01")
     s = {r.rule_name: r.anomaly_count for r in Q.dq_summary(res).collect()}
     assert s == {"DQ02_INVALID_DURATION": n, "DQ04_UNKNOWN_EMPLOYEE": n // 3}
+
+
+SPORTS = [None, "", "  ", "\t", "Runing", "Running", "Judo", "Tennis", "Marche", "Randonnée", "Voile", "Yoga"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.integers(-3, 3), st.integers(-3, 3),
+                          st.sampled_from(SPORTS), st.sampled_from([None, -5, 0, 12])),
+                min_size=1, max_size=30))
+def test_dq_rules_match_brute_force(spark, rows):
+    import datetime as dt
+    from decimal import Decimal
+    from stridelake.functions import constants as K
+    base, now = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11)
+    data = [(i, emp, base + dt.timedelta(days=s), base + dt.timedelta(days=s, hours=e), sport,
+             None if d is None else Decimal(d)) for i, (emp, s, e, sport, d) in enumerate(rows)]
+    acts = spark.createDataFrame(data, "activity_id long, employee_id int, start_at timestamp, end_at timestamp, "
+                                       "sport_type string, distance_m decimal(18,2)")
+    emps = spark.createDataFrame([(1,), (2,)], "employee_id int")
+    got = sorted((r.activity_id, r.rule_name) for r in Q.dq_results(acts, emps, as_of=now).collect())
+    want = []
+    for aid, emp, start, end, sport, dist in data:
+        if dist is not None and dist < 0:
+            want.append((aid, K.DQ01))
+        if end <= start:
+            want.append((aid, K.DQ02))
+        if sport is None or sport.strip(" ") == "":
+            want.append((aid, K.DQ03))
+        if emp not in (1, 2):
+            want.append((aid, K.DQ04))
+        if start > now:
+            want.append((aid, K.DQ05))
+        if dist is not None and sport in K.NON_DISTANCE_SPORTS:
+            want.append((aid, K.DQ06))
+        if dist is None and sport in K.DISTANCE_SPORTS:
+            want.append((aid, K.DQ07))
+        if sport == "Runing":
+            want.append((aid, K.DQ08))
+    assert got == sorted(want)
