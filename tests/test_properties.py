@@ -103,3 +103,49 @@ def test_dq_rules_match_brute_force(spark, rows):
         if sport == "Runing":
             want.append((aid, K.DQ08))
     assert got == sorted(want)
+
+
+MODES = [None, "Marche/running", "Vélo/Trottinette/Autres", "Transports en commun", " Marche/running"]
+STATUSES = [None, "VALID", "ANOMALY", "ERROR", "NOT_APPLICABLE"]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(MODES), st.integers(0, 20), st.sampled_from(STATUSES),
+                          st.sampled_from([None, 30000, 45678.91])), min_size=1, max_size=12))
+def test_benefit_eligibility_matches_brute_force(spark, emps):
+    import datetime as dt
+    from decimal import ROUND_HALF_UP, Decimal
+    from stridelake.operators import benefits as B
+    emp_rows, act_rows, cv_rows, aid = [], [], [], 0
+    for i, (mode, n, status, sal) in enumerate(emps):
+        emp_rows.append((i, "f", "l", None if sal is None else Decimal(str(sal)).quantize(Decimal("0.01")), mode))
+        for _ in range(n):
+            aid += 1
+            act_rows.append((aid, i, dt.datetime(2024, 6, 1), Decimal("1.00")))
+        if status is not None:
+            cv_rows.append((i, status))
+    emp = spark.createDataFrame(emp_rows, "employee_id int, first_name string, last_name string, "
+                                          "annual_gross_salary decimal(12,2), commute_mode string")
+    acts = spark.createDataFrame(act_rows, "activity_id long, employee_id int, start_at timestamp, "
+                                           "distance_m decimal(18,2)")
+    cv = spark.createDataFrame(cv_rows, "employee_id int, validation_status string")
+    out = {r.employee_id: r for r in
+           B.benefit_eligibility(emp, acts, cv, B.default_parameters(spark, "2025-01-01"),
+                                 "2025-01-24 00:00:00").collect()}
+    status_of = dict(cv_rows)
+    for i, (mode, n, status, sal) in enumerate(emps):
+        r = out[i]
+        assert r.activity_count_12m == n and r.wellness_eligible == (n >= 15)
+        assert r.wellness_days == (5 if n >= 15 else 0)
+        physical = None if mode is None else mode in ("Marche/running", "Vélo/Trottinette/Autres")
+        valid = None if i not in status_of else status_of[i] == "VALID"
+        # SQL AND: FALSE wins, then NULL
+        expect = False if (physical is False or valid is False) else (
+            None if (physical is None or valid is None) else True)
+        assert r.bonus_eligible == expect
+        if expect:
+            want = None if sal is None else (Decimal(str(sal)).quantize(Decimal("0.01")) * Decimal("0.05")
+                                             ).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            assert r.bonus_amount == want
+        else:
+            assert r.bonus_amount == 0
