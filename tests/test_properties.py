@@ -149,3 +149,50 @@ def test_benefit_eligibility_matches_brute_force(spark, emps):
             assert r.bonus_amount == want
         else:
             assert r.bonus_amount == 0
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(
+    st.sampled_from([1, 2, None]),
+    st.sampled_from([None, "", "  ", "Running", "Judo", "Randonnée", "Marche"]),
+    st.sampled_from([None, 1150.0, 1250.0, 5750.0, -40.0, 0.0, 12345.6]),
+    st.sampled_from([("2024-01-01T10:00:00Z", "2024-01-01T10:30:00Z"), ("2024-01-01T10:00:00Z", "2024-01-01T10:00:20Z"),
+                     ("2024-01-01T10:00:00Z", "2024-01-01T10:02:30Z"), ("bad", "2024-01-01T10:00:00Z"),
+                     (None, None), ("2024-01-01T10:00:00+02:00", "2024-01-01T08:45:30Z")]),
+    st.sampled_from([None, "", " ", "  super ", "Historique simulé", "\tActivité live simulée\n", "ok"])),
+    min_size=1, max_size=15))
+def test_notification_text_matches_python_model(spark, events):
+    import datetime as dt
+    from stridelake.functions import constants as K
+    from stridelake.operators.notify import notifications
+
+    def model(emp_id, sport_type, dist, start, end, comment):
+        names = {1: "Ana Lopez", 2: "Bo None"}
+        who = names.get(emp_id, f"Employé {emp_id}")
+        sport = sport_type or "sport"
+
+        def ts(v):
+            try:
+                return dt.datetime.fromisoformat(v.replace("Z", "+00:00")) if isinstance(v, str) else None
+            except ValueError:
+                return None
+        t0, t1 = ts(start), ts(end)
+        parts = [f"🏃 Bravo {who} ! Tu viens de terminer une activité {sport}"]
+        if dist is not None and sport in K.DISTANCE_SPORTS:
+            parts.append(f" de {dist / 1000:.1f} km")
+        if t0 and t1:
+            parts.append(f" en {max(1, round((t1 - t0).total_seconds() / 60))} min")
+        parts.append(" ! 🔥🏅")
+        c = (comment or "").strip()
+        if c and c not in K.IGNORED_COMMENTS:
+            parts.append(f'\n💬 "{c}"')
+        return "".join(parts)
+
+    rows = [(i, e, s, d, a, b, c, "live", "c", i) for i, (e, s, d, (a, b), c) in enumerate(events)]
+    ev = spark.createDataFrame(rows, "activity_id long, employee_id long, sport_type string, distance_m double, "
+                                     "start_at string, end_at string, comment string, source string, __op string, "
+                                     "kafka_offset long")
+    emp = spark.createDataFrame([(1, "Ana", "Lopez"), (2, "Bo", None)], "employee_id int, first_name string, last_name string")
+    got = {r.activity_id: r.message for r in notifications(ev, emp).collect()}
+    for i, (e, s, d, (a, b), c) in enumerate(events):
+        assert got[i] == model(e, s, d, a, b, c), (i, e, s, d, a, b, c)
