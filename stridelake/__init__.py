@@ -3,6 +3,44 @@
 Change events -> Bronze -> Silver -> current state, benefits, commute
 validation, data quality, notifications, intake and profiling, all expressed
 with DataFrame/SQL and Structured Streaming.
+
+The most used entry points are re-exported here::
+
+    from stridelake import build_session, decode_cdc, enrich, benefit_eligibility
 """
 
+from .operators.benefits import (active_parameters, benefit_eligibility, default_parameters,
+                                 employee_activity_12m, seed_parameters)
+from .operators.cdc import current_state, decode_cdc, latest_by_key, malformed, only_valid
+from .operators.commute import commute_anomalies, commute_status_counts, prune_orphans, validate_commutes
+from .operators.intake import accepted, recent_activities, rejected, validate_intake
+from .operators.master import clean_employees, clean_sports, effective_sport, upsert_table
+from .operators.notify import notifications
+from .operators.profile import profile_anomalies, profile_distribution, profile_summary
+from .operators.quality import dq_results, dq_summary
+from .operators.silver import as_activities, bi_projection, enrich, serving_projection
+from .session import build_session, checkpoint_root, cluster_conf
+from .sinks.lake import export_bi_csv, publish_reference, write_log_partition
+from .sources.cdc import read_cdc_stream
+from .sources.reference import load_employees, load_sports, read_employees_ref, read_sports_ref
+from .sources.tables import ensure_table, read_table, read_table_stream
+from .streaming.bronze import start_bronze
+from .streaming.notifications import start_notifications
+from .streaming.reference_snapshots import start_reference_snapshots
+from .streaming.silver import compact_current, publish_current, read_current, start_silver
+
 __version__ = "0.1.0"
+
+__all__ = [
+    "accepted", "active_parameters", "as_activities", "benefit_eligibility", "bi_projection",
+    "build_session", "checkpoint_root", "clean_employees", "clean_sports", "cluster_conf",
+    "commute_anomalies", "commute_status_counts", "compact_current", "current_state", "decode_cdc",
+    "default_parameters", "dq_results", "dq_summary", "effective_sport", "employee_activity_12m",
+    "enrich", "ensure_table", "export_bi_csv", "latest_by_key", "load_employees", "load_sports",
+    "malformed", "notifications", "only_valid", "profile_anomalies", "profile_distribution",
+    "profile_summary", "prune_orphans", "publish_current", "publish_reference", "read_cdc_stream",
+    "read_current", "read_employees_ref", "read_sports_ref", "read_table", "read_table_stream",
+    "recent_activities", "rejected", "seed_parameters", "serving_projection", "start_bronze",
+    "start_notifications", "start_reference_snapshots", "start_silver", "upsert_table",
+    "validate_commutes", "validate_intake", "write_log_partition",
+]
