@@ -102,3 +102,23 @@ def test_notify_job_on_landing(spark, tmp):
               "--malformed", os.path.join(tmp, "bad"), "--employees", emp], stop=False)
     notes = read_table(spark, os.path.join(tmp, "notif")).collect()
     assert len(notes) == 1 and "Judo en 30 min" in notes[0].message
+
+
+def test_snapshots_job_on_landing(spark, tmp):
+    from stridelake.sources.cdc import write_landing
+    landing = os.path.join(tmp, "landing")
+    emp_t, sp_t = os.path.join(tmp, "emp_t"), os.path.join(tmp, "sp_t")
+    A.employees(spark, SF).write.parquet(emp_t)
+    A.employee_sports(spark, SF).write.parquet(sp_t)
+    write_landing(spark.createDataFrame([("{}", "raw.employees", 0, 1, None), ("{}", "raw.employees", 0, 2, None)],
+                                        "value string, topic string, partition int, offset long, timestamp timestamp"),
+                  landing)
+    arch, cur = os.path.join(tmp, "archive"), os.path.join(tmp, "current")
+    jobs.run(["snapshots", "--source", "landing", "--landing", landing, "--available-now",
+              "--checkpoint", os.path.join(tmp, "ck"), "--employees-table", emp_t, "--sports-table", sp_t,
+              "--archive-root", arch, "--current-root", cur], stop=False)
+    archived = os.listdir(os.path.join(arch, "company"))
+    assert len(archived) == 1 and archived[0].startswith("employees_")
+    assert not os.path.exists(os.path.join(arch, "sports"))          # that topic did not change
+    current = spark.read.option("header", True).csv(os.path.join(cur, "company", "employees.csv"))
+    assert current.count() == A.employees(spark, SF).count()
