@@ -124,7 +124,7 @@ def metres_to_km_2dp(c: Column | str) -> Column:
     return F.round(m * F.lit(0.001).cast("decimal(4,3)"), 2).cast("decimal(18,2)")
 
 
-def python_round_km(metres: Column | str, digits: int) -> Column:
+def python_round_km(metres: Column | str, digits: int, integral: bool = False) -> Column:
     """``round(float(m) / 1000, digits)`` with Python's semantics, as an
     exact decimal: the binary double of the quotient rounded half to even.
 
@@ -133,14 +133,29 @@ def python_round_km(metres: Column | str, digits: int) -> Column:
     exact decimal tie (only possible for a whole number of metres) the side
     of the tie the double lies on decides; it is found with an error-free
     product (Dekker split of ``d * 1000``) in double arithmetic, and a double
-    equal to the tie rounds half to even.
+    equal to the tie rounds half to even. ``integral=True`` (whole metres)
+    takes a long-arithmetic path.
     """
     step = f"{10 ** -digits:.{digits}f}"
     m = col_(metres)
-    q = F.abs(m.cast("decimal(24,6)")) * F.lit(0.001).cast("decimal(4,3)")    # exact |m|/1000
-    up = F.round(q, digits)                                                     # half-up
-    down = up - F.lit(step).cast(f"decimal({digits + 1},{digits})")
-    tie = ((q * (10 ** (digits + 1))) % 10) == F.lit(5)
+    if integral and digits < 3:
+        # Whole metres: the rounding unit is 10**(3 - digits) metres, so the
+        # half-up result, the tie test and the lower neighbour are long
+        # arithmetic (no wide decimals).
+        unit = 10 ** (3 - digits)
+        a = F.abs(m.cast("long"))
+        r = F.pmod(a, F.lit(unit))
+        n = int_div(a, unit)
+        up_n = F.when(r * 2 >= unit, n + 1).otherwise(n)
+        to_dec = lambda c: c.cast("decimal(18,0)") * F.lit(step).cast(f"decimal({digits + 1},{digits})")
+        up, down = to_dec(up_n), to_dec(up_n - 1)
+        q = a.cast("decimal(18,0)") * F.lit(0.001).cast("decimal(4,3)")
+        tie = (r * 2) == F.lit(unit)
+    else:
+        q = F.abs(m.cast("decimal(24,6)")) * F.lit(0.001).cast("decimal(4,3)")    # exact |m|/1000
+        up = F.round(q, digits)                                                     # half-up
+        down = up - F.lit(step).cast(f"decimal({digits + 1},{digits})")
+        tie = ((q * (10 ** (digits + 1))) % 10) == F.lit(5)
 
     m_abs = F.abs(m.cast("double"))
     d = m_abs / F.lit(1000.0)                                                   # Python's float

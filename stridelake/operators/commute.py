@@ -56,7 +56,7 @@ def validate_commutes(employees: DataFrame, distances: DataFrame, as_of=None,
     staged = (employees.select("employee_id", "home_address", "commute_mode")
               .join(d, "employee_id", how)
               .select("*", travel.alias("_travel"), threshold.alias("_threshold"),
-                      python_round_km("_dist", 2).cast(S.KM).alias("_km")))
+                      python_round_km("_dist", 2, integral=True).cast(S.KM).alias("_km")))
     # Stage 2: classification from those columns.
     has_rule = F.col("_travel").isNotNull()
     km, limit = F.col("_km"), F.col("_threshold").cast(S.KM)
