@@ -91,3 +91,28 @@ def publish_reference(df: DataFrame, archive_prefix: str, current_path: str,
     archived = spark.read.option("header", "true").schema(df.schema).csv(archive)
     archived.write.mode("overwrite").option("header", "true").csv(current_path)
     return archive
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, fmt: str = "parquet",
+                  path: str | None = None, sort: bool = True) -> None:
+    """Write ``df`` as a catalog table bucketed (and sorted) by ``key``.
+
+    Tables bucketed on the same key with the same bucket count join and
+    aggregate on that key without a shuffle: e.g. the compacted activities
+    and the employee table, both bucketed by ``employee_id``, feed the
+    12-month aggregation and the eligibility joins with no exchange. Choose
+    ``buckets`` so each bucket file stays around 128-512 MB at the target
+    size. ``path`` makes it an external table in the shared lake.
+
+    Trade-off: a bucket is read by one task, so a key holding a large share
+    of the rows makes its bucket a straggler that neither partial
+    aggregation nor AQE can split. Bucket on keys without such skew; for a
+    hot key keep the default plan (map-side partial aggregation, then a
+    shuffle that AQE can split).
+    """
+    w = df.write.format(fmt).mode("overwrite").bucketBy(int(buckets), key)
+    if sort:
+        w = w.sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

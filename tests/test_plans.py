@@ -98,3 +98,29 @@ def test_hot_employee_partition_is_split_in_silver_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_bucketed_tables_aggregate_and_join_without_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stridelake.operators import benefits as B
+    from stridelake.sinks.lake import save_bucketed
+    from stridelake.sources import adapter as A
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        save_bucketed(A.activities(spark, SF), "bk_activities", "employee_id", 8, path=str(tmp_path / "a"))
+        save_bucketed(A.employees(spark, SF), "bk_employees", "employee_id", 8, path=str(tmp_path / "e"))
+        acts, emps = spark.table("bk_activities"), spark.table("bk_employees")
+        df = B.employee_activity_12m(emps, acts, "2025-01-24 00:00:00")
+        plan = _plan(df)
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert df.count() == emps.count()
+        plain = B.employee_activity_12m(A.employees(spark, SF), A.activities(spark, SF), "2025-01-24 00:00:00")
+        got = {r.employee_id: r.activity_count_12m for r in df.collect()}
+        assert got == {r.employee_id: r.activity_count_12m for r in plain.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+        spark.sql("DROP TABLE IF EXISTS bk_activities")
+        spark.sql("DROP TABLE IF EXISTS bk_employees")
