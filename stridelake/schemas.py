@@ -132,10 +132,6 @@ DQ_RESULTS = _s(
     ("detected_at", TimestampType()),
 )
 
-# Master-data CSV: every cell arrives as text.
-EMPLOYEES_CSV = _s(*[(f.name, StringType()) for f in EMPLOYEES.fields])
-EMPLOYEE_SPORTS_CSV = _s(("employee_id", StringType()), ("sport", StringType()))
-
 # 15-column serving projection and 14-column BI projection.
 SERVING_COLUMNS = [
     "activity_id", "employee_id", "first_name", "last_name", "business_unit",
