@@ -23,7 +23,10 @@ VALUE = "decimal(18,2)"
 
 
 def _d(value) -> Column:
-    return F.lit(str(value)[:10]).cast("date") if not isinstance(value, Column) else value.cast("date")
+    """``as_of`` as a date; today when not given (SC-16)."""
+    if value is None:
+        return F.current_date()
+    return value.cast("date") if isinstance(value, Column) else F.lit(str(value)[:10]).cast("date")
 
 
 def _count_if(cond: Column) -> Column:
@@ -46,7 +49,7 @@ def avg_2dp(cents_sum: Column, n: Column) -> Column:
     return F.when(n > 0, signed.cast("decimal(20,0)") * F.lit(0.01).cast("decimal(3,2)"))
 
 
-def profile_summary(employees: DataFrame, sports: DataFrame, as_of) -> DataFrame:
+def profile_summary(employees: DataFrame, sports: DataFrame, as_of=None) -> DataFrame:
     today = _d(as_of)
     sal = F.col("annual_gross_salary")
     cents = (sal * 100).cast("long")
