@@ -38,11 +38,11 @@ def decode_cdc(raw: DataFrame, ingested_at=None) -> DataFrame:
                         F.col("timestamp").alias("kafka_timestamp"),
                         F.col("partition").cast("int").alias("kafka_partition"),
                         F.col("offset").cast("long").alias("kafka_offset"))
-    env = F.col("payload")
-    fields = [F.when(env.isNotNull(), env.getField(f.name)).otherwise(F.col(f.name)).alias(f.name)
-              for f in S.CDC_PAYLOAD.fields]
-    return parsed.select(*fields, "kafka_timestamp", "kafka_partition", "kafka_offset",
-                         stamp.alias("bronze_ingested_at"))
+    bare = F.struct(*[F.col(f.name) for f in S.CDC_PAYLOAD.fields])
+    return (parsed.select(F.coalesce(F.col("payload"), bare).alias("_p"),
+                          "kafka_timestamp", "kafka_partition", "kafka_offset")
+            .select("_p.*", "kafka_timestamp", "kafka_partition", "kafka_offset",
+                    stamp.alias("bronze_ingested_at")))
 
 
 def only_valid(decoded: DataFrame, key: str = "activity_id") -> DataFrame:
