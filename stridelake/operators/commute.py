@@ -100,7 +100,8 @@ def commute_status_counts(validation: DataFrame) -> DataFrame:
     """AG-5: count per status, all four statuses present (0 when none)."""
     spark = validation.sparkSession
     counts = validation.groupBy("validation_status").agg(F.count(F.lit(1)).alias("_n"))
-    return (status_domain(spark).join(counts, "validation_status", "left")
+    # Bounded: one row per status the classification can produce (4 + NULL).
+    return (status_domain(spark).join(F.broadcast(counts), "validation_status", "left")
             .select("validation_status",
                     F.coalesce(F.col("_n"), F.lit(0).cast("long")).alias("employee_count")))
 
