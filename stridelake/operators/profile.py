@@ -80,14 +80,15 @@ def profile_summary(employees: DataFrame, sports: DataFrame, as_of=None) -> Data
         F.count(F.lit(1)).alias("sports_without_rh"))
     gap_rh = emp_ids.join(spo_ids, "employee_id", "left_anti").agg(
         F.count(F.lit(1)).alias("rh_without_sports_row"))
-    return (_long(emp, ["employees_rows", "employees_unique_ids", "employees_duplicate_ids"])
-            .unionByName(_long(spo, ["sports_rows", "sports_unique_ids"]))
+    # Each one-row aggregate is unpivoted once (a set of indicator rows).
+    return (_long(emp, ["employees_rows", "employees_unique_ids", "employees_duplicate_ids",
+                        "salary_min", "salary_max", "salary_avg", "missing_addresses",
+                        "missing_commute", "future_birth_dates", "future_hire_dates",
+                        "negative_salary"])
+            .unionByName(_long(spo, ["sports_rows", "sports_unique_ids", "sport_declared",
+                                     "sport_missing"]))
             .unionByName(_long(gap_sports, ["sports_without_rh"]))
-            .unionByName(_long(gap_rh, ["rh_without_sports_row"]))
-            .unionByName(_long(spo, ["sport_declared", "sport_missing"]))
-            .unionByName(_long(emp, ["salary_min", "salary_max", "salary_avg", "missing_addresses",
-                                     "missing_commute", "future_birth_dates", "future_hire_dates",
-                                     "negative_salary"])))
+            .unionByName(_long(gap_rh, ["rh_without_sports_row"])))
 
 
 DIMENSIONS = [("commute_modes", "commute_mode"), ("business_units", "business_unit"),
