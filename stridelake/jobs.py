@@ -116,14 +116,14 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     p = sub.add_parser("benefits")
     p.add_argument("--employees", required=True); p.add_argument("--activities", required=True)
     p.add_argument("--commute", required=True); p.add_argument("--parameters")
-    p.add_argument("--as-of", required=True); p.add_argument("--params-as-of"); p.add_argument("--out", required=True)
+    p.add_argument("--as-of", help="default: now"); p.add_argument("--params-as-of"); p.add_argument("--out", required=True)
     p = sub.add_parser("intake")
     p.add_argument("--submitted", required=True); p.add_argument("--employees", required=True)
     p.add_argument("--activities", required=True, help="accepted rows are appended here")
     p.add_argument("--rejected", required=True, help="rejected rows with their reason (appended)")
     p = sub.add_parser("profile")
     p.add_argument("--employees-csv", required=True); p.add_argument("--sports-csv", required=True)
-    p.add_argument("--as-of", required=True); p.add_argument("--out", required=True)
+    p.add_argument("--as-of", help="default: now"); p.add_argument("--out", required=True)
     p = sub.add_parser("load-master")
     p.add_argument("--employees-csv", required=True); p.add_argument("--sports-csv", required=True)
     p.add_argument("--employees-table", required=True); p.add_argument("--sports-table", required=True)
