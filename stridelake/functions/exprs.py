@@ -45,13 +45,14 @@ def is_blank_sql(c: Column | str) -> Column:
     return c.isNull() | (F.trim(c) == F.lit(""))
 
 
-def text_to_int(c: Column | str) -> Column:
+def text_to_int(c: Column | str, to: str = "int") -> Column:
     """SC-9: strip, comma -> dot, parse as a float, truncate toward zero.
 
     ``'29.0'`` -> 29, ``'12,7'`` -> 12, blank -> NULL, junk -> NULL.
+    ``to="long"`` for identifiers.
     """
     num = F.replace(blank_to_null(c), F.lit(","), F.lit(".")).try_cast("double")
-    return num.try_cast("int")
+    return num.try_cast(to)
 
 
 def text_to_decimal(c: Column | str, precision: int = 12, scale: int = 2) -> Column:

@@ -20,7 +20,8 @@ from .. import schemas as S
 from ..functions.exprs import blank_to_null, default_sport, normalise_sport, text_to_decimal, text_to_int
 from .cdc import latest_by_key
 
-INT_COLUMNS = {"employee_id", "paid_leave_days"}
+INT_COLUMNS = {"paid_leave_days"}
+LONG_COLUMNS = {"employee_id"}
 DATE_COLUMNS = {"birth_date", "hire_date"}
 DECIMAL_COLUMNS = {"annual_gross_salary"}
 
@@ -35,6 +36,8 @@ def clean_employees(raw: DataFrame) -> DataFrame:
         c = F.col(f.name)
         if f.name in INT_COLUMNS:
             e = text_to_int(c)
+        elif f.name in LONG_COLUMNS:
+            e = text_to_int(c, "long")
         elif f.name in DECIMAL_COLUMNS:
             e = text_to_decimal(c, 12, 2)
         elif f.name in DATE_COLUMNS:
@@ -46,7 +49,7 @@ def clean_employees(raw: DataFrame) -> DataFrame:
 
 
 def clean_sports(raw: DataFrame) -> DataFrame:
-    return raw.select(text_to_int("employee_id").alias("employee_id"),
+    return raw.select(text_to_int("employee_id", "long").alias("employee_id"),
                       blank_to_null("sport").alias("sport"))
 
 

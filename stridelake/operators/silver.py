@@ -102,10 +102,11 @@ def enrich(bronze: DataFrame, employees: DataFrame, sports: DataFrame,
 
 def serving_projection(silver: DataFrame) -> DataFrame:
     """PR-6: the 15 published columns with their serving types. Salary stays
-    out of every published projection."""
+    out of every published projection. The employee id stays 64-bit (a
+    32-bit serving column would overflow at the target scale)."""
     return silver.select(
         F.col("activity_id").cast("long").alias("activity_id"),
-        F.col("employee_id").try_cast("int").alias("employee_id"),
+        F.col("employee_id").cast("long").alias("employee_id"),
         *S.SERVING_COLUMNS[2:],
     )
 
@@ -121,7 +122,7 @@ def as_activities(silver: DataFrame) -> DataFrame:
     benefits and data-quality jobs run directly on the lake."""
     return silver.select(
         F.col("activity_id").cast("long").alias("activity_id"),
-        F.col("employee_id").try_cast("int").alias("employee_id"),
+        F.col("employee_id").cast("long").alias("employee_id"),
         F.col("start_ts").alias("start_at"),
         F.col("end_ts").alias("end_at"),
         "sport_type",

@@ -37,7 +37,7 @@ def cte(name: str, deps: list[str], body: str) -> None:
 
 
 cte("employees_all", [], f"""
-SELECT CAST(c_custkey AS INTEGER) AS employee_id,
+SELECT c_custkey AS employee_id,
        c_name AS last_name,
        'First' || CAST(c_custkey % 97 AS VARCHAR) AS first_name,
        DATE '1960-01-01' + CAST((c_custkey * 37) % 14000 AS INTEGER) AS birth_date,
@@ -54,14 +54,14 @@ FROM customer""")
 cte("employees", ["employees_all"], "SELECT * FROM employees_all WHERE employee_id % 10 <> 7")
 
 cte("employee_sports", [], """
-SELECT CAST(c_custkey AS INTEGER) AS employee_id,
+SELECT c_custkey AS employee_id,
        CASE c_custkey % 6 WHEN 1 THEN 'Runing' WHEN 2 THEN 'Randonnée' WHEN 3 THEN 'Tennis'
             WHEN 4 THEN 'Triathlon' WHEN 5 THEN 'Judo' END AS sport
 FROM customer WHERE c_custkey % 10 <> 9""")
 
 cte("activities", [], """
 SELECT event_id AS activity_id,
-       CAST(user_id AS INTEGER) AS employee_id,
+       user_id AS employee_id,
        ts AS start_at,
        ts + to_minutes(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) - 5) AS end_at,
        CASE event_type WHEN 'error' THEN CASE WHEN event_id % 10 = 0 THEN '  ' ELSE 'Runing' END
@@ -286,7 +286,7 @@ LEFT JOIN employees e ON e.employee_id = l.employee_id
 LEFT JOIN employee_sports s ON s.employee_id = l.employee_id
 WHERE {_OK}""")
 
-_SERVING = """CAST(activity_id AS BIGINT) AS activity_id, CAST(employee_id AS INTEGER) AS employee_id,
+_SERVING = """CAST(activity_id AS BIGINT) AS activity_id, CAST(employee_id AS BIGINT) AS employee_id,
        first_name, last_name, business_unit, contract_type, sport_type, declared_sport, activity_date,
        start_ts, end_ts, duration_minutes, distance_km, source, silver_ingested_at"""
 
@@ -387,12 +387,12 @@ def _blank(e: str) -> str:
     return f"NULLIF({py_strip(e)}, '')"
 
 
-def _int(e: str) -> str:
-    return f"TRY_CAST(trunc(TRY_CAST(replace({_blank(e)}, ',', '.') AS DOUBLE)) AS INTEGER)"
+def _int(e: str, to: str = "INTEGER") -> str:
+    return f"TRY_CAST(trunc(TRY_CAST(replace({_blank(e)}, ',', '.') AS DOUBLE)) AS {to})"
 
 
 cte("master_clean", ["master_csv"], f"""
-SELECT {_int('employee_id')} AS employee_id, {_blank('last_name')} AS last_name,
+SELECT {_int('employee_id', 'BIGINT')} AS employee_id, {_blank('last_name')} AS last_name,
        {_blank('business_unit')} AS business_unit,
        TRY_CAST(replace({_blank('annual_gross_salary')}, ',', '.') AS DECIMAL(12,2)) AS annual_gross_salary,
        {_int('paid_leave_days')} AS paid_leave_days
@@ -406,7 +406,7 @@ SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) || '.0'
             WHEN 3 THEN chr(9) WHEN 4 THEN 'Tennis de table' END AS sport
 FROM customer""")
 oracle("master_clean_sports", f"""
-SELECT {_int('employee_id')} AS employee_id, {_blank('sport')} AS sport FROM sports_csv""", "sports_csv")
+SELECT {_int('employee_id', 'BIGINT')} AS employee_id, {_blank('sport')} AS sport FROM sports_csv""", "sports_csv")
 oracle("master_upsert", """
 SELECT employee_id, last_name, business_unit, annual_gross_salary, paid_leave_days FROM employees t
 WHERE NOT EXISTS (SELECT 1 FROM master_clean c WHERE c.employee_id = t.employee_id)

@@ -14,6 +14,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Identifiers are 64-bit everywhere: at the target scale employee ids exceed
+# the 32-bit range a source database may use.
 SALARY = DecimalType(12, 2)
 DISTANCE = DecimalType(18, 2)
 KM = DecimalType(10, 2)
@@ -25,7 +27,7 @@ def _s(*fields: tuple) -> StructType:
 
 
 EMPLOYEES = _s(
-    ("employee_id", IntegerType()),
+    ("employee_id", LongType()),
     ("last_name", StringType()),
     ("first_name", StringType()),
     ("birth_date", DateType()),
@@ -39,13 +41,13 @@ EMPLOYEES = _s(
 )
 
 EMPLOYEE_SPORTS = _s(
-    ("employee_id", IntegerType()),
+    ("employee_id", LongType()),
     ("sport", StringType()),
 )
 
 ACTIVITIES = _s(
     ("activity_id", LongType()),
-    ("employee_id", IntegerType()),
+    ("employee_id", LongType()),
     ("start_at", TimestampType()),
     ("end_at", TimestampType()),
     ("sport_type", StringType()),
@@ -97,7 +99,7 @@ BRONZE = StructType(
 )
 
 COMMUTE_DISTANCES = _s(
-    ("employee_id", IntegerType()),
+    ("employee_id", LongType()),
     ("distance_m", LongType()),
     ("api_error", StringType()),
 )
@@ -110,7 +112,7 @@ BENEFIT_PARAMETERS = _s(
 )
 
 COMMUTE_VALIDATION = _s(
-    ("employee_id", IntegerType()),
+    ("employee_id", LongType()),
     ("home_address", StringType()),
     ("company_address", StringType()),
     ("commute_mode", StringType()),
@@ -126,7 +128,7 @@ COMMUTE_VALIDATION = _s(
 
 DQ_RESULTS = _s(
     ("activity_id", LongType()),
-    ("employee_id", IntegerType()),
+    ("employee_id", LongType()),
     ("rule_name", StringType()),
     ("error_message", StringType()),
     ("detected_at", TimestampType()),

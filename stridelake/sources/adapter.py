@@ -66,7 +66,7 @@ def all_customers_as_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(key % 4 == 2, "Transports en commun")
             .otherwise("véhicule thermique/électrique"))
     return (c.select(
-                key.cast("int").alias("employee_id"),
+                key.cast("long").alias("employee_id"),
                 F.col("c_name").alias("last_name"),
                 F.concat(F.lit("First"), (key % 97).cast("string")).alias("first_name"),
                 F.date_add(F.lit("1960-01-01").cast("date"), ((key * 37) % 14000).cast("int")).alias("birth_date"),
@@ -91,7 +91,7 @@ def employee_sports(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(key % 6 == 4, "Triathlon")
              .when(key % 6 == 5, "Judo"))
     return (c.where(key % 10 != 9)
-            .select(key.cast("int").alias("employee_id"), sport.alias("sport")))
+            .select(key.cast("long").alias("employee_id"), sport.alias("sport")))
 
 
 @_memo
@@ -116,7 +116,7 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.when(eid % 5 == 0, K.LIVE_SOURCE).otherwise("simulation_historical")
     return e.select(
         eid.alias("activity_id"),
-        F.col("user_id").cast("int").alias("employee_id"),
+        F.col("user_id").cast("long").alias("employee_id"),
         start.alias("start_at"),
         end.alias("end_at"),
         sport.alias("sport_type"),
@@ -166,7 +166,7 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = cdc_log(spark, sf_dir)
     payload = F.struct(
         F.col("activity_id"),
-        F.col("employee_id").cast("long").alias("employee_id"),
+        F.col("employee_id"),
         iso_text("start_at").alias("start_at"),
         iso_text("end_at").alias("end_at"),
         F.col("sport_type"),

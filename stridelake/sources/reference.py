@@ -23,7 +23,7 @@ def read_employees_ref(spark: SparkSession, path: str) -> DataFrame:
     """SRC-4: employee reference as Silver uses it (columns by name)."""
     raw = _csv(spark, path)
     return raw.select(
-        F.col("employee_id").try_cast("int").alias("employee_id"),
+        F.col("employee_id").try_cast("long").alias("employee_id"),
         "first_name", "last_name", "business_unit", "contract_type",
         F.col("annual_gross_salary").try_cast(S.SALARY).alias("annual_gross_salary"),
     )
@@ -32,7 +32,7 @@ def read_employees_ref(spark: SparkSession, path: str) -> DataFrame:
 def read_sports_ref(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5: sport reference as Silver uses it."""
     raw = _csv(spark, path)
-    return raw.select(F.col("employee_id").try_cast("int").alias("employee_id"), "sport")
+    return raw.select(F.col("employee_id").try_cast("long").alias("employee_id"), "sport")
 
 
 def load_employees(spark: SparkSession, path: str) -> DataFrame:
