@@ -101,8 +101,6 @@ def test_hot_employee_partition_is_split_in_silver_join(spark):
 
 
 def test_bucketed_tables_aggregate_and_join_without_shuffle(spark, tmp_path):
-    from pyspark.sql import functions as F
-
     from stridelake.operators import benefits as B
     from stridelake.sinks.lake import save_bucketed
     from stridelake.sources import adapter as A
