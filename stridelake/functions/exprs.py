@@ -119,8 +119,10 @@ def whole_minutes_half_even(start: Column | str, end: Column | str) -> Column:
 # --- numbers ----------------------------------------------------------------
 
 def metres_to_km_2dp(c: Column | str) -> Column:
-    """SC-6/CM-3: ``round(m / 1000, 2)`` done as exact decimal multiplication
-    (never decimal or binary division), half-up."""
+    """SC-6 (Silver): Spark's ``round(m / 1000, 2)`` - half-up on the
+    decimal value - done as exact decimal multiplication (never decimal or
+    binary division). The commute check uses Python's rounding instead
+    (``python_round_km``)."""
     m = col_(c).cast("decimal(24,6)")
     return F.round(m * F.lit(0.001).cast("decimal(4,3)"), 2).cast("decimal(18,2)")
 
