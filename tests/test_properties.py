@@ -196,3 +196,44 @@ def test_notification_text_matches_python_model(spark, events):
     got = {r.activity_id: r.message for r in notifications(ev, emp).collect()}
     for i, (e, s, d, (a, b), c) in enumerate(events):
         assert got[i] == model(e, s, d, a, b, c), (i, e, s, d, a, b, c)
+
+
+CELLS = [None, "", " ", "\t", " 12 ", "29.0", "12,7", "-3.9", "1e3", "0", "7.", "n/a", "30940,55", " 25,5\n"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(CELLS), st.sampled_from(CELLS), st.sampled_from(CELLS)),
+                min_size=1, max_size=20))
+def test_master_cleaning_matches_python_model(spark, rows):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    def blank(v):
+        t = "" if v is None else str(v).strip()
+        return t or None
+
+    def as_float(v):
+        t = blank(v)
+        if t is None:
+            return None
+        try:
+            return float(t.replace(",", "."))
+        except ValueError:
+            return None                       # the engine nulls junk instead of failing the load
+
+    def as_int(v):
+        f = as_float(v)
+        return None if f is None else int(f)
+
+    def as_money(v):
+        t = blank(v)
+        if t is None:
+            return None
+        try:
+            return Decimal(t.replace(",", ".")).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        except Exception:
+            return None
+
+    df = spark.createDataFrame(rows, "paid_leave_days string, annual_gross_salary string, last_name string")
+    got = [(r.paid_leave_days, r.annual_gross_salary, r.last_name) for r in M.clean_employees(df).collect()]
+    want = [(as_int(a), as_money(b), blank(c)) for a, b, c in rows]
+    assert got == want
