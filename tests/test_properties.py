@@ -237,3 +237,34 @@ def test_master_cleaning_matches_python_model(spark, rows):
     got = [(r.paid_leave_days, r.annual_gross_salary, r.last_name) for r in M.clean_employees(df).collect()]
     want = [(as_int(a), as_money(b), blank(c)) for a, b, c in rows]
     assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(
+    st.sampled_from([None, "Marche/running", " Vélo/Trottinette/Autres\t", "Transports en commun", ""]),
+    st.one_of(st.none(), st.integers(0, 40000), st.sampled_from([15000, 15005, 15015, 25005, 24995, 17125]))),
+    min_size=1, max_size=25))
+def test_commute_matches_python_model(spark, rows):
+    from stridelake.functions import constants as K
+    from stridelake.operators import commute as C
+    rules = {m: (t, km) for m, t, km in K.COMMUTE_RULES}
+
+    def model(mode, metres):
+        rule = rules.get((mode or "").strip())
+        if not rule:
+            return ("NOT_APPLICABLE", None, None)
+        if metres is None:
+            return ("ERROR", None, None)
+        km = round(metres / 1000, 2)
+        if km <= rule[1]:
+            return ("VALID", km, None)
+        return ("ANOMALY", km, f"Distance {km} km supérieure au seuil de {rule[1]} km.")
+
+    emp = spark.createDataFrame([(i, "h", m) for i, (m, _) in enumerate(rows)],
+                                "employee_id long, home_address string, commute_mode string")
+    dist = spark.createDataFrame([(i, d, None if d is not None else "timeout") for i, (_, d) in enumerate(rows)],
+                                 "employee_id long, distance_m long, api_error string")
+    got = {r.employee_id: (r.validation_status, None if r.distance_km is None else float(r.distance_km),
+                           r.anomaly_reason)
+           for r in C.validate_commutes(emp, dist, "2025-01-24").collect()}
+    assert got == {i: model(m, d) for i, (m, d) in enumerate(rows)}
