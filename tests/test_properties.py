@@ -268,3 +268,42 @@ def test_commute_matches_python_model(spark, rows):
                            r.anomaly_reason)
            for r in C.validate_commutes(emp, dist, "2025-01-24").collect()}
     assert got == {i: model(m, d) for i, (m, d) in enumerate(rows)}
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([1, 2, 99, None]), st.integers(-2, 2),
+                          st.sampled_from([None, "", " ", "Judo"]), st.sampled_from([None, -1, 0, 5])),
+                min_size=1, max_size=25))
+def test_intake_matches_python_model(spark, rows):
+    import datetime as dt
+    from decimal import Decimal
+    from stridelake.functions import constants as K
+    from stridelake.operators import intake as I
+    t0 = dt.datetime(2024, 1, 1, 10)
+    data = [(i, e, t0, t0 + dt.timedelta(hours=h), s, None if d is None else Decimal(d), None)
+            for i, (e, h, s, d) in enumerate(rows)]
+    batch = spark.createDataFrame(data, "activity_id long, employee_id long, start_at timestamp, "
+                                        "end_at timestamp, sport_type string, distance_m decimal(18,2), "
+                                        "comment string")
+    emps = spark.createDataFrame([(1,), (2,)], "employee_id long")
+
+    def reason(e, start, end, s, d):
+        if e is None or s is None:
+            return K.REJECT_MISSING_FIELD
+        if len(s) < 1:
+            return K.REJECT_EMPTY_SPORT
+        if d is not None and d < 0:
+            return K.REJECT_NEGATIVE_DISTANCE
+        if end <= start:
+            return K.REJECT_END_BEFORE_START
+        if e not in (1, 2):
+            return K.REJECT_UNKNOWN_EMPLOYEE
+        return None
+
+    v = I.validate_intake(batch, emps)
+    acc = {r.activity_id for r in I.accepted(v).collect()}
+    rej = {r.activity_id: r.reject_reason for r in I.rejected(v).collect()}
+    assert acc.isdisjoint(rej) and len(acc) + len(rej) == len(data)
+    for i, e, start, end, s, d, _ in data:
+        want = reason(e, start, end, s, d)
+        assert (i in acc) if want is None else (rej[i] == want)
