@@ -307,3 +307,21 @@ def test_intake_matches_python_model(spark, rows):
     for i, e, start, end, s, d, _ in data:
         want = reason(e, start, end, s, d)
         assert (i in acc) if want is None else (rej[i] == want)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.sampled_from([None, "", " ", "CDI", "CDD", "Stage"]), min_size=1, max_size=60))
+def test_profile_distribution_matches_python_model(spark, contracts):
+    from collections import Counter
+    from decimal import ROUND_HALF_UP, Decimal
+    from stridelake.operators import profile as P
+    emp = spark.createDataFrame([(i, "m", "bu", c) for i, c in enumerate(contracts)],
+                                "employee_id long, commute_mode string, business_unit string, contract_type string")
+    sports = spark.createDataFrame([(0, "Judo")], "employee_id long, sport string")
+    got = {r.value: (r.n, r.percent) for r in P.profile_distribution(emp, sports).collect()
+           if r.dimension == "contracts"}
+    labels = Counter((c or "").strip() or "(vide)" for c in contracts)
+    total = len(contracts)
+    want = {k: (n, (Decimal(100 * n) / Decimal(total)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+            for k, n in labels.items()}
+    assert got == want
