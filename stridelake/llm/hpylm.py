@@ -75,25 +75,32 @@ def from_six_bytes(raw: bytes) -> np.ndarray:
 
 # --- chunks ------------------------------------------------------------------
 
-def encode_chunk(rows: list[tuple], chunk: int, shards: int) -> list[tuple[int, int, bytes]]:
-    """The blocks of one chunk of (doc_id, held_out, words): its distinct pairs
-    to the words' shards, and to itself its tokens as indices of pairs."""
-    vocabulary = Vocabulary({END: 0})
-    sequences = [np.append(word_ids(vocabulary, words), 0) for _, _, words in rows]
+def encode_chunk(vocabulary: Vocabulary, ids: list, held: list[bool], sequences: list[np.ndarray],
+                 chunk: int, shards: int) -> list[tuple[int, int, bytes]]:
+    """The blocks of one chunk of documents, given as numbered words: its
+    distinct pairs to the words' shards, and to itself its tokens as indices of
+    pairs."""
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
+    vocabulary.clear()
     lengths = np.array([len(s) for s in sequences], np.int64)
     starts = np.cumsum(lengths) - lengths
     shard_of = (hashes % np.uint64(shards)).astype(np.int64)
     order = np.lexsort((hashes, shard_of))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    words = rank[np.concatenate(sequences)]
-    contexts = np.empty_like(words)
-    contexts[1:] = words[:-1]
+    codes = rank[np.concatenate(sequences)]
+    sequences.clear()
+    contexts = np.empty_like(codes)
+    contexts[1:] = codes[:-1]
     contexts[starts] = rank[0]
-    held = np.array([h for _, h, _ in rows], bool)
-    pairs, index = np.unique((words << 32) | contexts, return_inverse=True)
-    counts = np.bincount(index, weights=np.repeat(~held, lengths), minlength=len(pairs)).astype(np.int64)
+    codes <<= 32
+    codes |= contexts
+    del contexts
+    held = np.array(held, bool)
+    pairs, index = np.unique(codes, return_inverse=True)
+    del codes
+    index = index.astype(np.uint32)
+    counts = np.bincount(index[np.repeat(~held, lengths)], minlength=len(pairs))
     hashes, shard_of = hashes[order], shard_of[order]
     pair_word = pairs >> 32
     per_word = np.bincount(pair_word, minlength=len(hashes))
@@ -108,24 +115,27 @@ def encode_chunk(rows: list[tuple], chunk: int, shards: int) -> list[tuple[int,
             out.append((p, chunk, pack(w=hashes[own], n=per_word[own].astype(np.uint32),
                                        u=six_bytes(context_hash[a:b]), c=counts[a:b].astype(np.uint32))))
     out.append((-1 - chunk, -1, pack(
-        index=index.astype(np.uint32), starts=starts, held=held,
-        ids=[i for i, _, _ in rows])))
+        index=index, starts=starts, held=held, ids=list(ids))))
     return out
 
 
 def encoder(shards: int, chunk_tokens: int, is_held_out: Callable[[object], bool]):
     def encode(batches):
-        base, seq, rows, size = TaskContext.get().partitionId() << 24, 0, [], 0
+        base, seq = TaskContext.get().partitionId() << 24, 0
+        vocabulary, ids, held, sequences, size = Vocabulary({END: 0}), [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = text_bytes(text).lower().split()
-                rows.append((doc_id, is_held_out(doc_id), words))
-                size += len(words) + 1
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = word_ids(vocabulary, text_bytes(text.as_py()).lower().split() + [END])
+                ids.append(doc_id)
+                held.append(is_held_out(doc_id))
+                sequences.append(words.astype(np.int32))
+                size += len(words)
                 if size >= chunk_tokens:
-                    yield block_batch(encode_chunk(rows, base + seq, shards))
-                    seq, rows, size = seq + 1, [], 0
-        if rows:
-            yield block_batch(encode_chunk(rows, base + seq, shards))
+                    yield block_batch(encode_chunk(vocabulary, ids, held, sequences, base + seq, shards))
+                    seq += 1
+                    vocabulary, ids, held, sequences, size = Vocabulary({END: 0}), [], [], [], 0
+        if ids:
+            yield block_batch(encode_chunk(vocabulary, ids, held, sequences, base + seq, shards))
     return encode
 
 

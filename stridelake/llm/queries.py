@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hpylm
+from . import hpylm, packing, simhash, suffixes
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,21 @@ def query(fn):
 def op1_hpy_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out and training scores of all documents under the Pitman-Yor model."""
     return hpylm.score_documents(documents(spark, sf_dir))
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What 50-byte suffix deduplication leaves of every document."""
+    return suffixes.removal_digest(suffixes.remove_repeats(documents(spark, sf_dir)))
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.fingerprint_digest(simhash.near_duplicates(documents(spark, sf_dir)))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 2048 tokens."""
+    return packing.pack_documents(documents(spark, sf_dir))
