@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hpylm, packing, simhash, suffixes
+from . import hpylm, packing, simhash, sketches, suffixes
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 2048 tokens."""
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of every text and of its edited form."""
+    return sketches.edit_report(documents(spark, sf_dir))

@@ -112,7 +112,7 @@ class Chunk:
         self.stops = stops
         self.at, h = anchors(self.text, stops, length, gram)
         self.doc = np.searchsorted(stops, self.at, "right")
-        self.shard = (h % np.uint64(shards)).astype(np.int64)
+        self.shard = ((h >> np.uint64(1)) % np.uint64(shards)).astype(np.int64)  # bit 0 is always set
         code = (self.shard.astype(np.uint64) << np.uint64(32)) | (h >> np.uint64(32))
         self.codes, self.code = np.unique(code, return_inverse=True)
         self.cuts = np.searchsorted(self.codes, np.arange(shards + 1, dtype=np.uint64) << np.uint64(32))
