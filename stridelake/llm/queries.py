@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hpylm, packing, simhash, sketches, suffixes
+from . import hpylm, mixing, packing, simhash, sketches, suffixes
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,9 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k fingerprints of every text and of its edited form."""
     return sketches.edit_report(documents(spark, sf_dir))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of sources takes."""
+    return mixing.mixing_digest(mixing.mix_sources(documents(spark, sf_dir)))
