@@ -120,3 +120,33 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
+
+
+def word_chunks(batches, text_column: int, max_words: int, normal=lambda text: text.lower()):
+    """Runs of documents with their words numbered: (rows without the text as
+    lists, texts empty or not and with letters or not, words, sequences)."""
+    keep = None
+    rows, letters, vocabulary, sequences, size = [], [], Vocabulary(), [], 0
+    for batch in batches:
+        keep = [i for i in range(batch.num_columns) if i != text_column]
+        others = zip(*(batch.column(i).to_pylist() for i in keep)) if keep else iter([()] * batch.num_rows)
+        for row, text in zip(others, batch.column(text_column)):
+            text = text.as_py() or ""
+            words = word_ids(vocabulary, normal(text).encode("utf-8").split())
+            rows.append(row)
+            letters.append(any(map(str.isalpha, text)))
+            sequences.append(words.astype(np.int32))
+            size += len(words) + 8
+            if size >= max_words:
+                yield rows, letters, list(vocabulary), sequences
+                rows, letters, vocabulary, sequences, size = [], [], Vocabulary(), [], 0
+    if rows:
+        yield rows, letters, list(vocabulary), sequences
+
+
+def sample_rows(rows: DataFrame, by: str, per_class: int, max_classes: int, seed: int) -> DataFrame:
+    """About ``per_class`` rows of each class, by a hash of the row: a bounded
+    training sample that reruns repeat. Classes with fewer rows are whole."""
+    counts = rows.groupBy(by).count().orderBy(F.desc("count"), by).limit(max_classes)
+    share = F.pmod(F.xxhash64(*[c for c in rows.columns if c != by], F.lit(seed)), F.col("count")) < per_class
+    return rows.join(F.broadcast(counts), by).where(share).select(*rows.columns)

@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hpylm, mixing, packing, simhash, sketches, suffixes
-from .common import documents
+from . import hpylm, langid, line_rules, mixing, packing, simhash, sketches, suffixes
+from .common import crc_mod_column, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +55,16 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of sources takes."""
     return mixing.mixing_digest(mixing.mix_sources(documents(spark, sf_dir)))
+
+
+@query
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-frequency quality rules over every document, by source."""
+    return line_rules.apply_line_rules(documents(spark, sf_dir))
+
+
+@query
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by error-correcting output codes."""
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(docs, crc_mod_column(docs["doc_id"], 4) != 2))
