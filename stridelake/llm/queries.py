@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hpylm, langid, line_rules, mixing, packing, simhash, sketches, suffixes
-from .common import crc_mod_column, documents
+from . import (hpylm, langid, line_rules, mixing, ordinal, packing, simhash, sketches, suffixes,
+               toxicity)
+from .common import crc_mod_column, documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +69,17 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by error-correcting output codes."""
     docs = documents(spark, sf_dir)
     return langid.identify(docs, langid.train(docs, crc_mod_column(docs["doc_id"], 4) != 2))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the string-kernel machine."""
+    docs, marks = documents(spark, sf_dir), labels(spark, sf_dir)
+    return toxicity.score_toxicity(docs, toxicity.train(docs, marks, crc_mod_column(marks["doc_id"], 4) != 2))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document and the chance that it is good enough."""
+    docs, ratings = documents(spark, sf_dir), ordinal.grades_of(labels(spark, sf_dir))
+    return ordinal.grade_documents(docs, ordinal.train(docs, ratings, crc_mod_column(ratings["doc_id"], 4) != 2))
