@@ -243,9 +243,9 @@ def one_of_each(docs: DataFrame, *, words: int = 3, limit: int = 3) -> DataFrame
     found = near_duplicates(docs, words=words, limit=limit)
     best = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("best"))
-    best = best.select(F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"))
+    best = best.select(F.col("best.doc_id").alias("__best_id"), F.col("best.text_hash").alias("__best_hash"))
     marked = docs.select(*[F.col(c) for c in docs.columns], text_hash().alias("__hash"))
-    kept = marked.join(best, marked["doc_id"].cast("long").eqNullSafe(best["best_id"])
-                       & (marked["__hash"] == best["best_hash"]))
-    copies = Window.partitionBy("best_id", "__hash").orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+    kept = marked.join(best, marked["doc_id"].cast("long").eqNullSafe(best["__best_id"])
+                       & (marked["__hash"] == best["__best_hash"]))
+    copies = Window.partitionBy("__best_id", "__hash").orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
     return kept.withColumn("__row", F.row_number().over(copies)).where("__row = 1").select(*docs.columns)

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import (BLOCK, block_batch, block_table, blocks, group_key, mix64, pack, shard_count,
                      small_batches, text_bytes, unpack)
@@ -124,16 +125,28 @@ def least_by(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def as_bytes(batches: list[pa.RecordBatch]) -> bytes | None:
+    """Columns that only pass through, as an Arrow stream."""
+    if not batches:
+        return None
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema) as out:
+        for batch in batches:
+            out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def reader(length: int, gram: int, shards: int, chunk_bytes: int):
-    """Chunks of documents; the anchors they hold to the anchors' shards."""
-    def flush(ids, texts, chunk):
+    """Chunks of documents; the anchors they hold to the anchors' shards.
+    Columns after the first two (id and text) pass through."""
+    def flush(ids, texts, others, chunk):
         stops = np.cumsum([len(t) for t in texts])
         own = Chunk(b"".join(texts), stops, length, gram, shards)
         low, high = np.full(len(own.codes), LAST), np.full(len(own.codes), -1)
         np.minimum.at(low, own.code, own.doc)
         np.maximum.at(high, own.code, own.doc)
         several = low < high
-        out = [(-1 - chunk, -2, pack(text=b"".join(texts), stops=stops, ids=ids))]
+        out = [(-1 - chunk, -2, pack(text=b"".join(texts), stops=stops, ids=ids, others=as_bytes(others)))]
         for p in range(shards):
             a, b = own.cuts[p], own.cuts[p + 1]
             if a < b:
@@ -143,17 +156,23 @@ def reader(length: int, gram: int, shards: int, chunk_bytes: int):
         return block_batch(out)
 
     def run(batches):
-        base, seq, ids, texts, size = TaskContext.get().partitionId() << 24, 0, [], [], 0
+        base, seq = TaskContext.get().partitionId() << 24, 0
+        ids, texts, others, size = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            first = 0
+            for i, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
                 ids.append(doc_id)
                 texts.append(text_bytes(text.as_py()))
                 size += len(texts[-1])
+                if size >= chunk_bytes or i + 1 == batch.num_rows:
+                    if batch.num_columns > 2:
+                        others.append(batch.slice(first, i + 1 - first).select(batch.schema.names[2:]))
+                    first = i + 1
                 if size >= chunk_bytes:
-                    yield flush(ids, texts, base + seq)
-                    seq, ids, texts, size = seq + 1, [], [], 0
+                    yield flush(ids, texts, others, base + seq)
+                    seq, ids, texts, others, size = seq + 1, [], [], [], 0
         if ids:
-            yield flush(ids, texts, base + seq)
+            yield flush(ids, texts, others, base + seq)
     return run
 
 
@@ -338,56 +357,92 @@ def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+def removal(left: pa.Table, right: pa.Table, length: int) -> tuple[dict, np.ndarray]:
+    """(a chunk's own block, mask of the bytes of its text that go)."""
+    own = unpack(blocks(left)[0][1])
+    gone = np.zeros(len(own["text"]) + 1, np.int32)
+    replies = [(s, unpack(b)) for s, b in blocks(right)]
+    if len(replies) > 1:
+        kept = replies[0][1]
+        holders = np.concatenate([x["holders"] for s, x in replies if s >= 0])
+        order = np.array([LAST if i is None else i for i in own["ids"]], np.int64)[kept["doc"]]
+        for r in range(holders.shape[1]):
+            at = kept["begin"][holders[kept["group"], r] < order].astype(np.int64) + r
+            np.add.at(gone, at, 1)
+            np.add.at(gone, at + length, -1)
+    return own, np.cumsum(gone[:-1]) > 0
+
+
+def kept_bytes(own: dict, mask: np.ndarray):
+    """(id, size, mask, remaining bytes) of each document of a chunk."""
+    text, begin = own["text"], 0
+    letters = np.frombuffer(text, np.uint8)
+    for doc_id, stop in zip(own["ids"], own["stops"].tolist()):
+        cut = mask[begin:stop]
+        yield doc_id, stop - begin, cut, letters[begin:stop][~cut].tobytes() if cut.any() else text[begin:stop]
+        begin = stop
+
+
 def remover(length: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        key = group_key(left, right)
-        if key >= 0 or not left.num_rows:
+        if group_key(left, right) >= 0 or not left.num_rows:
             return RESULT_ARROW.empty_table()
-        own, text = unpack(blocks(left)[0][1]), None
-        text, stops, ids = own["text"], own["stops"], own["ids"]
-        gone = np.zeros(len(text) + 1, np.int32)
-        replies = [(s, unpack(b)) for s, b in blocks(right)]
-        if len(replies) > 1:
-            kept = replies[0][1]
-            holders = np.concatenate([x["holders"] for s, x in replies if s >= 0])
-            order = np.array([LAST if i is None else i for i in ids], np.int64)[kept["doc"]]
-            for r in range(holders.shape[1]):
-                at = kept["begin"][holders[kept["group"], r] < order].astype(np.int64) + r
-                np.add.at(gone, at, 1)
-                np.add.at(gone, at + length, -1)
-        mask = np.cumsum(gone[:-1]) > 0
-        keep = np.frombuffer(text, np.uint8)
-        rows, begin = {"doc_id": [], "n_bytes": [], "spans": [], "kept": []}, 0
-        for doc_id, stop in zip(ids, stops.tolist()):
-            cut = mask[begin:stop]
+        rows = {"doc_id": [], "n_bytes": [], "spans": [], "kept": []}
+        for doc_id, size, cut, kept in kept_bytes(*removal(left, right, length)):
+            a, b = runs_of(cut)
             rows["doc_id"].append(doc_id)
-            rows["n_bytes"].append(stop - begin)
-            if cut.any():
-                a, b = runs_of(cut)
-                rows["spans"].append([{"start": x, "stop": y} for x, y in zip(a.tolist(), b.tolist())])
-                rows["kept"].append(keep[begin:stop][~cut].tobytes())
-            else:
-                rows["spans"].append([])
-                rows["kept"].append(text[begin:stop])
-            begin = stop
+            rows["n_bytes"].append(size)
+            rows["spans"].append([{"start": x, "stop": y} for x, y in zip(a.tolist(), b.tolist())])
+            rows["kept"].append(kept)
         return pa.Table.from_pydict(rows, schema=RESULT_ARROW)
     return run
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 50, gram: int = 24,
-                   chunk_bytes: int = 16_000_000) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept``: the removed byte spans (maximal, end
-    exclusive) and the remaining bytes of every document."""
+def text_replacer(length: int, schema: pa.Schema):
+    """The documents themselves, with what is left of their texts (characters
+    that lost a byte go whole)."""
+    def run(left, right):
+        if group_key(left, right) >= 0 or not left.num_rows:
+            return schema.empty_table()
+        own, mask = removal(left, right, length)
+        texts = [kept.decode("utf-8", "ignore") for _, _, _, kept in kept_bytes(own, mask)]
+        columns = {"doc_id": pa.array(own["ids"], pa.int64()), "text": pa.array(texts, pa.string())}
+        if own["others"] is not None:
+            others = pa.ipc.open_stream(own["others"]).read_all()
+            columns |= {n: others.column(n) for n in others.column_names}
+        return pa.table([columns[n] for n in schema.names], schema.names).cast(schema)
+    return run
+
+
+def mark_repeats(docs: DataFrame, others: list[str], finish, schema, length: int, gram: int,
+                 chunk_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     shards = shard_count(spark)
     by_key = lambda df: df.groupBy("key")
-    sent = docs.select(docs["doc_id"].cast("long"), docs["text"]) \
+    sent = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *[docs[c] for c in others]) \
         .mapInArrow(reader(length, gram, shards, chunk_bytes), BLOCK)
     shared = by_key(sent).applyInArrow(common_anchors, BLOCK)
     contexts = by_key(sent).cogroup(by_key(shared)).applyInArrow(context_sender(length, gram, shards), BLOCK)
     holders = by_key(contexts).applyInArrow(holder_finder(length), BLOCK)
-    return by_key(sent).cogroup(by_key(holders)).applyInArrow(remover(length), RESULT)
+    return by_key(sent).cogroup(by_key(holders)).applyInArrow(finish, schema)
+
+
+def remove_repeats(docs: DataFrame, *, length: int = 50, gram: int = 24,
+                   chunk_bytes: int = 16_000_000) -> DataFrame:
+    """``doc_id, n_bytes, spans, kept``: the removed byte spans (maximal, end
+    exclusive) and the remaining bytes of every document."""
+    return mark_repeats(docs, [], remover(length), RESULT, length, gram, chunk_bytes)
+
+
+def without_repeats(docs: DataFrame, *, length: int = 50, gram: int = 24,
+                    chunk_bytes: int = 16_000_000) -> DataFrame:
+    """``docs`` with the repeated bytes gone from their texts; all documents
+    stay, those that repeat others entirely with an empty text."""
+    names = docs.columns
+    others = [c for c in names if c not in ("doc_id", "text")]
+    schema = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *others).select(*names).schema
+    return mark_repeats(docs, others, text_replacer(length, to_arrow_schema(schema)), schema, length, gram, chunk_bytes)
 
 
 def removal_digest(removed: DataFrame) -> DataFrame:
