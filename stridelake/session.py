@@ -9,6 +9,8 @@ run time from real shuffle statistics.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -68,32 +70,33 @@ def build_session(master: str | None = None, app_name: str = "stridelake",
 def apply_defaults(spark: SparkSession, tuning: bool = False) -> SparkSession:
     """Apply the required settings (and, with ``tuning=True``, the tuning
     defaults) to an existing session."""
-    conf = {**REQUIRED_CONF, **(TUNING_CONF if tuning else {})}
-    for key, value in conf.items():
-        if key == "spark.ui.enabled":
-            continue
-        try:
+    for key, value in REQUIRED_CONF.items():
+        spark.conf.set(key, value)  # results depend on it: a refusal is an error
+    for key, value in (TUNING_CONF if tuning else {}).items():
+        if spark.conf.isModifiable(key):  # static ones are the cluster's choice
             spark.conf.set(key, value)
-        except Exception:  # static conf already fixed by the cluster
-            pass
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it); only when it is
-    unset, as in tests, fall back to ``STRIDELAKE_CHECKPOINT_DIR``.
+    Read from ``spark.checkpoint.dir`` (the cluster names it), else from
+    ``STRIDELAKE_CHECKPOINT_DIR``. With neither, a single-process session
+    (tests) gets a temporary folder of its own; a cluster gets an error, since
+    a machine's own folder would be lost with it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or os.environ.get("STRIDELAKE_CHECKPOINT_DIR")
     if not root:
-        root = os.environ.get("STRIDELAKE_CHECKPOINT_DIR")
-        if not root:
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-    try:
-        spark.sparkContext.setCheckpointDir(root)   # classic sessions
-    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
-        pass
+        root = _LOCAL_ROOTS.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="stridelake-")
+        _LOCAL_ROOTS[context.applicationId] = root
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 
