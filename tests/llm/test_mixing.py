@@ -1,0 +1,100 @@
+"""Mixing: shares of the total, balance inside sources, whole copies."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stridelake.llm import mixing as M
+from tests.llm.fixtures import documents_frame, words_of
+
+
+def brute_targets(sizes, cap=3.0):
+    """Raises all shares together, in small steps, stopping each at its cap."""
+    weights = [1 + i % 3 for i in range(len(sizes))]
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(min(cap * s, level * w) for s, w in zip(sizes, weights)) < sum(sizes):
+            low = level
+        else:
+            high = level
+    return [min(cap * s, high * w) for s, w in zip(sizes, weights)]
+
+
+def test_targets():
+    for sizes in ([10, 10, 10], [1, 100, 1000], [0, 5, 0, 7], [500], [3, 1, 1, 90, 2, 2, 2]):
+        got = M.share_targets(sizes, [1 + i % 3 for i in range(len(sizes))], 3)
+        assert got == pytest.approx(brute_targets(sizes), rel=1e-6, abs=1e-6)
+    assert M.share_targets([], [], 3) == []
+
+
+def test_flight_keeps_both_totals():
+    rng = np.random.default_rng(0)
+    for _ in range(30):
+        n = int(rng.integers(1, 300))
+        size, p = rng.integers(0, 50, n), rng.random(n)
+        out, held = M.fly(size, p, rng)
+        assert len(held) <= 2 and ((out >= 0) & (out <= 1)).all()
+        assert out.sum() == pytest.approx(p.sum(), abs=1e-6 * n)
+        assert (out * size).sum() == pytest.approx((p * size).sum(), abs=1e-4 * n)
+        landed = M.land(size, p, rng)
+        assert set(np.unique(landed)) <= {0.0, 1.0}
+
+
+def test_inclusion_probabilities_are_kept():
+    size, p = np.array([5, 9, 9, 14, 2, 2, 30, 7, 7, 1] * 3), np.full(30, 0.37)
+    rng = np.random.default_rng(1)
+    mean = np.mean([M.land(size, p, rng) for _ in range(3000)], axis=0)
+    assert np.abs(mean - p).max() < 0.08
+
+
+def test_operator(spark):
+    docs = documents_frame(spark)
+    mixed = M.mixing_digest(M.mix_sources(docs, block_rows=5))
+    got = mixed.collect()
+    rows = docs.select("doc_id", "text", "source").collect()
+    assert sorted((r["doc_id"] or -1, r["size"]) for r in got) == sorted((r["doc_id"] or -1, len(words_of(r["text"]))) for r in rows)
+    names = sorted({r["source"] for r in rows}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(len(words_of(r["text"])) for r in rows if r["source"] == s) for s in names]
+    targets = brute_targets(sizes)
+    source = {}
+    for r in rows:
+        source.setdefault((r["doc_id"], len(words_of(r["text"]))), r["source"])
+    taken = dict.fromkeys(names, 0)
+    for r in got:
+        s = names.index(source[r["doc_id"], r["size"]])
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(targets[s])
+        assert r["taken"] <= 3 * r["size"] and (not r["size"] or r["taken"] % r["size"] == 0)
+        taken[names[s]] += r["taken"]
+    largest = max(r["size"] for r in got)
+    assert all(abs(taken[s] - t) <= largest for s, t in zip(names, targets))
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, got))
+
+
+def test_balance_on_many_documents(spark):
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 5))).alias("source"),
+        F.repeat(F.lit("w "), (F.pmod(F.hash("id"), F.lit(40)) + 1).cast("int")).alias("text"))
+    sums = M.mix_sources(docs, block_rows=300).groupBy("source_size", "target").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.sum("copies").alias("copies"), F.count("*").alias("n")).collect()
+    for r in sums:
+        assert abs(r["taken"] - r["target"]) <= 0.01 * r["target"]
+        assert abs(r["copies"] - r["n"] * r["target"] / r["source_size"]) <= 0.02 * r["n"] + 2
+
+
+def test_documents_are_repeated(spark):
+    docs = documents_frame(spark)
+    mixed = M.mix_sources(docs).agg(F.sum("copies")).first()[0]
+    repeated = M.repeat_documents(docs)
+    assert repeated.columns == docs.columns and repeated.count() == mixed
+    assert repeated.exceptAll(docs.unionAll(docs).unionAll(docs)).count() == 0
+
+
+def test_too_many_sources(spark):
+    with pytest.raises(ValueError):
+        M.mix_sources(documents_frame(spark), max_sources=2)
+
+
+def test_empty_table(spark):
+    docs = documents_frame(spark).limit(0)
+    assert M.mix_sources(docs).count() == 0 and M.repeat_documents(docs).count() == 0

@@ -1,0 +1,65 @@
+"""The pipeline's stages, each against what its predecessor kept."""
+
+from collections import Counter
+
+import corpus_pipeline as P
+from pyspark.sql import functions as F
+
+from stridelake.llm import langid, simhash, suffixes
+from stridelake.llm.common import crc_mod_column
+from tests.llm.fixtures import documents_frame
+from tests.llm.test_packing import reference_ids
+from tests.llm.test_simhash import brute_components, brute_print
+from tests.llm.test_suffixes import brute_force
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_one_by_one(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(150) \
+        .unionByName(documents_frame(spark).select(COLUMNS).withColumn("doc_id", F.col("doc_id") + 10000))
+    names = [n for n, _ in P.STAGES]
+    assert len(names) == 5
+    kept = []
+    for name, stage in P.STAGES:
+        path = str(tmp_path / name)
+        stage(spark, docs, "unused").write.parquet(path)
+        kept.append((docs, spark.read.parquet(path)))
+        docs = kept[-1][1]
+        if name != names[-1]:
+            assert docs.columns == COLUMNS
+
+    before, after = kept[0]
+    model = langid.train(before, crc_mod_column(before["doc_id"], 4) != 2)
+    clear = langid.identify(before, model, ambiguity=0.8).where("lang_pred <> 'und' and not ambiguous")
+    assert after.count() == clear.count() < before.count()
+
+    before, after = kept[1]
+    rows = before.collect()
+    label = brute_components([brute_print(r["text"]) for r in rows], [r["doc_id"] for r in rows])[1]
+    assert after.count() == len(set(label)) and after.exceptAll(before).count() == 0
+
+    before, after = kept[2]
+    rows = [(r["doc_id"], r["text"]) for r in before.collect()]
+    removed = {r[0]: r for r in suffixes.removal_digest(suffixes.remove_repeats(before)).collect()}
+    assert sorted((tuple(r) for r in removed.values()), key=str) == brute_force(rows, 50)
+    for r in after.collect():
+        own = removed[r["doc_id"]]
+        size = len(r["text"].encode())
+        assert own["n_bytes"] - own["n_removed"] - 6 * own["n_spans"] <= size <= own["n_bytes"] - own["n_removed"]
+        assert r["n_chars"] == len(r["text"])
+
+    before, after = kept[3]
+    copies = Counter((r["doc_id"], r["text"]) for r in after.collect())
+    assert set(copies) <= {(r["doc_id"], r["text"]) for r in before.collect()} and max(copies.values()) <= 3
+
+    before, after = kept[4]
+    total = sum(len(x) + 1 for x in reference_ids([r["text"] or "" for r in before.collect()]))
+    assert after.agg(F.sum("length")).first()[0] == total
+    filled = after.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("e"))
+    assert filled.where("n <> e or n > 2048").count() == 0
+
+
+def test_run(spark):
+    out = P.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 0 and "sequence_id" in out.columns

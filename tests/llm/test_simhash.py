@@ -1,0 +1,103 @@
+"""SimHash fingerprints, index and components against brute force."""
+
+import numpy as np
+import pytest
+import xxhash
+
+from stridelake.llm import simhash as S
+from stridelake.llm.components import components
+from tests.llm.fixtures import documents_frame, words_of
+
+
+def brute_print(text, n=3):
+    words = words_of(text, lower=True)
+    shingles = [" ".join(words[i:i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints, ids):
+    label = list(range(len(prints)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(prints)):
+            for j in range(i):
+                if label[i] != label[j] and (prints[i] ^ prints[j]).bit_count() <= 3:
+                    a, b = sorted((label[i], label[j]))
+                    label = [a if x == b else x for x in label]
+                    changed = True
+    least = {}
+    for x, i in zip(label, ids):
+        if i is not None:
+            least[x] = min(least.get(x, i), i)
+    return [least.get(x) for x in label], label
+
+
+def test_operator_against_brute_force(spark):
+    docs = documents_frame(spark)
+    rows = docs.select("doc_id", "text").collect()
+    prints = [brute_print(r["text"]) for r in rows]
+    least, label = brute_components(prints, [r["doc_id"] for r in rows])
+    want = sorted(((r["doc_id"], f"{p:016x}", c) for r, p, c in zip(rows, prints, least)), key=str)
+    got = S.fingerprint_digest(S.near_duplicates(docs)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == want
+    assert len(set(label)) < len(rows)
+
+    left = S.one_of_each(docs)
+    assert left.columns == docs.columns
+    kept = left.collect()
+    assert len(kept) == len(set(label))
+    assert sorted(str(brute_components([brute_print(r["text"]) for r in kept], [r["doc_id"] for r in kept])[1])) == \
+        sorted(str(list(range(len(kept)))))
+
+
+def test_index_against_brute_force():
+    rng = np.random.default_rng(0)
+    for _ in range(25):
+        n = int(rng.integers(1, 400))
+        base = rng.integers(0, 2**64, size=max(1, n // int(rng.integers(1, 40))), dtype=np.uint64)
+        f = base[rng.integers(0, len(base), n)]
+        for _ in range(int(rng.integers(0, 5))):
+            f = f ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
+        f = np.unique(f)
+        index = S.GrayIndex((f >> np.uint64(int(rng.integers(50, 64)))).astype(np.uint64), f)
+        got = index.link(3, batch=int(rng.integers(1, 90))).label
+        want = S.Forest(len(f))
+        for i in range(len(f)):
+            near = np.flatnonzero((np.bitwise_count(index.fp[i] ^ index.fp) <= 3) & (index.bucket == index.bucket[i]))
+            want.join(np.full(len(near), i), near)
+        assert (got == want.label).all()
+
+
+def test_every_link_shares_two_blocks():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        a = int(rng.integers(0, 2**63))
+        b = a
+        for bit in rng.choice(64, 3, replace=False).tolist():
+            b ^= 1 << bit
+        same = sum((a >> s) % (1 << w) == (b >> s) % (1 << w) for s, w in S.BLOCKS)
+        assert same >= 2
+    assert sum(w for _, w in S.BLOCKS) == 64
+
+
+def test_gray_rank_orders_code_words():
+    codes = np.array([i ^ (i >> 1) for i in range(64)], np.uint64)
+    assert S.gray_rank(codes).tolist() == list(range(64))
+
+
+def test_components_of_a_long_chain(spark):
+    chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (300, 200)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 61)}, 101: 100, 300: 200}
+
+
+def test_wide_limits_are_refused(spark):
+    with pytest.raises(ValueError):
+        S.link_components(spark.createDataFrame([(1, 2, 3)], "doc_id long, text_hash long, fp long"), limit=4)
+
+
+def test_empty_table(spark):
+    docs = documents_frame(spark).limit(0)
+    assert S.near_duplicates(docs).count() == 0 and S.one_of_each(docs).count() == 0

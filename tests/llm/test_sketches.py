@@ -1,0 +1,74 @@
+"""Bottom-k sketches against exact sets."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from stridelake.llm import sketches as S
+from tests.llm.fixtures import documents_frame
+
+
+def shingle_set(text, n=5):
+    words = (text or "").lower().replace("\n", " ").replace("\t", " ").split(" ")
+    words = [w for w in words if w]
+    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def test_likeness_is_exact_below_k_and_close_above(spark):
+    docs = documents_frame(spark).where("doc_id is not null").select("doc_id", "text")
+    pairs = docs.alias("a").join(docs.alias("b"), F.col("a.doc_id") < F.col("b.doc_id")).where("b.doc_id % 2 = 0") \
+        .select(F.col("a.text").alias("x"), F.col("b.text").alias("y"))
+    rows = pairs.select("x", "y", S.sketch("x").alias("s"), S.sketch("y").alias("t")).select(
+        "x", "y", S.resemblance("s", "t").alias("j"), S.containment("s", "t").alias("c"),
+        S.distinct_count("s").alias("n")).collect()
+    assert rows
+    for r in rows:
+        a, b = shingle_set(r["x"]), shingle_set(r["y"])
+        exact = len(a | b) <= S.K
+        want = len(a & b) / len(a | b) if a | b else 1.0
+        assert r["j"] == pytest.approx(want, abs=1e-9 if exact else 0.2)
+        assert r["n"] == pytest.approx(len(a), rel=1e-9 if len(a) < S.K else 0.35)
+        if exact:
+            assert r["c"] == pytest.approx(len(a & b) / len(a) if a else 1.0, abs=1e-9)
+
+
+def test_merged_parts_are_the_whole(spark):
+    words = [f"w{i}" for i in range(3000)]
+    parts = spark.createDataFrame([("k", " ".join(words[a:a + 104])) for a in range(0, 2900, 100)], "k string, text string")
+    whole = spark.createDataFrame([("k", " ".join(words[:2904]))], "k string, text string")
+    merged = S.merge_parts(parts.select("k", S.sketch("text").alias("s")), ["k"], "s", fan_in=3).first()["s"]
+    assert merged == whole.select(S.sketch("text")).first()[0]
+    assert S.merge_parts(parts.limit(0).select("k", S.sketch("text").alias("s")), ["k"], "s").count() == 0
+
+
+@pytest.mark.parametrize("range_rows", [1, 7, 1500])
+def test_next_by_descending_id(spark, range_rows):
+    docs = documents_frame(spark).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = sorted(((r["doc_id"], r["text"]) for r in docs.collect()),
+                  key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()))
+    got = S.with_next(docs, ["text"], range_rows=range_rows).collect()
+    want = [(d, t, rows[(i + 1) % len(rows)][1]) for i, (d, t) in enumerate(rows)]
+    assert sorted(map(str, ((r["doc_id"], r["text"], r["next_text"]) for r in got))) == sorted(map(str, want))
+
+
+def test_edit_report(spark):
+    docs = documents_frame(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), reverse=True)
+    got = {r["doc_id"]: r for r in S.edit_report(docs).collect()}
+    assert len(got) == len(rows)
+    prints = {}
+    for i, (d, t) in enumerate(rows):
+        n = len(t)
+        edited = t[:n - n // 2] + rows[(i + 1) % len(rows)][1][:n // 2]
+        assert (got[d]["n_chars"], got[d]["edited_sha256"]) == (n, hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= got[d]["near_edited"] <= 1 and 0 <= got[d]["near_next"] <= 1
+        assert prints.setdefault(t, got[d]["fingerprint"]) == got[d]["fingerprint"]
+        if edited == t:
+            assert got[d]["near_edited"] == 1 and got[d]["edited_fingerprint"] == got[d]["fingerprint"]
+    plan = S.edit_report(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_empty_table(spark):
+    assert S.edit_report(documents_frame(spark).limit(0)).count() == 0
