@@ -7,8 +7,9 @@ inserted-character spelling keeps most of a word's subsequences. The kernel is
 normalised by the words' own norms. Runs of single letters are joined to one
 word more, which catches spaced-out spellings.
 
-Model. A sentence is as toxic as its most toxic word, a document as its most
-toxic sentence. Labels are known for documents only, so training picks the
+Model. A sentence is as toxic as its most toxic word; a document is judged by
+the three most toxic different words of all its sentences, since one word may
+look like an insult by chance. Labels are known for documents only, so training picks the
 witness word of each toxic document, fits, and picks again (multiple-instance
 learning); every word of the sentences of clean documents is an example
 against. Landmarks are witness words; a word's Nyström features are its kernel
@@ -16,7 +17,7 @@ with them times the inverse root of the landmarks' own kernel matrix, and a
 squared-hinge SVM is fitted on these. Since the decision is linear in the
 kernel values, and these in the subsequences, it becomes one number for each
 subsequence of the landmarks: scoring a word looks its own up and divides by
-its norm. A logistic curve over documents' decisions gives the score.
+its norm. A logistic curve over a document's three decisions gives the score.
 
 Scale. Training uses a bounded sample (``max_toxic`` and ``max_clean`` labelled
 documents, collected to the driver); the landmarks' table is small and travels
@@ -42,6 +43,8 @@ from pyspark.sql import functions as F
 from .common import crc_mod, sample_rows, small_batches, word_chunks
 
 LENGTH, SPAN, DECAY = 4, 6, 0.7
+#: Most toxic words of a document that its score weighs.
+TOP = 3
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
 RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()),
                           ("predicted", pa.int32())])
@@ -96,7 +99,7 @@ class Model:
     """Subsequence codes that matter with what they add to a decision, the
     decision's bias and the score's curve."""
 
-    def __init__(self, codes: np.ndarray, gains: np.ndarray, bias: float, curve: tuple[float, float]):
+    def __init__(self, codes: np.ndarray, gains: np.ndarray, bias: float, curve: np.ndarray | None = None):
         self.codes, self.gains, self.bias, self.curve = codes, gains, bias, curve
 
     def decide(self, words: list[bytes]) -> np.ndarray:
@@ -117,9 +120,19 @@ class Model:
             out[touched] += np.bincount(owner, weights=gain, minlength=len(some)) / np.maximum(size, 1e-12)
         return out
 
-    def score(self, decisions: np.ndarray) -> np.ndarray:
-        a, b = self.curve
-        return 1 / (1 + np.exp(-np.clip(a * decisions + b, -30, 30)))
+    def strongest(self, decisions: np.ndarray) -> np.ndarray:
+        """The TOP largest different decisions, filled up with the bias."""
+        if len(decisions) > 32:
+            decisions = np.partition(decisions, -32)[-32:]
+        best = np.unique(np.append(decisions, self.bias))[::-1][:TOP]
+        return np.append(best, np.full(TOP - len(best), self.bias))
+
+    def score(self, tops: np.ndarray) -> np.ndarray:
+        """Scores of rows of strongest decisions."""
+        return 1 / (1 + np.exp(-np.clip(tops @ self.curve[:-1] + self.curve[-1], -30, 30)))
+
+    def score_words(self, words: list[bytes]) -> float:
+        return float(self.score(self.strongest(self.decide(words))[None])[0])
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, rounds: int = 30) -> np.ndarray:
@@ -140,20 +153,23 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
-def fit_curve(decision: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Logistic curve by Newton, with Platt's smoothed targets."""
+def fit_curve(tops: np.ndarray, label: np.ndarray, rounds: int = 4000) -> np.ndarray:
+    """Logistic curve with rising (non-negative) slopes and Platt's smoothed
+    targets, by projected gradient steps."""
     up, down = label.sum(), (1 - label).sum()
     target = np.where(label == 1, (up + 1) / (up + 2), 1 / (down + 2))
-    x = np.stack([decision, np.ones(len(decision))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (p - target) + 1e-3 * (w - [1.0, 0.0]))
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-7:
-            break
-    return max(1e-3, float(w[0])), float(w[1])
+    x = np.hstack([tops, np.ones((len(tops), 1))])
+    w = np.append(np.full(TOP, 1.0 / TOP), 0.0)
+    h = 0.25 * x.T @ x / len(x) + 1e-4 * np.eye(TOP + 1)
+    step = 1 / np.linalg.eigvalsh(h).max()
+    slow = w.copy()
+    for t in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(slow @ x.T, -30, 30)))
+        new = slow - step * (x.T @ (p - target) / len(x) + 1e-4 * slow)
+        new[:TOP] = np.maximum(new[:TOP], 0.05)
+        slow = new + t / (t + 3) * (new - w)
+        w = new
+    return w
 
 
 def joined_letters(words: list[bytes]) -> list[bytes]:
@@ -245,7 +261,7 @@ def train_model(texts: list[str], label: np.ndarray, *, landmarks: int = 160, ro
             np.add.at(k, own[hit], (phi[:, place[hit]] * v[hit]).T)
             return k / size[:, None] @ root
 
-        probe = Model(codes, np.ones(len(codes)), 0.0, (1.0, 0.0))
+        probe = Model(codes, np.ones(len(codes)), 0.0)
         near = probe.decide([words[i] for i in clean])
         against = [i for i, x in zip(clean, near) if x > 0.15]
         positive = [i for i in picked if i not in clean or picked[i] > 3 * clean[i]]
@@ -263,10 +279,9 @@ def train_model(texts: list[str], label: np.ndarray, *, landmarks: int = 160, ro
             plus / plus.sum(), np.repeat(plus, variants) / plus.sum() * 0.5 / max(1, variants),
             np.minimum(minus / minus.sum() + 1.0 / len(minus), 0.05)])
         w = squared_hinge(x, y, weight, ridge)
-        model = Model(codes, phi.T @ (root @ w[:-1]), float(w[-1]), (1.0, 0.0))
+        model = Model(codes, phi.T @ (root @ w[:-1]), float(w[-1]))
         decision = model.decide(words)
-    top = np.array([decision[d].max() if len(d) else model.bias for d in ids])
-    model.curve = fit_curve(top, label.astype(float))
+    model.curve = fit_curve(np.array([model.strongest(decision[d]) for d in ids]), label.astype(float))
     return model
 
 
@@ -290,11 +305,13 @@ def scorer(model: Model | None, threshold: float, max_words: int, fold: int):
             ids = [r[0] for r in rows]
             score = np.zeros(len(rows))
             if model is not None:
-                decisions = np.append(model.decide(words), model.bias)
-                top = np.array([decisions[s].max() if len(s) else model.bias for s in sequences])
+                decisions = model.decide(words)
                 extra, owners = spaced_words(words, sequences)
-                if extra:
-                    np.maximum.at(top, owners, model.decide(extra))
+                more = dict.fromkeys(owners, np.zeros(0))
+                for i, x in zip(owners, model.decide(extra).tolist()):
+                    more[i] = np.append(more[i], x)
+                top = np.array([model.strongest(np.append(decisions[s], more[i]) if i in more else decisions[s])
+                                for i, s in enumerate(sequences)])
                 score = model.score(top)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([crc_mod(i, fold) == 2 for i in ids]),
