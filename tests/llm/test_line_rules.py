@@ -65,7 +65,7 @@ def test_against_brute_force(spark):
 
 
 def test_copies_are_one_text(spark):
-    text = "\n".join(f"line {chr(97 + i)} of a text that is copied often" for i in range(8))
+    text = "\n".join(" ".join(f"w{i}{chr(97 + j)}" for j in range(6)) for i in range(8))
     docs = spark.createDataFrame([(i, text, "h") for i in range(50)], "doc_id long, text string, source string")
     assert all(r["kept"] for r in L.apply_line_rules(docs, max_documents=10).collect())
 
