@@ -170,10 +170,11 @@ def balanced_sample(units: DataFrame, *, seed: int, block_rows: int) -> DataFram
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
     done, level = [units.where(~undecided)], 0
     open_units = units.where(undecided)
+    # tables of one row for each source are bounded by max_sources
     counts = open_units.groupBy("source_id").agg(F.count("*").alias("rows"))
     waits = (F.col("rows") > block_rows) & (F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.col("rows"))
                                             < block_rows // 4)
-    open_units = open_units.join(counts, "source_id").withColumn("waits", waits)
+    open_units = open_units.join(F.broadcast(counts), "source_id").withColumn("waits", waits)
     waiting = open_units.where("waits").select(*units.columns)
     left = open_units.where("not waits").select(*units.columns)
     while True:
@@ -185,7 +186,7 @@ def balanced_sample(units: DataFrame, *, seed: int, block_rows: int) -> DataFram
             sizes = left.groupBy("source_id").count()
         blocks = F.ceil(F.col("count") / F.lit(block_rows))
         block = F.pmod(F.xxhash64("doc_id", "text_hash", "size", F.lit(level)), blocks).cast("long")
-        flown = left.join(sizes, "source_id").withColumn("block", F.lit(0).cast("long") if last else block) \
+        flown = left.join(F.broadcast(sizes), "source_id").withColumn("block", F.lit(0).cast("long") if last else block) \
             .groupBy("source_id", "block").applyInArrow(flight(seed, level, last), UNITS).checkpoint()
         done.append(flown.where(~undecided))
         if last:
