@@ -48,11 +48,15 @@ def is_blank_sql(c: Column | str) -> Column:
 def text_to_int(c: Column | str, to: str = "int") -> Column:
     """SC-9: strip, comma -> dot, parse as a float, truncate toward zero.
 
-    ``'29.0'`` -> 29, ``'12,7'`` -> 12, blank -> NULL, junk -> NULL.
-    ``to="long"`` for identifiers.
+    ``'29.0'`` -> 29, ``'12,7'`` -> 12, blank -> NULL, junk (``'12d'`` too)
+    -> NULL. ``to="long"`` for identifiers, exact in the whole 64-bit range:
+    plain integers are cast as they are, other numbers as decimals.
     """
-    num = F.replace(blank_to_null(c), F.lit(","), F.lit(".")).try_cast("double")
-    return num.try_cast(to)
+    text = F.replace(blank_to_null(c), F.lit(","), F.lit("."))
+    number = F.when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"), text)
+    exact = number.try_cast("decimal(38,6)")
+    whole = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
+    return F.coalesce(number.try_cast(to), whole.try_cast(to))
 
 
 def text_to_decimal(c: Column | str, precision: int = 12, scale: int = 2) -> Column:

@@ -11,7 +11,7 @@ The existence check joins the batch only to its own unknown keys
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -38,11 +38,15 @@ def validate_intake(batch: DataFrame, employees: DataFrame) -> DataFrame:
             .drop("_pre", "_unknown"))
 
 
-def accepted(validated: DataFrame) -> DataFrame:
-    """SNK-13: rows to insert, stamped as live activities."""
+def accepted(validated: DataFrame, created_at=None) -> DataFrame:
+    """SNK-13: rows to insert, stamped as live activities, in the shape of the
+    activities table; ``created_at`` defaults to now."""
+    stamp = F.current_timestamp() if created_at is None else (
+        created_at if isinstance(created_at, Column) else F.lit(str(created_at)).cast("timestamp"))
     return (validated.where(F.col("reject_reason").isNull())
             .select("activity_id", "employee_id", "start_at", "end_at", "sport_type",
-                    "distance_m", "comment", F.lit(K.LIVE_SOURCE).alias("source")))
+                    "distance_m", "comment", F.lit(K.LIVE_SOURCE).alias("source"),
+                    stamp.alias("created_at")))
 
 
 def rejected(validated: DataFrame) -> DataFrame:

@@ -18,10 +18,9 @@ from .keys import one_per_key, rows_for_keys
 
 
 def live_only(events: DataFrame) -> DataFrame:
-    """FL-1: live events only (NULL source is dropped); delete records carry
-    no new activity and are not announced."""
-    return events.where((F.col("source") == F.lit(K.LIVE_SOURCE))
-                        & (F.col("__op").isNull() | (F.col("__op") != F.lit("d"))))
+    """FL-1: events whose source is live, whatever their operation (a NULL
+    source is dropped)."""
+    return events.where(F.col("source") == F.lit(K.LIVE_SOURCE))
 
 
 def _ts(c: str) -> Column:
@@ -57,12 +56,12 @@ def notifications(events: DataFrame, employees: DataFrame, reduce_references: bo
     employee table is first cut to the ids present in the batch, so it is
     filtered rather than shuffled on every trigger."""
     # One name per employee (the lookup returns a single row per id).
-    names = one_per_key(employees.select(F.col("employee_id").cast("long").alias("_eid"),
-                                         F.col("first_name").alias("_fn"),
-                                         F.col("last_name").alias("_ln")), "_eid")
+    names = employees.select(F.col("employee_id").cast("long").alias("_eid"),
+                             F.col("first_name").alias("_fn"), F.col("last_name").alias("_ln"))
     live = live_only(events)
-    if reduce_references:
+    if reduce_references:   # cut first: only the batch's employees are aggregated
         names = rows_for_keys(names, "_eid", live.select(F.col("employee_id").cast("long").alias("_k")), "_k")
+    names = one_per_key(names, "_eid")
     joined = live.join(names, F.col("employee_id").cast("long") == F.col("_eid"), "left")
     # Python renders a missing name part as "None".
     name = F.when(F.col("_eid").isNotNull(),

@@ -1,12 +1,11 @@
 """Data-quality rules DQ01..DQ08 and the per-rule summary (AG-3, SET-1).
 
-Seven rules only look at the activity row itself: they are evaluated in one
-map-only pass (an array of optional findings, exploded), so the activity
-table is read once for all of them and never shuffled. DQ04 (unknown
-employee) needs the employee table: distinct keys are anti-joined first,
-then activities are semi-joined to the (small) set of unknown keys, see
-``unknown_employee_activities``. Output multiplicity is UNION ALL: an activity
-yields 0..8 findings.
+Activities are flagged with "unknown employee" first (their distinct keys are
+anti-joined with the employee keys; the usually tiny set of unknown ids is
+joined back and broadcast when its measured size allows, so the activity table
+is not shuffled in full), then all eight rules are evaluated in one pass: an
+array of optional findings, exploded. Output multiplicity is UNION ALL: an
+activity yields 0..8 findings.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import is_blank_sql
-from .keys import rows_with_unknown_key
+from .keys import flag_unknown_key
 
 
 def _ts(value) -> Column:
@@ -31,12 +30,14 @@ def _finding(rule: str, cond: Column, message: Column | str) -> Column:
 
 
 def row_rules(as_of=None) -> list[Column]:
-    """The seven row-local rules as optional (rule_name, error_message) structs."""
+    """The rules as optional (rule_name, error_message) structs; DQ04 reads the
+    flag ``_unknown``."""
     d, s = F.col("distance_m"), F.col("sport_type")
     return [
         _finding(K.DQ01, d < 0, K.DQ01_MESSAGE),
         _finding(K.DQ02, F.col("end_at") <= F.col("start_at"), K.DQ02_MESSAGE),
         _finding(K.DQ03, is_blank_sql(s), K.DQ03_MESSAGE),
+        _finding(K.DQ04, F.col("_unknown"), K.DQ04_MESSAGE),
         _finding(K.DQ05, F.col("start_at") > _ts(as_of), K.DQ05_MESSAGE),
         _finding(K.DQ06, d.isNotNull() & s.isin(*K.NON_DISTANCE_SPORTS),
                  F.concat(F.lit(K.DQ06_PREFIX), s, F.lit("."))),
@@ -51,32 +52,14 @@ def dq_results(activities: DataFrame, employees: DataFrame, as_of=None,
     """All findings ``(activity_id, employee_id, rule_name, error_message,
     detected_at)``. ``as_of`` is "now" for DQ05; ``detected_at`` defaults to it."""
     stamp = _ts(detected_at if detected_at is not None else as_of)
+    flagged = flag_unknown_key(
+        activities.select("activity_id", "employee_id", "start_at", "end_at", "sport_type", "distance_m"),
+        employees, "employee_id")
     findings = F.filter(F.array(*row_rules(as_of)), lambda x: x.isNotNull())
-    local = (activities
-             .select("activity_id", "employee_id", F.inline(findings))
-             .select("activity_id", "employee_id", "rule_name", "error_message",
-                     stamp.alias("detected_at")))
-    unknown = (unknown_employee_activities(activities, employees)
-               .select("activity_id", "employee_id",
-                       F.lit(K.DQ04).alias("rule_name"),
-                       F.lit(K.DQ04_MESSAGE).alias("error_message"),
-                       stamp.alias("detected_at")))
-    return local.unionByName(unknown)
-
-
-def unknown_employee_activities(activities: DataFrame, employees: DataFrame) -> DataFrame:
-    """DQ04 rows ``(activity_id, employee_id)``: activities whose employee
-    does not exist (a NULL employee counts as unknown).
-
-    Keys first: the distinct employee ids of the activities (partially
-    aggregated on the map side - a hot id costs one row per task) are
-    anti-joined with the employee keys, which leaves the usually tiny set of
-    unknown ids. Activities are then semi-joined to that set with a
-    null-safe key; AQE broadcasts it when its measured size allows, so in the
-    common case the activity table is never shuffled.
-    """
-    return rows_with_unknown_key(activities.select("activity_id", "employee_id"), employees,
-                                 "employee_id")
+    return (flagged
+            .select("activity_id", "employee_id", F.inline(findings))
+            .select("activity_id", "employee_id", "rule_name", "error_message",
+                    stamp.alias("detected_at")))
 
 
 def dq_summary(results: DataFrame) -> DataFrame:

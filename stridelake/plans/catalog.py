@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from .. import schemas as S
+from ..functions.literal import literal_table
 from ..operators import benefits as B
 from ..operators import cdc as CDC
 from ..operators import commute as C
@@ -47,21 +49,32 @@ def as_ntz(df: DataFrame) -> DataFrame:
 
 # --- shared inputs -----------------------------------------------------------
 
-def _commute(spark: SparkSession, sf: str) -> DataFrame:
+def _commute(spark: SparkSession, sf: str, scope: str = "all") -> DataFrame:
     return C.validate_commutes(A.employees(spark, sf), A.commute_distances(spark, sf),
-                               as_of=A.AS_OF, company_address=A.COMPANY_ADDRESS)
+                               as_of=A.AS_OF, company_address=A.COMPANY_ADDRESS, scope=scope)
 
 
 def _params(spark: SparkSession) -> DataFrame:
-    return B.default_parameters(spark, A.AS_OF)
+    """Stored versions (closed ones, one name open twice, one closed only),
+    completed with the defaults of names without an open version."""
+    stored = literal_table(
+        spark, [("bonus_rate", "0.04", "2020-01-01", "2023-12-31"), ("bonus_rate", "0.05", "2024-01-01", None),
+                ("wellness_days", "4", "2022-01-01", None), ("wellness_days", "5", "2024-01-01", None),
+                ("min_annual_activities", "20", "2021-01-01", "2023-12-31")],
+        [("parameter_name", "string"), ("parameter_value", "string"), ("valid_from", "string"), ("valid_to", "string")])
+    stored = stored.select("parameter_name", F.col("parameter_value").cast(S.PARAM).alias("parameter_value"),
+                           F.col("valid_from").cast("date").alias("valid_from"), F.col("valid_to").cast("date").alias("valid_to"))
+    return B.seed_parameters(stored, B.default_parameters(spark, A.AS_OF))
 
 
 # --- benefits ---------------------------------------------------------------
 
 @query("benefit_eligibility")
 def benefit_eligibility(spark: SparkSession, sf: str) -> DataFrame:
+    """Flagship. The stored validation has the employees with a routing answer;
+    the bonus of the others is undecided (NULL)."""
     return B.benefit_eligibility(A.employees(spark, sf), A.activities(spark, sf),
-                                 _commute(spark, sf), _params(spark), as_of=A.AS_OF)
+                                 _commute(spark, sf, "requested"), _params(spark), as_of=A.AS_OF)
 
 
 @query("employee_activity_12m")
@@ -88,15 +101,21 @@ def commute_status_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("orphan_pruned_commute")
 def orphan_pruned_commute(spark: SparkSession, sf: str) -> DataFrame:
-    """JN-12: commute rows of employees still present in the current
-    employee table (the validation ran on all customers; the employee table
-    no longer holds every tenth id)."""
-    everyone = A.all_customers_as_employees(spark, sf)
-    cv = C.validate_commutes(everyone, A.commute_distances(spark, sf),
-                             as_of=A.AS_OF, company_address=A.COMPANY_ADDRESS)
+    """JN-12: of a validation of current and former staff, the rows of those
+    who are still in the employee table."""
+    staff = ["employee_id", "home_address", "commute_mode"]
+    everyone = A.employees(spark, sf).select(*staff).unionByName(A.former_employees(spark, sf).select(*staff))
+    cv = C.validate_commutes(everyone, A.commute_distances(spark, sf), as_of=A.AS_OF,
+                             company_address=A.COMPANY_ADDRESS, scope="all")
     return as_ntz(C.prune_orphans(cv, A.employees(spark, sf)))
 
 
+@query("commute_validation_requested")
+def commute_validation_requested(spark: SparkSession, sf: str) -> DataFrame:
+    """CM-2 for the employees that have a routing answer only."""
+    return as_ntz(_commute(spark, sf, "requested"))
+
+
 # --- data quality -----------------------------------------------------------
 
 def _dq(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +191,7 @@ def _intake(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("intake_accepted")
 def intake_accepted(spark: SparkSession, sf: str) -> DataFrame:
-    return as_ntz(I.accepted(_intake(spark, sf)))
+    return as_ntz(I.accepted(_intake(spark, sf), created_at=A.AS_OF))
 
 
 @query("intake_rejected")
@@ -211,9 +230,10 @@ def master_clean_sports(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("master_upsert")
 def master_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = M.clean_employees(A.master_csv_rows(spark, sf))
-    target = A.employees(spark, sf).select(*cleaned.columns)
-    return M.upsert_table(target, cleaned, "employee_id")
+    """SNK-8/9: untouched, updated, inserted and repeated keys; the first load's
+    stamp stays."""
+    return M.upsert_table(A.master_target(spark, sf), A.master_changes(spark, sf), "employee_id",
+                          order=["line"], preserve=("ingested_at",))
 
 
 # --- profiling ----------------------------------------------------------------

@@ -2,17 +2,17 @@
 driver tables (views ``customer``, ``events``, ... pre-registered).
 
 The adapter of ``stridelake.sources.adapter`` is restated here as CTEs, and
-each query is written the way the business rules read in SQL. Column names
-and types are aligned with the Spark side by explicit aliases and casts.
+each query is written the way the business rules read in SQL. Rule names,
+messages, lists and thresholds are stated here again, as literals, so a wrong
+value in the engine shows. Column names and types are aligned with the Spark
+side by explicit aliases and casts.
 """
 
 from __future__ import annotations
 
-from ..functions import constants as K
-
 AS_OF = "TIMESTAMP '2025-01-24 00:00:00'"
 DQ_AS_OF = "TIMESTAMP '2024-01-29 00:00:00'"
-WS = K.PY_WHITESPACE_CLASS
+WS = '[\\x{09}-\\x{0d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]'
 
 
 def _q(text: str) -> str:
@@ -36,7 +36,7 @@ def cte(name: str, deps: list[str], body: str) -> None:
     CTES[name] = (deps, body)
 
 
-cte("employees_all", [], f"""
+cte("employees", [], f"""
 SELECT c_custkey AS employee_id,
        c_name AS last_name,
        'First' || CAST(c_custkey % 97 AS VARCHAR) AS first_name,
@@ -47,24 +47,28 @@ SELECT c_custkey AS employee_id,
        CASE WHEN c_custkey % 13 = 0 THEN 'CDD' ELSE 'CDI' END AS contract_type,
        CAST(25 + c_custkey % 6 AS INTEGER) AS paid_leave_days,
        'Home ' || CAST(c_custkey AS VARCHAR) AS home_address,
-       CASE c_custkey % 4 WHEN 0 THEN {_q(K.MODE_WALK)} WHEN 1 THEN {_q(K.MODE_BIKE)}
+       CASE c_custkey % 4 WHEN 0 THEN {_q('Marche/running')} WHEN 1 THEN {_q('Vélo/Trottinette/Autres')}
             WHEN 2 THEN 'Transports en commun' ELSE 'véhicule thermique/électrique' END AS commute_mode
 FROM customer""")
 
-cte("employees", ["employees_all"], "SELECT * FROM employees_all WHERE employee_id % 10 <> 7")
+cte("former_employees", [], """
+SELECT s_suppkey + 1000000000 AS employee_id, 'Home ' || s_suppkey AS home_address,
+       CASE s_suppkey % 3 WHEN 0 THEN 'Marche/running' WHEN 1 THEN 'Vélo/Trottinette/Autres'
+            ELSE 'Transports en commun' END AS commute_mode
+FROM supplier""")
 
 cte("employee_sports", [], """
-SELECT c_custkey AS employee_id,
+SELECT c_custkey + CASE WHEN c_custkey % 10 = 9 THEN 1000000000 ELSE 0 END AS employee_id,
        CASE c_custkey % 6 WHEN 1 THEN 'Runing' WHEN 2 THEN 'Randonnée' WHEN 3 THEN 'Tennis'
             WHEN 4 THEN 'Triathlon' WHEN 5 THEN 'Judo' END AS sport
-FROM customer WHERE c_custkey % 10 <> 9""")
+FROM customer""")
 
 cte("activities", [], """
 SELECT event_id AS activity_id,
-       user_id AS employee_id,
+       user_id + CASE WHEN event_id % 13 = 0 THEN 1000000000 ELSE 0 END AS employee_id,
        ts AS start_at,
        ts + to_minutes(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) - 5) AS end_at,
-       CASE event_type WHEN 'error' THEN CASE WHEN event_id % 10 = 0 THEN '  ' ELSE 'Runing' END
+       CASE event_type WHEN 'error' THEN CASE event_id % 10 WHEN 0 THEN '  ' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 'Runing' END
             WHEN 'click' THEN 'Running' WHEN 'view' THEN 'Randonnée'
             WHEN 'signup' THEN 'Judo' WHEN 'purchase' THEN 'Tennis' END AS sport_type,
        CASE WHEN event_id % 7 = 0 THEN NULL
@@ -75,17 +79,17 @@ SELECT event_id AS activity_id,
        ts AS created_at
 FROM events""")
 
-cte("commute_distances", ["employees_all"], """
-SELECT employee_id,
-       CASE WHEN employee_id % 11 = 0 THEN NULL
-            ELSE CAST((CAST(employee_id AS BIGINT) * 7919) % 40000 AS BIGINT) END AS distance_m,
+cte("commute_distances", ["employees", "former_employees"], """
+SELECT employee_id + moved AS employee_id,
+       CASE WHEN employee_id % 11 <> 0 THEN CAST((CAST(employee_id AS BIGINT) * 7919) % 40000 AS BIGINT) END AS distance_m,
        CASE WHEN employee_id % 11 = 0 THEN 'no route found' END AS api_error
-FROM employees_all WHERE employee_id % 5 <> 4""")
+FROM (SELECT employee_id, CASE WHEN employee_id % 10 = 4 THEN 2000000000 ELSE 0 END AS moved FROM employees
+      UNION ALL SELECT employee_id, 0 FROM former_employees)""")
 
-_RULES = ", ".join(f"({_q(m)}, {_q(t)}, {km})" for m, t, km in K.COMMUTE_RULES)
+_RULES = ", ".join(f"({_q(m)}, {_q(t)}, {km})" for m, t, km in [('Marche/running', 'WALK', 15), ('Vélo/Trottinette/Autres', 'BICYCLE', 25)])
 
 
-def _commute_body(emp: str) -> str:
+def _commute_body(emp: str, join: str = "LEFT") -> str:
     km = "CAST(printf('%.2f', CAST(d.distance_m AS DOUBLE) / CAST(1000 AS DOUBLE)) AS DECIMAL(10,2))"
     measured = "(r.travel_mode IS NOT NULL AND d.distance_m IS NOT NULL)"
     return f"""
@@ -98,33 +102,40 @@ SELECT e.employee_id, e.home_address, 'Head office' AS company_address, e.commut
             WHEN d.distance_m IS NULL THEN 'ERROR'
             WHEN {km} <= r.threshold THEN 'VALID' ELSE 'ANOMALY' END AS validation_status,
        CASE WHEN {measured} AND {km} > r.threshold
-            THEN {_q(K.ANOMALY_PREFIX)} || regexp_replace(CAST({km} AS VARCHAR), '0$', '')
-                 || {_q(K.ANOMALY_MIDDLE)} || CAST(r.threshold AS VARCHAR) || {_q(K.ANOMALY_SUFFIX)} END
+            THEN {_q('Distance ')} || regexp_replace(CAST({km} AS VARCHAR), '0$', '')
+                 || {_q(' km supérieure au seuil de ')} || CAST(r.threshold AS VARCHAR) || {_q(' km.')} END
             AS anomaly_reason,
        CASE WHEN r.travel_mode IS NOT NULL AND d.distance_m IS NULL
-            THEN COALESCE(d.api_error, {_q(K.NO_DISTANCE_ERROR)}) END AS api_error,
+            THEN COALESCE(d.api_error, {_q('distance unavailable')}) END AS api_error,
        {AS_OF} AS checked_at
 FROM {emp} e
-JOIN commute_distances d USING (employee_id)
+{join} JOIN commute_distances d USING (employee_id)
 LEFT JOIN (VALUES {_RULES}) r(mode, travel_mode, threshold) ON r.mode = {py_strip('e.commute_mode')}"""
 
 
 cte("commute_validation", ["employees", "commute_distances"], _commute_body("employees"))
-
-_PARAMS = ", ".join(f"({_q(n)}, {_q(v)})" for n, v in K.DEFAULT_PARAMETERS)
-cte("benefit_parameters", [], f"""
-SELECT name AS parameter_name, CAST(value AS DECIMAL(18,6)) AS parameter_value,
-       CAST({AS_OF} AS DATE) AS valid_from, CAST(NULL AS DATE) AS valid_to
-FROM (VALUES {_PARAMS}) v(name, value)""")
-
-cte("activity_12m", ["employees", "activities"], f"""
-SELECT e.employee_id, e.first_name, e.last_name,
-       COUNT(a.activity_id) AS activity_count_12m,
-       CAST(COALESCE(SUM(a.distance_m), 0) AS DECIMAL(38,2)) AS distance_m_12m
-FROM employees e
-LEFT JOIN activities a
-  ON a.employee_id = e.employee_id AND a.start_at >= {AS_OF} - INTERVAL 12 MONTH
-GROUP BY e.employee_id, e.first_name, e.last_name""")
+cte("commute_requested", ["employees", "commute_distances"], _commute_body("employees", "INNER"))
+
+# Stored parameter versions; a default fills in for a name without an open one.
+cte("parameter_versions", [], """
+SELECT * FROM (VALUES ('bonus_rate', 0.04, FALSE), ('bonus_rate', 0.05, TRUE), ('wellness_days', 4, TRUE),
+                      ('wellness_days', 5, TRUE), ('min_annual_activities', 20, FALSE)) stored(label, amount, is_open)""")
+cte("parameter_defaults", [], """
+SELECT * FROM (VALUES ('bonus_rate', 0.05), ('wellness_days', 5), ('min_annual_activities', 15),
+                      ('max_walk_distance_km', 15), ('max_cycle_distance_km', 25)) preset(label, amount)""")
+cte("limits", ["parameter_versions", "parameter_defaults"], """
+SELECT label, MAX(amount) AS amount
+FROM (SELECT label, amount FROM parameter_versions WHERE is_open
+      UNION ALL
+      SELECT label, amount FROM parameter_defaults preset
+      WHERE NOT EXISTS (FROM parameter_versions stored WHERE stored.is_open AND stored.label = preset.label))
+GROUP BY label""")
+
+# What happened on or after the day twelve months before the pinned clock,
+# summed for each person before the employees are looked at.
+cte("recent", ["activities"], """
+SELECT employee_id AS person, COUNT(*) AS times, SUM(distance_m) AS metres
+FROM activities WHERE start_at >= TIMESTAMP '2024-01-24 00:00:00' GROUP BY 1""")
 
 
 def with_ctes(body: str, *names: str) -> str:
@@ -154,72 +165,76 @@ def oracle(name: str, body: str, *ctes: str) -> None:
 
 # --- benefits ---------------------------------------------------------------
 
-oracle("employee_activity_12m", "SELECT * FROM activity_12m", "activity_12m")
-
-_PHYS = _in(K.PHYSICAL_MODES)
-oracle("benefit_eligibility", f"""
-, params AS (
-  SELECT (SELECT max(parameter_value) FROM benefit_parameters
-          WHERE valid_to IS NULL AND parameter_name = 'min_annual_activities') AS min_activities,
-         (SELECT max(parameter_value) FROM benefit_parameters
-          WHERE valid_to IS NULL AND parameter_name = 'wellness_days') AS wellness_days,
-         (SELECT max(parameter_value) FROM benefit_parameters
-          WHERE valid_to IS NULL AND parameter_name = 'bonus_rate') AS bonus_rate)
-SELECT e.employee_id, e.first_name, e.last_name, e.annual_gross_salary, e.commute_mode,
-       v.activity_count_12m,
-       (v.activity_count_12m >= p.min_activities) AS wellness_eligible,
-       CAST(CASE WHEN v.activity_count_12m >= p.min_activities THEN p.wellness_days ELSE 0 END AS DECIMAL(18,6)) AS wellness_days,
-       (e.commute_mode IN {_PHYS} AND cv.validation_status = 'VALID') AS bonus_eligible,
-       CAST(CASE WHEN e.commute_mode IN {_PHYS} AND cv.validation_status = 'VALID'
-                 THEN ROUND(e.annual_gross_salary * p.bonus_rate, 2) ELSE 0 END AS DECIMAL(18,2)) AS bonus_amount
-FROM employees e
-JOIN activity_12m v USING (employee_id)
-LEFT JOIN commute_validation cv USING (employee_id)
-CROSS JOIN params p""", "employees", "activity_12m", "commute_validation", "benefit_parameters")
+oracle("employee_activity_12m", """
+SELECT employee_id, first_name, last_name,
+       COALESCE((SELECT times FROM recent WHERE person = employee_id), 0) AS activity_count_12m,
+       CAST(COALESCE((SELECT metres FROM recent WHERE person = employee_id), 0) AS DECIMAL(38,2)) AS distance_m_12m
+FROM employees""", "recent", "employees")
+
+oracle("benefit_eligibility", """
+, counted AS (
+  SELECT *, COALESCE((SELECT times FROM recent WHERE person = employee_id), 0) AS done,
+         commute_mode IN ('Marche/running', 'Vélo/Trottinette/Autres') AS on_foot_or_bike,
+         (SELECT validation_status = 'VALID' FROM commute_requested r WHERE r.employee_id = employees.employee_id) AS checked
+  FROM employees),
+judged AS (
+  SELECT *, done >= (SELECT amount FROM limits WHERE label = 'min_annual_activities') AS active_enough,
+         on_foot_or_bike AND checked AS rides
+  FROM counted)
+SELECT employee_id, first_name, last_name, annual_gross_salary, commute_mode,
+       done AS activity_count_12m, active_enough AS wellness_eligible,
+       CAST(IF(active_enough, (SELECT amount FROM limits WHERE label = 'wellness_days'), 0) AS DECIMAL(18,6)) AS wellness_days,
+       rides AS bonus_eligible,
+       CAST(IF(rides, ROUND(annual_gross_salary * CAST((SELECT amount FROM limits WHERE label = 'bonus_rate')
+                                                       AS DECIMAL(18,6)), 2), 0) AS DECIMAL(18,2)) AS bonus_amount
+FROM judged""", "employees", "recent", "commute_requested", "limits")
 
 # --- commute ----------------------------------------------------------------
 
 oracle("commute_validation", "SELECT * FROM commute_validation", "commute_validation")
 
+oracle("commute_validation_requested", "SELECT * FROM commute_requested", "commute_requested")
+
 oracle("commute_anomalies", """
-SELECT cv.employee_id, e.first_name, e.last_name, cv.home_address, cv.commute_mode,
-       cv.distance_km, cv.threshold_km, cv.anomaly_reason, cv.checked_at
-FROM commute_validation cv JOIN employees e USING (employee_id)
-WHERE cv.validation_status = 'ANOMALY'""", "commute_validation", "employees")
+SELECT employee_id, (SELECT first_name FROM employees who WHERE who.employee_id = far.employee_id) AS first_name,
+       (SELECT last_name FROM employees who WHERE who.employee_id = far.employee_id) AS last_name,
+       home_address, commute_mode, distance_km, threshold_km, anomaly_reason, checked_at
+FROM (FROM commute_validation WHERE anomaly_reason IS NOT NULL) far""", "commute_validation", "employees")
 
 oracle("commute_status_counts", f"""
 SELECT s.validation_status, CAST(COUNT(cv.employee_id) AS BIGINT) AS employee_count
-FROM (VALUES {", ".join(f"({_q(x)})" for x in K.COMMUTE_STATUSES)}) s(validation_status)
+FROM (VALUES {", ".join(f"({_q(x)})" for x in ['VALID', 'ANOMALY', 'NOT_APPLICABLE', 'ERROR'])}) s(validation_status)
 LEFT JOIN commute_validation cv USING (validation_status)
 GROUP BY s.validation_status""", "commute_validation")
 
-cte("commute_validation_all", ["employees_all", "commute_distances"], _commute_body("employees_all"))
+cte("everyone", ["employees", "former_employees"], """
+SELECT employee_id, home_address, commute_mode FROM employees UNION ALL FROM former_employees""")
+cte("commute_everyone", ["everyone", "commute_distances"], _commute_body("everyone"))
 oracle("orphan_pruned_commute", """
-SELECT * FROM commute_validation_all c
-WHERE EXISTS (SELECT 1 FROM employees e WHERE e.employee_id = c.employee_id)""",
-       "commute_validation_all", "employees")
+SELECT * FROM commute_everyone WHERE employee_id IN (SELECT employee_id FROM employees)""",
+       "commute_everyone", "employees")
 
 # --- data quality -----------------------------------------------------------
 
 _DQ = [
-    (K.DQ01, _q(K.DQ01_MESSAGE), "distance_m < 0"),
-    (K.DQ02, _q(K.DQ02_MESSAGE), "end_at <= start_at"),
-    (K.DQ03, _q(K.DQ03_MESSAGE), "sport_type IS NULL OR trim(sport_type) = ''"),
-    (K.DQ05, _q(K.DQ05_MESSAGE), f"start_at > {DQ_AS_OF}"),
-    (K.DQ06, f"{_q(K.DQ06_PREFIX)} || sport_type || '.'",
-     f"distance_m IS NOT NULL AND sport_type IN {_in(K.NON_DISTANCE_SPORTS)}"),
-    (K.DQ07, f"{_q(K.DQ07_PREFIX)} || sport_type || '.'",
-     f"distance_m IS NULL AND sport_type IN {_in(K.DISTANCE_SPORTS)}"),
-    (K.DQ08, _q(K.DQ08_MESSAGE), f"sport_type = {_q(K.MISSPELLED_SPORT)}"),
+    ('DQ01_NEGATIVE_DISTANCE', _q('La distance est négative.'), "distance_m < 0"),
+    ('DQ02_INVALID_DURATION', _q('La date de fin est antérieure ou égale à la date de début.'), "end_at <= start_at"),
+    ('DQ03_MISSING_SPORT', _q('Le type de sport est vide.'), "sport_type IS NULL OR trim(sport_type) = ''"),
+    ('DQ05_FUTURE_ACTIVITY', _q('La date de début est dans le futur.'), f"start_at > {DQ_AS_OF}"),
+    ('DQ06_UNEXPECTED_DISTANCE', f"{_q('Distance renseignée pour un sport non kilométrique : ')} || sport_type || '.'",
+     f"distance_m IS NOT NULL AND sport_type IN {_in(['Judo', 'Boxe', 'Tennis', 'Badminton', 'Tennis de table', 'Basketball', 'Football', 'Rugby', 'Escalade', 'Équitation', 'Natation', 'Voile'])}"),
+    ('DQ07_MISSING_DISTANCE', f"{_q('Distance manquante pour un sport kilométrique : ')} || sport_type || '.'",
+     f"distance_m IS NULL AND sport_type IN {_in(['Marche', 'Running', 'Randonnée', 'Triathlon'])}"),
+    ('DQ08_INVALID_SPORT_NAME', _q('Le type de sport "Runing" doit être normalisé en "Running".'), f"sport_type = {_q('Runing')}"),
 ]
 _dq_parts = [
     f"SELECT activity_id, employee_id, {_q(r)} AS rule_name, {m} AS error_message, "
     f"{DQ_AS_OF} AS detected_at FROM activities WHERE {w}" for r, m, w in _DQ
 ]
 _dq_parts.append(
-    f"SELECT a.activity_id, a.employee_id, {_q(K.DQ04)} AS rule_name, {_q(K.DQ04_MESSAGE)} AS error_message, "
-    f"{DQ_AS_OF} AS detected_at FROM activities a LEFT JOIN employees e ON e.employee_id = a.employee_id "
-    f"WHERE e.employee_id IS NULL")
+    f"SELECT activity_id, employee_id, 'DQ04_UNKNOWN_EMPLOYEE', 'L''activité référence un employé inexistant.', "
+    f"{DQ_AS_OF} FROM activities WHERE employee_id IS NULL OR NOT EXISTS "
+    f"(FROM employees known WHERE known.employee_id = activities.employee_id)")
 cte("dq_findings", ["activities", "employees"], "\nUNION ALL\n".join(_dq_parts))
 
 oracle("dq_results", "SELECT * FROM dq_findings", "dq_findings")
@@ -234,14 +249,14 @@ _BIZ = "activity_id, employee_id, start_at, end_at, sport_type, {dist}, comment,
 cte("cdc_base", ["activities"], """
 SELECT *, epoch_us(start_at) // 1000 AS _ms, CAST(employee_id % 4 AS INTEGER) AS kafka_partition FROM activities""")
 cte("cdc_log", ["cdc_base"], f"""
-SELECT {_BIZ.format(dist='distance_m')}, 'c' AS __op, _ms AS __source_ts_ms, kafka_partition,
-       activity_id AS kafka_offset FROM cdc_base
+SELECT {_BIZ.format(dist='distance_m')}, CASE WHEN activity_id % 37 = 0 THEN 'r' ELSE 'c' END AS __op,
+       _ms AS __source_ts_ms, kafka_partition, activity_id * 3 AS kafka_offset FROM cdc_base
 UNION ALL
 SELECT {_BIZ.format(dist='CAST(distance_m * 2 AS DECIMAL(18,2)) AS distance_m')}, 'u', _ms + 60000, kafka_partition,
-       activity_id + 10000000 FROM cdc_base WHERE activity_id % 9 = 0
+       activity_id * 3 + 1 FROM cdc_base WHERE activity_id % 9 = 0
 UNION ALL
 SELECT {_BIZ.format(dist='distance_m')}, 'd', _ms + 120000, kafka_partition,
-       activity_id + 20000000 FROM cdc_base WHERE activity_id % 45 = 0""")
+       activity_id * 3 + 2 FROM cdc_base WHERE activity_id % 45 = 0""")
 
 
 def _wire(ok: str) -> str:
@@ -314,16 +329,17 @@ cte("intake", ["activities", "employees"], f"""
 SELECT a.*,
        COALESCE(
          CASE WHEN a.employee_id IS NULL OR a.start_at IS NULL OR a.end_at IS NULL OR a.sport_type IS NULL
-                   THEN {_q(K.REJECT_MISSING_FIELD)}
-              WHEN length(a.sport_type) < 1 THEN {_q(K.REJECT_EMPTY_SPORT)}
-              WHEN a.distance_m < 0 THEN {_q(K.REJECT_NEGATIVE_DISTANCE)}
-              WHEN a.end_at <= a.start_at THEN {_q(K.REJECT_END_BEFORE_START)} END,
+                   THEN {_q('missing required field')}
+              WHEN length(a.sport_type) < 1 THEN {_q('sport_type must have at least 1 character')}
+              WHEN a.distance_m < 0 THEN {_q('distance_m must be greater than or equal to 0')}
+              WHEN a.end_at <= a.start_at THEN {_q('end_at must be after start_at')} END,
          CASE WHEN NOT EXISTS (SELECT 1 FROM employees e WHERE e.employee_id = a.employee_id)
-              THEN {_q(K.REJECT_UNKNOWN_EMPLOYEE)} END) AS reject_reason
+              THEN {_q('employee_id inconnu')} END) AS reject_reason
 FROM activities a""")
 
 oracle("intake_accepted", f"""
-SELECT activity_id, employee_id, start_at, end_at, sport_type, distance_m, comment, {_q(K.LIVE_SOURCE)} AS source
+SELECT activity_id, employee_id, start_at, end_at, sport_type, distance_m, comment, {_q('live')} AS source,
+       {AS_OF} AS created_at
 FROM intake WHERE reject_reason IS NULL""", "intake")
 oracle("intake_rejected", """
 SELECT activity_id, employee_id, reject_reason FROM intake WHERE reject_reason IS NOT NULL""", "intake")
@@ -342,29 +358,29 @@ _SP = "COALESCE(NULLIF(l.sport_type, ''), 'sport')"
 _CM = py_strip("COALESCE(l.comment, '')")
 oracle("live_notifications", f"""
 SELECT l.activity_id, CAST(l.employee_id AS BIGINT) AS employee_id, l.__op, l.kafka_offset,
-  {_q(K.NOTIFY_PREFIX)}
+  {_q('🏃 Bravo ')}
   || CASE WHEN e.employee_id IS NOT NULL
           THEN COALESCE(e.first_name, 'None') || ' ' || COALESCE(e.last_name, 'None')
-          ELSE {_q(K.NOTIFY_UNKNOWN_EMPLOYEE)} || COALESCE(CAST(l.employee_id AS VARCHAR), 'None') END
-  || {_q(K.NOTIFY_MIDDLE)} || {_SP}
-  || COALESCE(CASE WHEN l.distance_m IS NOT NULL AND {_SP} IN {_in(K.DISTANCE_SPORTS)}
-                   THEN {_q(K.NOTIFY_DISTANCE_PREFIX)} || printf('%.1f', CAST(l.distance_m AS DOUBLE) / CAST(1000 AS DOUBLE))
-                        || {_q(K.NOTIFY_DISTANCE_SUFFIX)} END, '')
+          ELSE {_q('Employé ')} || COALESCE(CAST(l.employee_id AS VARCHAR), 'None') END
+  || {_q(' ! Tu viens de terminer une activité ')} || {_SP}
+  || COALESCE(CASE WHEN l.distance_m IS NOT NULL AND {_SP} IN {_in(['Marche', 'Running', 'Randonnée', 'Triathlon'])}
+                   THEN {_q(' de ')} || printf('%.1f', CAST(l.distance_m AS DOUBLE) / CAST(1000 AS DOUBLE))
+                        || {_q(' km')} END, '')
   || COALESCE(CASE WHEN l.start_at IS NOT NULL AND l.end_at IS NOT NULL
-                   THEN {_q(K.NOTIFY_DURATION_PREFIX)} || CAST({_MIN} AS VARCHAR)
-                        || {_q(K.NOTIFY_DURATION_SUFFIX)} END, '')
-  || {_q(K.NOTIFY_END)}
-  || COALESCE(CASE WHEN {_CM} <> '' AND {_CM} NOT IN {_in(K.IGNORED_COMMENTS)}
-                   THEN {_q(K.NOTIFY_COMMENT_PREFIX)} || {_CM} || {_q(K.NOTIFY_COMMENT_SUFFIX)} END, '') AS message
+                   THEN {_q(' en ')} || CAST({_MIN} AS VARCHAR)
+                        || {_q(' min')} END, '')
+  || {_q(' ! 🔥🏅')}
+  || COALESCE(CASE WHEN {_CM} <> '' AND {_CM} NOT IN {_in(['Activité live simulée', 'Historique simulé'])}
+                   THEN {_q('\n💬 "')} || {_CM} || {_q('"')} END, '') AS message
 FROM cdc_log l LEFT JOIN employees e ON e.employee_id = l.employee_id
-WHERE {_OK} AND l.source = {_q(K.LIVE_SOURCE)} AND l.__op <> 'd'""", "cdc_log", "employees")
+WHERE {_OK} AND l.source = {_q('live')}""", "cdc_log", "employees")
 
 # --- master data --------------------------------------------------------------
 
 oracle("effective_sport", f"""
 SELECT e.employee_id, s.sport AS declared_sport,
-       CASE WHEN COALESCE(NULLIF(s.sport, ''), {_q(K.DEFAULT_SPORT)}) = 'Runing' THEN 'Running'
-            ELSE COALESCE(NULLIF(s.sport, ''), {_q(K.DEFAULT_SPORT)}) END AS effective_sport
+       CASE WHEN COALESCE(NULLIF(s.sport, ''), {_q('Marche')}) = 'Runing' THEN 'Running'
+            ELSE COALESCE(NULLIF(s.sport, ''), {_q('Marche')}) END AS effective_sport
 FROM employees e LEFT JOIN employee_sports s USING (employee_id)""", "employees", "employee_sports")
 
 _SAL = ("CAST(CAST(CAST(25000 AS DECIMAL(12,2)) + CAST(c_acctbal AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS VARCHAR)")
@@ -407,12 +423,23 @@ SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) || '.0'
 FROM customer""")
 oracle("master_clean_sports", f"""
 SELECT {_int('employee_id', 'BIGINT')} AS employee_id, {_blank('sport')} AS sport FROM sports_csv""", "sports_csv")
+cte("load_lines", [], """
+SELECT CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey + 1000000000 ELSE o_custkey END AS employee_id,
+       'Name ' || o_custkey AS last_name, 'Unit ' || (o_orderkey % 7) AS business_unit,
+       CAST(30000 + o_orderkey % 1000 AS DECIMAL(12,2)) AS annual_gross_salary,
+       CAST(25 + o_orderkey % 5 AS INTEGER) AS paid_leave_days, o_orderkey AS line
+FROM orders""")
+cte("stored", ["employees"], """
+SELECT employee_id, last_name, business_unit, annual_gross_salary, paid_leave_days,
+       DATE '2020-01-01' + CAST(employee_id % 1000 AS INTEGER) AS ingested_at FROM employees""")
 oracle("master_upsert", """
-SELECT employee_id, last_name, business_unit, annual_gross_salary, paid_leave_days FROM employees t
-WHERE NOT EXISTS (SELECT 1 FROM master_clean c WHERE c.employee_id = t.employee_id)
-UNION ALL
-SELECT employee_id, last_name, business_unit, annual_gross_salary, paid_leave_days FROM master_clean""",
-       "employees", "master_clean")
+SELECT employee_id, IF(n.line IS NULL, o.last_name, n.last_name) AS last_name,
+       IF(n.line IS NULL, o.business_unit, n.business_unit) AS business_unit,
+       IF(n.line IS NULL, o.annual_gross_salary, n.annual_gross_salary) AS annual_gross_salary,
+       IF(n.line IS NULL, o.paid_leave_days, n.paid_leave_days) AS paid_leave_days,
+       COALESCE(o.ingested_at, DATE '2025-01-24') AS ingested_at
+FROM stored o FULL JOIN (FROM load_lines QUALIFY line = MAX(line) OVER (PARTITION BY employee_id)) n USING (employee_id)""",
+       "stored", "load_lines")
 
 # --- profiling ----------------------------------------------------------------
 
@@ -463,7 +490,7 @@ FROM counts c JOIN totals t USING (dimension)""", "profile_pairs")
 
 
 def _controls() -> str:
-    return ", ".join(f"({_q(i)}, {_q(s)}, {_q(c)})" for i, s, c in K.PROFILE_CONTROLS)
+    return ", ".join(f"({_q(i)}, {_q(s)}, {_q(c)})" for i, s, c in [('employees_duplicate_ids', 'Critique', 'Identifiants salariés en double'), ('sports_without_rh', 'Majeure', 'Lignes sport sans salarié RH'), ('rh_without_sports_row', 'Mineure', 'Salariés sans ligne sport'), ('sport_missing', 'Information', 'Salariés sans sport déclaré'), ('missing_addresses', 'Majeure', 'Adresses manquantes'), ('missing_commute', 'Majeure', 'Modes de déplacement manquants'), ('future_birth_dates', 'Critique', 'Dates de naissance dans le futur'), ('future_hire_dates', 'Majeure', "Dates d'embauche dans le futur"), ('negative_salary', 'Critique', 'Salaires négatifs')])
 
 
 oracle("profile_anomalies", f"""

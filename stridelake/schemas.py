@@ -17,7 +17,7 @@ from pyspark.sql.types import (
 # Identifiers are 64-bit everywhere: at the target scale employee ids exceed
 # the 32-bit range a source database may use.
 SALARY = DecimalType(12, 2)
-DISTANCE = DecimalType(18, 2)
+DISTANCE = DecimalType(18, 6)
 KM = DecimalType(10, 2)
 PARAM = DecimalType(18, 6)
 

@@ -50,7 +50,7 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
                     partition_by: list[str] | None = None) -> None:
     """SNK-10: truncate-and-recompute (e.g. the DQ results table). The path
     must not be one the plan reads."""
-    w = df.write.format(fmt).mode("overwrite")
+    w = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

@@ -7,8 +7,9 @@ by the executors (no driver-side rows). The same mapping is written in DuckDB
 SQL in ``stridelake.plans.oracle`` for the differential check.
 
 The integer rules below (``% 10``, ``% 6``, ...) are the fixture's mapping of
-driver columns to domain values; none of them drops or samples rows to make a
-query cheaper.
+driver columns to domain values; none of them drops a row. Keys that do not
+match (unknown employees, stale sport rows, routing answers under an old badge)
+are made by moving ids by ``MOVED``, outside the range of customers.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from ..functions.exprs import iso_text
 AS_OF = "2025-01-24 00:00:00"      # 12-month window: cut-off 2024-01-24
 DQ_AS_OF = "2024-01-29 00:00:00"   # DQ05 fires for the last days of the data
 COMPANY_ADDRESS = "Head office"
-
+MOVED = 1_000_000_000              # no customer has an id this large
 
 _MEMO: dict[tuple, DataFrame] = {}
 
@@ -51,14 +52,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @_memo
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current employee table: every customer except ids ending in 7 (the
-    fixture's departed/unknown employees, exercising DQ04 and V-2)."""
-    return all_customers_as_employees(spark, sf_dir).where(F.col("employee_id") % 10 != 7)
-
-
-@_memo
-def all_customers_as_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Employee rows for every customer, before departures (JN-12 input)."""
+    """Current employee table: every customer."""
     c = _table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     mode = (F.when(key % 4 == 0, K.MODE_WALK)
@@ -81,8 +75,24 @@ def all_customers_as_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+@_memo
+def former_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People who left (every supplier): in older results, not in ``employees``."""
+    key = F.col("s_suppkey")
+    return _table(spark, sf_dir, "supplier").select(
+        (key + MOVED).cast("long").alias("employee_id"),
+        F.col("s_name").alias("last_name"),
+        F.concat(F.lit("Old"), (key % 97).cast("string")).alias("first_name"),
+        F.concat(F.lit("Home "), key.cast("string")).alias("home_address"),
+        F.when(key % 3 == 0, K.MODE_WALK).when(key % 3 == 1, K.MODE_BIKE)
+        .otherwise("Transports en commun").alias("commute_mode"),
+    )
+
+
 @_memo
 def employee_sports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sport row for every customer; every tenth one stands under an id that
+    no employee has (so that employee has none)."""
     c = _table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     sport = (F.when(key % 6 == 1, "Runing")
@@ -90,8 +100,8 @@ def employee_sports(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(key % 6 == 3, "Tennis")
              .when(key % 6 == 4, "Triathlon")
              .when(key % 6 == 5, "Judo"))
-    return (c.where(key % 10 != 9)
-            .select(key.cast("long").alias("employee_id"), sport.alias("sport")))
+    owner = F.when(key % 10 == 9, key + MOVED).otherwise(key)
+    return c.select(owner.cast("long").alias("employee_id"), sport.alias("sport"))
 
 
 @_memo
@@ -102,7 +112,8 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.col("ts").cast("timestamp")
     end = F.timestamp_add("MINUTE", k - 5, start)
     et = F.col("event_type")
-    sport = (F.when(et == "error", F.when(eid % 10 == 0, "  ").otherwise("Runing"))
+    sport = (F.when(et == "error", F.when(eid % 10 == 0, "  ").when(eid % 10 == 1, "")
+                    .when(eid % 10 != 2, "Runing"))
              .when(et == "click", "Running")
              .when(et == "view", "Randonnée")
              .when(et == "signup", "Judo")
@@ -116,7 +127,8 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.when(eid % 5 == 0, K.LIVE_SOURCE).otherwise("simulation_historical")
     return e.select(
         eid.alias("activity_id"),
-        F.col("user_id").cast("long").alias("employee_id"),
+        F.when(eid % 13 == 0, F.col("user_id") + MOVED).otherwise(F.col("user_id"))
+        .cast("long").alias("employee_id"),
         start.alias("start_at"),
         end.alias("end_at"),
         sport.alias("sport_type"),
@@ -129,33 +141,28 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_memo
 def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log of ``activities``: every row created, every 9th updated
-    (+60 s, distance doubled), every 45th deleted (+120 s). Ordering columns
-    are the ones a broker gives: partition (same key -> same partition) and a
-    per-partition offset."""
-    a = activities(spark, sf_dir)
+    """Change log of ``activities``: every row created (every 37th as a
+    snapshot read), every 9th updated (+60 s, distance doubled), every 45th
+    deleted (+120 s). One scan gives all changes of a row. Ordering columns are
+    the ones a broker gives: partition (same key, same partition) and an offset
+    that no other change has."""
     ms = (F.unix_micros("start_at") - F.pmod(F.unix_micros("start_at"), F.lit(1000))) / F.lit(1000)
-    base = a.select(
-        "*",
-        ms.cast("long").alias("_ms"),
-        F.pmod(F.col("employee_id"), F.lit(4)).cast("int").alias("kafka_partition"),
-    )
-    creates = base.select(
-        "*", F.lit("c").alias("__op"), F.col("_ms").alias("__source_ts_ms"),
-        F.col("activity_id").alias("kafka_offset"))
-    updates = (base.where(F.col("activity_id") % 9 == 0)
-               .withColumn("distance_m", (F.col("distance_m") * 2).cast("decimal(18,2)"))
-               .select("*", F.lit("u").alias("__op"), (F.col("_ms") + 60000).alias("__source_ts_ms"),
-                       (F.col("activity_id") + 10_000_000).alias("kafka_offset")))
-    deletes = (base.where(F.col("activity_id") % 45 == 0)
-               .select("*", F.lit("d").alias("__op"), (F.col("_ms") + 120000).alias("__source_ts_ms"),
-                       (F.col("activity_id") + 20_000_000).alias("kafka_offset")))
-    cols = ["activity_id", "employee_id", "start_at", "end_at", "sport_type", "distance_m",
-            "comment", "source", "created_at", "__op", "__source_ts_ms", "kafka_partition",
-            "kafka_offset"]
-    return (creates.select(*cols).unionByName(updates.select(*cols))
-            .unionByName(deletes.select(*cols))
-            .withColumn("__table", F.lit("activities")))
+    base = activities(spark, sf_dir).select(
+        "*", ms.cast("long").alias("_ms"),
+        F.pmod(F.col("employee_id"), F.lit(4)).cast("int").alias("kafka_partition"))
+    eid, distance = F.col("activity_id"), F.col("distance_m")
+
+    def change(op, delay: int, number: int, metres):
+        return F.struct(op.alias("__op"), (F.col("_ms") + delay).alias("__source_ts_ms"),
+                        (eid * 3 + number).alias("kafka_offset"), metres.alias("distance_m"))
+
+    changes = F.filter(F.array(
+        change(F.when(eid % 37 == 0, "r").otherwise("c"), 0, 0, distance),
+        F.when(eid % 9 == 0, change(F.lit("u"), 60000, 1, (distance * 2).cast("decimal(18,2)"))),
+        F.when(eid % 45 == 0, change(F.lit("d"), 120000, 2, distance)),
+    ), lambda x: x.isNotNull())
+    kept = [c for c in base.columns if c not in ("distance_m", "_ms")]
+    return base.select(*kept, F.inline(changes)).withColumn("__table", F.lit("activities"))
 
 
 @_memo
@@ -194,18 +201,19 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_memo
 def commute_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Routing answers for the employees submitted for validation (every id
-    with ``id % 5 <> 4``; the rest are not validated yet). Every 11th id has
-    no route."""
-    emp = all_customers_as_employees(spark, sf_dir)
+    """Routing answers for current and former employees. Every tenth one of a
+    current employee came in under an old badge id, so that employee has no
+    answer; every 11th id has no route."""
+    now = employees(spark, sf_dir).select("employee_id", F.when(
+        F.col("employee_id") % 10 == 4, F.col("employee_id") + 2 * MOVED).otherwise(F.col("employee_id")).alias("badge"))
+    old = former_employees(spark, sf_dir).select("employee_id", F.col("employee_id").alias("badge"))
     eid = F.col("employee_id")
-    return (emp.where(eid % 5 != 4)
-            .select(
-                eid,
-                F.when(eid % 11 == 0, F.lit(None).cast("long"))
-                .otherwise((eid.cast("long") * 7919) % 40000).alias("distance_m"),
-                F.when(eid % 11 == 0, F.lit("no route found")).alias("api_error"),
-            ))
+    return now.unionByName(old).select(
+        F.col("badge").alias("employee_id"),
+        F.when(eid % 11 == 0, F.lit(None).cast("long"))
+        .otherwise((eid.cast("long") * 7919) % 40000).alias("distance_m"),
+        F.when(eid % 11 == 0, F.lit("no route found")).alias("api_error"),
+    )
 
 
 @_memo
@@ -239,6 +247,33 @@ def master_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
+def master_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored master table before a load: every customer with the stamp of
+    its first load."""
+    return employees(spark, sf_dir).select(
+        "employee_id", "last_name", "business_unit", "annual_gross_salary", "paid_leave_days",
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("employee_id") % 1000).cast("int")).alias("ingested_at"))
+
+
+@_memo
+def master_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of typed rows, one for each order line: its customer's row with a
+    new unit and salary (several versions of a customer, the highest order
+    wins), and for every 50th order a person not known before. Customers
+    without an order stay untouched."""
+    o = _table(spark, sf_dir, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        F.when(key % 50 == 0, key + MOVED).otherwise(cust).cast("long").alias("employee_id"),
+        F.concat(F.lit("Name "), cust.cast("string")).alias("last_name"),
+        F.concat(F.lit("Unit "), (key % 7).cast("string")).alias("business_unit"),
+        (F.lit(30000) + key % 1000).cast("decimal(12,2)").alias("annual_gross_salary"),
+        (F.lit(25) + key % 5).cast("int").alias("paid_leave_days"),
+        F.lit("2025-01-24").cast("date").alias("ingested_at"),
+        key.cast("long").alias("line"))
+
+
 @_memo
 def sports_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sport master data as raw CSV text cells: padded and decimal ids,

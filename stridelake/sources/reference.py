@@ -11,19 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.csv import CSV_FORMAT
+from ..functions.exprs import text_to_int
 from ..operators.master import clean_employees, clean_sports
 
 
 def _csv(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.option("header", "true").option("encoding", "UTF-8")
-            .option("multiLine", "true").option("escape", '"').csv(path))
+    return spark.read.options(**CSV_FORMAT).option("multiLine", "true").csv(path)
 
 
 def read_employees_ref(spark: SparkSession, path: str) -> DataFrame:
     """SRC-4: employee reference as Silver uses it (columns by name)."""
     raw = _csv(spark, path)
     return raw.select(
-        F.col("employee_id").try_cast("long").alias("employee_id"),
+        text_to_int("employee_id", "long").alias("employee_id"),
         "first_name", "last_name", "business_unit", "contract_type",
         F.col("annual_gross_salary").try_cast(S.SALARY).alias("annual_gross_salary"),
     )
@@ -32,7 +33,7 @@ def read_employees_ref(spark: SparkSession, path: str) -> DataFrame:
 def read_sports_ref(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5: sport reference as Silver uses it."""
     raw = _csv(spark, path)
-    return raw.select(F.col("employee_id").try_cast("long").alias("employee_id"), "sport")
+    return raw.select(text_to_int("employee_id", "long").alias("employee_id"), "sport")
 
 
 def load_employees(spark: SparkSession, path: str) -> DataFrame:
