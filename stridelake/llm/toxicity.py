@@ -102,15 +102,21 @@ class Model:
     def __init__(self, codes: np.ndarray, gains: np.ndarray, bias: float, curve: np.ndarray | None = None):
         self.codes, self.gains, self.bias, self.curve = codes, gains, bias, curve
 
-    def decide(self, words: list[bytes]) -> np.ndarray:
-        out = np.full(len(words), self.bias)
+    def decide(self, words: list[bytes], step: int = 20_000) -> np.ndarray:
+        """Decision of each word; blocks of words bound the memory."""
         if not words or not len(self.codes):
-            return out
+            return np.full(len(words), self.bias)
         known = np.zeros(1 << 24, bool)
         known[self.codes] = True
+        return np.concatenate([self.decide_block(words[a:a + step], known) for a in range(0, len(words), step)])
+
+    def decide_block(self, words: list[bytes], known: np.ndarray) -> np.ndarray:
+        out = np.full(len(words), self.bias)
         symbols, word = laid_out(words)
-        found = [(w[hit], c[hit], v) for c, v, w in subsequences(symbols, word) for hit in [known[c]]]
-        touched = np.unique(np.concatenate([w for w, _, _ in found])) if found else np.zeros(0, np.int64)
+        touched = np.zeros(len(words), bool)
+        for code, _, owner in subsequences(symbols, word):
+            touched[owner[known[code]]] = True
+        touched = np.flatnonzero(touched)
         if len(touched):
             some = [words[i] for i in touched.tolist()]
             owner, code, value = kernel_rows(some)
@@ -196,23 +202,23 @@ def evidence(docs: list[list[bytes]], label: np.ndarray) -> tuple[list[bytes], n
     words = list(dict.fromkeys(w for d in docs for w in d))
     number = {w: i for i, w in enumerate(words)}
     symbols, owner = laid_out(words)
+    symbols, owner = symbols.astype(np.int32), owner.astype(np.int32)
     n = max(0, len(symbols) - LENGTH + 1)
-    inside = np.flatnonzero(owner[:n] == owner[LENGTH - 1:])
+    inside = np.flatnonzero(owner[:n] == owner[LENGTH - 1:]).astype(np.int32)
     code = symbols[inside]
     for k in range(1, LENGTH):
         code = (code << 6) | symbols[inside + k]
-    codes, code = np.unique(code, return_inverse=True)
     owner = owner[inside]
     cuts = np.searchsorted(owner, np.arange(len(words) + 1))
-    seen = np.zeros((2, len(codes)))
+    seen = np.zeros((2, 1 << 24), np.uint16)  # by code, in clean and in toxic documents (a bounded sample)
     for d, y in zip(docs, label):
         own = [code[cuts[number[w]]:cuts[number[w] + 1]] for w in d]
         if own:
-            seen[int(y)][np.unique(np.concatenate(own))] += 1
-    clean, toxic = seen / np.maximum(1, np.array([[(label == 0).sum()], [(label == 1).sum()]]))
-    strength = np.where(seen[1] >= 2, toxic * np.log((toxic + 0.002) / (clean + 0.002)), 0.0)
+            seen[int(y), np.unique(np.concatenate(own))] += 1
+    clean, toxic = (seen[y, code] / max(1, (label == y).sum()) for y in (0, 1))
+    strength = np.where(seen[1, code] >= 2, toxic * np.log((toxic + 0.002) / (clean + 0.002)), 0.0)
     best = np.zeros(len(words))
-    np.maximum.at(best, owner, strength[code])
+    np.maximum.at(best, owner, strength)
     return words, best
 
 
@@ -252,13 +258,18 @@ def train_model(texts: list[str], label: np.ndarray, *, landmarks: int = 160, ro
         good = values > 1e-4
         root = vectors[:, good] / np.sqrt(values[good])
 
-        def features(some: list[bytes]) -> np.ndarray:
+        def features(some: list[bytes], step: int = 4000) -> np.ndarray:
+            return np.vstack([feature_block(some[a:a + step]) for a in range(0, len(some), step)])
+
+        def feature_block(some: list[bytes]) -> np.ndarray:
             own, c, v = kernel_rows(some)
             size = np.maximum(1e-12, norms(own, v, len(some)))
             place = np.minimum(np.searchsorted(codes, c), len(codes) - 1)
             hit = codes[place] == c
             k = np.zeros((len(some), len(marks)))
-            np.add.at(k, own[hit], (phi[:, place[hit]] * v[hit]).T)
+            for a in range(0, int(hit.sum()), 20_000):
+                at = np.flatnonzero(hit)[a:a + 20_000]
+                np.add.at(k, own[at], (phi[:, place[at]] * v[at]).T)
             return k / size[:, None] @ root
 
         probe = Model(codes, np.ones(len(codes)), 0.0)
@@ -319,8 +330,8 @@ def scorer(model: Model | None, threshold: float, max_words: int, fold: int):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, max_toxic: int = 800,
-          max_clean: int = 1200, **options) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, max_toxic: int = 600,
+          max_clean: int = 900, **options) -> Model | None:
     """A model from a bounded sample of the labelled documents that ``may_learn``
     (a column over ``doc_id``) allows."""
     marks = labels.where(F.col("toxic").isNotNull() & may_learn) \
