@@ -15,6 +15,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import benefits as B
 from .operators import commute as C
@@ -113,6 +114,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     p.add_argument("--employees", required=True); p.add_argument("--distances", required=True)
     p.add_argument("--out", required=True); p.add_argument("--company-address", default="Head office")
     p.add_argument("--scope", default="all", choices=["all", "requested"])
+    p.add_argument("--previous", help="earlier results to update by employee; written to --out, a new directory")
     p = sub.add_parser("benefits")
     p.add_argument("--employees", required=True); p.add_argument("--activities", required=True)
     p.add_argument("--commute", required=True); p.add_argument("--parameters")
@@ -174,7 +176,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         from . import schemas as S
         n = J.upsert(read_table(spark, args.silver, fmt), args.jdbc_url, args.table, args.staging_table,
                      ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
-                     columns=S.SERVING_COLUMNS, props=_jdbc_props(args))
+                     columns=S.SERVING_COLUMNS, props=_jdbc_props(args), op="__op")
         print(f"{n} Silver rows upserted into {args.table}")
     elif args.job == "compact-current":
         if args.version is not None:
@@ -190,6 +192,8 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         cv = C.validate_commutes(read_table(spark, args.employees, fmt), read_table(spark, args.distances, fmt),
                                  company_address=args.company_address,
                                  scope=args.scope)
+        if args.previous:   # earlier results stay for employees not validated now
+            cv = upsert_table(read_table(spark, args.previous, fmt), cv, "employee_id")
         L.overwrite_table(cv, args.out, fmt)
     elif args.job == "benefits":
         params = (read_table(spark, args.parameters, fmt) if args.parameters
@@ -217,7 +221,17 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         for csv_path, table, loader in ((args.employees_csv, args.employees_table, load_employees),
                                         (args.sports_csv, args.sports_table, load_sports)):
             target = read_table(spark, table, fmt)
-            merged = upsert_table(target, loader(spark, csv_path).select(*target.columns), "employee_id")
+            # A repeated id: the line furthest down the file wins. Lines
+            # without an id are kept aside, they can never match a row.
+            lines = loader(spark, csv_path).withColumn("_line", F.monotonically_increasing_id())
+            for c in target.columns:
+                if c not in lines.columns:
+                    lines = lines.withColumn(c, F.current_timestamp().cast(target.schema[c].dataType)
+                                             if c == "ingested_at" else F.lit(None).cast(target.schema[c].dataType))
+            lines.where("employee_id is null").drop("_line") \
+                .write.format(fmt).mode("errorifexists").save(f"{table}_{args.out_suffix}_rejected")
+            merged = upsert_table(target, lines.where("employee_id is not null"), "employee_id", order=["_line"],
+                                  preserve=tuple(c for c in ("ingested_at",) if c in target.columns))
             merged.write.format(fmt).mode("errorifexists").save(f"{table}_{args.out_suffix}")
     if stop:
         spark.stop()

@@ -1,8 +1,8 @@
 """Profiling of the master data (AG-7, AG-8, AG-9).
 
 * ``profile_summary``: the profile indicators as ``(indicator, value)`` rows.
-  Each table is aggregated in one pass (global aggregates: partial on every
-  map task, one tiny final row); the two referential gaps are anti joins.
+  Each table is scanned once; per-id sums of both meet in a full outer join,
+  which also gives duplicates and the two referential gaps.
 * ``profile_distribution``: value counts with their share per dimension.
   The per-dimension totals (one row per dimension, a fixed handful) are
   joined back on the dimension name; no window over the whole result.
@@ -50,45 +50,48 @@ def avg_2dp(cents_sum: Column, n: Column) -> Column:
 
 
 def profile_summary(employees: DataFrame, sports: DataFrame, as_of=None) -> DataFrame:
+    """AG-7. Both tables are first summed for each employee id (partial
+    aggregates, so a repeated id costs one row for each task) and meet in one
+    full outer join on the id; one global row sums that up."""
     today = _d(as_of)
     sal = F.col("annual_gross_salary")
-    cents = (sal * 100).cast("long")
-    emp = employees.agg(
-        F.count(F.lit(1)).alias("employees_rows"),
-        F.count_distinct("employee_id").alias("employees_unique_ids"),
-        F.min(sal).alias("salary_min"),
-        F.max(sal).alias("salary_max"),
-        F.sum(cents).alias("_cents"),
-        F.count(sal).alias("_n"),
-        _count_if(blank_to_null("home_address").isNull()).alias("missing_addresses"),
-        _count_if(blank_to_null("commute_mode").isNull()).alias("missing_commute"),
-        _count_if(F.col("birth_date") > today).alias("future_birth_dates"),
-        _count_if(F.col("hire_date") > today).alias("future_hire_dates"),
-        _count_if(sal < 0).alias("negative_salary"),
-    ).select("*",
-             (F.col("employees_rows") - F.col("employees_unique_ids")).alias("employees_duplicate_ids"),
-             avg_2dp(F.col("_cents"), F.col("_n")).alias("salary_avg"))
-    spo = sports.agg(
-        F.count(F.lit(1)).alias("sports_rows"),
-        F.count_distinct("employee_id").alias("sports_unique_ids"),
-        _count_if(blank_to_null("sport").isNotNull()).alias("sport_declared"),
-        _count_if(blank_to_null("sport").isNull()).alias("sport_missing"),
-    )
-    emp_ids = employees.select("employee_id")
-    spo_ids = sports.select("employee_id")
-    gap_sports = spo_ids.join(emp_ids, "employee_id", "left_anti").agg(
-        F.count(F.lit(1)).alias("sports_without_rh"))
-    gap_rh = emp_ids.join(spo_ids, "employee_id", "left_anti").agg(
-        F.count(F.lit(1)).alias("rh_without_sports_row"))
-    # Each one-row aggregate is unpivoted once (a set of indicator rows).
-    return (_long(emp, ["employees_rows", "employees_unique_ids", "employees_duplicate_ids",
-                        "salary_min", "salary_max", "salary_avg", "missing_addresses",
-                        "missing_commute", "future_birth_dates", "future_hire_dates",
-                        "negative_salary"])
-            .unionByName(_long(spo, ["sports_rows", "sports_unique_ids", "sport_declared",
-                                     "sport_missing"]))
-            .unionByName(_long(gap_sports, ["sports_without_rh"]))
-            .unionByName(_long(gap_rh, ["rh_without_sports_row"])))
+    emp = employees.groupBy("employee_id").agg(
+        F.count(F.lit(1)).alias("_e"),
+        F.min(sal).alias("_min"), F.max(sal).alias("_max"),
+        F.sum((sal * 100).cast("long")).alias("_cents"), F.count(sal).alias("_n"),
+        _count_if(blank_to_null("home_address").isNull()).alias("_address"),
+        _count_if(blank_to_null("commute_mode").isNull()).alias("_mode"),
+        _count_if(F.col("birth_date") > today).alias("_birth"),
+        _count_if(F.col("hire_date") > today).alias("_hire"),
+        _count_if(sal < 0).alias("_negative")).withColumn("_has_e", F.lit(True))
+    spo = sports.groupBy(F.col("employee_id").alias("_sid")).agg(
+        F.count(F.lit(1)).alias("_s"),
+        _count_if(blank_to_null("sport").isNotNull()).alias("_declared"),
+        _count_if(blank_to_null("sport").isNull()).alias("_missing")).withColumn("_has_s", F.lit(True))
+    both = emp.join(spo, F.col("employee_id") == F.col("_sid"), "full_outer")
+
+    def rows(c: str, where: Column | None = None) -> Column:
+        value = F.col(c) if where is None else F.when(where, F.col(c))
+        return F.coalesce(F.sum(value), F.lit(0).cast("long"))
+
+    one = both.agg(
+        rows("_e").alias("employees_rows"), F.count("employee_id").alias("employees_unique_ids"),
+        F.min("_min").alias("salary_min"), F.max("_max").alias("salary_max"),
+        F.sum("_cents").alias("_cents"), rows("_n").alias("_n"),
+        F.sum("_address").alias("missing_addresses"), F.sum("_mode").alias("missing_commute"),
+        F.sum("_birth").alias("future_birth_dates"), F.sum("_hire").alias("future_hire_dates"),
+        F.sum("_negative").alias("negative_salary"),
+        rows("_s").alias("sports_rows"), F.count("_sid").alias("sports_unique_ids"),
+        F.sum("_declared").alias("sport_declared"), F.sum("_missing").alias("sport_missing"),
+        rows("_s", F.col("_has_e").isNull()).alias("sports_without_rh"),
+        rows("_e", F.col("_has_s").isNull()).alias("rh_without_sports_row"))
+    one = one.select("*", (F.col("employees_rows") - F.col("employees_unique_ids")).alias("employees_duplicate_ids"),
+                     avg_2dp(F.col("_cents"), F.col("_n")).alias("salary_avg"))
+    return _long(one, ["employees_rows", "employees_unique_ids", "employees_duplicate_ids",
+                       "salary_min", "salary_max", "salary_avg", "missing_addresses",
+                       "missing_commute", "future_birth_dates", "future_hire_dates",
+                       "negative_salary", "sports_rows", "sports_unique_ids", "sport_declared",
+                       "sport_missing", "sports_without_rh", "rh_without_sports_row"])
 
 
 DIMENSIONS = [("commute_modes", "commute_mode"), ("business_units", "business_unit"),

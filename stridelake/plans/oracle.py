@@ -71,9 +71,9 @@ SELECT event_id AS activity_id,
        CASE event_type WHEN 'error' THEN CASE event_id % 10 WHEN 0 THEN '  ' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 'Runing' END
             WHEN 'click' THEN 'Running' WHEN 'view' THEN 'Randonnée'
             WHEN 'signup' THEN 'Judo' WHEN 'purchase' THEN 'Tennis' END AS sport_type,
-       CASE WHEN event_id % 7 = 0 THEN NULL
-            WHEN event_id % 50 = 0 THEN -CAST(CAST(value AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2))
-            ELSE CAST(CAST(value AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) END AS distance_m,
+       CAST(CASE WHEN event_id % 7 = 0 THEN NULL
+                 WHEN event_id % 50 = 0 THEN -CAST(CAST(value AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2))
+                 ELSE CAST(CAST(value AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) END AS DECIMAL(18,6)) AS distance_m,
        CASE WHEN event_id % 3 = 0 THEN 'Historique simulé' WHEN event_id % 3 = 1 THEN ' super ' END AS comment,
        CASE WHEN event_id % 5 = 0 THEN 'live' ELSE 'simulation_historical' END AS source,
        ts AS created_at
@@ -252,7 +252,7 @@ cte("cdc_log", ["cdc_base"], f"""
 SELECT {_BIZ.format(dist='distance_m')}, CASE WHEN activity_id % 37 = 0 THEN 'r' ELSE 'c' END AS __op,
        _ms AS __source_ts_ms, kafka_partition, activity_id * 3 AS kafka_offset FROM cdc_base
 UNION ALL
-SELECT {_BIZ.format(dist='CAST(distance_m * 2 AS DECIMAL(18,2)) AS distance_m')}, 'u', _ms + 60000, kafka_partition,
+SELECT {_BIZ.format(dist='CAST(distance_m * 2 AS DECIMAL(18,6)) AS distance_m')}, 'u', _ms + 60000, kafka_partition,
        activity_id * 3 + 1 FROM cdc_base WHERE activity_id % 9 = 0
 UNION ALL
 SELECT {_BIZ.format(dist='distance_m')}, 'd', _ms + 120000, kafka_partition,
@@ -424,7 +424,8 @@ FROM customer""")
 oracle("master_clean_sports", f"""
 SELECT {_int('employee_id', 'BIGINT')} AS employee_id, {_blank('sport')} AS sport FROM sports_csv""", "sports_csv")
 cte("load_lines", [], """
-SELECT CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey + 1000000000 ELSE o_custkey END AS employee_id,
+SELECT CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey + 1000000000
+            WHEN o_custkey % 4 = 0 THEN o_custkey + 2000000000 ELSE o_custkey END AS employee_id,
        'Name ' || o_custkey AS last_name, 'Unit ' || (o_orderkey % 7) AS business_unit,
        CAST(30000 + o_orderkey % 1000 AS DECIMAL(12,2)) AS annual_gross_salary,
        CAST(25 + o_orderkey % 5 AS INTEGER) AS paid_leave_days, o_orderkey AS line

@@ -45,6 +45,13 @@ TUNING_CONF = {
 }
 
 
+# ST-10: a shutdown lets a trigger end and commit; a restarted query takes over.
+STREAM_CONF = {
+    "spark.streaming.stopGracefullyOnShutdown": "true",
+    "spark.sql.streaming.stopActiveRunOnRestart": "true",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "stridelake",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -56,7 +63,7 @@ def build_session(master: str | None = None, app_name: str = "stridelake",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED_CONF, **TUNING_CONF}.items():
+    for key, value in {**REQUIRED_CONF, **TUNING_CONF, **STREAM_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 from ..operators.cdc import latest_by_key
 
 
+#: Column of the staging table that holds a row's change operation.
+OP_COLUMN = "change_op"
+#: Connections a write opens at once, however many tasks the plan has.
+MAX_CONNECTIONS = 32
+
+
 def _writer(df: DataFrame, url: str, table: str, props: dict[str, str] | None):
-    w = df.write.format("jdbc").option("url", url).option("dbtable", table)
+    w = df.coalesce(MAX_CONNECTIONS).write.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (props or {}).items():
         w = w.option(k, v)
     return w
@@ -35,15 +41,19 @@ def backfill(df: DataFrame, url: str, table: str, props: dict[str, str] | None =
     _writer(df, url, table, props).mode("append").save()
 
 
-def merge_statement(target: str, staging: str, key: list[str], columns: list[str]) -> str:
-    """Standard SQL MERGE from staging into target on ``key``."""
+def merge_statement(target: str, staging: str, key: list[str], columns: list[str],
+                    op: str | None = None) -> str:
+    """Standard SQL MERGE from staging into target on ``key``. ``op``: staging
+    column whose value 'd' deletes the row (and inserts none)."""
     on = " AND ".join(f"t.{k} = s.{k}" for k in key)
     updates = ", ".join(f"{c} = s.{c}" for c in columns if c not in key)
     cols = ", ".join(columns)
     vals = ", ".join(f"s.{c}" for c in columns)
-    return (f"MERGE INTO {target} t USING {staging} s ON {on} "
+    delete = f"WHEN MATCHED AND s.{op} = 'd' THEN DELETE " if op else ""
+    alive = f"AND (s.{op} IS NULL OR s.{op} <> 'd') " if op else ""
+    return (f"MERGE INTO {target} t USING {staging} s ON {on} {delete}"
             f"WHEN MATCHED THEN UPDATE SET {updates} "
-            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
+            f"WHEN NOT MATCHED {alive}THEN INSERT ({cols}) VALUES ({vals})")
 
 
 def execute(spark, url: str, statement: str, props: dict[str, str] | None = None,
@@ -61,15 +71,19 @@ def execute(spark, url: str, statement: str, props: dict[str, str] | None = None
 
 def upsert(df: DataFrame, url: str, target: str, staging: str, key: list[str],
            order: list[str] | None = None, columns: list[str] | None = None,
-           props: dict[str, str] | None = None, probe_query: str = "SELECT 1 AS ok") -> int:
+           props: dict[str, str] | None = None, probe_query: str = "SELECT 1 AS ok",
+           op: str | None = None) -> int:
     """SNK-4: keyed upsert of a batch into a JDBC table. ``order``: columns
     that rank versions of a key in the batch (newest wins); ``columns``: the
-    target's columns (default: all of ``df``). Returns the number of rows
+    target's columns (default: all of ``df``); ``op``: change operation, so that
+    a key whose newest version is a delete leaves the target (the staging
+    table then has a column ``change_op`` more). Returns the number of rows
     staged (SNK-14: counted during the staging write, no extra job)."""
     batch = latest_by_key(df, key, order) if order else df
-    batch = batch.select(*(columns or df.columns))
+    columns = [c for c in (columns or df.columns) if c != op]
+    batch = batch.select(*columns, *([F.col(op).alias(OP_COLUMN)] if op else []))
     obs = Observation("staged_rows")
     write_staging(batch.observe(obs, F.count(F.lit(1)).alias("rows")), url, staging, props)
-    execute(df.sparkSession, url, merge_statement(target, staging, key, batch.columns), props,
+    execute(df.sparkSession, url, merge_statement(target, staging, key, columns, OP_COLUMN if op else None), props,
             probe_query)
     return int(obs.get["rows"])

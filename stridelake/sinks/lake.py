@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.csv import CSV_FORMAT, read_csv_text
+from ..functions.literal import literal_table
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -37,13 +39,16 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     return w.start(path)
 
 
-def write_log_partition(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+def write_log_partition(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> int:
     """SNK-2: write one micro-batch into its ``batch_id`` partition,
-    replacing that partition on replay (idempotent)."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    replacing that partition on replay (idempotent). Returns the rows written."""
+    obs = Observation("log_rows")
+    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+     .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
      .write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").save(path))
+    return int(obs.get["rows"])
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -67,7 +72,7 @@ def export_bi_csv(silver: DataFrame, out: str, order_by: str = "activity_id") ->
     """SNK-6: BI export, 14 columns with header, globally sorted by
     ``order_by`` across ordered part files (written in parallel)."""
     (silver.select(*S.BI_COLUMNS).orderBy(order_by)
-     .write.mode("overwrite").option("header", "true").csv(out))
+     .write.mode("overwrite").options(**CSV_FORMAT).csv(out))
 
 
 def snapshot_stamp(now: _dt.datetime | None = None) -> str:
@@ -77,19 +82,26 @@ def snapshot_stamp(now: _dt.datetime | None = None) -> str:
 
 
 def publish_reference(df: DataFrame, archive_prefix: str, current_path: str,
-                      stamp: str | None = None) -> str:
+                      stamp: str | None = None, order_by: str | None = None) -> str:
     """SNK-7: immutable timestamped snapshot, then the current copy.
 
-    Returns the archive path. The current copy is rewritten from the archived
-    files, so a failure between the two steps leaves the previous current
-    version untouched and the archive complete.
+    Returns the archive path. The current copy is made from the archived cells
+    (all text, so nothing is re-interpreted) in a directory of its own, and
+    becomes current when its name is appended to ``<current_path>/_versions``:
+    one committed file, so a reader sees the version before or the new one,
+    whole, and a failure leaves the one before.
     """
     stamp = stamp or snapshot_stamp()
     archive = f"{archive_prefix}_{stamp}"
-    df.write.mode("errorifexists").option("header", "true").csv(archive)
+    df.write.mode("errorifexists").options(**CSV_FORMAT).csv(archive)
     spark = df.sparkSession
-    archived = spark.read.option("header", "true").schema(df.schema).csv(archive)
-    archived.write.mode("overwrite").option("header", "true").csv(current_path)
+    archived = read_csv_text(spark, archive)
+    if order_by:
+        archived = archived.orderBy(F.col(order_by).try_cast(df.schema[order_by].dataType))
+    current = f"{current_path.rstrip('/')}/{stamp}"
+    archived.write.mode("overwrite").options(**CSV_FORMAT).csv(current)
+    (literal_table(spark, [(stamp, current)], [("stamp", "string"), ("path", "string")])
+     .write.mode("append").parquet(f"{current_path.rstrip('/')}/_versions"))
     return archive
 
 

@@ -19,6 +19,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions import constants as K
 from ..functions.exprs import iso_text
 
@@ -132,7 +133,7 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("start_at"),
         end.alias("end_at"),
         sport.alias("sport_type"),
-        distance.alias("distance_m"),
+        distance.cast(S.DISTANCE).alias("distance_m"),
         comment.alias("comment"),
         source.alias("source"),
         start.alias("created_at"),
@@ -158,7 +159,7 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     changes = F.filter(F.array(
         change(F.when(eid % 37 == 0, "r").otherwise("c"), 0, 0, distance),
-        F.when(eid % 9 == 0, change(F.lit("u"), 60000, 1, (distance * 2).cast("decimal(18,2)"))),
+        F.when(eid % 9 == 0, change(F.lit("u"), 60000, 1, (distance * 2).cast(S.DISTANCE))),
         F.when(eid % 45 == 0, change(F.lit("d"), 120000, 2, distance)),
     ), lambda x: x.isNotNull())
     kept = [c for c in base.columns if c not in ("distance_m", "_ms")]
@@ -260,12 +261,13 @@ def master_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def master_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load of typed rows, one for each order line: its customer's row with a
     new unit and salary (several versions of a customer, the highest order
-    wins), and for every 50th order a person not known before. Customers
-    without an order stay untouched."""
+    wins). Every 50th order is of a person not known before, and so are all
+    orders of every fourth customer, whose own stored row stays untouched."""
     o = _table(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     return o.select(
-        F.when(key % 50 == 0, key + MOVED).otherwise(cust).cast("long").alias("employee_id"),
+        F.when(key % 50 == 0, key + MOVED).when(cust % 4 == 0, cust + 2 * MOVED)
+        .otherwise(cust).cast("long").alias("employee_id"),
         F.concat(F.lit("Name "), cust.cast("string")).alias("last_name"),
         F.concat(F.lit("Unit "), (key % 7).cast("string")).alias("business_unit"),
         (F.lit(30000) + key % 1000).cast("decimal(12,2)").alias("annual_gross_salary"),

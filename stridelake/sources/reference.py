@@ -7,17 +7,30 @@ typed by name with non-raising casts.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.csv import CSV_FORMAT
+from ..functions.csv import read_csv_text
 from ..functions.exprs import text_to_int
 from ..operators.master import clean_employees, clean_sports
 
 
+def current_files(spark: SparkSession, path: str) -> str:
+    """The newest version that ``publish_reference`` registered under ``path``
+    (one row reaches the driver); a path without versions is read as it is."""
+    try:
+        versions = spark.read.parquet(f"{path.rstrip('/')}/_versions")
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return path
+    return versions.orderBy(F.col("stamp").desc()).first()["path"]
+
+
 def _csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**CSV_FORMAT).option("multiLine", "true").csv(path)
+    return read_csv_text(spark, current_files(spark, path))
 
 
 def read_employees_ref(spark: SparkSession, path: str) -> DataFrame:

@@ -1,4 +1,6 @@
-"""Stream lifecycle helpers (ST-10, ST-11).
+"""Stream lifecycle helpers (ST-11). Graceful stop (ST-10) is a session
+setting: ``spark.sql.streaming.stopActiveRunOnRestart`` and
+``spark.streaming.stopGracefullyOnShutdown`` in ``session.STREAM_CONF``.
 
 Checkpoints live under the shared folder the cluster names in
 ``spark.checkpoint.dir`` unless a location is given; a restarted query
@@ -18,15 +20,3 @@ def checkpoint_for(spark: SparkSession, name: str, given: str | None = None) ->
     if given:
         return given
     return f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
-
-
-def await_all(spark: SparkSession, timeout: float | None = None) -> None:
-    """ST-11: block until any active query ends (re-raising its error)."""
-    spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
-
-
-def stop_all(spark: SparkSession) -> None:
-    """ST-10: graceful stop - each query finishes its current trigger and
-    commits before it stops."""
-    for q in spark.streams.active:
-        q.stop()

@@ -34,7 +34,8 @@ def start_reference_snapshots(records: DataFrame, tables: dict[str, dict], check
         for topic in sorted(changed):
             cfg = tables[topic]
             df = read(spark, cfg).orderBy(cfg["order_by"])
-            publish_reference(df, cfg["archive_prefix"], cfg["current_path"], snapshot_stamp())
+            publish_reference(df, cfg["archive_prefix"], cfg["current_path"], snapshot_stamp(),
+                              cfg["order_by"])
 
     return (records.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint_for(records.sparkSession, query_name, checkpoint))

@@ -10,20 +10,24 @@ Per micro-batch (``foreachBatch``):
    (read back, so the log and the serving table hold the same stamp and the
    plan is not evaluated twice) into a JDBC table, newest version per key.
 
+Records without a usable payload go to ``malformed_path`` if one is given.
+
 The current state of the lake is ``compact_current``: latest version per
 activity over the whole log, written to a new directory (never over a path
-the same plan reads).
+the same plan reads). ``publish_current`` does the same step by step: it merges
+the version published last with the batches after it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators.cdc import current_state, only_valid
+from ..operators.cdc import current_state, latest_by_key, malformed, only_valid
 from ..operators.silver import enrich
 from ..sinks import jdbc as J
 from ..sinks.lake import write_log_partition
@@ -35,24 +39,28 @@ from .control import checkpoint_for
 def make_batch_writer(silver_path: str,
                       load_employees: Callable[[SparkSession], DataFrame],
                       load_sports: Callable[[SparkSession], DataFrame],
-                      fmt: str = "parquet", serving_jdbc: dict | None = None):
+                      fmt: str = "parquet", serving_jdbc: dict | None = None,
+                      malformed_path: str | None = None):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The batch is read twice (rows, and its keys to cut the references):
         # keep it for the duration of the write (memory and disk; a lost
         # block is recomputed from this batch's files).
-        rows = only_valid(batch).persist()
+        decoded = batch.persist()
         try:
+            rows = only_valid(decoded)
             enriched = enrich(rows, load_employees(spark), load_sports(spark), reduce_references=True)
-            write_log_partition(enriched, silver_path, batch_id, fmt)
+            written = write_log_partition(enriched, silver_path, batch_id, fmt)
+            if malformed_path:
+                write_log_partition(malformed(decoded), malformed_path, batch_id, fmt)
         finally:
-            rows.unpersist()
-        if serving_jdbc:
-            written = (read_table(spark, silver_path, fmt)
-                       .where(F.col("batch_id") == F.lit(int(batch_id))))
-            J.upsert(written, serving_jdbc["url"], serving_jdbc["table"], serving_jdbc["staging"],
+            decoded.unpersist()
+        if serving_jdbc and written:
+            # Only this batch's own directory is listed and read.
+            own = spark.read.format(fmt).load(f"{silver_path.rstrip('/')}/batch_id={int(batch_id)}")
+            J.upsert(own, serving_jdbc["url"], serving_jdbc["table"], serving_jdbc["staging"],
                      ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
-                     columns=S.SERVING_COLUMNS, props=serving_jdbc.get("props"),
+                     columns=S.SERVING_COLUMNS, props=serving_jdbc.get("props"), op="__op",
                      probe_query=serving_jdbc.get("probe_query", "SELECT 1 AS ok"))
     return write_batch
 
@@ -61,11 +69,13 @@ def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkp
                  load_employees: Callable[[SparkSession], DataFrame],
                  load_sports: Callable[[SparkSession], DataFrame],
                  fmt: str = "parquet", trigger: dict | None = None,
-                 serving_jdbc: dict | None = None, query_name: str = "silver_activities"):
+                 serving_jdbc: dict | None = None, query_name: str = "silver_activities",
+                 malformed_path: str | None = None):
     ensure_table(spark, bronze_path, S.BRONZE, fmt)
     bronze = read_table_stream(spark, bronze_path, S.BRONZE, fmt)
     w = (bronze.writeStream
-         .foreachBatch(make_batch_writer(silver_path, load_employees, load_sports, fmt, serving_jdbc))
+         .foreachBatch(make_batch_writer(silver_path, load_employees, load_sports, fmt, serving_jdbc,
+                                         malformed_path))
          .option("checkpointLocation", checkpoint_for(spark, query_name, checkpoint))
          .queryName(query_name)
          .trigger(**(trigger or {"processingTime": "0 seconds"})))
@@ -87,22 +97,50 @@ def compact_current(spark: SparkSession, silver_path: str, out_path: str, fmt: s
 
 def publish_current(spark: SparkSession, silver_path: str, current_root: str, version: int,
                     fmt: str = "parquet") -> str:
-    """Compact into ``<current_root>/v<version>`` and then register that
-    version in ``<current_root>/_versions`` (an append: one committed file,
-    so a reader sees either the previous or the new version, never a partial
-    one). Older versions stay readable until removed by retention."""
-    out = f"{current_root.rstrip('/')}/v{int(version)}"
-    compact_current(spark, silver_path, out, fmt)
-    (literal_table(spark, [(int(version), out)], [("version", "bigint"), ("path", "string")])
-     .write.mode("append").parquet(f"{current_root.rstrip('/')}/_versions"))
+    """Write ``<current_root>/v<version>`` and then register it in
+    ``<current_root>/_versions`` (an append: one committed file, so a reader
+    sees either the previous or the new version, never a partial one). Older
+    versions stay readable until removed by retention.
+
+    Incremental: the last published version and the log batches after the one
+    it reached are merged, newest change per key; the rest of the log is not
+    read. Keys whose newest change is a delete stay inside a version (so that a
+    late, older change cannot bring them back) and are left out on reading.
+    """
+    root = current_root.rstrip("/")
+    out = f"{root}/v{int(version)}"
+    log = read_table(spark, silver_path, fmt)
+    last = _last_version(spark, root)
+    if last:
+        log = log.where(F.col("batch_id") > F.lit(last["batch_id"]))
+    reached = log.agg(F.max("batch_id")).first()[0]
+    changes = only_valid(log.drop("batch_id"))
+    if last:
+        changes = read_table(spark, last["path"], fmt).select(*changes.columns).unionByName(changes)
+    (latest_by_key(changes, "activity_id").repartitionByRange("activity_date", "activity_id")
+     .write.format(fmt).mode("errorifexists").partitionBy("activity_date").save(out))
+    reached = max(x for x in (reached, last and last["batch_id"], -1) if x is not None)
+    (literal_table(spark, [(int(version), out, int(reached))],
+                   [("version", "bigint"), ("path", "string"), ("batch_id", "bigint")])
+     .write.mode("append").parquet(f"{root}/_versions"))
     return out
 
 
+def _last_version(spark: SparkSession, root: str):
+    """The newest entry of the version log (one row), None without one."""
+    try:
+        versions = spark.read.parquet(f"{root}/_versions")
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return versions.orderBy(F.col("version").desc()).first()
+
+
 def read_current(spark: SparkSession, current_root: str, fmt: str = "parquet") -> DataFrame:
-    """The newest published current-state version (top-1 of the version
-    log: one row reaches the driver)."""
-    latest = (spark.read.parquet(f"{current_root.rstrip('/')}/_versions")
-              .orderBy(F.col("version").desc()).limit(1).collect())
-    if not latest:
+    """The newest published current-state version, deleted keys left out."""
+    last = _last_version(spark, current_root.rstrip("/"))
+    if not last:
         raise FileNotFoundError(f"no published version under {current_root}")
-    return read_table(spark, latest[0]["path"], fmt)
+    rows = read_table(spark, last["path"], fmt)
+    return rows.where(F.col("__op").isNull() | (F.col("__op") != "d"))

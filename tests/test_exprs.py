@@ -70,3 +70,11 @@ def test_iso_timestamp_parsing(spark):
     got = [r.ts for r in df.select(X.parse_iso_ts("t").cast("timestamp_ntz").alias("ts")).collect()]
     assert got == [dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10),
                    dt.datetime(2024, 1, 1, 10, 0, 0, 123456), None, None]
+
+
+def test_ids_are_exact_to_the_last_bit(spark):
+    from stridelake.functions.exprs import text_to_int
+    cells = ["9007199254740993", "9223372036854775807", "29.0", " 12,7 ", "-3.9", "12d", "1e3", "", "x", "9223372036854775808"]
+    got = [r.n for r in spark.createDataFrame([(c,) for c in cells], "c string")
+           .select(text_to_int("c", "long").alias("n")).collect()]
+    assert got == [9007199254740993, 9223372036854775807, 29, 12, -3, None, 1000, None, None, None]

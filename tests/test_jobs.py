@@ -1,6 +1,7 @@
 import os
 
 from stridelake import jobs
+from stridelake.sources.reference import current_files
 from stridelake.sources import adapter as A
 from stridelake.sources.tables import read_table
 
@@ -120,5 +121,6 @@ def test_snapshots_job_on_landing(spark, tmp):
     archived = os.listdir(os.path.join(arch, "company"))
     assert len(archived) == 1 and archived[0].startswith("employees_")
     assert not os.path.exists(os.path.join(arch, "sports"))          # that topic did not change
-    current = spark.read.option("header", True).csv(os.path.join(cur, "company", "employees.csv"))
+    current = spark.read.option("header", True).csv(
+        current_files(spark, os.path.join(cur, "company", "employees.csv")))
     assert current.count() == A.employees(spark, SF).count()

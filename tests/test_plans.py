@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
+import pytest
+
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
@@ -15,11 +17,40 @@ def test_window_filter_reaches_scan(spark):
     assert "partial_count" in p                   # aggregated before the join
 
 
-def test_dq_row_rules_need_no_shuffle_of_full_rows(spark):
+def scans(plan, table):
+    return plan.count(f"{table}.parquet]")
+
+
+def test_dq_reads_activities_twice_and_shuffles_keys_only(spark):
     p = _plan(E.queries()["dq_results"](spark, SF))
     assert "Generate inline" in p
-    # DQ04: distinct keys anti-joined, then a semi join on the unknown set
-    assert p.count("LeftAnti") == 1 and p.count("LeftSemi") == 1 and "LeftOuter" not in p
+    # distinct keys are anti-joined, the unknown ones flag the rows
+    assert p.count("LeftAnti") == 1 and scans(p, "events") == 2
+
+
+@pytest.mark.parametrize("name", ["cdc_decode", "cdc_malformed", "silver_enriched", "serving_projection",
+                                  "bi_projection", "silver_current", "live_notifications"])
+def test_change_log_is_one_scan(spark, name):
+    assert scans(_plan(E.queries()[name](spark, SF)), "events") == 1
+
+
+def test_profile_scans_each_table_once(spark):
+    p = _plan(E.queries()["profile_summary"](spark, SF))
+    assert scans(p, "customer") == 2 and p.count("Exchange ") <= 3     # both tables derive from customer
+
+
+def test_stream_cuts_employees_before_it_dedupes_them(spark):
+    from stridelake.operators import notify as N
+    from stridelake.sources import adapter as A
+    events = spark.createDataFrame([], "activity_id long, employee_id long, start_at string, end_at string, "
+                                   "sport_type string, distance_m double, comment string, source string, "
+                                   "__op string, kafka_offset long")
+    plan = N.notifications(events, A.employees(spark, SF), reduce_references=True) \
+        ._jdf.queryExecution().analyzed().toString()
+    lines = plan.splitlines()
+    semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+    dedupe = next(i for i, x in enumerate(lines) if "max(struct" in x)
+    assert dedupe < semi                # the aggregate is above the semi join
 
 
 def test_parameters_are_scalar_subqueries_not_joins(spark):

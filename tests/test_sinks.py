@@ -4,7 +4,7 @@ import uuid
 from stridelake import schemas as S
 from stridelake.sinks import jdbc as J
 from stridelake.sinks import lake as L
-from stridelake.sources.reference import load_employees, read_employees_ref
+from stridelake.sources.reference import current_files, load_employees, read_employees_ref
 from stridelake.sources.tables import ensure_table, read_table
 
 
@@ -41,7 +41,45 @@ def test_ensure_table_and_publish_reference(spark, tmp):
     arch = L.publish_reference(df, os.path.join(tmp, "arch", "employees"), os.path.join(tmp, "cur"),
                                stamp="20240101T000000000000Z")
     assert arch.endswith("employees_20240101T000000000000Z")
-    assert spark.read.option("header", True).csv(os.path.join(tmp, "cur")).count() == 1
+    assert spark.read.option("header", True).csv(current_files(spark, os.path.join(tmp, "cur"))).count() == 1
+
+
+def test_reference_snapshot_keeps_every_cell(spark, tmp):
+    cells = ['say "hi", ok', "two\nlines", "a,b;c", None, "", " padded ", "back\\slash", "é"]
+    df = spark.createDataFrame([(9007199254740993 + i, c, str(30000 + i)) for i, c in enumerate(cells)],
+                               "employee_id long, home_address string, annual_gross_salary string")
+    cur = os.path.join(tmp, "cur")
+    L.publish_reference(df.limit(2), os.path.join(tmp, "arch", "e"), cur, stamp="20240101T000000000000Z")
+    L.publish_reference(df, os.path.join(tmp, "arch", "e"), cur, stamp="20240102T000000000000Z", order_by="employee_id")
+    from stridelake.sources.reference import _csv
+    for files in (cur, os.path.join(tmp, "arch", "e_20240102T000000000000Z")):
+        got = {r.employee_id: r.home_address for r in _csv(spark, files).collect()}
+        assert got == {str(9007199254740993 + i): c for i, c in enumerate(cells)}
+    loaded = {r.employee_id for r in load_employees(spark, cur).collect()}
+    assert loaded == {9007199254740993 + i for i in range(len(cells))}
+
+
+def test_partitioned_overwrite_leaves_no_stale_partition(spark, tmp):
+    path = os.path.join(tmp, "t")
+    L.overwrite_table(spark.range(10).selectExpr("id", "id % 3 as p"), path, partition_by=["p"])
+    L.overwrite_table(spark.range(4).selectExpr("id", "0 as p"), path, partition_by=["p"])
+    assert read_table(spark, path).count() == 4
+
+
+def test_merge_deletes_keys_whose_newest_change_is_a_delete(spark, tmp):
+    url = f"jdbc:derby:memory:db{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    run = lambda sql: J.execute(spark, url, sql, props, probe_query=PROBE)
+    run("CREATE TABLE serving (activity_id BIGINT PRIMARY KEY, v VARCHAR(10))")
+    run("CREATE TABLE staging (activity_id BIGINT, v VARCHAR(10), change_op VARCHAR(5))")
+    run("INSERT INTO serving VALUES (1, 'old'), (2, 'gone')")
+    batch = spark.createDataFrame([(1, "new", "u", 2), (2, "gone", "d", 3), (3, "never", "c", 1), (3, "never", "d", 4),
+                                   (4, "made", "c", 5)], "activity_id long, v string, __op string, kafka_offset long")
+    for _ in range(2):
+        J.upsert(batch, url, "serving", "staging", ["activity_id"], order=["kafka_offset"],
+                 columns=["activity_id", "v"], props=props, probe_query=PROBE, op="__op")
+    got = spark.read.format("jdbc").option("url", url).option("dbtable", "serving").options(**props).load()
+    assert sorted((r.ACTIVITY_ID, r.V) for r in got.collect()) == [(1, "new"), (4, "made")]
 
 
 def test_csv_master_load_with_bom(spark, tmp):

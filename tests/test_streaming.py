@@ -107,7 +107,8 @@ def test_reference_snapshots(spark, tmp):
     q.awaitTermination()
     archives = os.listdir(os.path.join(tmp, "archive"))
     assert len(archives) == 1 and archives[0].startswith("employees_")
-    cur = spark.read.option("header", True).csv(os.path.join(tmp, "current", "employees"))
+    from stridelake.sources.reference import current_files
+    cur = spark.read.option("header", True).csv(current_files(spark, os.path.join(tmp, "current", "employees")))
     assert [r.employee_id for r in cur.collect()] == ["1", "2"]
 
 
@@ -125,20 +126,51 @@ def test_silver_stream_upserts_serving_table_on_derby(spark, tmp):
             "duration_minutes DOUBLE, distance_km DECIMAL(18,2), source VARCHAR(40), silver_ingested_at TIMESTAMP")
     J.execute(spark, url, f"CREATE TABLE serving ({cols.replace('activity_id BIGINT', 'activity_id BIGINT PRIMARY KEY')})",
               props, probe)
-    J.execute(spark, url, f"CREATE TABLE staging ({cols})", props, probe)
+    J.execute(spark, url, f"CREATE TABLE staging ({cols}, change_op VARCHAR(5))", props, probe)
     _land(spark, landing, [(_msg(1), TOPIC, 0, 1, None), (_msg(1, op="u", ts=2000, distance_m=9000.0), TOPIC, 0, 2, None),
-                           (_msg(2), TOPIC, 0, 3, None)])
+                           (_msg(2), TOPIC, 0, 3, None), (_msg(3), TOPIC, 0, 4, None),
+                           (_msg(3, op="d", ts=3000), TOPIC, 0, 5, None), ("{broken", TOPIC, 0, 6, None)])
     start_bronze(read_cdc_stream(spark, TOPIC, source="landing", landing_path=landing), bronze,
                  os.path.join(tmp, "ck_b"), trigger={"availableNow": True}).awaitTermination()
     emp, sp = _refs(spark)
     serving = {"url": url, "table": "serving", "staging": "staging", "props": props, "probe_query": probe}
-    writer = make_batch_writer(silver, lambda s: emp, lambda s: sp, serving_jdbc=serving)
+    bad = os.path.join(tmp, "bad")
+    writer = make_batch_writer(silver, lambda s: emp, lambda s: sp, serving_jdbc=serving, malformed_path=bad)
+    writer(read_table(spark, bronze).where("activity_id is null"), 9)      # a first batch without a valid row
     writer(read_table(spark, bronze), 0)
     writer(read_table(spark, bronze), 0)          # replay: same partition, same serving rows
     got = {r.ACTIVITY_ID: r for r in spark.read.format("jdbc").option("url", url)
            .option("dbtable", "serving").options(**props).load().collect()}
     assert set(got) == {1, 2} and str(got[1].DISTANCE_KM) == "9.00" and got[1].FIRST_NAME == "Ana"
-    assert read_table(spark, silver).count() == 3
+    assert read_table(spark, silver).count() == 5 and read_table(spark, bad).where("batch_id = 0").count() == 1
+    from stridelake.streaming.silver import publish_current, read_current
+    cur = os.path.join(tmp, "published")
+    publish_current(spark, silver, cur, 1)
+    assert {r.activity_id for r in read_current(spark, cur).collect()} == set(got)   # lake and table agree
+
+
+def test_incremental_current_equals_full_compaction(spark, tmp):
+    from stridelake.operators.cdc import current_state
+    from stridelake.streaming.silver import publish_current, read_current
+    log, cur = os.path.join(tmp, "log"), os.path.join(tmp, "cur")
+    cols = ("activity_id long, __op string, __source_ts_ms long, kafka_partition int, kafka_offset long, "
+            "activity_date date, v string")
+    import datetime as dt
+
+    from stridelake.sinks.lake import write_log_partition
+    day = dt.date(2024, 1, 1)
+    batches = [[(1, "c", 10, 0, 1, day, "a"), (2, "c", 10, 0, 2, day, "b"), (3, "c", 10, 0, 3, day, "c")],
+               [(1, "u", 20, 0, 4, day, "a2"), (2, "d", 30, 0, 5, day, "b")],
+               [(2, "u", 25, 0, 6, day, "late"), (3, "u", 40, 0, 7, day, "c2"), (4, "c", 5, 0, 8, day, "d")],
+               [(3, "d", 50, 0, 9, day, "c2")]]
+    for i, rows in enumerate(batches):
+        write_log_partition(spark.createDataFrame(rows, cols), log, i)
+        publish_current(spark, log, cur, i + 1)
+        want = current_state(read_table(spark, log).drop("batch_id"))
+        assert sorted(map(str, read_current(spark, cur).select(*want.columns).collect())) == \
+            sorted(map(str, want.collect()))
+    publish_current(spark, log, cur, 99)         # nothing new: the same state again
+    assert {r.v for r in read_current(spark, cur).collect()} == {"a2", "d"}
 
 
 def test_compacted_current_feeds_benefits_with_partition_pruning(spark, tmp):
