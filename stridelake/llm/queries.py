@@ -9,12 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (hpylm, langid, line_rules, mixing, ordinal, packing, simhash, sketches, suffixes,
+from . import (hpylm, langid, line_rules, mixing, oracles, ordinal, packing, simhash, sketches, suffixes,
                toxicity)
 from .common import crc_mod_column, documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_suffix_dedup": oracles.SUFFIX_DEDUP, "op7_line_rules": oracles.LINE_RULES}
 
 
 def query(fn):
