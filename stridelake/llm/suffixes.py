@@ -361,16 +361,17 @@ def removal(left: pa.Table, right: pa.Table, length: int) -> tuple[dict, np.ndar
     """(a chunk's own block, mask of the bytes of its text that go)."""
     own = unpack(blocks(left)[0][1])
     gone = np.zeros(len(own["text"]) + 1, np.int32)
-    replies = [(s, unpack(b)) for s, b in blocks(right)]
+    replies = blocks(right)
     if len(replies) > 1:
-        kept = replies[0][1]
-        holders = np.concatenate([x["holders"] for s, x in replies if s >= 0])
+        kept = unpack(replies[0][1])
+        holders = np.concatenate([unpack(b)["holders"] for _, b in replies[1:]])
         order = np.array([LAST if i is None else i for i in own["ids"]], np.int64)[kept["doc"]]
         for r in range(holders.shape[1]):
             at = kept["begin"][holders[kept["group"], r] < order].astype(np.int64) + r
             np.add.at(gone, at, 1)
             np.add.at(gone, at + length, -1)
-    return own, np.cumsum(gone[:-1]) > 0
+    np.cumsum(gone, out=gone)
+    return own, gone[:-1] > 0
 
 
 def kept_bytes(own: dict, mask: np.ndarray):
@@ -429,14 +430,14 @@ def mark_repeats(docs: DataFrame, others: list[str], finish, schema, length: int
 
 
 def remove_repeats(docs: DataFrame, *, length: int = 50, gram: int = 24,
-                   chunk_bytes: int = 16_000_000) -> DataFrame:
+                   chunk_bytes: int = 8_000_000) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: the removed byte spans (maximal, end
     exclusive) and the remaining bytes of every document."""
     return mark_repeats(docs, [], remover(length), RESULT, length, gram, chunk_bytes)
 
 
 def without_repeats(docs: DataFrame, *, length: int = 50, gram: int = 24,
-                    chunk_bytes: int = 16_000_000) -> DataFrame:
+                    chunk_bytes: int = 8_000_000) -> DataFrame:
     """``docs`` with the repeated bytes gone from their texts; all documents
     stay, those that repeat others entirely with an empty text."""
     names = docs.columns
