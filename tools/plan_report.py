@@ -16,6 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from stridelake.plans.catalog import REGISTRY  # noqa: E402
 from stridelake.session import build_session  # noqa: E402
 
 KEYS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -38,10 +39,9 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
     print("| query | plan | shuffles | broadcasts | joins | partial agg | Python |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in REGISTRY.items():
         for label, value in (("default", None), ("no broadcast", "-1")):
             old = [spark.conf.get(k) for k in KEYS]
             if value:
