@@ -28,7 +28,7 @@ from .sinks import jdbc as J
 from .sinks import lake as L
 from .sources.cdc import read_cdc_stream
 from .sources.reference import load_employees, load_sports, read_employees_ref, read_sports_ref
-from .sources.tables import read_table
+from .sources.tables import read_table, table_exists
 from .streaming.bronze import start_bronze
 from .streaming.notifications import start_notifications
 from .streaming.reference_snapshots import start_reference_snapshots
@@ -61,6 +61,15 @@ def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return read_table(spark, path, fmt)
 
 
+def _not_yet(rows: DataFrame, path: str, fmt: str, key: str = "activity_id") -> DataFrame:
+    """The rows whose key the table at ``path`` does not hold, so that a job
+    run again over the same input adds nothing."""
+    spark = rows.sparkSession
+    if not table_exists(spark, path, fmt):
+        return rows
+    return rows.join(read_table(spark, path, fmt).select(key), key, "left_anti").select(*rows.columns)
+
+
 def run(argv: list[str] | None = None, stop: bool = True) -> None:
     ap = argparse.ArgumentParser(prog="stridelake.jobs")
     ap.add_argument("--format", default="parquet", help="lake table format (parquet, delta, ...)")
@@ -208,8 +217,8 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         work = f"{checkpoint_root(spark).rstrip('/')}/intake/{uuid.uuid4().hex}"
         validated.write.format(fmt).mode("errorifexists").save(work)
         checked = read_table(spark, work, fmt)
-        n_ok = L.observed_write(I.accepted(checked), args.activities, fmt, mode="append")
-        n_ko = L.observed_write(I.rejected(checked), args.rejected, fmt, mode="append")
+        n_ok = L.observed_write(_not_yet(I.accepted(checked), args.activities, fmt), args.activities, fmt, mode="append")
+        n_ko = L.observed_write(_not_yet(I.rejected(checked), args.rejected, fmt), args.rejected, fmt, mode="append")
         print(f"{n_ok} activities accepted, {n_ko} rejected")
     elif args.job == "profile":
         emp, spo = load_employees(spark, args.employees_csv), load_sports(spark, args.sports_csv)

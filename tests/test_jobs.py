@@ -1,6 +1,7 @@
 import os
 
 from stridelake import jobs
+from stridelake import schemas as SCHEMAS
 from stridelake.sources.reference import current_files
 from stridelake.sources import adapter as A
 from stridelake.sources.tables import read_table
@@ -85,6 +86,39 @@ def test_intake_job(spark, tmp):
     ok, ko = read_table(spark, acts), read_table(spark, rej)
     assert ok.count() + ko.count() == n_in and ok.where("source <> 'live'").count() == 0
     assert ko.where("reject_reason IS NULL").count() == 0
+    assert set(ok.columns) == {f.name for f in SCHEMAS.ACTIVITIES}       # created_at included
+    counts = ok.count(), ko.count()
+    jobs.run(["intake", "--submitted", sub, "--employees", emp, "--activities", acts, "--rejected", rej], stop=False)
+    assert (read_table(spark, acts).count(), read_table(spark, rej).count()) == counts    # a rerun adds nothing
+
+
+def test_load_master_keeps_the_last_line_and_the_stamp(spark, tmp):
+    from stridelake.functions.csv import CSV_FORMAT
+    target, sports = os.path.join(tmp, "emp"), os.path.join(tmp, "sports")
+    spark.createDataFrame([(1, "Old", "2020-01-01"), (2, "Stays", "2020-01-01")],
+                          "employee_id long, last_name string, ingested_at string") \
+        .selectExpr("employee_id", "last_name", "cast(ingested_at as timestamp) as ingested_at").write.parquet(target)
+    spark.createDataFrame([(1, "Judo")], "employee_id long, sport string").write.parquet(sports)
+    csv, sport_csv = os.path.join(tmp, "e.csv"), os.path.join(tmp, "s.csv")
+    spark.createDataFrame([("1", "First"), ("1.0", "Last"), ("12d", "Junk"), ("5", "New")],
+                          "employee_id string, last_name string").coalesce(1).write.options(**CSV_FORMAT).csv(csv)
+    spark.createDataFrame([("1", "Boxe")], "employee_id string, sport string").write.options(**CSV_FORMAT).csv(sport_csv)
+    jobs.run(["load-master", "--employees-csv", csv, "--sports-csv", sport_csv, "--employees-table", target,
+              "--sports-table", sports, "--out-suffix", "v2"], stop=False)
+    rows = {r.employee_id: r for r in read_table(spark, target + "_v2").collect()}
+    assert {k: r.last_name for k, r in rows.items()} == {1: "Last", 2: "Stays", 5: "New"}
+    assert str(rows[1].ingested_at).startswith("2020-01-01") and rows[5].ingested_at is not None
+    assert [r.last_name for r in read_table(spark, target + "_v2_rejected").collect()] == ["Junk"]
+
+
+def test_commute_job_updates_earlier_results(spark, tmp):
+    emp, dist, first, second = (os.path.join(tmp, x) for x in ("emp", "dist", "first", "second"))
+    A.employees(spark, SF).write.parquet(emp)
+    A.commute_distances(spark, SF).write.parquet(dist)
+    jobs.run(["commute", "--employees", emp, "--distances", dist, "--out", first], stop=False)
+    jobs.run(["commute", "--employees", emp, "--distances", dist, "--out", second, "--scope", "requested",
+              "--previous", first], stop=False)
+    assert read_table(spark, second).count() == read_table(spark, first).count() == A.employees(spark, SF).count()
 
 
 def test_notify_job_on_landing(spark, tmp):
