@@ -159,19 +159,23 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
-def fit_curve(tops: np.ndarray, label: np.ndarray, rounds: int = 4000) -> np.ndarray:
+def fit_curve(tops: np.ndarray, label: np.ndarray, stand_for: tuple[float, float] = (1.0, 1.0),
+              rounds: int = 4000) -> np.ndarray:
     """Logistic curve with rising (non-negative) slopes and Platt's smoothed
-    targets, by projected gradient steps."""
+    targets, by projected gradient steps. A clean and a toxic document of the
+    sample ``stand_for`` so many labelled ones: the score follows their share."""
     up, down = label.sum(), (1 - label).sum()
     target = np.where(label == 1, (up + 1) / (up + 2), 1 / (down + 2))
     x = np.hstack([tops, np.ones((len(tops), 1))])
     w = np.append(np.full(TOP, 1.0 / TOP), 0.0)
-    h = 0.25 * x.T @ x / len(x) + 1e-4 * np.eye(TOP + 1)
+    weight = np.where(label == 1, stand_for[1], stand_for[0])
+    weight = weight / weight.mean()
+    h = 0.25 * (x * weight[:, None]).T @ x / len(x) + 1e-4 * np.eye(TOP + 1)
     step = 1 / np.linalg.eigvalsh(h).max()
     slow = w.copy()
     for t in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(slow @ x.T, -30, 30)))
-        new = slow - step * (x.T @ (p - target) / len(x) + 1e-4 * slow)
+        new = slow - step * (x.T @ (weight * (p - target)) / len(x) + 1e-4 * slow)
         new[:TOP] = np.maximum(new[:TOP], 0.05)
         slow = new + t / (t + 3) * (new - w)
         w = new
@@ -229,7 +233,8 @@ def gapped(word: bytes, rng) -> bytes:
 
 
 def train_model(texts: list[str], label: np.ndarray, *, landmarks: int = 160, rounds: int = 2,
-                witnesses: int = 2, ridge: float = 0.02, variants: int = 2, seed: int = 29) -> Model | None:
+                witnesses: int = 2, ridge: float = 0.02, variants: int = 2, seed: int = 29,
+                stand_for: tuple[float, float] = (1.0, 1.0)) -> Model | None:
     if not (label == 1).any() or not (label == 0).any():
         return None
     docs = [document_words(t) for t in texts]
@@ -292,7 +297,8 @@ def train_model(texts: list[str], label: np.ndarray, *, landmarks: int = 160, ro
         w = squared_hinge(x, y, weight, ridge)
         model = Model(codes, phi.T @ (root @ w[:-1]), float(w[-1]))
         decision = model.decide(words)
-    model.curve = fit_curve(np.array([model.strongest(decision[d]) for d in ids]), label.astype(float))
+    model.curve = fit_curve(np.array([model.strongest(decision[d]) for d in ids]), label.astype(float),
+                            stand_for)
     return model
 
 
@@ -342,8 +348,12 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, max_toxic: i
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    return train_model([r["text"] or "" for r in rows], np.array([r["toxic"] for r in rows], np.int64), **options) \
-        if rows else None
+    label = np.array([r["toxic"] for r in rows], np.int64)
+    all_marks = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    # the root: half way between the sample's balance and the labels' own, so
+    # that one clear insult still weighs enough
+    stand_for = tuple((all_marks.get(y, 0) / max(1, int((label == y).sum()))) ** 0.5 for y in (0, 1))
+    return train_model([r["text"] or "" for r in rows], label, stand_for=stand_for, **options) if rows else None
 
 
 def score_toxicity(docs: DataFrame, model: Model | None, *, threshold: float = 0.3, max_words: int = 2_000_000,

@@ -105,15 +105,15 @@ def test_kernel_against_brute_force():
 
 def test_toxicity_of_held_out_documents(spark, rated):
     docs, marks = rated
-    model = toxicity.train(docs, marks, learn(marks["doc_id"]), max_toxic=400, max_clean=600)
+    model = toxicity.train(docs, marks, learn(marks["doc_id"]), max_toxic=600, max_clean=900)
     got = toxicity.score_toxicity(docs, model).join(marks, "doc_id").where("held_out").collect()
     label = np.array([r["toxic"] for r in got])
     flagged = np.array([r["predicted"] for r in got])
-    assert flagged[label == 1].mean() > 0.85 and flagged[label == 0].mean() < 0.04
+    assert flagged[label == 1].mean() > 0.8 and flagged[label == 0].mean() < 0.05
     assert all(r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in got)
 
     exact = model.score_words([b"idiot", b"moron"])
-    assert exact > 0.3
+    assert exact > 0.3 and model.score_words([b"idiot"]) > 0.3
     for evasive in ([b"id.iot", b"moron"], [b"i-d-i-o-t", b"m0ron"], [b"1diot!!", b"moron"]):
         assert model.score_words(evasive) == pytest.approx(exact)
     assert model.score_words(toxicity.document_words("an i d i o t and a moron")) >= exact
