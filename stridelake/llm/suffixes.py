@@ -323,12 +323,12 @@ def first_holders(rows: np.ndarray, size: np.ndarray, least: np.ndarray, length:
     wanted = np.zeros(len(text), bool)
     wanted[:n * stride] = starts.ravel()
     order = two_stage_order(text, wanted, length)
-    out = np.full(n * stride, LAST)
+    out = np.full((n, width - length + 1), LAST)
     if len(order):
         run = np.flatnonzero(adjacent_prefixes(text, order, length) < length)
         holders = np.minimum.reduceat(least[order // stride], run)
-        out[order] = np.repeat(holders, np.diff(np.append(run, len(order))))
-    return out.reshape(n, stride)[:, :width - length + 1]
+        out[order // stride, order % stride] = np.repeat(holders, np.diff(np.append(run, len(order))))
+    return out
 
 
 def holder_finder(length: int):
@@ -419,7 +419,7 @@ def mark_repeats(docs: DataFrame, others: list[str], finish, schema, length: int
                  chunk_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
-    shards = shard_count(spark)
+    shards = 4 * shard_count(spark)  # a shard's suffixes are sorted in memory
     by_key = lambda df: df.groupBy("key")
     sent = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *[docs[c] for c in others]) \
         .mapInArrow(reader(length, gram, shards, chunk_bytes), BLOCK)
