@@ -44,8 +44,8 @@ def test_flight_keeps_both_totals():
 def test_inclusion_probabilities_are_kept():
     size, p = np.array([5, 9, 9, 14, 2, 2, 30, 7, 7, 1] * 3), np.full(30, 0.37)
     rng = np.random.default_rng(1)
-    mean = np.mean([M.land(size, p, rng) for _ in range(3000)], axis=0)
-    assert np.abs(mean - p).max() < 0.08
+    mean = np.mean([M.land(size, p, rng) for _ in range(120)], axis=0)
+    assert np.abs(mean - p).max() < 0.2 and abs(mean.mean() - 0.37) < 0.02
 
 
 def test_operator(spark):
