@@ -18,8 +18,10 @@ kept for the end make up for what that misses.
 
 Scale. A block holds about ``block_rows`` documents whatever the source, and a
 level leaves two of each block, so the number of levels grows with the
-logarithm of the input. Source totals are collected (``max_sources`` at most,
-else an error). Random numbers depend on seed, source, level and block alone.
+logarithm of the input. A source of one block is only landed, whatever the
+number of levels that others need. Source totals are collected (``max_sources``
+at most, else an error). Random numbers depend on seed, source, level and block
+alone; a source's landing counts as level 0, so other sources do not change it.
 
 Defined cases: null text has size 0; a source of size 0 has target 0 and takes
 nothing; a null source is a source; a repeated row is one more document; an
@@ -163,17 +165,17 @@ def flight(seed: int, level: int, last: bool):
 
 
 def balanced_sample(units: DataFrame, *, seed: int, block_rows: int) -> DataFrame:
-    """``units`` with p moved to 0 or 1, balanced in each source. In sources
-    of more than one block, about a quarter block of documents waits for the
-    last block, where it makes up for what the landing misses."""
+    """``units`` with p moved to 0 or 1, balanced in each source. Sources of
+    one block wait whole for the last level; in larger ones about a quarter
+    block of documents waits, where it makes up for what the landing misses."""
     checkpoint_root(units.sparkSession)
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
     done, level = [units.where(~undecided)], 0
     open_units = units.where(undecided)
     # tables of one row for each source are bounded by max_sources
     counts = open_units.groupBy("source_id").agg(F.count("*").alias("rows"))
-    waits = (F.col("rows") > block_rows) & (F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.col("rows"))
-                                            < block_rows // 4)
+    waits = (F.col("rows") <= block_rows) | (F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.col("rows"))
+                                             < block_rows // 4)
     open_units = open_units.join(F.broadcast(counts), "source_id").withColumn("waits", waits)
     waiting = open_units.where("waits").select(*units.columns)
     left = open_units.where("not waits").select(*units.columns)
@@ -187,7 +189,7 @@ def balanced_sample(units: DataFrame, *, seed: int, block_rows: int) -> DataFram
         blocks = F.ceil(F.col("count") / F.lit(block_rows))
         block = F.pmod(F.xxhash64("doc_id", "text_hash", "size", F.lit(level)), blocks).cast("long")
         flown = left.join(F.broadcast(sizes), "source_id").withColumn("block", F.lit(0).cast("long") if last else block) \
-            .groupBy("source_id", "block").applyInArrow(flight(seed, level, last), UNITS).checkpoint()
+            .groupBy("source_id", "block").applyInArrow(flight(seed, 0 if last else level + 1, last), UNITS).checkpoint()
         done.append(flown.where(~undecided))
         if last:
             break

@@ -82,6 +82,27 @@ def test_balance_on_many_documents(spark):
         assert abs(r["copies"] - r["n"] * r["target"] / r["source_size"]) <= 0.02 * r["n"] + 2
 
 
+def test_small_source_beside_a_hot_one(spark):
+    """A source of one block meets its target whatever others are there, one
+    very long document included."""
+    small = spark.range(200).select(
+        "id", F.lit(0).cast("long").alias("source_id"),
+        F.when(F.col("id") == 7, 4000).otherwise(F.pmod(F.hash("id"), F.lit(60)) + 60).cast("long").alias("size"))
+    hot = spark.range(1000, 2200).select(
+        "id", F.lit(1).cast("long"), (F.pmod(F.hash("id"), F.lit(60)) + 60).cast("long"))
+
+    def sample(rows, seed):
+        units = rows.select(F.col("id").alias("doc_id"), F.col("id").alias("text_hash"), "source_id", "size", F.lit(0.37).alias("p"))
+        return [r for r in M.balanced_sample(units, seed=seed, block_rows=250).collect() if r["source_id"] == 0]
+
+    for seed in range(4):
+        got = sample(small.unionAll(hot), seed)
+        target = 0.37 * sum(r["size"] for r in got)
+        assert len(got) == 200 and {r["p"] for r in got} <= {0.0, 1.0}
+        assert abs(sum(r["size"] * r["p"] for r in got) - target) <= 0.02 * target
+    assert sorted(got) == sorted(sample(small, seed))
+
+
 def test_documents_are_repeated(spark):
     docs = documents_frame(spark)
     mixed = M.mix_sources(docs).agg(F.sum("copies")).first()[0]
