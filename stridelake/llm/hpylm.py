@@ -17,10 +17,13 @@ Gibbs. Seatings are sampled by taking one customer of a dish away and seating
 it again. How many sit alone is summed out: given (c, t) the customer leaves
 an empty table with probability S(c-1, t-1) / S(c, t), S being generalised
 Stirling numbers, and opens one in proportion to (a + d t_u) P(w) against
-c - 1 - d t. A dish seen once has one table always. Every sweep moves up to
-``moves`` customers of each dish (a random scan). Within a sweep a shard holds
-the totals of other shards at their last exchanged values, as approximate
-distributed Gibbs samplers do. After ``burn`` sweeps, ``samples`` states are
+c - 1 - d t. A dish seen once has one table always. Every sweep moves all
+customers of each dish of up to ``moves`` customers, and draws the tables of a
+larger dish from the distribution that such moves keep, S(c, t) times a power
+of the weight. A sweep is a Spark step of its own: shards exchange the totals of
+contexts and of the root after each, and within a sweep all totals are those of
+its start, as in approximate distributed Gibbs samplers, whatever the number of
+shards. After ``burn`` sweeps, ``samples`` states are
 kept, and a token's probability is the mean over them, each computed from that
 state's exact totals, so it sums to one over the vocabulary.
 
@@ -28,7 +31,9 @@ Scale. Words are known by 64-bit hashes, so no vocabulary is ever shipped or
 collected. Chunks send each distinct (context, word) pair once to the word's
 shard; a frequent pair costs a row per chunk, a frequent context is spread over
 all shards. Context totals are summed in a second exchange whose headers also
-carry the global sums. Scores return per chunk in the pairs' own order.
+carry the global sums. Between sweeps only contexts with a dish of several
+customers are sent, as no other totals change. Scores return per chunk in the
+pairs' own order.
 
 Defined cases: null text is the empty text (one end token); words unseen in
 training use the unknown share; repeated doc_id rows are scored one by one; an
@@ -189,12 +194,17 @@ def first_tables(count: np.ndarray) -> np.ndarray:
     return (count > 0).astype(np.int64)
 
 
-def send_contexts(shard: Shard, key: int, shards: int, columns: dict[str, np.ndarray], header: dict):
-    """A block to each summing shard, empty ones too: headers are summed there."""
+def send_contexts(shard: Shard, key: int, shards: int, columns: dict[str, np.ndarray], header: dict,
+                  some: np.ndarray | None = None):
+    """A block to each summing shard, empty ones too: headers are summed there.
+    Of all contexts, or of those whose (rising) places are ``some``."""
+    contexts, cuts = shard.contexts, shard.context_cuts
+    if some is not None:
+        contexts, cuts = contexts[some], np.searchsorted(some, cuts)
     out = []
     for q in range(shards):
-        own = slice(shard.context_cuts[q], shard.context_cuts[q + 1])
-        out.append((q, key, pack(u=six_bytes(shard.contexts[own]), header=header,
+        own = slice(cuts[q], cuts[q + 1])
+        out.append((q, key, pack(u=six_bytes(contexts[own]), header=header,
                                  **{k: v[own].astype(np.uint32 if v.max(initial=0) < 2**32 else np.int64)
                                     for k, v in columns.items()})))
     return out
@@ -262,6 +272,9 @@ class Alone:
         log_s[1] = 0.0
         self.table = np.zeros((top + 1, top + 1))
         self.table[1, 1] = 1.0
+        #: logarithms of the Stirling numbers
+        self.log_s = np.full((top + 1, top + 1), -np.inf)
+        self.log_s[1, 1] = 0.0
         t = np.arange(top + 1, dtype=np.float64)
         for c in range(2, top + 1):
             shifted = np.concatenate([[-np.inf], log_s[:-1]])
@@ -272,7 +285,7 @@ class Alone:
                 row = np.exp(shifted - now)
             self.table[c] = np.where(np.isfinite(row), row, 0.0)
             self.table[c, c] = 1.0
-            log_s = now
+            log_s = self.log_s[c] = now
         self.shares = (np.arange(1, top + 1) - 1.0) / (top - 1.0)
 
     def __call__(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -284,8 +297,7 @@ class Alone:
 
 
 def settled(c: np.ndarray, weight: np.ndarray, discount: float, alone: Alone) -> np.ndarray:
-    """Tables at which leaving and opening balance: a start for large dishes
-    that single moves would take long to reach."""
+    """Tables at which leaving and opening balance: the most likely number."""
     low, high = np.ones(len(c), np.int64), c.copy()
     while (low < high).any():
         t = (low + high + 1) // 2
@@ -302,6 +314,55 @@ def move(rng, c, t, weight, discount, alone):
     return t + (rng.random(len(c)) < np.where(t == 0, 1.0, opened))
 
 
+def pick(rng, logs: np.ndarray) -> np.ndarray:
+    """A column of each row, drawn by the rows' logarithmic weights."""
+    sums = np.exp(logs - logs.max(axis=1, keepdims=True)).cumsum(axis=1)
+    return (sums < (rng.random(len(sums)) * sums[:, -1])[:, None]).sum(axis=1)
+
+
+def draw(rng, c, weight, discount, alone, cells: int = 1_000_000):
+    """Tables of each dish, drawn from the distribution that ``move`` keeps:
+    in proportion to S(c, t) weight^t. Dishes beyond the exact table are drawn
+    within eight deviations of their most likely number (the variance is at
+    most the mean), by the ratios of neighbours that leaving and opening give."""
+    t = np.empty(len(c), np.int64)
+    order = np.argsort(c, kind="stable")
+    small = int(np.searchsorted(c[order], alone.top, "right"))
+    for part in np.split(order[:small], np.flatnonzero(np.diff(c[order[:small]])) + 1):
+        n = int(c[part[0]]) if len(part) else 1
+        for a in range(0, len(part), max(1, cells // n)):
+            own = part[a:a + max(1, cells // n)]
+            t[own] = 1 + pick(rng, alone.log_s[n, 1:n + 1] + np.log(weight[own])[:, None] * np.arange(1, n + 1))
+    large = order[small:]
+    middle = settled(c[large], weight[large], discount, alone)
+    reach = 2 ** np.ceil(np.log2(8 * np.sqrt(middle) + 8)).astype(np.int64)
+    for k in np.unique(reach).tolist():
+        of_reach = np.flatnonzero(reach == k)
+        for a in range(0, len(of_reach), max(1, cells // (2 * k + 1))):
+            at = of_reach[a:a + max(1, cells // (2 * k + 1))]
+            n, w = c[large[at]][:, None], weight[large[at]][:, None]
+            tables = middle[at][:, None] + np.arange(-k, k + 1)
+            inside = (tables >= 1) & (tables <= n)
+            clipped = np.clip(tables, 1, n)
+            sit = alone(np.broadcast_to(n, tables.shape).ravel(), clipped.ravel()).reshape(tables.shape)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                steps = np.log((1 - sit[:, :-1]) * w / (sit[:, 1:] * (n - 1 - discount * clipped[:, :-1])))
+            steps[~(inside[:, 1:] & inside[:, :-1])] = 0.0
+            logs = np.concatenate([np.zeros((len(at), 1)), steps.cumsum(axis=1)], axis=1)
+            t[large[at]] = np.take_along_axis(tables, pick(rng, np.where(inside, logs, -np.inf))[:, None], 1)[:, 0]
+    return t
+
+
+def reseat(rng, c, t, weight, moves, discount, alone):
+    """A sweep over dishes: every customer of small ones, large ones drawn."""
+    t, few = t.copy(), c <= moves
+    for k in range(moves):
+        go = np.flatnonzero(few & (c > k))
+        t[go] = move(rng, c[go], t[go], weight[go], discount, alone)
+    t[~few] = draw(rng, c[~few], weight[~few], discount, alone)
+    return t
+
+
 def discount_of(n1: float, n2: float) -> float:
     return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
@@ -310,56 +371,69 @@ def root_weight(b: float, e: float, tables: float, v: float) -> float:
     return (b + e * tables) / (v + 1)
 
 
-def sampler(shards: int, burn: int, samples: int, moves: int, a: float, b: float, seed: int):
+def sampler(shards: int, burn: int, samples: int, moves: int, a: float, b: float, seed: int,
+            start: int = 0, stop: int | None = None):
+    """Sweeps ``start`` to ``stop`` (all by default) on the totals last
+    exchanged; own totals are kept up to date between the sweeps of a step."""
+    stop = burn + samples if stop is None else stop
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         key = group_key(left, right)
         if key < 0 or not left.num_rows:
             return block_table([])
         s = Shard(blocks(left), shards)
-        head, ctx, _ = totals(right)
-        d, e = discount_of(head["n1"], head["n2"]), discount_of(head["r1"], head["r2"])
-        rng = np.random.default_rng([seed, key])
-        alone, root_alone = Alone(d), Alone(e)
+        head, ctx, own = totals(right)
         t = first_tables(s.count)
-        local_t = s.by_context(t).astype(np.float64)
-        others = ctx["t0"] - local_t
-        start_tables = max(1, t.sum())
         many = np.flatnonzero(s.count > 1)
-        c_many, w_many, u_many = s.count[many], s.word[many], s.context[many]
+        c_many, w_many = s.count[many], s.word[many]
+        #: contexts whose totals change, and each dish's place among them
+        some, u_many = np.unique(s.context[many], return_inverse=True)
+        rng = np.random.default_rng([seed, key, start])
+        if start:
+            state = unpack(own[0])
+            sums, first, root_t = state["sums"], state["first"].astype(np.float64), state["root"].astype(np.int64)
+            now, kept = state["now"].astype(np.int64), state["kept"]
+            t_some, root_c0, root_t0 = first + ctx["more"], head["C"], head["T"]
+        else:
+            sums = {"N": head["N"], "V": head["V"], "d": discount_of(head["n1"], head["n2"]),
+                    "e": discount_of(head["r1"], head["r2"])}
+            first, root_t = ctx["t0"][some], (s.by_word(t) > 0).astype(np.int64)
+            now, kept = np.ones(len(many), np.int64), {}
+            t_some, root_c0, root_t0 = first, head["pairs"], head["V"]
+        d, e = sums["d"], sums["e"]
+        alone, root_alone = Alone(d), Alone(e)
+        t[many] = now
         served = s.by_word(t)
-        root_t = (served > 0).astype(np.int64)
-        first_root = max(1, root_t.sum())
-        kept: dict[str, np.ndarray] = {}
-        for sweep in range(burn + samples):
-            # totals elsewhere: their first values, grown as this shard's have
-            root_c0 = head["pairs"] * served.sum() / start_tables
-            root_t0 = head["V"] * root_t.sum() / first_root
-            base = root_weight(b, e, root_t0, head["V"])
+        for sweep in range(start, stop):
+            base = root_weight(b, e, root_t0, sums["V"])
             parent = (np.maximum(served - e * root_t, 0) + base) / (b + root_c0)
-            weight = (a + d * (others + local_t)[u_many]) * parent[w_many]
-            now = settled(c_many, weight, d, alone) if sweep == 0 else t[many]
-            for k in range(moves):
-                go = c_many > k
-                now[go] = move(rng, c_many[go], now[go], weight[go], d, alone)
+            weight = (a + d * t_some[u_many]) * parent[w_many]
+            before, tables_before = now, root_t.sum()
+            now = reseat(rng, c_many, now, weight, moves, d, alone)
             t[many] = now
-            local_t = s.by_context(t).astype(np.float64)
             served = s.by_word(t)
             several = np.flatnonzero(served > 1)
             root_t = (served > 0).astype(np.int64)
-            if len(several):
-                c_root, w_root = served[several], np.full(len(several), base)
-                tables = settled(c_root, w_root, e, root_alone)
-                for _ in range(moves):
-                    tables = move(rng, c_root, tables, w_root, e, root_alone)
-                root_t[several] = tables
+            root_t[several] = draw(rng, served[several], np.full(len(several), base), e, root_alone)
+            t_some = t_some + np.bincount(u_many, weights=now - before, minlength=len(some))
+            root_c0 += int((now - before).sum())
+            root_t0 += int(root_t.sum() - tables_before)
             if sweep >= burn:
                 k = sweep - burn
-                kept |= {f"t{k}": t.astype(np.uint32), f"r{k}": root_t.astype(np.uint32)}
-        header = {"N": head["N"] / shards, "V": head["V"] / shards, "d": d / shards, "e": e / shards}
+                kept |= {f"t{k}": now.astype(np.uint32), f"r{k}": root_t.astype(np.uint32)}
+        if stop < burn + samples:
+            header = {"C": int(t.sum()), "T": int(root_t.sum())}
+            more = np.bincount(u_many, weights=now - 1, minlength=len(some)).astype(np.int64)
+            state = pack(sums=sums, first=first.astype(np.int64), root=root_t.astype(np.uint32),
+                         now=now.astype(np.uint32), kept=kept)
+            return block_table([(key, -1, state), *send_contexts(s, key, shards, {"more": more}, header, some)])
+        header = {k: v / shards for k, v in sums.items()}
         columns = {"c": s.by_context(s.count)}
         for k in range(samples):
-            header |= {f"C{k}": int(kept[f"t{k}"].sum()), f"T{k}": int(kept[f"r{k}"].sum())}
-            columns[f"t{k}"] = s.by_context(kept[f"t{k}"])
+            t[many] = kept[f"t{k}"]
+            kept[f"t{k}"] = t.astype(np.uint32)
+            header |= {f"C{k}": int(t.sum()), f"T{k}": int(kept[f"r{k}"].sum())}
+            columns[f"t{k}"] = s.by_context(t)
         # every summing shard hears from each shard that exists: the mean of equals
         header["shards"] = 1
         return block_table([(key, -1, pack(**kept)), *send_contexts(s, key, shards, columns, header)])
@@ -433,9 +507,11 @@ def score_documents(docs: DataFrame, is_held_out: Callable[[object], bool] = crc
         .mapInArrow(encoder(shards, chunk_tokens, is_held_out), BLOCK)
     by_key = lambda df: df.groupBy("key")
     first = by_key(by_key(sent).applyInArrow(opener(shards), BLOCK)).applyInArrow(sum_contexts, BLOCK)
-    seated = by_key(sent).cogroup(by_key(first)) \
-        .applyInArrow(sampler(shards, burn, samples, moves, concentration, root_concentration, seed), BLOCK)
-    final = by_key(seated).applyInArrow(sum_contexts, BLOCK)
-    answers = by_key(sent).cogroup(by_key(final)) \
+    summed = first
+    for k in range(burn + samples):
+        sweep = sampler(shards, burn, samples, moves, concentration, root_concentration, seed, k, k + 1)
+        seated = by_key(sent).cogroup(by_key(summed)).applyInArrow(sweep, BLOCK)
+        summed = by_key(seated).applyInArrow(sum_contexts, BLOCK)
+    answers = by_key(sent).cogroup(by_key(summed)) \
         .applyInArrow(answerer(shards, samples, concentration, root_concentration), BLOCK)
     return by_key(sent).cogroup(by_key(answers)).applyInArrow(score_chunk, SCORES)

@@ -49,6 +49,22 @@ def test_moves_keep_the_exact_table_distribution():
     assert np.abs(got - want / want.sum()).max() < 0.012
 
 
+@pytest.mark.parametrize("c", [5, 20, 32])
+def test_draws_follow_the_distribution_that_moves_keep(c):
+    d, weight, n = 0.5, 0.8, 20000
+    rng, alone = np.random.default_rng(2), H.Alone(0.5, top=20)
+    counts, w = np.full(n, c), np.full(n, weight)
+    t = np.ones(n, np.int64)
+    for _ in range(12 * c):
+        t = H.move(rng, counts, t, w, d, alone)
+    want = np.bincount(t, minlength=c + 1) / n
+    got = np.bincount(H.draw(rng, counts, w, d, alone, cells=1000), minlength=c + 1) / n
+    assert len(got) == c + 1 and np.abs(got - want).max() < 0.02
+    if c <= 20:
+        exact = np.array([stirling(c, k, d) * weight**k for k in range(1, c + 1)])
+        assert np.abs(got[1:] - exact / exact.sum()).max() < 0.015
+
+
 def flow(docs, shards, samples=2, chunk_tokens=50):
     """The operator's steps without Spark; {(word, context): probability}."""
     def groups(tables):
@@ -94,6 +110,30 @@ def test_probabilities_sum_to_one(shards):
     assert sum(10 ** found[(w, mark)] for w in words) == pytest.approx(1.0, abs=1e-5)
 
 
+def test_tables_do_not_depend_on_the_number_of_shards():
+    rng = np.random.default_rng(0)
+    share = 1 / np.arange(1, 301) ** 1.3
+    texts = [" ".join(f"w{x}" for x in rng.choice(300, 400, p=share / share.sum())) for _ in range(60)]
+    batch = pa.record_batch([pa.array(range(60)), pa.array(texts)], ["doc_id", "text"])
+
+    def groups(tables):
+        table = pa.concat_tables(tables)
+        return {k: table.filter(pc.equal(table["key"], k)) for k in sorted(set(table["key"].to_pylist()))}
+
+    tables = {}
+    for shards in (1, 8):
+        with mock.patch.object(H, "TaskContext") as context:
+            context.get.return_value.partitionId.return_value = 0
+            sent = groups([pa.Table.from_batches([b]) for b in H.encoder(shards, 5000, lambda i: False)([batch])])
+        state = groups([H.sum_contexts(g) for g in groups([H.opener(shards)(g) for g in sent.values()]).values()])
+        for k in range(7):
+            sweep = H.sampler(shards, 4, 3, 4, 1.0, 1.0, 7, k, k + 1)
+            seated = [sweep(g, state.get(key, H.block_table([]))) for key, g in sent.items()]
+            state = groups([H.sum_contexts(g) for g in groups(seated).values()])
+        tables[shards] = next(H.unpack(b)["header"]["C2"] for g in state.values() for src, b in H.blocks(g) if src >= 0)
+    assert tables[8] == pytest.approx(tables[1], rel=0.03)
+
+
 def test_operator_scores_whole_corpus(spark):
     docs = documents_frame(spark)
     got = sorted(H.score_documents(docs).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"]))
@@ -111,5 +151,30 @@ def test_operator_scores_whole_corpus(spark):
     assert all(g["score"] < 0 for g in got)
 
 
+def test_shards_exchange_totals_between_sweeps(spark):
+    """Scores do not depend on how many shards the words are dealt to."""
+    rng = np.random.default_rng(0)
+    share = 1 / np.arange(1, 401) ** 1.1
+    following = [rng.permutation(400) for _ in range(20)]
+    rows = []
+    for i in range(150):
+        words, at = [], 0
+        for x in rng.choice(400, 160, p=share / share.sum()):
+            at = following[at % 20][x]
+            words.append(f"w{at}")
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+    before, mean = spark.conf.get("spark.sql.shuffle.partitions"), {}
+    try:
+        for shards in (1, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", shards)
+            got = H.score_documents(docs, chunk_tokens=8000).collect()
+            mean[shards] = sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        docs.unpersist()
+    assert abs(mean[8] - mean[1]) < 0.0015
+
+
 def test_empty_table(spark):
     assert H.score_documents(documents_frame(spark).limit(0)).count() == 0
