@@ -127,9 +127,8 @@ class Model:
         return out
 
     def strongest(self, decisions: np.ndarray) -> np.ndarray:
-        """The TOP largest different decisions, filled up with the bias."""
-        if len(decisions) > 32:
-            decisions = np.partition(decisions, -32)[-32:]
+        """The TOP largest different decisions, however often each occurs,
+        filled up with the bias."""
         best = np.unique(np.append(decisions, self.bias))[::-1][:TOP]
         return np.append(best, np.full(TOP - len(best), self.bias))
 

@@ -124,6 +124,20 @@ def test_toxicity_of_held_out_documents(spark, rated):
     assert len(rows) == hard.count() and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_repeated_insults_leave_room_for_others():
+    import pyarrow as pa
+
+    insults = [b"idiot", b"moron", b"wretch"]
+    owner, code, value = toxicity.kernel_rows(insults)
+    codes, at = np.unique(code, return_inverse=True)
+    gains = np.bincount(at, weights=value * np.array([3.0, 2.0, 1.0])[owner])
+    model = toxicity.Model(codes, gains, -1.0, np.array([1.0, 1.0, 1.0, -1.0]))
+    texts = ["idiot " * n + "moron and wretch " + "plain words " * 50 for n in (1, 40, 400)]
+    batch = pa.record_batch([pa.array(range(3)), pa.array(texts)], ["doc_id", "text"])
+    got = next(toxicity.scorer(model, 0.3, 10**6, 4)([batch])).column("score").to_pylist()
+    assert got == pytest.approx([model.score_words(toxicity.document_words(texts[0]))] * 3)
+
+
 def test_toxicity_without_labels(spark):
     hard = documents_frame(spark)
     marks = spark.createDataFrame([(1, None), (4, 0), (None, 1), (4, 0)], "doc_id long, toxic int")
