@@ -1,7 +1,8 @@
 """Best-fit packing of tokenised documents by exact complements.
 
 Tokens. A text's ids are those that the ``tokenizers`` library gives for the
-byte-level vocabulary, then one end id. Documents longer than a sequence are
+byte-level vocabulary by default, then one end id: literals of the vocabulary's
+added tokens are taken out first and get their own ids. Documents longer than a sequence are
 cut from their end backwards, so all pieces but the first are full.
 
 Plan. Only the number of pieces of each length matters, at most ``capacity``
@@ -24,6 +25,7 @@ again; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import sys
 import types
@@ -58,6 +60,17 @@ def vocabulary_paths() -> tuple[str, str]:
     return P.path("byte_bpe_50k.tiktoken"), P.PATTERN
 
 
+def added_tokens() -> dict[str, int]:
+    """Ids of the public vocabulary's added tokens, which match in any text."""
+    import public_tokenizers as P
+
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in found):
+        raise ValueError("added tokens that depend on what is around them")
+    return {t["content"]: t["id"] for t in found}
+
+
 class Fragments(dict):
     """Ids of the fragments between spaces, each with the space before it."""
 
@@ -83,6 +96,16 @@ class Fragments(dict):
         return array("I", chain(self.encode(first), chain.from_iterable(map(self.__getitem__, rest))))
 
 
+def text_ids(fragments: Fragments, text: str, added: dict[str, int]) -> array:
+    """A text's ids: added tokens, and the ids of what is between them."""
+    if not any(token in text for token in added):
+        return fragments.ids(text)
+    ids = array("I")
+    for part in re.split(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})", text):
+        ids.extend([added[part]] if part in added else fragments.ids(part))
+    return ids
+
+
 def worker_fragments(path: str, pattern: str) -> Fragments:
     """One memory for all tasks of a worker process."""
     kept = sys.modules.setdefault("_worker_fragments", types.ModuleType("_worker_fragments"))
@@ -97,13 +120,13 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, head), *((s, capacity) for s in range(head, total, capacity))]
 
 
-def piece_maker(path: str, pattern: str, capacity: int, end_id: int, with_ids: bool):
+def piece_maker(path: str, pattern: str, capacity: int, end_id: int, with_ids: bool, added: dict[str, int]):
     def run(batches):
         fragments = worker_fragments(path, pattern)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = fragments.ids(text or "")
+                ids = text_ids(fragments, text or "", added)
                 ids.append(end_id)
                 if sys.byteorder == "big":
                     ids.byteswap()
@@ -273,17 +296,20 @@ def number_by_length(pieces: DataFrame, shards: int) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, *, capacity: int = 2048, end_id: int = 0, with_ids: bool = False,
-                   ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+                   ranks_path: str | None = None, pattern: str | None = None,
+                   added: dict[str, int] | None = None) -> DataFrame:
     """Pieces of all documents with the sequence and offset each is packed at;
     ``with_ids`` adds the ids, as little-endian 32-bit numbers. The plan is made
-    from counts by length, of which there are at most ``capacity``."""
+    from counts by length, of which there are at most ``capacity``. A vocabulary
+    of one's own has the ``added`` tokens that are given with it."""
     spark = docs.sparkSession
     checkpoint_root(spark)
     small_batches(spark)
     if ranks_path is None or pattern is None:
         ranks_path, pattern = vocabulary_paths()
+        added = added_tokens() if added is None else added
     pieces = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(
-        piece_maker(ranks_path, pattern, capacity, end_id, with_ids),
+        piece_maker(ranks_path, pattern, capacity, end_id, with_ids, added or {}),
         PIECES + ", ids binary" * with_ids).checkpoint()
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     places = intervals(pack_counts(counts, capacity))

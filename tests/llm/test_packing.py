@@ -34,6 +34,20 @@ def test_fragments_give_the_same_ids():
     assert [list(own.ids(t)) for t in texts] == reference_ids(texts)
 
 
+def test_added_tokens_as_the_library_gives_them(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", " ", "  ", "a", "\n", "word", "<|", "|>", "é", "'s", "endoftext"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    texts += ["hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|><|endoftext|>x"]
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = [[*e.ids, 0] for e in library.encode_batch(texts, add_special_tokens=False)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in K.pack_documents(docs, with_ids=True).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.dictionaries(st.integers(1, 60), st.integers(1, 40), max_size=30), st.integers(60, 90))
 def test_plan_uses_every_piece_once(counts, capacity):
