@@ -9,12 +9,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (hpylm, langid, line_rules, mixing, oracles, ordinal, packing, simhash, sketches, suffixes,
-               toxicity)
+from . import (hpylm, langid, line_rules, mixing, oracles, ordinal, packing, prefix_trie, simhash, sketches, suffixes,
+               token_counts, toxicity, vector_codes)
 from .common import crc_mod_column, documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op3_suffix_dedup": oracles.SUFFIX_DEDUP, "op7_line_rules": oracles.LINE_RULES}
+ORACLE: dict[str, str] = {"op3_suffix_dedup": oracles.SUFFIX_DEDUP, "op7_line_rules": oracles.LINE_RULES,
+                          "op12_conversation_trie": oracles.CONVERSATION_TRIE, "op13_vector_codes": oracles.VECTOR_CODES}
 
 
 def query(fn):
@@ -83,3 +84,21 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade of every document and the chance that it is good enough."""
     docs, ratings = documents(spark, sf_dir), ordinal.grades_of(labels(spark, sf_dir))
     return ordinal.grade_documents(docs, ordinal.train(docs, ratings, crc_mod_column(ratings["doc_id"], 4) != 2))
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by rank-synchronous merging."""
+    return token_counts.count_digest(token_counts.count_tokens(documents(spark, sf_dir)))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings, with their errors."""
+    return vector_codes.compression_digest(vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
