@@ -111,13 +111,18 @@ def activity_counts_12m(activities: DataFrame, as_of=None) -> DataFrame:
 def employee_activity_12m(employees: DataFrame, activities: DataFrame, as_of=None) -> DataFrame:
     """AG-1 / JN-3: every employee with activity count and distance (0 when
     none) over the 12 months before ``as_of``."""
-    counts = activity_counts_12m(activities, as_of)
+    return activity_totals_view(employees, activity_counts_12m(activities, as_of))
+
+
+def activity_totals_view(employees: DataFrame, counts: DataFrame) -> DataFrame:
+    """Every employee with ``counts`` (employee_id, _n, _m); distances keep
+    their six decimals."""
     return (employees.select("employee_id", "first_name", "last_name")
             .join(counts, "employee_id", "left")
             .select(
                 "employee_id", "first_name", "last_name",
                 F.coalesce(F.col("_n"), F.lit(0).cast("long")).alias("activity_count_12m"),
-                F.coalesce(F.col("_m"), F.lit(0)).cast("decimal(38,2)").alias("distance_m_12m"),
+                F.coalesce(F.col("_m"), F.lit(0)).cast("decimal(38,6)").alias("distance_m_12m"),
             ))
 
 

@@ -65,3 +65,39 @@ def dq_results(activities: DataFrame, employees: DataFrame, as_of=None,
 def dq_summary(results: DataFrame) -> DataFrame:
     """AG-3: findings per rule; rules without findings are absent."""
     return results.groupBy("rule_name").agg(F.count(F.lit(1)).alias("anomaly_count"))
+
+
+def rows_to_judge(activities: DataFrame, changed: DataFrame, moved: DataFrame, previous, as_of,
+                  key: str = "activity_id") -> DataFrame:
+    """Keys whose findings may differ from those at ``previous``: changed
+    activities, activities of the employees in ``moved`` (who came or went:
+    DQ04) and those whose start lies between the two clocks (DQ05)."""
+    low, high = F.least(_ts(previous), _ts(as_of)), F.greatest(_ts(previous), _ts(as_of))
+    passed = (F.col("start_at") > low) & (F.col("start_at") <= high)
+    if "activity_date" in activities.columns:     # prunes date partitions
+        passed = passed & F.col("activity_date").between(F.to_date(low), F.to_date(high))
+    of_moved = activities.join(moved.select("employee_id").distinct(), "employee_id", "left_semi").select(key)
+    return changed.select(key).unionByName(activities.where(passed).select(key)).unionByName(of_moved).distinct()
+
+
+def refresh_findings(findings: DataFrame, activities: DataFrame, employees: DataFrame, changed: DataFrame,
+                     moved: DataFrame, previous, as_of, detected_at=None, key: str = "activity_id") -> DataFrame:
+    """``findings`` (of the run at ``previous``) brought to ``as_of``: the rows
+    of ``rows_to_judge`` are judged again, all other findings stay as they are,
+    with the time they were found. ``activities`` and ``employees`` are the
+    current tables, ``changed`` the keys that changed since (deleted ones
+    included), ``moved`` the employees who came or went.
+
+    Two-sided: a rule can start or stop to hold through the activity, through
+    the employee table or through the clock. Only the judged rows and their
+    employees' keys go through the rules; the activity table is scanned for its
+    keys, cut by the semi joins, not shuffled."""
+    judged = rows_to_judge(activities, changed, moved, previous, as_of, key)
+    again = dq_results(activities.join(judged, key, "left_semi"), employees, as_of, detected_at)
+    return findings.join(judged, key, "left_anti").select(*again.columns).unionByName(again)
+
+
+def came_or_went(before: DataFrame, after: DataFrame, key: str = "employee_id") -> DataFrame:
+    """Keys in one of two versions of a reference table only."""
+    old, new = before.select(key).distinct(), after.select(key).distinct()
+    return old.join(new, key, "left_anti").unionByName(new.join(old, key, "left_anti"))

@@ -8,6 +8,7 @@ returned as ``TIMESTAMP_NTZ`` (UTC wall clock), the type DuckDB's
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,9 @@ from ..operators import notify as N
 from ..operators import profile as P
 from ..operators import quality as Q
 from ..operators import silver as SV
+from ..operators.rolling import RollingActivity
+from ..session import checkpoint_root
+from ..sinks.keyed import KeyedTable
 from ..sources import adapter as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,3 +259,68 @@ def profile_distribution(spark: SparkSession, sf: str) -> DataFrame:
 @query("profile_anomalies")
 def profile_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return P.profile_anomalies(_profile(spark, sf))
+
+
+# --- step by step ---------------------------------------------------------------
+# Queries that apply the change log in three batches to tables in the shared
+# checkpoint folder, as the streams do, and give the state after the last one.
+
+#: Clocks of the three steps: the start of a day for the rolling window, and the
+#: instant the findings are judged at.
+STEP_DAYS = ("2025-01-10", "2025-01-20", "2025-01-24")
+STEP_CLOCKS = ("2024-01-25 00:00:00", "2024-01-27 12:00:00", A.DQ_AS_OF)
+
+
+def _work(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/queries/{uuid.uuid4().hex}"
+
+
+def _batches(spark: SparkSession, sf: str, root: str):
+    """The keyed table that takes the batches, and the batches."""
+    log = A.change_batches(spark, sf)
+    batches = [log.where(F.col("batch") == number).drop("batch") for number in range(len(STEP_DAYS))]
+    return KeyedTable(spark, f"{root}/current", batches[0].schema), batches
+
+
+@query("lake_upsert")
+def lake_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-4: current rows after three partition-wise upserts, with the version
+    that wrote their date's partition."""
+    table, batches = _batches(spark, sf, _work(spark))
+    for batch in batches:
+        table.upsert(batch)
+    return as_ntz(table.read(written=True).select(
+        "activity_id", "employee_id", "activity_date", "start_at", "sport_type", "distance_m", "kafka_offset", "version"))
+
+
+@query("activity_12m_incremental")
+def activity_12m_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """AG-1 kept by retractions over three batches and three days."""
+    root = _work(spark)
+    rolling = RollingActivity(spark, f"{root}/rolling")
+    table, batches = _batches(spark, sf, root)
+    for number, batch in enumerate(batches):
+        rolling.apply(table.changes(batch), number, STEP_DAYS[number])
+        table.upsert(batch)
+    return rolling.view(A.employees(spark, sf))
+
+
+@query("dq_incremental")
+def dq_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ-1..8 kept by two-sided deltas while activities, employees and the
+    clock move on."""
+    root = _work(spark)
+    findings = None
+    table, batches = _batches(spark, sf, root)
+    for number, batch in enumerate(batches):
+        changed = table.changes(batch).select("activity_id")    # against the version before
+        table.upsert(batch)
+        now, clock = A.employee_versions(spark, sf, number), STEP_CLOCKS[number]
+        if findings is None:
+            found = Q.dq_results(table.read(), now, as_of=clock)
+        else:
+            moved = Q.came_or_went(A.employee_versions(spark, sf, number - 1), now)
+            found = Q.refresh_findings(findings, table.read(), now, changed, moved, STEP_CLOCKS[number - 1], clock)
+        found.write.parquet(f"{root}/findings/{number}")
+        findings = spark.read.parquet(f"{root}/findings/{number}")
+    return findings.drop("detected_at")

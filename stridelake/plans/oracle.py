@@ -168,7 +168,7 @@ def oracle(name: str, body: str, *ctes: str) -> None:
 oracle("employee_activity_12m", """
 SELECT employee_id, first_name, last_name,
        COALESCE((SELECT times FROM recent WHERE person = employee_id), 0) AS activity_count_12m,
-       CAST(COALESCE((SELECT metres FROM recent WHERE person = employee_id), 0) AS DECIMAL(38,2)) AS distance_m_12m
+       CAST(COALESCE((SELECT metres FROM recent WHERE person = employee_id), 0) AS DECIMAL(38,6)) AS distance_m_12m
 FROM employees""", "recent", "employees")
 
 oracle("benefit_eligibility", """
@@ -498,3 +498,50 @@ oracle("profile_anomalies", f"""
 SELECT k.severity, k.control, CAST(p.value AS BIGINT) AS anomaly_count
 FROM profile_summary p JOIN (VALUES {_controls()}) k(indicator, severity, control) USING (indicator)
 WHERE p.value > 0""", "profile_summary")
+
+
+# --- step by step ---------------------------------------------------------------
+
+cte("change_batches", ["cdc_log"], """
+SELECT CASE WHEN __op IN ('c', 'r') THEN CASE WHEN activity_id % 81 = 0 THEN 2 ELSE 0 END
+            WHEN start_at < TIMESTAMP '2024-01-04 00:00:00' THEN 1 ELSE 2 END AS batch,
+       activity_id, employee_id + CASE WHEN __op = 'u' AND activity_id % 27 = 0 THEN 1 ELSE 0 END AS employee_id,
+       start_at + to_days(CASE WHEN __op = 'u' AND activity_id % 18 = 0 THEN 40 ELSE 0 END) AS start_at,
+       end_at + to_days(CASE WHEN __op = 'u' AND activity_id % 18 = 0 THEN 40 ELSE 0 END) AS end_at,
+       sport_type, distance_m, __op, __source_ts_ms, kafka_partition, kafka_offset
+FROM cdc_log""")
+# The newest version of every activity after each batch.
+cte("stand", ["change_batches"], """
+SELECT step, activity_id, arg_max(l, (__source_ts_ms, kafka_partition, kafka_offset)) AS v
+FROM change_batches l, range(3) t(step) WHERE batch <= step GROUP BY ALL""")
+cte("final_activities", ["stand"], """
+SELECT activity_id, v.employee_id AS employee_id, v.start_at AS start_at, v.end_at AS end_at, v.sport_type AS sport_type,
+       v.distance_m AS distance_m, v.kafka_offset AS kafka_offset
+FROM stand WHERE step = 2 AND v.__op <> 'd'""")
+
+oracle("lake_upsert", """
+, turned AS (
+  SELECT now.step, now.v AS new, before.v AS old FROM stand now
+  LEFT JOIN stand before ON before.activity_id = now.activity_id AND before.step = now.step - 1
+  WHERE before.v IS NULL OR before.v.kafka_offset <> now.v.kafka_offset),
+written AS (
+  SELECT day, max(step) AS version
+  FROM (SELECT step, CAST(new.start_at AS DATE) AS day FROM turned
+        UNION ALL SELECT step, CAST(old.start_at AS DATE) FROM turned WHERE old IS NOT NULL) GROUP BY day)
+SELECT activity_id, employee_id, CAST(start_at AS DATE) AS activity_date, start_at, sport_type, distance_m, kafka_offset,
+       CAST((SELECT version FROM written WHERE day = CAST(start_at AS DATE)) AS INTEGER) AS version
+FROM final_activities""", "stand", "final_activities")
+
+oracle("activity_12m_incremental", """
+, lately AS (SELECT employee_id AS person, COUNT(*) AS times, SUM(distance_m) AS metres
+             FROM final_activities WHERE start_at >= TIMESTAMP '2024-01-24 00:00:00' GROUP BY 1)
+SELECT employee_id, first_name, last_name, COALESCE(times, 0) AS activity_count_12m,
+       CAST(COALESCE(metres, 0) AS DECIMAL(38,6)) AS distance_m_12m
+FROM employees LEFT JOIN lately ON person = employee_id""", "final_activities", "employees")
+
+_dq_final = [f"SELECT activity_id, employee_id, {_q(r)} AS rule_name, {m} AS error_message FROM final_activities WHERE {w}"
+             for r, m, w in _DQ]
+_dq_final.append("""
+SELECT activity_id, employee_id, 'DQ04_UNKNOWN_EMPLOYEE', 'L''activité référence un employé inexistant.' FROM final_activities a
+WHERE employee_id IS NULL OR NOT EXISTS (FROM customer WHERE c_custkey = a.employee_id AND c_custkey % 19 <> 0)""")
+oracle("dq_incremental", "\nUNION ALL\n".join(_dq_final), "final_activities")

@@ -166,6 +166,40 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(*kept, F.inline(changes)).withColumn("__table", F.lit("activities"))
 
 
+@_memo
+def change_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cdc_log`` as three batches of typed versions: 0 the creations, 1 the
+    changes of the first three days' activities, 2 all other changes. Every
+    second update moves the activity by 40 days, every third one gives it to
+    another employee, and every 81st creation arrives in batch 2, after its
+    update."""
+    log = cdc_log(spark, sf_dir)
+    eid, start = F.col("activity_id"), F.col("start_at")
+    update = F.col("__op") == "u"
+    later = F.expr("INTERVAL 40 DAYS")
+    batch = (F.when(F.col("__op").isin("c", "r"), F.when(eid % 81 == 0, 2).otherwise(0))
+             .when(start < F.lit("2024-01-04").cast("timestamp"), 1).otherwise(2))
+    moves = update & (eid % 18 == 0)
+    return log.select(
+        batch.alias("batch"), "activity_id",
+        F.when(update & (eid % 27 == 0), F.col("employee_id") + 1).otherwise(F.col("employee_id")).alias("employee_id"),
+        F.when(moves, start + later).otherwise(start).alias("start_at"),
+        F.when(moves, F.col("end_at") + later).otherwise(F.col("end_at")).alias("end_at"),
+        "sport_type", "distance_m", "__op", "__source_ts_ms", "kafka_partition", "kafka_offset",
+    ).withColumn("activity_date", F.to_date("start_at"))
+
+
+@_memo
+def employee_versions(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
+    """The employee table at three steps: at first every 17th employee stands
+    under an old badge id, then all under their own, at last every 19th has left
+    (under an id that no activity names)."""
+    key = F.col("employee_id")
+    moved = {0: F.when(key % 17 == 0, key + MOVED * 3).otherwise(key), 1: key,
+             2: F.when(key % 19 == 0, key + MOVED * 4).otherwise(key)}[step]
+    return employees(spark, sf_dir).withColumn("employee_id", moved)
+
+
 @_memo
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker records carrying ``cdc_log`` as JSON text: mostly enveloped
