@@ -27,7 +27,8 @@ from .session import build_session, checkpoint_root
 from .sinks import jdbc as J
 from .sinks import lake as L
 from .sources.cdc import read_cdc_stream
-from .sources.reference import load_employees, load_sports, read_employees_ref, read_sports_ref
+from .sources.reference import (PinnedReferences, load_employees, load_sports, read_employees_ref, read_jdbc_ranges,
+                                read_sports_ref)
 from .sources.tables import read_table, table_exists
 from .streaming.bronze import start_bronze
 from .streaming.notifications import start_notifications
@@ -90,11 +91,16 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
 
     p = sub.add_parser("bronze"); stream_args(p)
     p.add_argument("--topic", default="raw.activities"); p.add_argument("--bronze", required=True)
+    p.add_argument("--once-within", help="drop records delivered again within this span, e.g. '1 hour'")
+    p.add_argument("--keep-unknown", action="store_true", help="keep payload fields outside the schema")
 
     p = sub.add_parser("silver")
     p.add_argument("--bronze", required=True); p.add_argument("--silver", required=True)
     p.add_argument("--employees-csv", required=True); p.add_argument("--sports-csv", required=True)
     p.add_argument("--checkpoint"); p.add_argument("--available-now", action="store_true")
+    p.add_argument("--malformed", help="where records without a usable payload go (default: <silver>_malformed)")
+    p.add_argument("--version-log", help="pin the reference versions of each batch here")
+    p.add_argument("--current", help="keyed table of the current state, merged batch by batch")
     jdbc_args(p); p.add_argument("--serving-table"); p.add_argument("--staging-table")
 
     p = sub.add_parser("notify"); stream_args(p)
@@ -108,6 +114,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     p.add_argument("--employees-table", required=True); p.add_argument("--sports-table", required=True)
     p.add_argument("--archive-root", required=True); p.add_argument("--current-root", required=True)
     p.add_argument("--debounce-seconds", type=float, default=2.0)
+    p.add_argument("--read-ranges", type=int, default=32, help="tasks that read a database table")
     jdbc_args(p)
 
     p = sub.add_parser("export-bi"); p.add_argument("--silver", required=True); p.add_argument("--out", required=True)
@@ -146,16 +153,19 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
 
     if args.job == "bronze":
         start_bronze(_records(spark, args, args.topic, "earliest"), args.bronze, args.checkpoint, fmt,
-                     _trigger(args)).awaitTermination()
+                     _trigger(args), once_within=args.once_within, keep_unknown=args.keep_unknown).awaitTermination()
     elif args.job == "silver":
         serving = None
         if args.jdbc_url:
             serving = {"url": args.jdbc_url, "table": args.serving_table, "staging": args.staging_table,
                        "props": _jdbc_props(args)}
+        pinned = PinnedReferences(args.version_log, {"employees": args.employees_csv, "sports": args.sports_csv}) \
+            if args.version_log else None
         start_silver(spark, args.bronze, args.silver, args.checkpoint,
-                     lambda s: read_employees_ref(s, args.employees_csv),
-                     lambda s: read_sports_ref(s, args.sports_csv), fmt, _trigger(args),
-                     serving).awaitTermination()
+                     lambda s, files=args.employees_csv: read_employees_ref(s, files),
+                     lambda s, files=args.sports_csv: read_sports_ref(s, files), fmt, _trigger(args), serving,
+                     malformed_path=args.malformed or f"{args.silver.rstrip('/')}_malformed", pinned=pinned,
+                     current_root=args.current).awaitTermination()
     elif args.job == "notify":
         start_notifications(_records(spark, args, args.topic, "latest"), args.out, args.malformed,
                             args.checkpoint, lambda s: _read(s, args.employees, args.employees_format),
@@ -165,8 +175,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
 
         def read_ref(s, cfg):
             if args.jdbc_url:
-                return s.read.format("jdbc").option("url", args.jdbc_url).option("dbtable", cfg["table"]) \
-                    .options(**props).load()
+                return read_jdbc_ranges(s, args.jdbc_url, cfg["table"], cfg["order_by"], args.read_ranges, props)
             return read_table(s, cfg["table"], fmt)
 
         tables = {
@@ -178,7 +187,8 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
                                 "current_path": f"{args.current_root}/sports/employee_sports.csv"},
         }
         start_reference_snapshots(_records(spark, args, list(tables), "earliest"), tables, args.checkpoint,
-                                  args.debounce_seconds, read_ref, _trigger(args)).awaitTermination()
+                                  args.debounce_seconds, read_ref, _trigger(args),
+                                  trailing=not args.available_now).awaitTermination()
     elif args.job == "export-bi":
         L.export_bi_csv(read_table(spark, args.silver, fmt), args.out)
     elif args.job == "backfill":

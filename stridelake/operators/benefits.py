@@ -150,15 +150,22 @@ def benefit_eligibility(employees: DataFrame, activities: DataFrame, commute: Da
             .join(status, "employee_id", "left"))
 
     n = F.coalesce(F.col("_n"), F.lit(0).cast("long"))
-    wellness_ok = n >= min_activities
-    bonus_ok = (F.col("commute_mode").isin(*K.PHYSICAL_MODES)
-                & (F.col("validation_status") == F.lit(K.STATUS_VALID)))
     return base.select(
         "employee_id", "first_name", "last_name", "annual_gross_salary", "commute_mode",
         n.alias("activity_count_12m"),
-        wellness_ok.alias("wellness_eligible"),
-        F.when(wellness_ok, wellness).otherwise(F.lit(0)).cast(S.PARAM).alias("wellness_days"),
-        bonus_ok.alias("bonus_eligible"),
-        F.when(bonus_ok, F.round(F.col("annual_gross_salary") * rate, 2))
-        .otherwise(F.lit(0)).cast("decimal(18,2)").alias("bonus_amount"),
+        *wellness_columns(n, min_activities, wellness), *bonus_columns(rate),
     )
+
+
+def wellness_columns(n: Column, min_activities: Column, days: Column) -> list[Column]:
+    ok = n >= min_activities
+    return [ok.alias("wellness_eligible"),
+            F.when(ok, days).otherwise(F.lit(0)).cast(S.PARAM).alias("wellness_days")]
+
+
+def bonus_columns(rate: Column) -> list[Column]:
+    ok = (F.col("commute_mode").isin(*K.PHYSICAL_MODES)
+          & (F.col("validation_status") == F.lit(K.STATUS_VALID)))
+    return [ok.alias("bonus_eligible"),
+            F.when(ok, F.round(F.col("annual_gross_salary") * rate, 2))
+            .otherwise(F.lit(0)).cast("decimal(18,2)").alias("bonus_amount")]

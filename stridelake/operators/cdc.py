@@ -19,13 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .drift import UNKNOWN, unknown_fields
 
 ORDER_COLUMNS = ["__source_ts_ms", "kafka_partition", "kafka_offset"]
 
 
-def decode_cdc(raw: DataFrame, ingested_at=None) -> DataFrame:
+def decode_cdc(raw: DataFrame, ingested_at=None, keep_unknown: bool = False) -> DataFrame:
     """PR-1..PR-3, PR-5: parse ``value`` (text or bytes), flatten the
-    payload, keep the broker metadata, stamp the ingestion time."""
+    payload, keep the broker metadata, stamp the ingestion time.
+
+    ``keep_unknown``: one more column, ``unknown_fields``, with the fields that
+    the declared schema does not know as JSON text (``operators.drift``)."""
     # One parse per message, with a schema holding both shapes: the
     # envelope's ``payload`` when present, else the top-level (bare) fields.
     # The parse is the input of a one-row generator: Catalyst cannot push a
@@ -37,12 +41,14 @@ def decode_cdc(raw: DataFrame, ingested_at=None) -> DataFrame:
     parsed = raw.select(F.inline_outer(F.array(F.from_json(F.col("value").cast("string"), S.CDC_ANY))),
                         F.col("timestamp").alias("kafka_timestamp"),
                         F.col("partition").cast("int").alias("kafka_partition"),
-                        F.col("offset").cast("long").alias("kafka_offset"))
+                        F.col("offset").cast("long").alias("kafka_offset"),
+                        *([unknown_fields(F.col("value").cast("string")).alias(UNKNOWN)] if keep_unknown else []))
+    more = [UNKNOWN] * keep_unknown
     bare = F.struct(*[F.col(f.name) for f in S.CDC_PAYLOAD.fields])
     return (parsed.select(F.coalesce(F.col("payload"), bare).alias("_p"),
-                          "kafka_timestamp", "kafka_partition", "kafka_offset")
+                          "kafka_timestamp", "kafka_partition", "kafka_offset", *more)
             .select("_p.*", "kafka_timestamp", "kafka_partition", "kafka_offset",
-                    stamp.alias("bronze_ingested_at")))
+                    stamp.alias("bronze_ingested_at"), *more))
 
 
 def only_valid(decoded: DataFrame, key: str = "activity_id") -> DataFrame:

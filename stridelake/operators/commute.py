@@ -47,10 +47,14 @@ def validate_commutes(employees: DataFrame, distances: DataFrame, as_of=None,
     ``scope="requested"``: the employees present in ``distances`` (the ones
     submitted for validation). ``scope="all"``: every employee, as the
     reference's full run; a rule holder without a usable distance is ERROR.
+    Routing answers that repeat an employee count as one.
     """
     how = "inner" if scope == "requested" else "left"
-    d = distances.select("employee_id", F.col("distance_m").alias("_dist"),
-                         F.col("api_error").alias("_err"))
+    # One answer for each employee: the shortest distance, else the least error
+    # text (a partial aggregate on the key of the join below).
+    d = distances.groupBy("employee_id").agg(
+        F.min("distance_m").alias("_dist"),
+        F.min(F.when(F.col("distance_m").isNull(), F.col("api_error"))).alias("_err"))
     travel, threshold = commute_rule("commute_mode", rules)
     # Stage 1: rule lookup and km once per row, as columns.
     staged = (employees.select("employee_id", "home_address", "commute_mode")

@@ -24,8 +24,12 @@ from ..operators import intake as I
 from ..operators import master as M
 from ..operators import notify as N
 from ..operators import profile as P
+from ..operators import asof as AO
+from ..operators import drift as D
 from ..operators import quality as Q
+from ..operators import series as SE
 from ..operators import silver as SV
+from ..operators import snapshots as SN
 from ..operators.rolling import RollingActivity
 from ..session import checkpoint_root
 from ..sinks.keyed import KeyedTable
@@ -324,3 +328,62 @@ def dq_incremental(spark: SparkSession, sf: str) -> DataFrame:
         found.write.parquet(f"{root}/findings/{number}")
         findings = spark.read.parquet(f"{root}/findings/{number}")
     return findings.drop("detected_at")
+
+
+# --- versions, dates, snapshots, drift --------------------------------------------
+
+#: 24 month-ends.
+SERIES = tuple(str(d) for d in (
+    "2023-02-28 2023-03-31 2023-04-30 2023-05-31 2023-06-30 2023-07-31 2023-08-31 2023-09-30 2023-10-31 2023-11-30 "
+    "2023-12-31 2024-01-31 2024-02-29 2024-03-31 2024-04-30 2024-05-31 2024-06-30 2024-07-31 2024-08-31 2024-09-30 "
+    "2024-10-31 2024-11-30 2024-12-31 2025-01-20").split())
+
+
+@query("silver_as_of")
+def silver_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-1 with the reference version in force when the change happened."""
+    changes = A.cdc_log(spark, sf).select("activity_id", "employee_id", "__op", "kafka_offset",
+                                          F.timestamp_millis("__source_ts_ms").alias("changed_at"))
+    versions = AO.history(A.employee_snapshots(spark, sf), "employee_id")
+    return as_ntz(AO.in_force(changes, versions, "employee_id", "changed_at").drop("reference_from"))
+
+
+@query("eligibility_series")
+def eligibility_series(spark: SparkSession, sf: str) -> DataFrame:
+    """AG-4 at 24 dates, with the parameters valid at each, in one pass."""
+    return SE.eligibility_series(A.employees(spark, sf), A.activities(spark, sf), _commute(spark, sf, "requested"),
+                                 _params(spark), list(SERIES))
+
+
+@query("snapshot_changes")
+def snapshot_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Change records between two staff tables, and the deletions that follow
+    from them in commute results and activities."""
+    before = A.staff_before(spark, sf)
+    changes = SN.diff_snapshots(before, A.employees(spark, sf).select(*before.columns), "employee_id")
+    commute = C.validate_commutes(before, A.commute_distances(spark, sf), as_of=A.AS_OF,
+                                  company_address=A.COMPANY_ADDRESS, scope="all")
+
+    def shaped(df: DataFrame, entity: str, key: str, detail: str) -> DataFrame:
+        return df.select(F.lit(entity).alias("entity"), "__op", F.col(key).alias("id"), "employee_id", F.col(detail).alias("detail"))
+
+    return (shaped(changes, "employee", "employee_id", "commute_mode")
+            .unionByName(shaped(SN.cascade_deletes(changes, commute, "employee_id"), "commute", "employee_id", "validation_status"))
+            .unionByName(shaped(SN.cascade_deletes(changes, A.activities(spark, sf), "employee_id"), "activity", "activity_id", "sport_type")))
+
+
+def _extended(spark: SparkSession, sf: str) -> DataFrame:
+    return CDC.decode_cdc(A.cdc_messages_extended(spark, sf), ingested_at=A.AS_OF, keep_unknown=True)
+
+
+@query("cdc_unknown_fields")
+def cdc_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze rows of a producer that has added fields: typed columns as
+    before, the rest beside them."""
+    return _extended(spark, sf).select("kafka_partition", "kafka_offset", "activity_id", "distance_m", "unknown_fields")
+
+
+@query("cdc_drift")
+def cdc_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths and types that the declared schema does not know."""
+    return D.drift_report(_extended(spark, sf))

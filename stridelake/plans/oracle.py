@@ -545,3 +545,77 @@ _dq_final.append("""
 SELECT activity_id, employee_id, 'DQ04_UNKNOWN_EMPLOYEE', 'L''activité référence un employé inexistant.' FROM final_activities a
 WHERE employee_id IS NULL OR NOT EXISTS (FROM customer WHERE c_custkey = a.employee_id AND c_custkey % 19 <> 0)""")
 oracle("dq_incremental", "\nUNION ALL\n".join(_dq_final), "final_activities")
+
+
+# --- versions, dates, snapshots, drift --------------------------------------------
+
+oracle("silver_as_of", """
+, stamps AS (SELECT * FROM (VALUES (1, TIMESTAMP '2024-01-02 00:00:00'), (2, TIMESTAMP '2024-01-10 12:00:00'),
+                                   (3, TIMESTAMP '2024-01-20 00:00:00')) t(nr, stamp)),
+held AS (
+  SELECT nr, employee_id, CASE WHEN nr > 1 AND employee_id % 5 = 0 THEN 'Moved unit' ELSE business_unit END AS business_unit,
+         CASE WHEN nr = 3 AND employee_id % 11 = 0 THEN 'Freelance' ELSE contract_type END AS contract_type
+  FROM employees, stamps WHERE nr <> 2 OR employee_id % 7 <> 0),
+timed AS (SELECT *, epoch_ms(__source_ts_ms) AS changed_at FROM cdc_log),
+placed AS (SELECT timed.*, stamps.nr FROM timed ASOF LEFT JOIN stamps ON timed.changed_at >= stamps.stamp)
+SELECT activity_id, placed.employee_id, __op, kafka_offset, changed_at, business_unit, contract_type
+FROM placed LEFT JOIN held ON held.nr = placed.nr AND held.employee_id = placed.employee_id""", "employees", "cdc_log")
+
+_SERIES_DAYS = ", ".join(f"(DATE '{d}')" for d in """
+    2023-02-28 2023-03-31 2023-04-30 2023-05-31 2023-06-30 2023-07-31 2023-08-31 2023-09-30 2023-10-31 2023-11-30 2023-12-31
+    2024-01-31 2024-02-29 2024-03-31 2024-04-30 2024-05-31 2024-06-30 2024-07-31 2024-08-31 2024-09-30 2024-10-31 2024-11-30
+    2024-12-31 2025-01-20""".split())
+oracle("eligibility_series", f"""
+, series AS (SELECT * FROM (VALUES {_SERIES_DAYS}) t(as_of)),
+valid AS (
+  SELECT * FROM (VALUES ('rate', 0.04, DATE '2020-01-01', DATE '2023-12-31'), ('rate', 0.05, DATE '2024-01-01', NULL),
+                        ('days', 4, DATE '2022-01-01', NULL), ('days', 5, DATE '2024-01-01', NULL),
+                        ('least', 20, DATE '2021-01-01', DATE '2023-12-31'), ('least', 15, DATE '2025-01-24', NULL)) t(label, amount, since, till)),
+limits_at AS (
+  SELECT as_of, max(amount) FILTER (label = 'rate') AS rate, max(amount) FILTER (label = 'days') AS days,
+         max(amount) FILTER (label = 'least') AS least
+  FROM series LEFT JOIN valid ON since <= as_of AND (till IS NULL OR as_of < till) GROUP BY as_of),
+done AS (
+  SELECT as_of, employee_id, count(*) AS n FROM series JOIN activities ON start_at >= as_of - INTERVAL 12 MONTHS GROUP BY ALL),
+judged AS (
+  SELECT e.employee_id, s.as_of, first_name, last_name, annual_gross_salary, e.commute_mode, coalesce(n, 0) AS n, rate, days,
+         coalesce(n, 0) >= least AS enough,
+         e.commute_mode IN ('Marche/running', 'Vélo/Trottinette/Autres') AND r.validation_status = 'VALID' AS rides
+  FROM employees e CROSS JOIN series s JOIN limits_at USING (as_of)
+  LEFT JOIN done ON done.employee_id = e.employee_id AND done.as_of = s.as_of
+  LEFT JOIN commute_requested r ON r.employee_id = e.employee_id)
+SELECT employee_id, as_of, first_name, last_name, annual_gross_salary, commute_mode, n AS activity_count_12m,
+       enough AS wellness_eligible, CAST(IF(enough, days, 0) AS DECIMAL(18,6)) AS wellness_days, rides AS bonus_eligible,
+       CAST(IF(rides, ROUND(annual_gross_salary * CAST(rate AS DECIMAL(18,6)), 2), 0) AS DECIMAL(18,2)) AS bonus_amount
+FROM judged""", "employees", "activities", "commute_requested")
+
+cte("staff_before", ["employees", "former_employees"], """
+SELECT employee_id + CASE WHEN employee_id % 8 = 0 THEN 5000000000 ELSE 0 END AS employee_id, home_address,
+       CASE WHEN employee_id % 6 = 0 THEN 'Transports en commun' ELSE commute_mode END AS commute_mode FROM employees
+UNION ALL FROM former_employees""")
+cte("commute_before", ["staff_before", "commute_distances"], _commute_body("staff_before"))
+oracle("snapshot_changes", """
+, gone AS (SELECT employee_id FROM staff_before EXCEPT SELECT employee_id FROM employees)
+SELECT 'employee' AS entity, CASE WHEN b.employee_id IS NULL THEN 'c' ELSE 'u' END AS __op, e.employee_id AS id,
+       e.employee_id, e.commute_mode AS detail
+FROM employees e LEFT JOIN staff_before b USING (employee_id)
+WHERE b.employee_id IS NULL OR (b.home_address, b.commute_mode) IS DISTINCT FROM (e.home_address, e.commute_mode)
+UNION ALL SELECT 'employee', 'd', employee_id, employee_id, commute_mode FROM staff_before JOIN gone USING (employee_id)
+UNION ALL SELECT 'commute', 'd', employee_id, employee_id, validation_status FROM commute_before JOIN gone USING (employee_id)
+UNION ALL SELECT 'activity', 'd', activity_id, employee_id, sport_type FROM activities JOIN gone USING (employee_id)""",
+       "employees", "staff_before", "commute_before", "activities")
+
+_HEART = "CASE WHEN kafka_offset % 35 = 0 THEN '\"n/a\"' WHEN kafka_offset % 7 = 0 THEN CAST(60 + kafka_offset % 90 AS VARCHAR) END"
+_WEATHER = "CASE WHEN kafka_offset % 5 = 0 THEN '{\"sky\":\"clear\",\"temp\":' || kafka_offset % 30 || '}' END"
+oracle("cdc_unknown_fields", f"""
+SELECT kafka_partition, kafka_offset, activity_id, distance_m,
+       CASE WHEN activity_id IS NOT NULL AND (kafka_offset % 7 = 0 OR kafka_offset % 5 = 0) THEN
+         '{{' || concat_ws(',', '"heart_rate":' || {_HEART}, '"weather":' || {_WEATHER}) || '}}' END AS unknown_fields
+FROM bronze""", "bronze")
+_drift = [("heart_rate", "BIGINT", "kafka_offset % 7 = 0 AND kafka_offset % 35 <> 0"), ("heart_rate", "STRING", "kafka_offset % 35 = 0"),
+          ("weather", "OBJECT", "kafka_offset % 5 = 0"), ("weather.temp", "BIGINT", "kafka_offset % 5 = 0"),
+          ("weather.sky", "STRING", "kafka_offset % 5 = 0")]
+oracle("cdc_drift", "\nUNION ALL\n".join(
+    f"SELECT '{path}' AS path, '{kind}' AS type, count(*) AS messages, min(kafka_offset) AS first_offset, "
+    f"max(kafka_offset) AS last_offset FROM bronze WHERE activity_id IS NOT NULL AND {when} HAVING count(*) > 0"
+    for path, kind, when in _drift), "bronze")

@@ -23,36 +23,51 @@ OP_COLUMN = "change_op"
 MAX_CONNECTIONS = 32
 
 
-def _writer(df: DataFrame, url: str, table: str, props: dict[str, str] | None):
-    w = df.coalesce(MAX_CONNECTIONS).write.format("jdbc").option("url", url).option("dbtable", table)
+def _writer(df: DataFrame, url: str, table: str, props: dict[str, str] | None, connections: int = MAX_CONNECTIONS):
+    # A shuffle, not a coalesce: the stage that computes the rows keeps its
+    # tasks, only the writing is bounded.
+    w = df.repartition(connections).write.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (props or {}).items():
         w = w.option(k, v)
     return w
 
 
-def write_staging(df: DataFrame, url: str, table: str, props: dict[str, str] | None = None) -> None:
+def write_staging(df: DataFrame, url: str, table: str, props: dict[str, str] | None = None,
+                  connections: int = MAX_CONNECTIONS) -> None:
     """SNK-3: overwrite the staging table (truncate, keep its definition)."""
-    _writer(df, url, table, props).option("truncate", "true").mode("overwrite").save()
+    _writer(df, url, table, props, connections).option("truncate", "true").mode("overwrite").save()
 
 
-def backfill(df: DataFrame, url: str, table: str, props: dict[str, str] | None = None) -> None:
+def backfill(df: DataFrame, url: str, table: str, props: dict[str, str] | None = None,
+             connections: int = MAX_CONNECTIONS) -> None:
     """SNK-5: bulk append. Re-running it against a keyed target would
     collide with the key: use ``upsert`` for anything that may repeat."""
-    _writer(df, url, table, props).mode("append").save()
+    _writer(df, url, table, props, connections).mode("append").save()
 
 
 def merge_statement(target: str, staging: str, key: list[str], columns: list[str],
-                    op: str | None = None) -> str:
+                    op: str | None = None, order: list[str] | None = None) -> str:
     """Standard SQL MERGE from staging into target on ``key``. ``op``: staging
-    column whose value 'd' deletes the row (and inserts none)."""
+    column whose value 'd' deletes the row (and inserts none). ``order``:
+    columns of both tables that rank the versions of a key; a staged row that
+    ranks below the stored one changes nothing (a stored row without a rank, or
+    one of equal rank, gives way)."""
+    newer = ""
+    if order:
+        ranks = [f"(s.{c} > t.{c} OR t.{c} IS NULL" for c in order]
+        # Lexicographic, innermost last: equal in all columns counts as newer.
+        newer = "1 = 1"
+        for c, rank in zip(reversed(order), reversed(ranks)):
+            newer = f"{rank} OR (s.{c} = t.{c} AND {newer}))"
+        newer = f"AND {newer} "
     on = " AND ".join(f"t.{k} = s.{k}" for k in key)
     updates = ", ".join(f"{c} = s.{c}" for c in columns if c not in key)
     cols = ", ".join(columns)
     vals = ", ".join(f"s.{c}" for c in columns)
-    delete = f"WHEN MATCHED AND s.{op} = 'd' THEN DELETE " if op else ""
+    delete = f"WHEN MATCHED AND s.{op} = 'd' {newer}THEN DELETE " if op else ""
     alive = f"AND (s.{op} IS NULL OR s.{op} <> 'd') " if op else ""
     return (f"MERGE INTO {target} t USING {staging} s ON {on} {delete}"
-            f"WHEN MATCHED THEN UPDATE SET {updates} "
+            f"WHEN MATCHED {newer}THEN UPDATE SET {updates} "
             f"WHEN NOT MATCHED {alive}THEN INSERT ({cols}) VALUES ({vals})")
 
 
@@ -77,13 +92,15 @@ def upsert(df: DataFrame, url: str, target: str, staging: str, key: list[str],
     that rank versions of a key in the batch (newest wins); ``columns``: the
     target's columns (default: all of ``df``); ``op``: change operation, so that
     a key whose newest version is a delete leaves the target (the staging
-    table then has a column ``change_op`` more). Returns the number of rows
-    staged (SNK-14: counted during the staging write, no extra job)."""
+    table then has a column ``change_op`` more). If the target holds the
+    ``order`` columns (they are in ``columns``), an older change of a later batch
+    does not win over a stored row. Returns the number of rows staged (SNK-14: counted during the staging write, no extra job)."""
     batch = latest_by_key(df, key, order) if order else df
     columns = [c for c in (columns or df.columns) if c != op]
     batch = batch.select(*columns, *([F.col(op).alias(OP_COLUMN)] if op else []))
     obs = Observation("staged_rows")
     write_staging(batch.observe(obs, F.count(F.lit(1)).alias("rows")), url, staging, props)
-    execute(df.sparkSession, url, merge_statement(target, staging, key, columns, OP_COLUMN if op else None), props,
+    execute(df.sparkSession, url, merge_statement(target, staging, key, columns, OP_COLUMN if op else None,
+                                                     order if order and set(order) <= set(columns) else None), props,
             probe_query)
     return int(obs.get["rows"])

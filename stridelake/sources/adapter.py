@@ -27,6 +27,7 @@ from ..functions.exprs import iso_text
 AS_OF = "2025-01-24 00:00:00"      # 12-month window: cut-off 2024-01-24
 DQ_AS_OF = "2024-01-29 00:00:00"   # DQ05 fires for the last days of the data
 COMPANY_ADDRESS = "Head office"
+SNAPSHOT_STAMPS = ("2024-01-02 00:00:00", "2024-01-10 12:00:00", "2024-01-20 00:00:00")
 MOVED = 1_000_000_000              # no customer has an id this large
 
 _MEMO: dict[tuple, DataFrame] = {}
@@ -234,6 +235,51 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
+def cdc_messages_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cdc_messages`` from a producer that has added fields: an object
+    ``weather`` in every fifth message, and ``heart_rate`` in every seventh,
+    a number at first and text in every 35th."""
+    off = F.col("offset")
+    added = F.concat_ws(
+        ",", F.when(off % 35 == 0, F.lit('"heart_rate":"n/a"')).when(off % 7 == 0, F.concat(F.lit('"heart_rate":'), (60 + off % 90).cast("string"))),
+        F.when(off % 5 == 0, F.concat(F.lit('"weather":{"temp":'), (off % 30).cast("string"), F.lit(',"sky":"clear"}'))))
+    open_at = F.when(F.col("value").startswith('{"payload":{'), len('{"payload":{')).when(F.col("value").startswith('{"activity_id"'), 1)
+    value = F.when(open_at.isNotNull() & (added != ""), F.concat(
+        F.substring(F.col("value"), F.lit(1), open_at), added, F.lit(","), F.substring(F.col("value"), open_at + 1, F.length("value")))
+    ).otherwise(F.col("value"))
+    return cdc_messages(spark, sf_dir).withColumn("value", value)
+
+
+@_memo
+def employee_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three dated snapshots of the employee table: at the second one every
+    fifth employee has another unit and every seventh is away; at the third
+    these are back, and every eleventh has another contract."""
+    key = F.col("employee_id")
+    stamps = [F.lit(t).cast("timestamp").alias("stamp") for t in SNAPSHOT_STAMPS]
+    moved = F.when(key % 5 == 0, "Moved unit").otherwise(F.col("business_unit"))
+    dated = F.filter(F.array(
+        F.struct(stamps[0], F.col("business_unit"), F.col("contract_type")),
+        F.when(key % 7 != 0, F.struct(stamps[1], moved.alias("business_unit"), F.col("contract_type"))),
+        F.struct(stamps[2], moved.alias("business_unit"),
+                 F.when(key % 11 == 0, "Freelance").otherwise(F.col("contract_type")).alias("contract_type"))),
+        lambda s: s.isNotNull())
+    return employees(spark, sf_dir).select("employee_id", F.inline(dated))
+
+
+@_memo
+def staff_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staff table before a load: former employees, and the present ones,
+    every sixth with another commute and every eighth under an old badge id."""
+    key = F.col("employee_id")
+    columns = ["employee_id", "home_address", "commute_mode"]
+    now = employees(spark, sf_dir).select(
+        F.when(key % 8 == 0, key + MOVED * 5).otherwise(key).alias("employee_id"), "home_address",
+        F.when(key % 6 == 0, "Transports en commun").otherwise(F.col("commute_mode")).alias("commute_mode"))
+    return now.unionByName(former_employees(spark, sf_dir).select(*columns))
+
+
 @_memo
 def commute_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routing answers for current and former employees. Every tenth one of a

@@ -1,11 +1,16 @@
 """Reference snapshots (ST-4, SET-2, SRC-8, SNK-7).
 
-Change records on the reference topics only signal that a table changed.
-Each trigger interval (2 s by default - the debounce window) collects the
-set of changed topics in the micro-batch, re-reads each changed reference
-table in full, ordered by key, and publishes it: immutable timestamped
-archive first, then the current copy. Bursts inside one interval produce one
-snapshot per table; the final state is the same as a trailing-edge debounce.
+Change records on the reference topics only signal that a table changed. A
+snapshot re-reads the changed table in full, ordered by key, and publishes it:
+immutable timestamped archive first, then the current copy.
+
+``quiet_topics`` is a trailing-edge debounce: a topic's records form sessions,
+and a session ends, and fires, once the topic has been quiet for the debounce
+time, however long the burst was. A heartbeat moves the clock on when no record
+comes. Without it (``trailing=False``, catch-up runs that end) each trigger
+interval collects the topics of its micro-batch, so a burst over several
+intervals gives several snapshots with the same final state.
+
 The set of distinct topics is bounded by the configured tables.
 """
 
@@ -20,12 +25,30 @@ from ..sinks.lake import publish_reference, snapshot_stamp
 from .control import checkpoint_for
 
 
+def quiet_topics(records: DataFrame, quiet_seconds: float = 2.0) -> DataFrame:
+    """``(topic, last_at, changes)`` of every burst that has been over for
+    ``quiet_seconds``, by arrival time. State: one session for each topic."""
+    spark = records.sparkSession
+    arrived = records.select("topic", F.current_timestamp().alias("at"))
+    beats = (spark.readStream.format("rate").option("rowsPerSecond", "1").option("numPartitions", "1").load()
+             .select(F.lit(None).cast("string").alias("topic"), F.col("timestamp").alias("at")))
+    sessions = (arrived.unionByName(beats).withWatermark("at", "0 seconds")
+                .groupBy(F.session_window("at", f"{int(quiet_seconds * 1000)} milliseconds").alias("w"), "topic")
+                .agg(F.max("at").alias("last_at"), F.count(F.lit(1)).alias("changes")))
+    return sessions.where(F.col("topic").isNotNull()).select("topic", "last_at", "changes")
+
+
 def start_reference_snapshots(records: DataFrame, tables: dict[str, dict], checkpoint: str | None,
                               debounce_seconds: float = 2.0,
                               read: Callable[[SparkSession, dict], DataFrame] | None = None,
-                              trigger: dict | None = None, query_name: str = "reference_snapshots"):
+                              trigger: dict | None = None, query_name: str = "reference_snapshots",
+                              trailing: bool = False):
     """``tables``: topic -> {"archive_prefix", "current_path", "order_by", and
-    what ``read(spark, cfg)`` needs to re-read the table}."""
+    what ``read(spark, cfg)`` needs to re-read the table}. ``trailing``: publish
+    once a topic has been quiet for ``debounce_seconds``."""
+    if trailing:
+        records = quiet_topics(records.where(F.col("topic").isin(*tables)), debounce_seconds)
+        trigger = trigger or {"processingTime": f"{debounce_seconds / 4} seconds"}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -11,6 +11,9 @@ Per micro-batch (``foreachBatch``):
    plan is not evaluated twice) into a JDBC table, newest version per key.
 
 Records without a usable payload go to ``malformed_path`` if one is given.
+With ``pinned`` a replayed batch reads the reference versions it read before;
+with ``current_root`` each batch is merged into a keyed table that rewrites only
+the dates it touches.
 
 The current state of the lake is ``compact_current``: latest version per
 activity over the whole log, written to a new directory (never over a path
@@ -30,8 +33,10 @@ from .. import schemas as S
 from ..operators.cdc import current_state, latest_by_key, malformed, only_valid
 from ..operators.silver import enrich
 from ..sinks import jdbc as J
+from ..sinks.keyed import KeyedTable
 from ..sinks.lake import write_log_partition
 from ..functions.literal import literal_table
+from ..sources.reference import PinnedReferences
 from ..sources.tables import ensure_table, read_table, read_table_stream
 from .control import checkpoint_for
 
@@ -40,7 +45,11 @@ def make_batch_writer(silver_path: str,
                       load_employees: Callable[[SparkSession], DataFrame],
                       load_sports: Callable[[SparkSession], DataFrame],
                       fmt: str = "parquet", serving_jdbc: dict | None = None,
-                      malformed_path: str | None = None):
+                      malformed_path: str | None = None, pinned: PinnedReferences | None = None,
+                      current_root: str | None = None):
+    """``pinned``: the loaders get the files of the reference versions that the
+    batch read first, as a second argument. ``current_root``: a keyed table of
+    the current state that each batch is merged into (``sinks.keyed``)."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The batch is read twice (rows, and its keys to cut the references):
@@ -49,15 +58,24 @@ def make_batch_writer(silver_path: str,
         decoded = batch.persist()
         try:
             rows = only_valid(decoded)
-            enriched = enrich(rows, load_employees(spark), load_sports(spark), reduce_references=True)
+            if pinned:
+                files = pinned.files(spark, batch_id)
+                references = load_employees(spark, files["employees"]), load_sports(spark, files["sports"])
+            else:
+                references = load_employees(spark), load_sports(spark)
+            enriched = enrich(rows, *references, reduce_references=True)
             written = write_log_partition(enriched, silver_path, batch_id, fmt)
             if malformed_path:
                 write_log_partition(malformed(decoded), malformed_path, batch_id, fmt)
         finally:
             decoded.unpersist()
-        if serving_jdbc and written:
-            # Only this batch's own directory is listed and read.
-            own = spark.read.format(fmt).load(f"{silver_path.rstrip('/')}/batch_id={int(batch_id)}")
+        if not written:
+            return
+        # Only this batch's own directory is listed and read.
+        own = spark.read.format(fmt).load(f"{silver_path.rstrip('/')}/batch_id={int(batch_id)}")
+        if current_root:
+            KeyedTable(spark, current_root, own.schema, fmt=fmt).upsert(own)
+        if serving_jdbc:
             J.upsert(own, serving_jdbc["url"], serving_jdbc["table"], serving_jdbc["staging"],
                      ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
                      columns=S.SERVING_COLUMNS, props=serving_jdbc.get("props"), op="__op",
@@ -70,12 +88,13 @@ def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkp
                  load_sports: Callable[[SparkSession], DataFrame],
                  fmt: str = "parquet", trigger: dict | None = None,
                  serving_jdbc: dict | None = None, query_name: str = "silver_activities",
-                 malformed_path: str | None = None):
+                 malformed_path: str | None = None, pinned: PinnedReferences | None = None,
+                 current_root: str | None = None):
     ensure_table(spark, bronze_path, S.BRONZE, fmt)
     bronze = read_table_stream(spark, bronze_path, S.BRONZE, fmt)
     w = (bronze.writeStream
          .foreachBatch(make_batch_writer(silver_path, load_employees, load_sports, fmt, serving_jdbc,
-                                         malformed_path))
+                                         malformed_path, pinned, current_root))
          .option("checkpointLocation", checkpoint_for(spark, query_name, checkpoint))
          .queryName(query_name)
          .trigger(**(trigger or {"processingTime": "0 seconds"})))
