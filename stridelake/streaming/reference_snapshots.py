@@ -27,15 +27,19 @@ from .control import checkpoint_for
 
 def quiet_topics(records: DataFrame, quiet_seconds: float = 2.0) -> DataFrame:
     """``(topic, last_at, changes)`` of every burst that has been over for
-    ``quiet_seconds``, by arrival time. State: one session for each topic."""
+    ``quiet_seconds``, by arrival time. State: one session for each topic.
+
+    Arrival times only grow, so nothing is late. The heartbeat's own session
+    never ends; it is told apart by an aggregate, since a condition on the topic
+    would be pushed down to the records and stop the clock."""
     spark = records.sparkSession
-    arrived = records.select("topic", F.current_timestamp().alias("at"))
+    arrived = records.select("topic", F.current_timestamp().alias("at"), F.lit(1).alias("record"))
     beats = (spark.readStream.format("rate").option("rowsPerSecond", "1").option("numPartitions", "1").load()
-             .select(F.lit(None).cast("string").alias("topic"), F.col("timestamp").alias("at")))
+             .select(F.lit(None).cast("string").alias("topic"), F.col("timestamp").alias("at"), F.lit(0).alias("record")))
     sessions = (arrived.unionByName(beats).withWatermark("at", "0 seconds")
                 .groupBy(F.session_window("at", f"{int(quiet_seconds * 1000)} milliseconds").alias("w"), "topic")
-                .agg(F.max("at").alias("last_at"), F.count(F.lit(1)).alias("changes")))
-    return sessions.where(F.col("topic").isNotNull()).select("topic", "last_at", "changes")
+                .agg(F.max("at").alias("last_at"), F.sum("record").alias("changes")))
+    return sessions.where(F.col("changes") > 0).select("topic", "last_at", "changes")
 
 
 def start_reference_snapshots(records: DataFrame, tables: dict[str, dict], checkpoint: str | None,
