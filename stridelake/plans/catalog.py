@@ -8,14 +8,16 @@ returned as ``TIMESTAMP_NTZ`` (UTC wall clock), the type DuckDB's
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from .. import schemas as S
+from ..functions.csv import read_csv_text
 from ..functions.literal import literal_table
 from ..operators import benefits as B
 from ..operators import cdc as CDC
@@ -32,8 +34,14 @@ from ..operators import silver as SV
 from ..operators import snapshots as SN
 from ..operators.rolling import RollingActivity
 from ..session import checkpoint_root
+from ..sinks import lake as L
 from ..sinks.keyed import KeyedTable
 from ..sources import adapter as A
+from ..sources.cdc import read_cdc_stream, write_landing
+from ..sources.reference import read_employees_ref
+from ..streaming.bronze import start_bronze
+from ..streaming.notifications import start_notifications
+from ..streaming.silver import start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -387,3 +395,93 @@ def cdc_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
 def cdc_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Paths and types that the declared schema does not know."""
     return D.drift_report(_extended(spark, sf))
+
+
+# --- as streams and files -----------------------------------------------------------
+# The same records through the streams (broker records landed as files, bounded
+# runs) and through the file sinks, in a folder of the shared checkpoint folder.
+
+def _landed(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    write_landing(A.cdc_messages(spark, sf), f"{root}/landing")
+    return read_cdc_stream(spark, "raw.activities", source="landing", landing_path=f"{root}/landing")
+
+
+def _streamed(spark: SparkSession, sf: str) -> str:
+    """Bronze, then Silver with malformed records aside and a keyed current table."""
+    root = _work(spark)
+    until_done = {"availableNow": True}
+    start_bronze(_landed(spark, sf, root), f"{root}/bronze", f"{root}/checkpoints/bronze", trigger=until_done).awaitTermination()
+    start_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoints/silver",
+                 lambda s: A.employees(s, sf), lambda s: A.employee_sports(s, sf), trigger=until_done,
+                 malformed_path=f"{root}/malformed", current_root=f"{root}/current").awaitTermination()
+    return root
+
+
+@query("streamed_silver")
+def streamed_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """ST-1..ST-3, SNK-1, SNK-2: the Silver log that the streams write."""
+    rows = spark.read.parquet(f"{_streamed(spark, sf)}/silver")
+    return as_ntz(rows.drop("batch_id", "bronze_ingested_at", "silver_ingested_at"))
+
+
+@query("streamed_malformed")
+def streamed_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """PR-4: the records without a payload that the Silver stream puts aside."""
+    rows = spark.read.parquet(f"{_streamed(spark, sf)}/malformed")
+    return as_ntz(rows.select("kafka_partition", "kafka_offset", "kafka_timestamp"))
+
+
+@query("streamed_current")
+def streamed_current(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-4, ST-5: the keyed table that the Silver stream keeps current."""
+    root = _streamed(spark, sf)
+    schema = spark.read.parquet(f"{root}/silver").drop("batch_id").schema
+    rows = KeyedTable(spark, f"{root}/current", schema).read()
+    return as_ntz(SV.serving_projection(rows).drop("silver_ingested_at"))
+
+
+@query("streamed_notifications")
+def streamed_notifications(spark: SparkSession, sf: str) -> DataFrame:
+    """ST-9, SNK-12: the notifications that the stream writes."""
+    root = _work(spark)
+    start_notifications(_landed(spark, sf, root), f"{root}/out", f"{root}/malformed", f"{root}/checkpoint",
+                        lambda s: A.employees(s, sf), trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+@query("silver_log_counts")
+def silver_log_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-2, AG-6: rows that each of three batches wrote into its partition of
+    the log, the second one written twice."""
+    root, log = _work(spark), A.change_batches(spark, sf)
+    counted = [(n, L.write_log_partition(log.where(F.col("batch") == n).drop("batch"), f"{root}/log", n)) for n in (0, 1, 1, 2)]
+    stored = spark.read.parquet(f"{root}/log").groupBy("batch_id").agg(F.count(F.lit(1)).alias("stored"))
+    reported = literal_table(spark, sorted(set(counted)), [("batch_id", "bigint"), ("reported", "bigint")])
+    return stored.select(F.col("batch_id").cast("long").alias("batch_id"), "stored").join(reported, "batch_id")
+
+
+@query("bi_export")
+def bi_export(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-6, SO-1: the sorted CSV export read again, text cell by text cell.
+    ``in_order``: the rows' order in the files is that of the keys."""
+    root = _work(spark)
+    L.export_bi_csv(_silver(spark, sf), f"{root}/bi")
+    cells = read_csv_text(spark, f"{root}/bi")
+    cells = cells.select("*", F.col("_metadata.file_name").alias("file"), F.col("activity_id").cast("long").alias("id"))
+    # Parts are in key order: one row for each file.
+    spans = cells.groupBy("file").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    before = F.lag("high").over(Window.orderBy("file"))
+    broken = spans.select((F.col("low") < before).alias("back")).agg(F.count_if("back").alias("n")).select("n").scalar()
+    return cells.select("id", "activity_id", "employee_id", "last_name", "sport_type", "declared_sport", "activity_date",
+                        "distance_km", "source", (broken == 0).alias("in_order"))
+
+
+@query("published_reference")
+def published_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-7, SC-24, SO-2, SRC-4: the employee reference published twice; the
+    Silver stream's reader sees the second version."""
+    root = _work(spark)
+    for day, rows in ((1, A.staff_before(spark, sf)), (2, A.employees(spark, sf))):
+        stamp = L.snapshot_stamp(dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc))
+        L.publish_reference(rows, f"{root}/archive/employees", f"{root}/employees", stamp, order_by="employee_id")
+    return read_employees_ref(spark, f"{root}/employees")

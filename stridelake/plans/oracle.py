@@ -619,3 +619,29 @@ oracle("cdc_drift", "\nUNION ALL\n".join(
     f"SELECT '{path}' AS path, '{kind}' AS type, count(*) AS messages, min(kafka_offset) AS first_offset, "
     f"max(kafka_offset) AS last_offset FROM bronze WHERE activity_id IS NOT NULL AND {when} HAVING count(*) > 0"
     for path, kind, when in _drift), "bronze")
+
+
+# --- as streams and files -----------------------------------------------------------
+
+oracle("streamed_silver", "SELECT * EXCLUDE (bronze_ingested_at, silver_ingested_at) FROM silver_log", "silver_log")
+oracle("streamed_malformed", """
+SELECT kafka_partition, kafka_offset, epoch_ms(__source_ts_ms) AS kafka_timestamp
+FROM cdc_log WHERE kafka_offset % 89 = 0 OR kafka_offset % 97 = 0""", "cdc_log")
+oracle("streamed_current", f"""
+SELECT * EXCLUDE (silver_ingested_at) FROM (
+  SELECT {_SERVING} FROM silver_log l
+  WHERE __op <> 'd' AND NOT EXISTS (
+    FROM silver_log later WHERE later.activity_id = l.activity_id
+    AND (later.__source_ts_ms, later.kafka_partition, later.kafka_offset) > (l.__source_ts_ms, l.kafka_partition, l.kafka_offset)))""",
+       "silver_log")
+ORACLE["streamed_notifications"] = ORACLE["live_notifications"]
+oracle("silver_log_counts", """
+SELECT CAST(batch AS BIGINT) AS batch_id, count(*) AS stored, count(*) AS reported FROM change_batches GROUP BY batch""", "change_batches")
+oracle("bi_export", """
+SELECT activity_id AS id, CAST(activity_id AS VARCHAR) AS activity_id, CAST(employee_id AS VARCHAR) AS employee_id, last_name, sport_type,
+       declared_sport, CAST(activity_date AS VARCHAR) AS activity_date, CAST(distance_km AS VARCHAR) AS distance_km, source,
+       TRUE AS in_order
+FROM silver_log""", "silver_log")
+oracle("published_reference", """
+SELECT CAST(employee_id AS BIGINT) AS employee_id, first_name, last_name, business_unit, contract_type, annual_gross_salary
+FROM employees""", "employees")
