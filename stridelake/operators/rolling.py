@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.literal import literal_table
 from ..sinks.lake import write_log_partition
-from ..sources.files import committed, names, numbered
+from ..sources.files import finished, names, newest, numbered
 from .benefits import activity_totals_view, window_start
 from .changes import is_live
 
@@ -97,22 +97,21 @@ class RollingActivity:
             return literal_table(self.spark, [], DAYS)
         return self.spark.read.parquet(f"{self.root}/days").where(F.col("batch_id") < before).select("employee_id", "day", "n", "metres")
 
-    def _totals(self, number: int) -> tuple[DataFrame, str]:
-        at = f"{self.root}/totals/{numbered(number)}"
-        return self.spark.read.parquet(at), self.spark.read.text(f"{self.root}/as_of/{numbered(number)}").first()[0]
+    def _totals(self, name: str) -> tuple[DataFrame, str]:
+        return (self.spark.read.parquet(f"{self.root}/totals/{name}"),
+                self.spark.read.text(f"{self.root}/as_of/{name}").first()[0])
 
     def apply(self, changes: DataFrame, batch_id: int, as_of) -> DataFrame:
         """Fold a batch of ``(activity_id, old, new)``; returns the new totals."""
-        done = committed(self.spark, f"{self.root}/totals")
-        if batch_id in done:
-            return self._totals(batch_id)[0]
-        before = [n for n in done if n < batch_id]
+        if finished(self.spark, f"{self.root}/totals/{numbered(batch_id)}"):
+            return self._totals(numbered(batch_id))[0]
+        before = newest(self.spark, f"{self.root}/totals", below=numbered(batch_id))
         write_log_partition(activity_deltas(changes), f"{self.root}/days", batch_id)
         deltas = (self.spark.read.schema("employee_id long, day date, n long, metres " + METRES)
                   .parquet(f"{self.root}/days/batch_id={batch_id}") if self._wrote(batch_id)
                   else literal_table(self.spark, [], DAYS))
         if before:
-            totals, previous = self._totals(before[-1])
+            totals, previous = self._totals(before)
             after = advance_totals(totals, self._log(batch_id), deltas, previous, as_of)
         else:
             after = totals_at(deltas, as_of)
@@ -125,8 +124,8 @@ class RollingActivity:
         return f"batch_id={batch_id}" in names(self.spark, f"{self.root}/days")
 
     def totals(self) -> DataFrame:
-        found = committed(self.spark, f"{self.root}/totals")
-        return self._totals(found[-1])[0] if found else literal_table(self.spark, [], TOTALS)
+        last = newest(self.spark, f"{self.root}/totals")
+        return self._totals(last)[0] if last else literal_table(self.spark, [], TOTALS)
 
     def view(self, employees: DataFrame) -> DataFrame:
         """AG-1's columns for every employee, from the newest totals."""

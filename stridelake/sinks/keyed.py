@@ -28,7 +28,7 @@ from pyspark.sql.types import DateType, StructType
 from ..functions.literal import literal_table
 from ..operators.cdc import ORDER_COLUMNS, latest_by_key
 from ..operators.changes import net_changes
-from ..sources.files import committed, names, numbered, remove
+from ..sources.files import committed, names, newest, numbered, remove
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = [("partition", "string"), ("path", "string")]
@@ -53,13 +53,11 @@ class KeyedTable:
 
     def manifest(self, version: int | None = None) -> dict[str, str]:
         """Partition directory name -> path below ``data`` (a row for each date)."""
-        if version is None:
-            found = self.versions()
-            if not found:
-                return {}
-            version = found[-1]
-        rows = self.spark.read.parquet(f"{self.root}/manifest/{numbered(version)}").collect()
-        return {r["partition"]: r["path"] for r in rows}
+        at = f"{self.root}/manifest"
+        name = newest(self.spark, at) if version is None else numbered(version)
+        if name is None:
+            return {}
+        return {r["partition"]: r["path"] for r in self.spark.read.parquet(f"{at}/{name}").collect()}
 
     def _load(self, paths: list[str], *more: str) -> DataFrame:
         columns = [c.name for c in self.schema]
@@ -90,13 +88,14 @@ class KeyedTable:
         """Merge a batch of versions. Returns the version now current, the
         partitions rewritten and the number of keys changed."""
         before = self.manifest()
-        number = (self.versions() or [-1])[-1] + 1
+        last = newest(self.spark, f"{self.root}/manifest")
+        number = int(last[1:]) + 1 if last else 0
         columns = [c.name for c in self.schema]
-        newest = latest_by_key(batch.select(*columns).where(F.col(self.key).isNotNull()), self.key, self.order)
+        latest = latest_by_key(batch.select(*columns).where(F.col(self.key).isNotNull()), self.key, self.order)
         locator = (self.read(deleted=True).select(self.key, F.col(self.partition).alias("_was"),
                                                   F.struct(*self.order).alias("_rank"))
-                   .join(newest.select(self.key), self.key, "left_semi"))
-        changed = (newest.join(locator, self.key, "left")
+                   .join(latest.select(self.key), self.key, "left_semi"))
+        changed = (latest.join(locator, self.key, "left")
                    .where(F.col("_rank").isNull() | (F.struct(*self.order) > F.col("_rank"))))
         staged_at = f"{self.root}/staging/{numbered(number)}"
         (changed.select(*columns, F.col("_rank").isNotNull().alias("_stored"), "_was")
@@ -108,7 +107,7 @@ class KeyedTable:
             F.struct(F.col("_was").alias("date"), F.col("_stored").alias("real")))).alias("t")).where("t.real").select("t.date")
         touched = sorted(self._name(r["date"]) for r in touched.distinct().collect())
         if not touched:
-            return {"version": number - 1 if before else None, "partitions": [], "changed": 0}
+            return {"version": number - 1 if last else None, "partitions": [], "changed": 0}
         kept = (self._load([before[t] for t in touched if t in before])
                 .join(staged.select(self.key), self.key, "left_anti").select(*columns))
         (kept.unionByName(staged.select(*columns))

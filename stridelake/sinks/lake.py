@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.csv import CSV_FORMAT, read_csv_text
 from ..functions.literal import literal_table
+from ..sources.files import keep_newest
+
+#: Entries that a log of published versions keeps.
+KEPT_ENTRIES = 100
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -87,9 +91,10 @@ def publish_reference(df: DataFrame, archive_prefix: str, current_path: str,
 
     Returns the archive path. The current copy is made from the archived cells
     (all text, so nothing is re-interpreted) in a directory of its own, and
-    becomes current when its name is appended to ``<current_path>/_versions``:
-    one committed file, so a reader sees the version before or the new one,
-    whole, and a failure leaves the one before.
+    becomes current when its entry ``<current_path>/_versions/<stamp>`` is
+    finished: a reader takes the newest finished entry by name, so it sees the
+    version before or the new one, whole, and a failure leaves the one before.
+    The newest ``KEPT_ENTRIES`` entries stay.
     """
     stamp = stamp or snapshot_stamp()
     archive = f"{archive_prefix}_{stamp}"
@@ -100,8 +105,9 @@ def publish_reference(df: DataFrame, archive_prefix: str, current_path: str,
         archived = archived.orderBy(F.col(order_by).try_cast(df.schema[order_by].dataType))
     current = f"{current_path.rstrip('/')}/{stamp}"
     archived.write.mode("overwrite").options(**CSV_FORMAT).csv(current)
-    (literal_table(spark, [(stamp, current)], [("stamp", "string"), ("path", "string")])
-     .write.mode("append").parquet(f"{current_path.rstrip('/')}/_versions"))
+    log = f"{current_path.rstrip('/')}/_versions"
+    literal_table(spark, [(stamp, current)], [("stamp", "string"), ("path", "string")]).coalesce(1).write.mode("overwrite").parquet(f"{log}/{stamp}")
+    keep_newest(spark, log, KEPT_ENTRIES)
     return archive
 
 

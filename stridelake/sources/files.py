@@ -23,11 +23,33 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder ``path`` has ended well."""
+    fs, at = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(at)
+
+
+def newest(spark: SparkSession, path: str, below: str | None = None) -> str | None:
+    """The greatest name under ``path`` (less than ``below``) whose write has
+    finished: one listing, and a look at the last entries only."""
+    for name in reversed(names(spark, path)):
+        if (below is None or name < below) and finished(spark, f"{path}/{name}"):
+            return name
+    return None
+
+
 def committed(spark: SparkSession, path: str) -> list[int]:
     """Numbers n of the finished writes ``<path>/v<n>``, ascending."""
     found = [n for n in names(spark, path) if n.startswith("v") and n[1:].isdigit()]
-    return sorted(int(n[1:]) for n in found if "_SUCCESS" in names(spark, f"{path}/{n}"))
+    return sorted(int(n[1:]) for n in found if finished(spark, f"{path}/{n}"))
 
 
 def numbered(number: int) -> str:
+    """Name of a numbered write; names sort as the numbers do."""
     return f"v{number:012d}"
+
+
+def keep_newest(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove all but the greatest ``keep`` names under ``path``."""
+    for name in names(spark, path)[:-keep]:
+        remove(spark, f"{path}/{name}")

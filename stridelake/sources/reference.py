@@ -7,7 +7,6 @@ typed by name with non-raising casts.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,19 +15,15 @@ from ..functions.csv import read_csv_text
 from ..functions.exprs import text_to_int
 from ..functions.literal import literal_table
 from ..operators.master import clean_employees, clean_sports
-from .files import committed, numbered
+from .files import finished, newest, numbered
 
 
 def current_files(spark: SparkSession, path: str) -> str:
-    """The newest version that ``publish_reference`` registered under ``path``
-    (one row reaches the driver); a path without versions is read as it is."""
-    try:
-        versions = spark.read.parquet(f"{path.rstrip('/')}/_versions")
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return path
-    return versions.orderBy(F.col("stamp").desc()).first()["path"]
+    """The newest version that ``publish_reference`` registered under ``path``,
+    found by name; a path without versions is read as it is."""
+    log = f"{path.rstrip('/')}/_versions"
+    last = newest(spark, log)
+    return spark.read.parquet(f"{log}/{last}").first()["path"] if last else path
 
 
 class PinnedReferences:
@@ -43,7 +38,7 @@ class PinnedReferences:
     def files(self, spark: SparkSession, batch_id: int) -> dict[str, str]:
         """Name -> files of the version pinned for the batch."""
         at = f"{self.log}/{numbered(batch_id)}"
-        if batch_id not in committed(spark, self.log):
+        if not finished(spark, at):
             rows = [(name, current_files(spark, path)) for name, path in sorted(self.references.items())]
             literal_table(spark, rows, [("name", "string"), ("path", "string")]).coalesce(1).write.mode("overwrite").parquet(at)
         return {r["name"]: r["path"] for r in spark.read.parquet(at).collect()}

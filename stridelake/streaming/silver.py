@@ -25,7 +25,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +33,9 @@ from ..operators.cdc import current_state, latest_by_key, malformed, only_valid
 from ..operators.silver import enrich
 from ..sinks import jdbc as J
 from ..sinks.keyed import KeyedTable
-from ..sinks.lake import write_log_partition
+from ..sinks.lake import KEPT_ENTRIES, write_log_partition
 from ..functions.literal import literal_table
+from ..sources.files import keep_newest, newest, numbered
 from ..sources.reference import PinnedReferences
 from ..sources.tables import ensure_table, read_table, read_table_stream
 from .control import checkpoint_for
@@ -74,7 +74,10 @@ def make_batch_writer(silver_path: str,
         # Only this batch's own directory is listed and read.
         own = spark.read.format(fmt).load(f"{silver_path.rstrip('/')}/batch_id={int(batch_id)}")
         if current_root:
-            KeyedTable(spark, current_root, own.schema, fmt=fmt).upsert(own)
+            table = KeyedTable(spark, current_root, own.schema, fmt=fmt)
+            table.upsert(own)
+            if batch_id % KEPT_ENTRIES == KEPT_ENTRIES - 1:
+                table.expire(KEPT_ENTRIES)
         if serving_jdbc:
             J.upsert(own, serving_jdbc["url"], serving_jdbc["table"], serving_jdbc["staging"],
                      ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
@@ -117,9 +120,9 @@ def compact_current(spark: SparkSession, silver_path: str, out_path: str, fmt: s
 def publish_current(spark: SparkSession, silver_path: str, current_root: str, version: int,
                     fmt: str = "parquet") -> str:
     """Write ``<current_root>/v<version>`` and then register it in
-    ``<current_root>/_versions`` (an append: one committed file, so a reader
-    sees either the previous or the new version, never a partial one). Older
-    versions stay readable until removed by retention.
+    ``<current_root>/_versions/v<version>`` (a reader takes the newest finished
+    entry by name, so it sees either the previous or the new version, never a
+    partial one). Older versions stay readable until removed by retention.
 
     Incremental: the last published version and the log batches after the one
     it reached are merged, newest change per key; the rest of the log is not
@@ -141,19 +144,15 @@ def publish_current(spark: SparkSession, silver_path: str, current_root: str, ve
     reached = max(x for x in (reached, last and last["batch_id"], -1) if x is not None)
     (literal_table(spark, [(int(version), out, int(reached))],
                    [("version", "bigint"), ("path", "string"), ("batch_id", "bigint")])
-     .write.mode("append").parquet(f"{root}/_versions"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{root}/_versions/{numbered(int(version))}"))
+    keep_newest(spark, f"{root}/_versions", KEPT_ENTRIES)
     return out
 
 
 def _last_version(spark: SparkSession, root: str):
     """The newest entry of the version log (one row), None without one."""
-    try:
-        versions = spark.read.parquet(f"{root}/_versions")
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-    return versions.orderBy(F.col("version").desc()).first()
+    last = newest(spark, f"{root}/_versions")
+    return spark.read.parquet(f"{root}/_versions/{last}").first() if last else None
 
 
 def read_current(spark: SparkSession, current_root: str, fmt: str = "parquet") -> DataFrame:
