@@ -28,12 +28,16 @@ kept, and a token's probability is the mean over them, each computed from that
 state's exact totals, so it sums to one over the vocabulary.
 
 Scale. Words are known by 64-bit hashes, so no vocabulary is ever shipped or
-collected. Chunks send each distinct (context, word) pair once to the word's
-shard; a frequent pair costs a row per chunk, a frequent context is spread over
-all shards. Context totals are summed in a second exchange whose headers also
-carry the global sums. Between sweeps only contexts with a dish of several
-customers are sent, as no other totals change. Scores return per chunk in the
-pairs' own order.
+collected. The number of shards follows the bytes of text (``shard_bytes``), not
+the session's shuffle width. Chunks send each distinct (context, word) pair once
+to the word's shard; a frequent pair costs a row per chunk, a frequent context is
+spread over all shards. Context totals are summed by groups of contexts, a group
+for every ``SHARDS_A_GROUP`` shards; a shard sends each group it has contexts of
+one block, so S shards send at most S * S / SHARDS_A_GROUP blocks an exchange.
+Hashes travel once: later exchanges send values in the order of the first one,
+which the summing groups read again. Between sweeps only contexts with a dish of
+several customers are sent, as no other totals change. Global sums go a way of
+their own, a row for each shard. Scores return per chunk in the pairs' own order.
 
 Defined cases: null text is the empty text (one end token); words unseen in
 training use the unknown share; repeated doc_id rows are scored one by one; an
@@ -49,12 +53,16 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import (BLOCK, Vocabulary, block_batch, block_table, blocks, crc_mod, group_key,
-                     pack, shard_count, small_batches, text_bytes, unpack, word_ids)
+                     pack, small_batches, text_bytes, unpack, word_ids)
 
 #: No word holds white space, so this names the end (and start) mark.
 END = b"\n"
+#: Bytes of text for each shard, and shards for each group that sums contexts.
+SHARD_BYTES = 16 << 20
+SHARDS_A_GROUP = 4
 CONTEXT_BITS = np.uint64((1 << 48) - 1)
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
@@ -150,7 +158,7 @@ class Shard:
     """A shard's restaurants, merged from its chunks' pairs. All rows of the
     same word are adjacent; pairs without training count are only asked for."""
 
-    def __init__(self, found: list[tuple[int, bytes]], shards: int):
+    def __init__(self, found: list[tuple[int, bytes]], groups: int):
         parts = [unpack(b) for _, b in found]
         self.chunks = [s for s, _ in found]
         self.sizes = [len(p["c"]) for p in parts]
@@ -173,15 +181,15 @@ class Shard:
         self.word_first = np.flatnonzero(self.new_word)
         self.word = np.cumsum(self.new_word) - 1
         self.word_count = np.add.reduceat(self.count, self.word_first)
-        #: contexts, ordered by the shard that sums them and by hash
+        #: contexts, ordered by the group that sums them and by hash
         distinct, inverse = np.unique(u, return_inverse=True)
-        owner = (distinct % np.uint64(shards)).astype(np.int64)
+        owner = (distinct % np.uint64(groups)).astype(np.int64)
         order = np.argsort(owner, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.context = rank[inverse]
         self.contexts = distinct[order]
-        self.context_cuts = np.searchsorted(owner[order], np.arange(shards + 1))
+        self.context_cuts = np.searchsorted(owner[order], np.arange(groups + 1))
 
     def by_context(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.context, weights=values, minlength=len(self.contexts)).astype(np.int64)
@@ -194,68 +202,90 @@ def first_tables(count: np.ndarray) -> np.ndarray:
     return (count > 0).astype(np.int64)
 
 
-def send_contexts(shard: Shard, key: int, shards: int, columns: dict[str, np.ndarray], header: dict,
-                  some: np.ndarray | None = None):
-    """A block to each summing shard, empty ones too: headers are summed there.
-    Of all contexts, or of those whose (rising) places are ``some``."""
-    contexts, cuts = shard.contexts, shard.context_cuts
-    if some is not None:
-        contexts, cuts = contexts[some], np.searchsorted(some, cuts)
-    out = []
-    for q in range(shards):
+def send_contexts(shard: Shard, key: int, groups: int, columns: dict[str, np.ndarray], header: dict,
+                  some: np.ndarray | None = None, hashes: bool = False):
+    """A block of values to each summing group that has some, and the header
+    to its own. Of all contexts, or of those whose (rising) places are ``some``."""
+    cuts = shard.context_cuts if some is None else np.searchsorted(some, shard.context_cuts)
+    out = [(groups, key, pack(header=header))]
+    for q in np.flatnonzero(np.diff(cuts)).tolist():
         own = slice(cuts[q], cuts[q + 1])
-        out.append((q, key, pack(u=six_bytes(contexts[own]), header=header,
-                                 **{k: v[own].astype(np.uint32 if v.max(initial=0) < 2**32 else np.int64)
-                                    for k, v in columns.items()})))
+        sent = {k: v[own].astype(np.uint32 if v.max(initial=0) < 2**32 else np.int64) for k, v in columns.items()}
+        out.append((q, key, pack(**sent, some=some is not None, **({"u": six_bytes(shard.contexts[own])} if hashes else {}))))
     return out
 
 
-def opener(shards: int):
-    """First totals: customers and distinct dishes of each context."""
+def opener(groups: int):
+    """First totals: customers and distinct dishes of each context, and whether
+    it has a dish of several customers."""
     def run(table: pa.Table) -> pa.Table:
         key = group_key(table)
         if key < 0:
             return block_table([])
-        s = Shard(blocks(table), shards)
+        s = Shard(blocks(table), groups)
         t = first_tables(s.count)
         per_word = s.by_word(t)
+        many = np.zeros(len(s.contexts), np.int64)
+        many[s.context[s.count > 1]] = 1
         header = {"N": s.count.sum(), "V": (s.word_count > 0).sum(), "pairs": t.sum(),
                   "n1": (s.count == 1).sum(), "n2": (s.count == 2).sum(),
                   "r1": (per_word == 1).sum(), "r2": (per_word == 2).sum()}
-        return block_table(send_contexts(s, key, shards, {"c": s.by_context(s.count), "t0": s.by_context(t)}, header))
+        columns = {"c": s.by_context(s.count), "t0": s.by_context(t), "many": many}
+        return block_table(send_contexts(s, key, groups, columns, header, hashes=True))
     return run
 
 
-def sum_contexts(table: pa.Table) -> pa.Table:
-    """Sums what shards sent of each context and returns the sums in their
-    order; rows that a shard keeps for itself (src -1) pass."""
-    key, found = group_key(table), blocks(table)
-    kept = [(key, -1, b) for s, b in found if s < 0]
-    found = [(s, unpack(b)) for s, b in found if s >= 0]
+def summed_values(key: int, found: list[tuple[int, dict]], contexts: dict[int, np.ndarray]):
+    """Sums what shards sent of each context; the sums in each shard's order."""
+    heads = [x["header"] for _, x in found if "header" in x]
+    whole = {k: sum(h[k] for h in heads) for k in heads[0]} if heads else {}
+    out = [(src, key, pack(header=whole)) for src, x in found if "header" in x]
+    found = [(src, x) for src, x in found if "header" not in x]
     if not found:
-        return block_table(kept)
-    contexts = [from_six_bytes(x["u"]) for _, x in found]
-    distinct, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
-    header = {k: sum(x["header"][k] for _, x in found) for k in found[0][1]["header"]}
+        return out
+    distinct, inverse = np.unique(np.concatenate([contexts[src] for src, _ in found]), return_inverse=True)
     columns = {}
     for name in found[0][1]:
-        if name not in ("u", "header"):
+        if name not in ("u", "many", "some"):
             values = np.concatenate([x[name] for _, x in found]).astype(np.float64)
             columns[name] = np.bincount(inverse, weights=values, minlength=len(distinct)).astype(np.int64)[inverse]
-    out, at = kept, 0
-    for (src, _), u in zip(found, contexts):
-        own = slice(at, at + len(u))
-        out.append((src, key, pack(header=header, **{k: v[own] for k, v in columns.items()})))
-        at += len(u)
-    return block_table(out)
+    at = 0
+    for src, _ in found:
+        own = slice(at, at + len(contexts[src]))
+        out.append((src, key, pack(**{k: v[own] for k, v in columns.items()})))
+        at += len(contexts[src])
+    return out
+
+
+def first_sums(table: pa.Table) -> pa.Table:
+    """Sums of the opening blocks, which carry the contexts' hashes."""
+    found = [(s, unpack(b)) for s, b in blocks(table)]
+    return block_table(summed_values(group_key(table), found, {s: from_six_bytes(x["u"]) for s, x in found if "u" in x}))
+
+
+def later_sums(opened: pa.Table, sent: pa.Table) -> pa.Table:
+    """Sums of values sent in the order of the opening blocks; rows that a shard
+    keeps for itself (src -1) pass."""
+    key, blocks_sent = group_key(opened, sent), blocks(sent)
+    kept = [(key, -1, b) for s, b in blocks_sent if s < 0]
+    found = [(s, unpack(b)) for s, b in blocks_sent if s >= 0]
+    some = {s: x["some"] for s, x in found if "some" in x}
+    contexts = {}
+    for s, b in blocks(opened) if some else []:
+        x = unpack(b) if s in some else {}
+        if "u" in x:
+            contexts[s] = from_six_bytes(x["u"])[x["many"] > 0] if some[s] else from_six_bytes(x["u"])
+    return block_table(kept + summed_values(key, found, contexts))
 
 
 def totals(table: pa.Table) -> tuple[dict, dict[str, np.ndarray], list[bytes]]:
     """(global sums, context columns in the shard's order, blocks kept)."""
     found = blocks(table)
     parts = [unpack(b) for s, b in found if s >= 0]
-    names = [k for k in parts[0] if k != "header"]
-    return parts[0]["header"], {k: np.concatenate([p[k] for p in parts]).astype(np.float64) for k in names}, \
+    head = next(p["header"] for p in parts if "header" in p)
+    parts = [p for p in parts if "header" not in p]
+    names = list(parts[0]) if parts else []
+    return head, {k: np.concatenate([p[k] for p in parts]).astype(np.float64) for k in names}, \
         [b for s, b in found if s < 0]
 
 
@@ -371,7 +401,7 @@ def root_weight(b: float, e: float, tables: float, v: float) -> float:
     return (b + e * tables) / (v + 1)
 
 
-def sampler(shards: int, burn: int, samples: int, moves: int, a: float, b: float, seed: int,
+def sampler(groups: int, burn: int, samples: int, moves: int, a: float, b: float, seed: int,
             start: int = 0, stop: int | None = None):
     """Sweeps ``start`` to ``stop`` (all by default) on the totals last
     exchanged; own totals are kept up to date between the sweeps of a step."""
@@ -381,7 +411,7 @@ def sampler(shards: int, burn: int, samples: int, moves: int, a: float, b: float
         key = group_key(left, right)
         if key < 0 or not left.num_rows:
             return block_table([])
-        s = Shard(blocks(left), shards)
+        s = Shard(blocks(left), groups)
         head, ctx, own = totals(right)
         t = first_tables(s.count)
         many = np.flatnonzero(s.count > 1)
@@ -393,7 +423,7 @@ def sampler(shards: int, burn: int, samples: int, moves: int, a: float, b: float
             state = unpack(own[0])
             sums, first, root_t = state["sums"], state["first"].astype(np.float64), state["root"].astype(np.int64)
             now, kept = state["now"].astype(np.int64), state["kept"]
-            t_some, root_c0, root_t0 = first + ctx["more"], head["C"], head["T"]
+            t_some, root_c0, root_t0 = first + ctx.get("more", np.zeros(0)), head["C"], head["T"]
         else:
             sums = {"N": head["N"], "V": head["V"], "d": discount_of(head["n1"], head["n2"]),
                     "e": discount_of(head["r1"], head["r2"])}
@@ -426,31 +456,29 @@ def sampler(shards: int, burn: int, samples: int, moves: int, a: float, b: float
             more = np.bincount(u_many, weights=now - 1, minlength=len(some)).astype(np.int64)
             state = pack(sums=sums, first=first.astype(np.int64), root=root_t.astype(np.uint32),
                          now=now.astype(np.uint32), kept=kept)
-            return block_table([(key, -1, state), *send_contexts(s, key, shards, {"more": more}, header, some)])
-        header = {k: v / shards for k, v in sums.items()}
+            return block_table([(key, -1, state), *send_contexts(s, key, groups, {"more": more}, header, some)])
+        header = dict(sums)
         columns = {"c": s.by_context(s.count)}
         for k in range(samples):
             t[many] = kept[f"t{k}"]
             kept[f"t{k}"] = t.astype(np.uint32)
             header |= {f"C{k}": int(t.sum()), f"T{k}": int(kept[f"r{k}"].sum())}
             columns[f"t{k}"] = s.by_context(t)
-        # every summing shard hears from each shard that exists: the mean of equals
-        header["shards"] = 1
-        return block_table([(key, -1, pack(**kept)), *send_contexts(s, key, shards, columns, header)])
+        header["shards"] = 1                        # equal sums of all shards: their mean
+        return block_table([(key, -1, pack(**kept)), *send_contexts(s, key, groups, columns, header)])
     return run
 
 
-def answerer(shards: int, samples: int, a: float, b: float):
+def answerer(groups: int, samples: int, a: float, b: float):
     """Mean predictive probability of every pair that a chunk holds."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         key = group_key(left, right)
         if key < 0 or not left.num_rows:
             return block_table([])
-        s = Shard(blocks(left), shards)
+        s = Shard(blocks(left), groups)
         head, ctx, kept = totals(right)
         kept = unpack(kept[0])
-        share = shards / head["shards"]
-        n, v, d, e = (head[k] * share for k in ("N", "V", "d", "e"))
+        n, v, d, e = (head[k] / head["shards"] for k in ("N", "V", "d", "e"))
         mean = np.zeros(len(s.count))
         for k in range(samples):
             t = kept[f"t{k}"].astype(np.int64)
@@ -490,9 +518,9 @@ def score_chunk(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def score_documents(docs: DataFrame, is_held_out: Callable[[object], bool] = crc32_holdout, *,
-                    burn: int = 4, samples: int = 3, moves: int = 4, concentration: float = 1.0,
+                    burn: int = 3, samples: int = 3, moves: int = 4, concentration: float = 1.0,
                     root_concentration: float = 1.0, chunk_tokens: int = 4_000_000,
-                    seed: int = 7) -> DataFrame:
+                    shard_bytes: int = SHARD_BYTES, seed: int = 7) -> DataFrame:
     """Learns from the documents that are not held out and scores all.
 
     ``docs`` needs ``doc_id`` and ``text``. ``score`` is the model's log10
@@ -502,16 +530,18 @@ def score_documents(docs: DataFrame, is_held_out: Callable[[object], bool] = crc
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shards = shard_count(spark)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // shard_bytes))
+    groups = -(-shards // SHARDS_A_GROUP)
     sent = docs.select(docs["doc_id"].cast("long"), docs["text"]) \
         .mapInArrow(encoder(shards, chunk_tokens, is_held_out), BLOCK)
     by_key = lambda df: df.groupBy("key")
-    first = by_key(by_key(sent).applyInArrow(opener(shards), BLOCK)).applyInArrow(sum_contexts, BLOCK)
-    summed = first
+    opened = by_key(sent).applyInArrow(opener(groups), BLOCK)
+    summed = by_key(opened).applyInArrow(first_sums, BLOCK)
     for k in range(burn + samples):
-        sweep = sampler(shards, burn, samples, moves, concentration, root_concentration, seed, k, k + 1)
+        sweep = sampler(groups, burn, samples, moves, concentration, root_concentration, seed, k, k + 1)
         seated = by_key(sent).cogroup(by_key(summed)).applyInArrow(sweep, BLOCK)
-        summed = by_key(seated).applyInArrow(sum_contexts, BLOCK)
+        summed = by_key(opened).cogroup(by_key(seated)).applyInArrow(later_sums, BLOCK)
     answers = by_key(sent).cogroup(by_key(summed)) \
-        .applyInArrow(answerer(shards, samples, concentration, root_concentration), BLOCK)
+        .applyInArrow(answerer(groups, samples, concentration, root_concentration), BLOCK)
     return by_key(sent).cogroup(by_key(answers)).applyInArrow(score_chunk, SCORES)

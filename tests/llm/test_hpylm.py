@@ -65,12 +65,18 @@ def test_draws_follow_the_distribution_that_moves_keep(c):
         assert np.abs(got[1:] - exact / exact.sum()).max() < 0.015
 
 
+def groups(tables):
+    table = pa.concat_tables(tables)
+    return {k: table.filter(pc.equal(table["key"], k)) for k in sorted(set(table["key"].to_pylist()))}
+
+
+def summed(opened, seated):
+    return groups([H.later_sums(opened.get(k, H.block_table([])), g) for k, g in seated.items()])
+
+
 def flow(docs, shards, samples=2, chunk_tokens=50):
     """The operator's steps without Spark; {(word, context): probability}."""
-    def groups(tables):
-        table = pa.concat_tables(tables)
-        return {k: table.filter(pc.equal(table["key"], k)) for k in sorted(set(table["key"].to_pylist()))}
-
+    parts = -(-shards // 2)                                   # groups that sum contexts
     batch = pa.record_batch([pa.array([i for i, _, _ in docs]), pa.array([t for _, t, _ in docs])], ["doc_id", "text"])
     held = {i: h for i, _, h in docs}
     with mock.patch.object(H, "TaskContext") as context:
@@ -78,15 +84,16 @@ def flow(docs, shards, samples=2, chunk_tokens=50):
         sent = groups([pa.Table.from_batches([b])
                        for b in H.encoder(shards, chunk_tokens, held.get)([batch])])
     empty = H.block_table([])
-    first = groups([H.sum_contexts(g) for g in groups([H.opener(shards)(g) for g in sent.values()]).values()])
-    seat = H.sampler(shards, 2, samples, 3, 1.0, 1.0, 5)
-    final = groups([H.sum_contexts(g) for g in groups([seat(g, first.get(k, empty)) for k, g in sent.items()]).values()])
-    answer = H.answerer(shards, samples, 1.0, 1.0)
+    opened = groups([H.opener(parts)(g) for g in sent.values()])
+    first = groups([H.first_sums(g) for g in opened.values()])
+    seat = H.sampler(parts, 2, samples, 3, 1.0, 1.0, 5)
+    final = summed(opened, groups([seat(g, first.get(k, empty)) for k, g in sent.items()]))
+    answer = H.answerer(parts, samples, 1.0, 1.0)
     out = {}
     for k, g in sent.items():
         if k < 0:
             continue
-        s = H.Shard(H.blocks(g), shards)
+        s = H.Shard(H.blocks(g), parts)
         replies = answer(g, final[k])
         logs = np.concatenate([H.unpack(b)["log"] for b in replies["blob"].to_pylist()])
         words = np.concatenate([np.repeat(H.unpack(b)["w"], H.unpack(b)["n"]) for _, b in H.blocks(g)])
@@ -116,21 +123,21 @@ def test_tables_do_not_depend_on_the_number_of_shards():
     texts = [" ".join(f"w{x}" for x in rng.choice(300, 400, p=share / share.sum())) for _ in range(60)]
     batch = pa.record_batch([pa.array(range(60)), pa.array(texts)], ["doc_id", "text"])
 
-    def groups(tables):
-        table = pa.concat_tables(tables)
-        return {k: table.filter(pc.equal(table["key"], k)) for k in sorted(set(table["key"].to_pylist()))}
-
     tables = {}
-    for shards in (1, 8):
+    for shards, parts in ((1, 1), (8, 2)):
         with mock.patch.object(H, "TaskContext") as context:
             context.get.return_value.partitionId.return_value = 0
             sent = groups([pa.Table.from_batches([b]) for b in H.encoder(shards, 5000, lambda i: False)([batch])])
-        state = groups([H.sum_contexts(g) for g in groups([H.opener(shards)(g) for g in sent.values()]).values()])
+        opened = groups([H.opener(parts)(g) for g in sent.values()])
+        state = groups([H.first_sums(g) for g in opened.values()])
         for k in range(7):
-            sweep = H.sampler(shards, 4, 3, 4, 1.0, 1.0, 7, k, k + 1)
+            sweep = H.sampler(parts, 4, 3, 4, 1.0, 1.0, 7, k, k + 1)
             seated = [sweep(g, state.get(key, H.block_table([]))) for key, g in sent.items()]
-            state = groups([H.sum_contexts(g) for g in groups(seated).values()])
-        tables[shards] = next(H.unpack(b)["header"]["C2"] for g in state.values() for src, b in H.blocks(g) if src >= 0)
+            sent_back = groups(seated)
+            assert sum(g.num_rows for g in seated) <= shards * (parts + 2)      # no block for a group without contexts
+            state = summed(opened, sent_back)
+        tables[shards] = next(x["header"]["C2"] for g in state.values() for src, b in H.blocks(g) if src >= 0
+                              for x in [H.unpack(b)] if "header" in x)
     assert tables[8] == pytest.approx(tables[1], rel=0.03)
 
 
@@ -164,17 +171,40 @@ def test_shards_exchange_totals_between_sweeps(spark):
             words.append(f"w{at}")
         rows.append((i, " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
-    before, mean = spark.conf.get("spark.sql.shuffle.partitions"), {}
-    try:
-        for shards in (1, 8):
-            spark.conf.set("spark.sql.shuffle.partitions", shards)
-            got = H.score_documents(docs, chunk_tokens=8000).collect()
-            mean[shards] = sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-        docs.unpersist()
+    size, mean = sum(len(t) for _, t in rows), {}
+    for shards in (1, 8):
+        got = H.score_documents(docs, chunk_tokens=8000, shard_bytes=-(-size // shards)).collect()
+        mean[shards] = sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got)
+    docs.unpersist()
     assert abs(mean[8] - mean[1]) < 0.0015
 
 
+def test_values_are_summed_without_their_hashes():
+    """Later exchanges send values alone, in the order of the opening blocks."""
+    rng = np.random.default_rng(1)
+    batch = pa.record_batch([pa.array(range(30)), pa.array([" ".join(f"w{x}" for x in rng.integers(0, 60, 40)) for _ in range(30)])], ["doc_id", "text"])
+    with mock.patch.object(H, "TaskContext") as context:
+        context.get.return_value.partitionId.return_value = 0
+        sent = groups([pa.Table.from_batches([b]) for b in H.encoder(3, 300, lambda i: False)([batch])])
+    opened = groups([H.opener(2)(g) for g in sent.values()])
+    shards = {k: H.Shard(H.blocks(g), 2) for k, g in sent.items() if k >= 0}
+    values = {k: rng.integers(0, 9, len(s.contexts)) for k, s in shards.items()}
+    whole = Counter()
+    for k, s in shards.items():
+        some = np.flatnonzero(np.bincount(s.context, weights=s.count > 1, minlength=len(s.contexts)))
+        whole.update(dict(zip(s.contexts[some].tolist(), values[k][some].tolist())) if not whole else {})
+        if k != min(shards):
+            for u, x in zip(s.contexts[some].tolist(), values[k][some].tolist()):
+                whole[u] += x
+    sends = [H.block_table(H.send_contexts(s, k, 2, {"more": values[k][f]}, {"C": 1}, f)) for k, s in shards.items()
+             for f in [np.flatnonzero(np.bincount(s.context, weights=s.count > 1, minlength=len(s.contexts)))]]
+    assert all("u" not in H.unpack(b) for t in sends for b in t["blob"].to_pylist())
+    back = summed(opened, groups(sends))
+    for k, s in shards.items():
+        head, ctx, _ = H.totals(back[k])
+        some = np.flatnonzero(np.bincount(s.context, weights=s.count > 1, minlength=len(s.contexts)))
+        assert head == {"C": 3} and ctx["more"].tolist() == [whole[u] for u in s.contexts[some].tolist()]
+
+
 def test_empty_table(spark):
     assert H.score_documents(documents_frame(spark).limit(0)).count() == 0
