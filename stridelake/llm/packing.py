@@ -193,13 +193,24 @@ class Lengths:
                 rest &= ~(1 << j)
             bits &= bits - 1
 
-    def complement(self, gap: int, used: dict[int, int], tries: int = 64) -> tuple[int, ...] | None:
-        """One, two or three lengths that fill the gap, on top of those used."""
-        for kind in (self.singles, self.pairs, self.triples):
-            for _, found in zip(range(tries), kind(gap)):
-                if self.has(found, used):
-                    return found
-        return None
+    def complement(self, gap: int, used: dict[int, int]) -> tuple[int, ...] | None:
+        """One, two or three lengths that fill the gap, on top of those used;
+        None only if there are none. Lengths that are used up are masked, so
+        only combinations that need a length twice can still fail: two at most
+        for each length."""
+        bits, turned = self.bits, self.turned
+        for k, n in used.items():
+            if self.count.get(k, 0) <= n:
+                self.bits &= ~(1 << k)
+                self.turned &= ~(1 << (self.capacity - k))
+        try:
+            for kind in (self.singles, self.pairs, self.triples):
+                for found in kind(gap):
+                    if self.has(found, used):
+                        return found
+            return None
+        finally:
+            self.bits, self.turned = bits, turned
 
 
 def tally(parts) -> dict[int, int]:

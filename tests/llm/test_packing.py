@@ -101,3 +101,34 @@ def test_operator(spark, capacity):
 
 def test_empty_table(spark):
     assert K.pack_documents(documents_frame(spark).limit(0)).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 3), max_size=25), st.integers(1, 40),
+       st.lists(st.integers(1, 40), max_size=4))
+def test_a_gap_is_filled_whenever_it_can_be(counts, gap, taken):
+    """Against every combination of one, two or three lengths."""
+    from itertools import combinations_with_replacement
+
+    used = {}
+    for k in taken:
+        if used.get(k, 0) < counts.get(k, 0):
+            used[k] = used.get(k, 0) + 1
+    lengths = K.Lengths(counts, 40)
+    before = lengths.bits, lengths.turned
+    found = lengths.complement(gap, used)
+
+    def fits(c):
+        return sum(c) == gap and all(counts.get(k, 0) - used.get(k, 0) >= c.count(k) for k in c)
+
+    possible = [c for n in (1, 2, 3) for c in combinations_with_replacement(sorted(counts), n) if fits(c)]
+    assert (found is None) == (not possible) and (found is None or fits(found))
+    assert found is None or len(found) == min(map(len, possible))
+    assert (lengths.bits, lengths.turned) == before
+
+
+def test_many_lengths_that_are_used_up():
+    """Hundreds of combinations fail before the one that fits."""
+    counts = {k: 1 for k in range(100, 900)} | {1500: 1}
+    used = {k: 1 for k in range(100, 900) if k not in (433, 299)}
+    assert K.Lengths(counts, 2048).complement(433 + 299, used) == (433, 299)
