@@ -31,6 +31,8 @@ from .common import Vocabulary, crc_mod, mix64, sample_rows, small_batches, word
 
 BUCKETS = 1 << 12
 GRAMS = (1, 2, 3)
+#: Share of the first language's weight that makes the second one a rival.
+AMBIGUITY = 0.8
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
 RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                           ("score", pa.float64()), ("ambiguous", pa.bool_())])
@@ -170,18 +172,21 @@ def predictor(model: Model | None, max_words: int, ambiguity: float, fold: int):
 def training_rows(docs: DataFrame, may_learn: Column, per_language: int, max_languages: int) -> DataFrame:
     rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull()) \
         .select("lang", F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if rows.select("lang").distinct().limit(max_languages + 1).count() > max_languages:
+        raise ValueError(f"more than {max_languages} languages; raise max_languages")
     keys = sample_rows(rows.select("lang", "doc_id"), "lang", per_language, max_languages, 17)
     return rows.join(F.broadcast(keys.distinct()), ["lang", "doc_id"])
 
 
 def train(docs: DataFrame, may_learn: Column, *, per_language: int = 300, max_languages: int = 200) -> Model | None:
-    """A model from about ``per_language`` documents of each language."""
+    """A model from about ``per_language`` documents of each language; more
+    languages than ``max_languages``, which bounds the sample, are an error."""
     found = training_rows(docs, may_learn, per_language, max_languages).select("lang", "text").collect()
     found.sort(key=lambda r: (r["lang"], r["text"]))
     return Model([r["text"] for r in found], [r["lang"] for r in found]) if found else None
 
 
-def identify(docs: DataFrame, model: Model | None, *, ambiguity: float = 0.5, max_words: int = 2_000_000,
+def identify(docs: DataFrame, model: Model | None, *, ambiguity: float = AMBIGUITY, max_words: int = 2_000_000,
              fold: int = 4) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, ambiguous`` of every document;
     ambiguous: the second language has over ``ambiguity`` of the first's share."""
@@ -203,7 +208,7 @@ def accepter(model: Model | None, names: list[str], at: int, max_words: int, amb
     return run
 
 
-def with_known_language(docs: DataFrame, model: Model | None, *, ambiguity: float = 0.8) -> DataFrame:
+def with_known_language(docs: DataFrame, model: Model | None, *, ambiguity: float = AMBIGUITY) -> DataFrame:
     """The documents whose language is neither unknown nor ambiguous."""
     small_batches(docs.sparkSession)
     return docs.mapInArrow(accepter(model, docs.columns, docs.columns.index("text"), 2_000_000, ambiguity), docs.schema)

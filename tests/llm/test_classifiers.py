@@ -63,6 +63,14 @@ def test_language_of_held_out_documents(spark):
     assert kept.count() == len(clear)
 
 
+def test_more_languages_than_the_model_may_have(spark):
+    rows = [(i, f"word{i % 7} text", f"l{i % 7}") for i in range(28)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="max_languages"):
+        langid.train(docs, F.lit(True), max_languages=6)
+    assert len(langid.train(docs, F.lit(True), max_languages=7).langs) == 7
+
+
 def test_language_without_labels(spark):
     hard = documents_frame(spark)
     model = langid.train(hard, F.lit(False))
