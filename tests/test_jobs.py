@@ -158,3 +158,34 @@ def test_snapshots_job_on_landing(spark, tmp):
     current = spark.read.option("header", True).csv(
         current_files(spark, os.path.join(cur, "company", "employees.csv")))
     assert current.count() == A.employees(spark, SF).count()
+
+
+def test_bronze_and_silver_jobs_with_state(spark, tmp):
+    """The jobs' options: records once, unknown fields, malformed records aside,
+    pinned references, a keyed current table."""
+    import json
+
+    from stridelake.sources.cdc import write_landing
+    from stridelake.sinks.keyed import KeyedTable
+    from stridelake.sources.files import names
+
+    landing = os.path.join(tmp, "landing")
+    payload = {"activity_id": 1, "employee_id": 1, "start_at": "2024-01-01T10:00:00Z", "end_at": "2024-01-01T10:45:00Z",
+               "sport_type": "Running", "distance_m": 5000.0, "source": "live", "__op": "c", "__source_ts_ms": 1000, "mood": "good"}
+    good = json.dumps({"payload": payload})
+    rows = [(good, "raw.activities", 0, 1, "2024-01-01 10:00:00")] * 2 + [("{bad", "raw.activities", 0, 2, "2024-01-01 10:00:01")]
+    df = spark.createDataFrame(rows, "value string, topic string, partition int, offset long, timestamp string")
+    write_landing(df.withColumn("timestamp", df["timestamp"].cast("timestamp")), landing)
+    bronze, silver, current = (os.path.join(tmp, x) for x in ("bronze", "silver", "current"))
+    jobs.run(["bronze", "--source", "landing", "--landing", landing, "--bronze", bronze, "--checkpoint", f"{tmp}/ck_b",
+         "--available-now", "--once-within", "1 hour", "--keep-unknown"], stop=False)
+    assert sorted((r.kafka_offset, r.unknown_fields) for r in spark.read.parquet(bronze).collect()) == [(1, '{"mood":"good"}'), (2, None)]
+    emp, spo = f"{tmp}/emp.csv", f"{tmp}/spo.csv"
+    _csv(emp, "employee_id,first_name,last_name,business_unit,contract_type,annual_gross_salary", ["1,Ana,Lopez,R&D,CDI,30000"])
+    _csv(spo, "employee_id,sport", ["1,Judo"])
+    jobs.run(["silver", "--bronze", bronze, "--silver", silver, "--employees-csv", emp, "--sports-csv", spo, "--checkpoint", f"{tmp}/ck_s",
+         "--available-now", "--version-log", f"{tmp}/pins", "--current", current], stop=False)
+    assert spark.read.parquet(silver).count() == 1 and spark.read.parquet(f"{silver}_malformed").count() == 1
+    assert len(names(spark, f"{tmp}/pins")) >= 1
+    table = KeyedTable(spark, current, spark.read.parquet(silver).drop("batch_id").schema)
+    assert [(r.activity_id, r.last_name) for r in table.read().collect()] == [(1, "Lopez")]
