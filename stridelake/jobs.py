@@ -102,6 +102,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     p.add_argument("--version-log", help="pin the reference versions of each batch here")
     p.add_argument("--current", help="keyed table of the current state, merged batch by batch")
     jdbc_args(p); p.add_argument("--serving-table"); p.add_argument("--staging-table")
+    p.add_argument("--serving-versions", action="store_true", help="the serving table holds the order columns")
 
     p = sub.add_parser("notify"); stream_args(p)
     p.add_argument("--topic", default="raw.activities")
@@ -120,6 +121,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     p = sub.add_parser("export-bi"); p.add_argument("--silver", required=True); p.add_argument("--out", required=True)
     p = sub.add_parser("backfill"); p.add_argument("--silver", required=True)
     jdbc_args(p, True); p.add_argument("--table", required=True); p.add_argument("--staging-table", required=True)
+    p.add_argument("--serving-versions", action="store_true", help="the table holds the order columns")
     p = sub.add_parser("compact-current"); p.add_argument("--silver", required=True); p.add_argument("--out", required=True)
     p.add_argument("--version", type=int, help="publish as <out>/v<version> and register it in <out>/_versions")
 
@@ -158,7 +160,7 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
         serving = None
         if args.jdbc_url:
             serving = {"url": args.jdbc_url, "table": args.serving_table, "staging": args.staging_table,
-                       "props": _jdbc_props(args)}
+                       "props": _jdbc_props(args), "versions": args.serving_versions}
         pinned = PinnedReferences(args.version_log, {"employees": args.employees_csv, "sports": args.sports_csv}) \
             if args.version_log else None
         start_silver(spark, args.bronze, args.silver, args.checkpoint,
@@ -192,10 +194,8 @@ def run(argv: list[str] | None = None, stop: bool = True) -> None:
     elif args.job == "export-bi":
         L.export_bi_csv(read_table(spark, args.silver, fmt), args.out)
     elif args.job == "backfill":
-        from . import schemas as S
-        n = J.upsert(read_table(spark, args.silver, fmt), args.jdbc_url, args.table, args.staging_table,
-                     ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
-                     columns=S.SERVING_COLUMNS, props=_jdbc_props(args), op="__op")
+        n = J.upsert_serving(read_table(spark, args.silver, fmt), args.jdbc_url, args.table, args.staging_table,
+                             args.serving_versions, _jdbc_props(args))
         print(f"{n} Silver rows upserted into {args.table}")
     elif args.job == "compact-current":
         if args.version is not None:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..operators.cdc import latest_by_key
 
 
@@ -23,6 +24,23 @@ OP_COLUMN = "change_op"
 MAX_CONNECTIONS = 32
 
 
+#: The order columns under names that any database takes, for serving tables
+#: that hold the version of each row.
+VERSION_COLUMNS = {"__source_ts_ms": "source_ts_ms", "kafka_partition": "kafka_partition", "kafka_offset": "kafka_offset"}
+
+
+def upsert_serving(silver: DataFrame, url: str, target: str, staging: str, versions: bool = False,
+                   props: dict[str, str] | None = None, probe_query: str = "SELECT 1 AS ok") -> int:
+    """SNK-4 for the serving projection of Silver rows. ``versions``: target and
+    staging hold the order columns (``VERSION_COLUMNS``) after the published
+    ones, so that an older change that comes in a later batch changes nothing. (A
+    deleted row leaves the target with its version: a still older change of it
+    would insert it again; ``sinks.keyed`` keeps deleted keys.)"""
+    order = list(VERSION_COLUMNS.values())
+    return upsert(silver.withColumnsRenamed(VERSION_COLUMNS), url, target, staging, ["activity_id"], order=order,
+                  columns=[*S.SERVING_COLUMNS, *order * versions], props=props, op="__op", probe_query=probe_query)
+
+
 def _writer(df: DataFrame, url: str, table: str, props: dict[str, str] | None, connections: int = MAX_CONNECTIONS):
     # A shuffle, not a coalesce: the stage that computes the rows keeps its
     # tasks, only the writing is bounded.

@@ -79,10 +79,9 @@ def make_batch_writer(silver_path: str,
             if batch_id % KEPT_ENTRIES == KEPT_ENTRIES - 1:
                 table.expire(KEPT_ENTRIES)
         if serving_jdbc:
-            J.upsert(own, serving_jdbc["url"], serving_jdbc["table"], serving_jdbc["staging"],
-                     ["activity_id"], order=["__source_ts_ms", "kafka_partition", "kafka_offset"],
-                     columns=S.SERVING_COLUMNS, props=serving_jdbc.get("props"), op="__op",
-                     probe_query=serving_jdbc.get("probe_query", "SELECT 1 AS ok"))
+            J.upsert_serving(own, serving_jdbc["url"], serving_jdbc["table"], serving_jdbc["staging"],
+                             serving_jdbc.get("versions", False), serving_jdbc.get("props"),
+                             serving_jdbc.get("probe_query", "SELECT 1 AS ok"))
     return write_batch
 
 

@@ -144,6 +144,24 @@ def test_an_older_change_of_a_later_batch_does_not_win():
     assert "s.ts > t.ts" not in plain
 
 
+@pytest.mark.parametrize("versions", [False, True])
+def test_serving_rows_carry_their_version(spark, monkeypatch, versions):
+    """What is staged and merged, without a database."""
+    from stridelake import schemas as S
+
+    seen = {}
+    monkeypatch.setattr(J, "write_staging", lambda df, url, table, props=None: (seen.update(rows=df.collect(), columns=df.columns)))
+    monkeypatch.setattr(J, "execute", lambda spark, url, statement, props=None, probe_query="": seen.update(sql=statement))
+    rows = [(1, "c", 5, 0, 1), (1, "u", 6, 0, 2), (2, "d", 7, 0, 3)]
+    silver = spark.createDataFrame(rows, "activity_id long, __op string, __source_ts_ms long, kafka_partition int, kafka_offset long")
+    silver = silver.select("*", *[F.lit(None).cast("string").alias(c) for c in S.SERVING_COLUMNS if c != "activity_id"])
+    assert J.upsert_serving(silver, "jdbc:none", "target", "staging", versions) == 2
+    order = ["source_ts_ms", "kafka_partition", "kafka_offset"] if versions else []
+    assert seen["columns"] == [*S.SERVING_COLUMNS, *order, J.OP_COLUMN]
+    assert sorted((r.activity_id, r[J.OP_COLUMN]) for r in seen["rows"]) == [(1, "u"), (2, "d")]
+    assert ("s.source_ts_ms > t.source_ts_ms" in seen["sql"]) == versions
+
+
 def test_writing_does_not_narrow_the_stage_before_it(spark):
     seen = J._writer(spark.range(0, 1000, 1, 64), "jdbc:none", "t", None, connections=4)._df
     plan = seen._jdf.queryExecution().executedPlan().toString()
