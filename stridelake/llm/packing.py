@@ -48,7 +48,7 @@ PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start
 #: space follows it.
 UNSAFE = re.compile(r" (?:\s|\Z)")
 #: Fragments a worker remembers; then it starts afresh.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 
 
 # --- tokens ------------------------------------------------------------------
