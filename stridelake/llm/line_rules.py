@@ -7,11 +7,15 @@ removed from every document that has them, and a document is rejected when too
 little of it is left or when it fails the base rules (too few words, or too
 many of them in repeated 8-word windows).
 
-Scale. A chunk sends each distinct (host, line, text) once to the line's shard,
-as a hash and a 32-bit text mark, so a line that every document has costs a row
-for each document once and no group is ever a host. Counts come back in the
-chunk's own order. Lines are hashes throughout; texts move only when the
-cleaned texts are asked for.
+Scale. Whether a line is common needs no more than ``max_documents + 1``
+different texts that have it, so that many 64-bit text marks, the smallest, are
+all that any step passes on for a line. A chunk sends its lines to their shard,
+where chunks are dealt to buckets; a bucket merges what its chunks sent, and a
+shard's total merges its buckets. With C chunks there are about sqrt(C) buckets,
+so a line that every document has brings sqrt(C) times the limit of marks to a
+group, never one for each document, and no group is ever a host. Verdicts go
+back the same way, in the chunk's own order. Lines are hashes throughout; texts
+move only when the cleaned texts are asked for.
 
 Defined cases: null text has no words and fails the base rules; a null host is
 a host; repeated rows are judged one by one but count as one text; blank lines
@@ -20,6 +24,8 @@ count for nothing; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -73,6 +79,17 @@ def repeated_words(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.bincount(doc[mask], minlength=len(starts))
 
 
+def fewest(line: np.ndarray, mark: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (line, mark) pairs by line, of each line the ``most`` smallest marks."""
+    order = np.lexsort((mark, line))
+    line, mark = line[order], mark[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (mark[1:] != mark[:-1])
+    line, mark = line[new], mark[new]
+    keep = np.arange(len(line)) - np.searchsorted(line, line) < most
+    return line[keep], mark[keep]
+
+
 class Chunk:
     """Collects documents until they are sent."""
 
@@ -88,7 +105,7 @@ class Chunk:
         self.size += len(raw) + 64
         self.ids.append(doc_id)
         self.texts.append(raw)
-        self.marks.append(xxhash.xxh32_intdigest(raw, 1))
+        self.marks.append(xxhash.xxh64_intdigest(raw, 1))
         self.stats.append((len(words), *line_counts(text or "")))
         self.sequences.append(word_ids(self.words, words).astype(np.int32))
         salt = xxhash.xxh64_intdigest(b"\0" if host is None else b"\1" + host.encode())
@@ -100,7 +117,7 @@ class Chunk:
         self.doc_lines.append(np.array(lines, np.int64))
         self.line_words.append(np.array(counts, np.int32))
 
-    def send(self, chunk: int, shards: int, with_text: bool) -> list[tuple[int, int, bytes]]:
+    def send(self, chunk: int, shards: int, buckets: int, most: int, with_text: bool) -> list[tuple[int, int, bytes]]:
         lengths = np.array([len(s) for s in self.sequences], np.int64)
         repeats = repeated_words(np.concatenate(self.sequences), np.cumsum(lengths) - lengths)
         hashes = np.fromiter(self.lines, np.uint64, len(self.lines))
@@ -110,18 +127,20 @@ class Chunk:
         rank[order], rank[-1] = np.arange(len(order)), -1
         n_lines = np.array([len(x) for x in self.doc_lines], np.int64)
         line = rank[np.concatenate(self.doc_lines)]
-        mark = np.repeat(np.array(self.marks, np.int64), n_lines)
+        mark = np.repeat(np.array(self.marks, np.uint64), n_lines)
         real = line >= 0
-        seen = np.unique((line[real] << 32) | mark[real])
+        owner, mark = fewest(line[real], mark[real], most)
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-        pair_cuts = np.searchsorted(seen >> 32, cuts)
+        pair_cuts = np.searchsorted(owner, cuts)
+        bucket = int(mix64(np.array([chunk], np.uint64))[0]) % buckets
         out = []
         for p in range(shards):
             a, b = cuts[p], cuts[p + 1]
             if a < b:
-                own = seen[pair_cuts[p]:pair_cuts[p + 1]]
-                out.append((p, chunk, pack(lines=hashes[order[a:b]], texts=(own & 0xFFFFFFFF).astype(np.uint32),
-                                           n=np.bincount((own >> 32) - a, minlength=b - a).astype(np.uint32))))
+                own = slice(pair_cuts[p], pair_cuts[p + 1])
+                out.append((p * buckets + bucket, chunk, pack(
+                    lines=hashes[order[a:b]], texts=mark[own],
+                    n=np.bincount(owner[own] - a, minlength=b - a).astype(np.uint32))))
         out.append((-1 - chunk, -2, pack(
             ids=self.ids, stats=np.array(self.stats, np.int64), repeats=repeats, n_lines=n_lines,
             line=line.astype(np.int32), words=np.concatenate(self.line_words),
@@ -129,45 +148,71 @@ class Chunk:
         return out
 
 
-def sender(shards: int, chunk_bytes: int, with_text: bool):
+def sender(shards: int, buckets: int, most: int, chunk_bytes: int, with_text: bool):
     def run(batches):
         base, seq, chunk = TaskContext.get().partitionId() << 24, 0, Chunk()
         for batch in batches:
             for doc_id, host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 chunk.add(doc_id, host, text.as_py())
                 if chunk.size >= chunk_bytes:
-                    yield block_batch(chunk.send(base + seq, shards, with_text))
+                    yield block_batch(chunk.send(base + seq, shards, buckets, most, with_text))
                     seq, chunk = seq + 1, Chunk()
         if chunk.ids:
-            yield block_batch(chunk.send(base + seq, shards, with_text))
+            yield block_batch(chunk.send(base + seq, shards, buckets, most, with_text))
     return run
 
 
-def count_texts(table: pa.Table) -> pa.Table:
-    """For each line that a chunk sent, the distinct texts that have it anywhere."""
-    key = group_key(table)
+def merged(parts: list[dict], most: int):
+    """(lines of all parts, line of each part's entries, owners and marks)."""
+    lines, line = np.unique(np.concatenate([x["lines"] for x in parts]), return_inverse=True)
+    owner = np.repeat(line, np.concatenate([x["n"] for x in parts]))
+    return lines, line, *fewest(owner, np.concatenate([x["texts"] for x in parts]), most)
+
+
+def merger(shards: int, buckets: int, most: int):
+    """A bucket's lines, each with its fewest marks, sent to the shard's total."""
+    def run(table: pa.Table) -> pa.Table:
+        key = group_key(table)
+        if key < 0:
+            return block_table([])
+        lines, _, owner, mark = merged([unpack(b) for _, b in blocks(table)], most)
+        n = np.bincount(owner, minlength=len(lines)).astype(np.uint32)
+        return block_table([(shards * buckets + key // buckets, key, pack(lines=lines, texts=mark, n=n))])
+    return run
+
+
+def total(limit: int):
+    """For each bucket's lines, whether more than ``limit`` texts have them."""
+    def run(table: pa.Table) -> pa.Table:
+        sources, blobs = zip(*blocks(table))
+        parts = [unpack(b) for b in blobs]
+        lines, line, owner, _ = merged(parts, limit + 1)
+        common = (np.bincount(owner, minlength=len(lines)) > limit)[line]
+        ends = np.cumsum([len(x["lines"]) for x in parts])[:-1]
+        return block_table([(bucket, bucket, pack(common=c)) for bucket, c in zip(sources, np.split(common, ends))])
+    return run
+
+
+def tell_chunks(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A bucket's verdicts, to each of its chunks in the chunk's order."""
+    key = group_key(left, right)
     if key < 0:
         return block_table([])
-    parts = [(s, unpack(b)) for s, b in blocks(table)]
-    lines, line = np.unique(np.concatenate([x["lines"] for _, x in parts]), return_inverse=True)
-    pair = np.repeat(line, np.concatenate([x["n"] for _, x in parts])) << 32
-    pair |= np.concatenate([x["texts"] for _, x in parts]).astype(np.int64)
-    count = np.bincount(np.unique(pair) >> 32, minlength=len(lines)).astype(np.uint32)
-    out, at = [], 0
-    for chunk, x in parts:
-        out.append((-1 - chunk, key, pack(count=count[line[at:at + len(x["lines"])]])))
-        at += len(x["lines"])
-    return block_table(out)
-
-
-def judge(max_documents: int, min_left: float, min_words: int, max_repeat_percent: int):
+    parts = [(chunk, unpack(b)["lines"]) for chunk, b in blocks(left)]
+    line = np.unique(np.concatenate([x for _, x in parts]), return_inverse=True)[1]
+    common = unpack(blocks(right)[0][1])["common"][line]
+    ends = np.cumsum([len(x) for _, x in parts])[:-1]
+    return block_table([(-1 - chunk, key, pack(common=c)) for (chunk, _), c in zip(parts, np.split(common, ends))])
+
+
+def judge(min_left: float, min_words: int, max_repeat_percent: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         key = group_key(left, right)
         if key >= 0 or not left.num_rows:
             return block_result([])
         own = unpack(blocks(left)[0][1])
-        counts = [unpack(b)["count"] for _, b in blocks(right)]
-        common = np.append(np.concatenate([*counts, np.zeros(0, np.uint32)]) > max_documents, False)
+        told = [unpack(b)["common"] for _, b in blocks(right)]
+        common = np.concatenate([*told, np.zeros(1, bool)])
         gone = common[own["line"]]  # -1, a blank line, reads the last entry
         doc = np.repeat(np.arange(len(own["ids"])), own["n_lines"])
         removed = np.bincount(doc, weights=gone, minlength=len(own["ids"])).astype(np.int64)
@@ -205,13 +250,17 @@ def apply_line_rules(docs: DataFrame, *, host: str = "source", max_documents: in
     ``max_documents`` texts of its host have."""
     spark = docs.sparkSession
     small_batches(spark)
-    shards = shard_count(spark)
+    shards, most = shard_count(spark), max_documents + 1
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + isqrt(size // chunk_bytes)
     by_key = lambda df: df.groupBy("key")
     sent = docs.select(docs["doc_id"].cast("long"), docs[host].cast("string"), docs["text"]) \
-        .mapInArrow(sender(shards, chunk_bytes, with_text), BLOCK)
-    counts = by_key(sent).applyInArrow(count_texts, BLOCK)
-    found = by_key(sent).cogroup(by_key(counts)) \
-        .applyInArrow(judge(max_documents, min_left, min_words, max_repeat_percent), RESULT)
+        .mapInArrow(sender(shards, buckets, most, chunk_bytes, with_text), BLOCK)
+    merged_lines = by_key(sent).applyInArrow(merger(shards, buckets, most), BLOCK)
+    totals = by_key(merged_lines).applyInArrow(total(max_documents), BLOCK)
+    told = by_key(sent).cogroup(by_key(totals)).applyInArrow(tell_chunks, BLOCK)
+    found = by_key(sent).cogroup(by_key(told)) \
+        .applyInArrow(judge(min_left, min_words, max_repeat_percent), RESULT)
     return found if with_text else found.drop("clean_text")
 
 

@@ -70,6 +70,38 @@ def test_copies_are_one_text(spark):
     assert all(r["kept"] for r in L.apply_line_rules(docs, max_documents=10).collect())
 
 
+def test_a_line_of_a_third_of_all_documents_stays_small_everywhere():
+    chunks, buckets, most = 60, 8, 6
+    sent = []
+    for c in range(chunks):
+        chunk = L.Chunk()
+        for i in range(30):
+            chunk.add(i, "h", ("the shared line\n" if i % 3 == 0 else "") + f"own words {chr(97 + c % 26)} {i * 'x'}z{c * 'y'}")
+        sent += [r for r in chunk.send(c, 1, buckets, most, False) if r[0] >= 0]
+    groups = {}
+    for key, src, blob in sent:
+        assert L.unpack(blob)["n"].max() <= most  # ten texts of each chunk have the line
+        groups.setdefault(key, []).append((key, src, blob))
+    assert 1 < len(groups) <= buckets and max(map(len, groups.values())) < chunks / 2
+    up = [tuple(r.values()) for g in groups.values()
+          for r in L.merger(1, buckets, most)(L.block_table(g)).to_pylist()]
+    assert {k for k, _, _ in up} == {buckets} and len(up) == len(groups)
+    assert all(L.unpack(b)["n"].max() <= most for _, _, b in up)
+    down = L.total(most - 1)(L.block_table(up)).to_pylist()
+    assert all(L.unpack(r["blob"])["common"].sum() == 1 for r in down)
+    for r in down:
+        told = L.tell_chunks(L.block_table(groups[r["key"]]), L.block_table([tuple(r.values())])).to_pylist()
+        assert len(told) == len(groups[r["key"]]) and all(L.unpack(x["blob"])["common"].sum() == 1 for x in told)
+
+
+def test_limit_is_exact_across_chunks(spark):
+    for texts, common in ((7, 0), (8, 1)):
+        rows = [(i, f"the same line here\n{chr(97 + i % texts) * 40}", "h") for i in range(3 * texts)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = L.apply_line_rules(docs, max_documents=7, chunk_bytes=100).collect()
+        assert {r["n_common_lines"] for r in got} == {common} and len(got) == 3 * texts
+
+
 def test_columns_and_empty_table(spark):
     docs = documents_frame(spark)
     assert "clean_text" not in L.apply_line_rules(docs).columns
