@@ -14,6 +14,9 @@ than k shingles are compared exactly.
 
 from __future__ import annotations
 
+import json
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ SHINGLE_WORDS = 5
 #: there are never more ranges than MAX_RANGES (their heads are broadcast).
 RANGE_ROWS = 1500
 MAX_RANGES = 100_000
+#: Ids sampled for each range to find its bounds.
+RANGE_SAMPLE = 32
 
 
 def column(c) -> Column:
@@ -95,18 +100,43 @@ def merge_parts(parts: DataFrame, by: list[str], sketches: str, k: int = K, fan_
     return kept.withColumnRenamed("__sketch", sketches)
 
 
+def id_bounds(docs: DataFrame, range_rows: int) -> list[int]:
+    """Ids that cut ``docs`` into ranges of about ``range_rows`` rows, however
+    the ids lie: quantiles of about RANGE_SAMPLE ids a range, picked by hash (all
+    ids of a small table). The sample places bounds only; every row gets a range."""
+    rows = docs.count()
+    ranges = max(1, min(MAX_RANGES, -(-rows // range_rows)))
+    if ranges == 1:
+        return []
+    step = max(1, rows // (ranges * RANGE_SAMPLE))
+    shares = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
+    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("doc_id").distinct()
+    found = picked.agg(F.percentile_approx("doc_id", shares, 4 * ranges).alias("bounds")).first()["bounds"]
+    return sorted(set(found or []))
+
+
+def range_of(number: Column, bounds: list[int]) -> Column:
+    """How many of the ascending ``bounds`` are not above ``number``: a group of
+    them is found first, then the place in the group."""
+    if not bounds:
+        return F.lit(0).cast("long")
+    width = 1 + isqrt(len(bounds))
+    groups = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    firsts = F.from_json(F.lit(json.dumps([g[0] for g in groups])), "array<bigint>")
+    nested = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
+    below = lambda array: F.size(F.filter(array, lambda b: b <= number))
+    return F.transform(F.array(below(firsts)), lambda g: F.when(g == 0, F.lit(0)).otherwise(
+        (g - 1) * width + below(F.element_at(nested, F.greatest(g, F.lit(1))))))[0].cast("long")
+
+
 def with_next(docs: DataFrame, columns: list[str], *, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Each document with ``next_<column>`` of the next by descending doc_id,
-    the first after the last. Documents go to ranges of ids; each range gets a
-    copy of the head of the range below it as its last row, so neighbours are
-    found inside ranges and no task sorts all. Null ids come last; equal ids are
-    ordered by text."""
-    low, high, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    ranges = max(1, min(MAX_RANGES, -(-rows // range_rows)))
-    low, high = low or 0, high or 0
-    width = max(1.0, (float(high) - float(low)) / ranges)
-    place = F.floor((F.col("doc_id").cast("double") - F.lit(float(low))) / F.lit(width))
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.least(F.lit(ranges - 1), place)).cast("long")
+    the first after the last. Documents go to ranges of ids, bounded by quantiles,
+    so that outlying ids crowd no range; each range gets a copy of the head of the
+    range below it as its last row, so neighbours are found inside ranges and no
+    task sorts all. Null ids come last; equal ids are ordered by text."""
+    bounds = id_bounds(docs, range_rows)
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(range_of(F.col("doc_id"), bounds))
     heads = docs.groupBy(bucket.alias("own")).agg(F.max("doc_id").alias("head"))
     above = Window.orderBy("own")  # at most MAX_RANGES rows
     heads = heads.select("head", F.lead("own").over(above).alias("above"), F.min("own").over(

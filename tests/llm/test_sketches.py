@@ -52,6 +52,24 @@ def test_next_by_descending_id(spark, range_rows):
     assert sorted(map(str, ((r["doc_id"], r["text"], r["next_text"]) for r in got))) == sorted(map(str, want))
 
 
+def test_outlying_ids_crowd_no_range(spark):
+    ids = [*range(2000), -10**17, 10**15, 10**18, 10**18 + 1]
+    docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
+    bounds = S.id_bounds(docs, 50)
+    assert bounds == sorted(set(bounds)) and len(bounds) >= 30
+    placed = docs.select("doc_id", S.range_of(F.col("doc_id"), bounds).alias("at")).collect()
+    assert all(r["at"] == sum(b <= r["doc_id"] for b in bounds) for r in placed)
+    sizes = {}
+    for r in placed:
+        sizes[r["at"]] = sizes.get(r["at"], 0) + 1
+    assert max(sizes.values()) <= 150
+    ids.sort(reverse=True)
+    want = {(d, f"t{ids[(i + 1) % len(ids)]}") for i, d in enumerate(ids)}
+    assert {(r["doc_id"], r["next_text"]) for r in S.with_next(docs, ["text"], range_rows=50).collect()} == want
+    nulls = docs.select(F.lit(None).cast("long").alias("doc_id"), "text")
+    assert S.id_bounds(nulls, 50) == [] and S.with_next(nulls, ["text"], range_rows=50).count() == len(ids)
+
+
 def test_edit_report(spark):
     docs = documents_frame(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
     rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), reverse=True)
