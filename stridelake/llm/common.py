@@ -150,3 +150,12 @@ def sample_rows(rows: DataFrame, by: str, per_class: int, max_classes: int, seed
     counts = rows.groupBy(by).count().orderBy(F.desc("count"), by).limit(max_classes)
     share = F.pmod(F.xxhash64(*[c for c in rows.columns if c != by], F.lit(seed)), F.col("count")) < per_class
     return rows.join(F.broadcast(counts), by).where(share).select(*rows.columns)
+
+
+def sampled_texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """The text of each picked doc_id, with picked's columns: a row for each id,
+    also where a doc_id repeats (the least text), so that the sample's bound on
+    ids bounds the rows too."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")) \
+        .join(F.broadcast(picked), "doc_id")
+    return rows.groupBy(*picked.columns).agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Vocabulary, crc_mod, sample_rows, small_batches, word_chunks, word_ids
+from .common import Vocabulary, crc_mod, sample_rows, sampled_texts, small_batches, word_chunks, word_ids
 
 WORD_BUCKETS = 1 << 11
 SHAPE_BUCKETS = 1 << 9
@@ -171,8 +171,7 @@ def train(docs: DataFrame, ratings: DataFrame, may_learn: Column, *, per_grade:
     """A model from about ``per_grade`` documents of each grade; ``ratings`` has
     doc_id and an integer grade, ``may_learn`` is a column over its doc_id."""
     picked = sample_rows(ratings.where(may_learn), "grade", per_grade, max_grades, 31)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .join(F.broadcast(picked), "doc_id").select("doc_id", "text", "grade").collect()
+    rows = sampled_texts(docs, picked.select("doc_id", "grade")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     return train_model([r["text"] or "" for r in rows], [r["grade"] for r in rows]) if rows else None
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, sample_rows, small_batches, word_chunks
+from .common import crc_mod, sample_rows, sampled_texts, small_batches, word_chunks
 
 LENGTH, SPAN, DECAY = 4, 6, 0.7
 #: Most toxic words of a document that its score weighs.
@@ -344,8 +344,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, max_toxic: i
     # equal shares of both kinds would starve the commoner: sample each to its bound
     picked = sample_rows(marks.where("toxic = 1"), "toxic", max_toxic, 1, 23) \
         .unionByName(sample_rows(marks.where("toxic = 0"), "toxic", max_clean, 1, 23))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").collect()
+    rows = sampled_texts(docs, picked.select("doc_id", "toxic")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     label = np.array([r["toxic"] for r in rows], np.int64)
     all_marks = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}

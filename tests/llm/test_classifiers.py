@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stridelake.llm import langid, ordinal, toxicity
+from stridelake.llm.common import sampled_texts
 from stridelake.llm.common import crc_mod, crc_mod_column, documents, labels, sample_rows
 from tests.llm.fixtures import documents_frame
 
@@ -207,3 +208,12 @@ def test_quality_with_one_grade_or_none(spark):
     assert none is None and ordinal.grade_documents(hard.limit(0), none).count() == 0
     marks = spark.createDataFrame([(1, 1, None), (1, 0, 1), (2, None, 1), (3, 1, 1), (5, 1, 0)], "doc_id long, quality int, toxic int")
     assert sorted(tuple(r) for r in ordinal.grades_of(marks).collect()) == [(1, 0), (3, 1), (5, 2)]
+
+
+def test_repeated_ids_bring_one_text_each(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i % 3}", "x") for i in range(600)] + [(None, "n", "x"), (2, None, "x")],
+                                 "doc_id long, text string, grade string")
+    picked = spark.createDataFrame([(0, 1), (0, 2), (1, 1), (2, 0), (9, 1)], "doc_id long, grade int")
+    got = sorted(tuple(r) for r in sampled_texts(docs, picked).collect())
+    assert got == [(0, 1, "text 0"), (0, 2, "text 0"), (1, 1, "text 1"), (2, 0, "")]
+    assert sampled_texts(docs.limit(0), picked).count() == 0
