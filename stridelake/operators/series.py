@@ -1,18 +1,16 @@
 """Eligibility for a series of dates in one pass (AG-2, AG-4, SNK-11).
 
 An activity counts at every date of the series from the first one until it is
-twelve months old, so each adds +1 where the series begins and -1 at the first
-date whose window it is out of. The signed marks of an employee are summed for
-each place in the series (partial sums on the map side: one row for each
-employee, place and task, whatever the number of activities), and a prefix sum
-over an employee's places - as many rows as dates - gives the counts of all
-dates. Activities are scanned once. Parameters are joined to the dates they are
-valid on.
+twelve months old. One scan counts an employee's activities for all dates
+(partial sums on the map side: one row for each employee and task, whatever the
+number of activities); employees meet their counts as one row each, and that
+row is copied to the dates last, when nothing is left to sort or to keep.
+Parameters are joined to the dates they are valid on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .benefits import bonus_columns, wellness_columns, window_start
@@ -39,22 +37,21 @@ def activity_counts_series(employees: DataFrame, activities: DataFrame, dates: l
     """``(employee columns..., place, activity_count_12m)``, one row for each
     employee and date; ``dates`` ascending. As in the single run, activities
     after a date count too (there is no upper bound)."""
-    bounds = F.array(*[window_start(d) for d in dates])
-    # Dates whose window still holds the activity: a prefix of the series.
-    places = F.size(F.filter(bounds, lambda b: b <= F.col("start_at")))
-    marks = (activities.where(F.col("activity_id").isNotNull() & (F.col("start_at") >= F.element_at(bounds, 1)))
-             .select("employee_id", F.inline(F.array(F.struct(F.lit(0).alias("place"), F.lit(1).cast("long").alias("n")),
-                                                     F.struct(places.alias("place"), F.lit(-1).cast("long").alias("n"))))))
+    bounds = [window_start(d) for d in dates]
+    totals = (activities.where(F.col("activity_id").isNotNull() & (F.col("start_at") >= bounds[0]))
+              .groupBy("employee_id").agg(F.array(*[F.count_if(F.col("start_at") >= b) for b in bounds]).alias("_counts")))
     columns = [c for c in employees.columns if c != "employee_id"]
     person = F.struct(*columns)
     empty = F.lit(None).cast(employees.select(person.alias("p")).schema["p"].dataType)
-    every = employees.select("employee_id", F.explode(F.sequence(F.lit(0), F.lit(len(dates) - 1))).alias("place"),
-                             F.lit(0).cast("long").alias("n"), person.alias("_person"))
-    summed = (marks.withColumn("_person", empty).unionByName(every)
-              .groupBy("employee_id", "place").agg(F.sum("n").alias("n"), F.max("_person").alias("_person")))
-    running = F.sum("n").over(Window.partitionBy("employee_id").orderBy("place"))
-    return (summed.withColumn("activity_count_12m", running).where(F.col("_person").isNotNull())
-            .select("employee_id", *[F.col(f"_person.{c}").alias(c) for c in columns], "place", "activity_count_12m"))
+    every = employees.select("employee_id", F.lit(None).cast("array<bigint>").alias("_counts"), person.alias("_person"))
+    # Dealt by employee before the maxima: they sort their rows, and would sort
+    # those of a whole scan task first. Employees without a key are one group.
+    met = (totals.withColumn("_person", empty).unionByName(every).repartition("employee_id")
+           .groupBy("employee_id").agg(F.max("_counts").alias("_counts"), F.max("_person").alias("_person"))
+           .where(F.col("_person").isNotNull()))
+    none = F.array(*[F.lit(0).cast("long") for _ in dates])
+    return met.select("employee_id", *[F.col(f"_person.{c}").alias(c) for c in columns],
+                      F.posexplode(F.coalesce("_counts", none)).alias("place", "activity_count_12m"))
 
 
 def eligibility_series(employees: DataFrame, activities: DataFrame, commute: DataFrame, params: DataFrame,

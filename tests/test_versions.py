@@ -127,6 +127,30 @@ def test_series_without_activities(spark):
     assert rows(counts, "employee_id", "place", "activity_count_12m") == [(e, p, 0) for e in range(3) for p in range(2)]
 
 
+def test_employees_are_dealt_and_sorted_as_one_row_each(spark):
+    """Their rows are copied to the dates after the last shuffle, sort and
+    aggregate, and no scan task sorts the rows that it reads."""
+    none = spark.createDataFrame([], "activity_id long, employee_id long, start_at timestamp, distance_m double")
+    counts = SE.activity_counts_series(_people(spark, 3), none, ["2024-01-31", "2024-02-29"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1 and "Window" not in plan
+    above, below = plan.split("Generate")
+    assert not any(x in above for x in ("Exchange", "Sort", "Aggregate"))
+    assert below.index("partial_max(_person") < below.index("Sort [employee_id") < below.index("Exchange hashpartitioning(employee_id")
+
+
+def test_series_with_repeated_and_null_keys(spark):
+    """Rows of a key are one employee, the greatest of them; those without one too."""
+    people = spark.createDataFrame([(1, "a", 5), (1, "b", None), (1, "a", 9), (None, "x", 1), (None, None, 2), (2, None, None)],
+                                   "employee_id long, first_name string, level int")
+    activities = spark.createDataFrame(
+        [(1, 1, t(-200)), (2, 1, t(-200)), (3, None, t(0)), (4, None, t(-200)), (None, 2, t(0)), (5, 2, None), (6, 2, t(-900)), (7, 8, t(0))],
+        "activity_id long, employee_id long, start_at timestamp")
+    counts = SE.activity_counts_series(people, activities, ["2024-01-01", "2024-12-31"])
+    assert rows(counts) == sorted([(1, "b", None, 0, 2), (1, "b", None, 1, 0), (None, "x", 1, 0, 2), (None, "x", 1, 1, 1),
+                                   (2, None, None, 0, 0), (2, None, None, 1, 0)], key=str)
+
+
 # --- snapshot differences ----------------------------------------------------------------
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
